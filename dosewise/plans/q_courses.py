@@ -41,3 +41,195 @@ WHERE {CENSOR_SQL}
 """
 
 register("training_table", TRAINING_TABLE_SQL)(training_table)
+
+
+# --- shared pieces -------------------------------------------------------------
+
+ROW_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _fills(spark, sf, item="p_type"):
+    return A.fills(spark, sf, item)
+
+
+def _lineitem_last(spark, sf):
+    return C.last_day(A.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("fill_dt")))
+
+
+def _history(spark, sf):
+    return C.course_history(_fills(spark, sf))
+
+
+WITH_FILLS = f"WITH fills AS ({fills_sql()})"
+WITH_HIST = f"{WITH_FILLS},\n{HISTORY_SQL}"
+IDS = "patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, l_partkey, l_suppkey"
+
+
+# --- scans ----------------------------------------------------------------------
+
+@register("scan_fills", f"{WITH_FILLS} SELECT patient_id, drug_id, fill_dt, supply_days, disp_qty, price, copay, "
+          "l_orderkey, l_linenumber, l_partkey, l_suppkey FROM fills")
+def scan_fills(spark, sf):
+    return _fills(spark, sf).select("patient_id", "drug_id", "fill_dt", "supply_days", "disp_qty",
+                                    "price", "copay", *ROW_ID)
+
+
+@register("scan_dates", f"{WITH_FILLS} SELECT drug_id, MIN(fill_dt) AS first_dt, MAX(fill_dt) AS last_dt, "
+          "COUNT(DISTINCT fill_dt) AS n_days FROM fills GROUP BY drug_id")
+def scan_dates(spark, sf):
+    return _fills(spark, sf).groupBy("drug_id").agg(
+        F.min("fill_dt").alias("first_dt"), F.max("fill_dt").alias("last_dt"),
+        F.countDistinct("fill_dt").alias("n_days"))
+
+
+@register("project_features", f"{WITH_FILLS} SELECT patient_id, drug_id, fill_dt, supply_days, disp_qty FROM fills")
+def project_features(spark, sf):
+    from dosewise.operators.relational import project
+    return project(_fills(spark, sf), ["patient_id", "drug_id", "fill_dt", "supply_days", "disp_qty"])
+
+
+# --- one course -------------------------------------------------------------------
+
+@register("one_course", f"""{WITH_FILLS},
+top AS (SELECT patient_id, drug_id FROM fills GROUP BY patient_id, drug_id
+        ORDER BY COUNT(*) DESC, patient_id, drug_id LIMIT 1)
+SELECT f.patient_id, f.drug_id, f.fill_dt, f.supply_days, f.disp_qty,
+       CAST(f.fill_dt - LAG(f.fill_dt) OVER (PARTITION BY f.patient_id, f.drug_id ORDER BY {ORDER_SQL}) AS INTEGER) AS gap
+FROM fills f JOIN top t ON f.patient_id = t.patient_id AND f.drug_id = t.drug_id""")
+def one_course(spark, sf):
+    """The course with the most pickups (ties: lowest patient, drug), as a
+    conjunctive equality filter, with gaps."""
+    from dosewise.operators.relational import where_all
+    f = _fills(spark, sf)
+    top = (f.groupBy(*C.KEYS).agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.desc("n"), "patient_id", "drug_id").limit(1).first())
+    one = where_all(f, patient_id=top["patient_id"], drug_id=top["drug_id"])
+    return C.with_gaps(one).select("patient_id", "drug_id", "fill_dt", "supply_days", "disp_qty", "gap")
+
+
+# --- windows ----------------------------------------------------------------------
+
+GAP_SQL = f"CAST(fill_dt - LAG(fill_dt) OVER (PARTITION BY patient_id, drug_id ORDER BY {ORDER_SQL}) AS INTEGER)"
+
+
+@register("gaps", f"{WITH_FILLS} SELECT {IDS}, {GAP_SQL} AS gap FROM fills")
+def gaps(spark, sf):
+    return C.with_gaps(_fills(spark, sf)).select(*IDS.split(", "), "gap")
+
+
+@register("next_fill", f"{WITH_FILLS} SELECT {IDS}, LEAD(fill_dt) OVER (PARTITION BY patient_id, drug_id "
+          f"ORDER BY {ORDER_SQL}) AS next_fill_dt FROM fills")
+def next_fill(spark, sf):
+    return C.next_date(_fills(spark, sf)).select(*IDS.split(", "), "next_fill_dt")
+
+
+@register("fill_number", f"{WITH_FILLS} SELECT {IDS}, CAST(ROW_NUMBER() OVER (PARTITION BY patient_id, drug_id "
+          f"ORDER BY {ORDER_SQL}) AS INTEGER) AS fill_number FROM fills")
+def fill_number(spark, sf):
+    return C.ordinal(_fills(spark, sf)).select(*IDS.split(", "), "fill_number")
+
+
+@register("expanding_history", f"{WITH_HIST} SELECT {IDS}, round(avg_gap, 6) AS avg_gap, "
+          "round(pct_late, 6) AS pct_late FROM hist")
+def expanding_history(spark, sf):
+    return _round(_history(spark, sf).select(*IDS.split(", "), "avg_gap", "pct_late"), ["avg_gap", "pct_late"])
+
+
+@register("late_flag", f"""{WITH_FILLS}, g AS (SELECT {IDS}, supply_days, {GAP_SQL} AS gap FROM fills)
+SELECT {IDS}, gap, CASE WHEN gap > supply_days + 14 THEN 1 ELSE 0 END AS late FROM g""")
+def late_flag_q(spark, sf):
+    return C.enrich_gaps(_fills(spark, sf)).select(*IDS.split(", "), "gap", "late")
+
+
+@register("early_flag", f"""{WITH_FILLS}, g AS (SELECT {IDS}, supply_days, {GAP_SQL} AS gap FROM fills)
+SELECT {IDS}, gap, CASE WHEN gap < supply_days * CAST(0.75 AS DOUBLE) THEN 1 ELSE 0 END AS is_early FROM g""")
+def early_flag_q(spark, sf):
+    g = C.with_gaps(_fills(spark, sf))
+    return g.select(*IDS.split(", "), "gap", C.early_flag("gap", "supply_days").alias("is_early"))
+
+
+@register("gaps_only", f"""{WITH_FILLS}, g AS (SELECT {IDS}, {GAP_SQL} AS gap FROM fills)
+SELECT * FROM g WHERE gap IS NOT NULL""")
+def gaps_only(spark, sf):
+    from dosewise.operators.relational import drop_first
+    return drop_first(C.with_gaps(_fills(spark, sf)).select(*IDS.split(", "), "gap"), "gap")
+
+
+@register("label", f"{WITH_HIST} SELECT {IDS}, next_fill_dt, runout_dt, days_late, came_back FROM hist")
+def label(spark, sf):
+    return C.refill_label(_fills(spark, sf)).select(*IDS.split(", "), "next_fill_dt", "runout_dt",
+                                                    "days_late", "came_back")
+
+
+@register("runout", f"{WITH_FILLS} SELECT {IDS}, CAST(fill_dt + supply_days AS DATE) AS runout_dt FROM fills")
+def runout_q(spark, sf):
+    from dosewise.functions.scalars import runout
+    return _fills(spark, sf).select(*IDS.split(", "), runout("fill_dt", "supply_days").alias("runout_dt"))
+
+
+@register("censored", f"{WITH_HIST} SELECT {IDS}, runout_dt, came_back FROM hist WHERE {CENSOR_SQL}")
+def censored(spark, sf):
+    h = C.refill_label(_fills(spark, sf))
+    return C.censor(h, _lineitem_last(spark, sf)).select(*IDS.split(", "), "runout_dt", "came_back")
+
+
+@register("prev_gap", f"{WITH_HIST} SELECT {IDS}, prev_gap FROM hist")
+def prev_gap(spark, sf):
+    from dosewise.operators.relational import fill_from
+    g = C.with_gaps(_fills(spark, sf), out="prev_gap").withColumn("prev_gap", F.col("prev_gap").cast("double"))
+    return fill_from(g, "prev_gap", "supply_days").select(
+        *IDS.split(", "), F.col("prev_gap").cast("double").alias("prev_gap"))
+
+
+@register("refill_features", f"{WITH_HIST} SELECT {IDS}, prev_gap, fill_number, was_late, "
+          "round(avg_gap, 6) AS avg_gap, round(pct_late, 6) AS pct_late FROM hist")
+def refill_features(spark, sf):
+    h = C.refill_features(_fills(spark, sf))
+    return _round(h.select(*IDS.split(", "), "prev_gap", "fill_number", "was_late", "avg_gap", "pct_late"),
+                  ["avg_gap", "pct_late"])
+
+
+@register("first_fill", f"""{WITH_FILLS}
+SELECT patient_id, drug_id, fill_dt, disp_qty, l_orderkey, l_linenumber FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY patient_id, drug_id ORDER BY {ORDER_SQL}) AS rn FROM fills) WHERE rn = 1""")
+def first_fill(spark, sf):
+    from dosewise.operators.relational import first_row
+    f = _fills(spark, sf).select("patient_id", "drug_id", *A.ORDER, "disp_qty")
+    return first_row(f, C.KEYS, A.ORDER).select("patient_id", "drug_id", "fill_dt", "disp_qty",
+                                                "l_orderkey", "l_linenumber")
+
+
+# --- training table in SQL (D5) ------------------------------------------------------
+
+@register("training_table_sql", f"""{WITH_FILLS},
+patients AS ({PATIENTS_SQL}), drugs AS ({DRUGS_SQL}),
+base AS (
+  SELECT f.patient_id, f.drug_id, f.fill_dt, f.supply_days, d.drug_name, d.is_branded, p.birth_dt,
+         LEAD(f.fill_dt) OVER w AS next_fill_dt,
+         f.fill_dt - LAG(f.fill_dt) OVER w AS prev_gap_raw,
+         ROW_NUMBER() OVER w AS fill_number,
+         {', '.join('f.' + c for c in A.TIE)}
+  FROM fills f JOIN drugs d ON d.drug_id = f.drug_id JOIN patients p ON p.patient_id = f.patient_id
+  WINDOW w AS (PARTITION BY f.patient_id, f.drug_id ORDER BY f.fill_dt, {', '.join('f.' + c for c in A.TIE)})),
+gaps AS (SELECT *, COALESCE(prev_gap_raw, supply_days) AS prev_gap, CAST(fill_dt + supply_days AS DATE) AS runout_dt FROM base),
+flags AS (SELECT *, CASE WHEN prev_gap > supply_days + 14 THEN 1 ELSE 0 END AS was_late FROM gaps),
+history AS (
+  SELECT *, AVG(prev_gap) OVER h AS avg_gap, AVG(was_late) OVER h AS pct_late FROM flags
+  WINDOW h AS (PARTITION BY patient_id, drug_id ORDER BY fill_dt, {', '.join(A.TIE)}
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT CAST(year(fill_dt) - year(birth_dt)
+            - CASE WHEN month(fill_dt) < month(birth_dt)
+                     OR (month(fill_dt) = month(birth_dt) AND day(fill_dt) < day(birth_dt))
+                   THEN 1 ELSE 0 END AS INTEGER) AS patient_age,
+       drug_name, is_branded, supply_days, CAST(fill_number AS INTEGER) AS fill_number,
+       CAST(prev_gap AS INTEGER) AS prev_gap, was_late,
+       round(avg_gap, 4) AS avg_gap,
+       round(pct_late, 4) AS pct_late,
+       runout_dt,
+       CASE WHEN next_fill_dt IS NOT NULL AND next_fill_dt - runout_dt <= 14 THEN 1 ELSE 0 END AS came_back
+FROM history
+WHERE {CENSOR_SQL}""")
+def training_table_sql(spark, sf):
+    from dosewise.plans.training_sql import training_table_sql as run
+    return run(spark, A.fills(spark, sf), A.patients(spark, sf), A.drugs(spark, sf),
+               A.table(spark, sf, "lineitem"))
