@@ -152,8 +152,8 @@ def histogram(df: DataFrame, col: str, bins: int, out_prefix: str = "") -> DataF
     closed), one row per non-empty bin: bin, lower edge, upper edge, count.
 
     The min/max come from a one-row aggregate joined back as a scalar."""
-    stats = df.agg(F.min(col).cast("double").alias("_lo"), F.max(col).cast("double").alias("_hi"))
-    lo, hi = stats.select("_lo").scalar(), stats.select("_hi").scalar()
+    stats = df.agg(F.struct(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))).scalar()
+    lo, hi = stats["lo"], stats["hi"]
     width = F.try_divide(hi - lo, F.lit(float(bins)))
     raw = F.floor(F.try_divide(F.col(col) - lo, width)).cast("int")
     b = F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1))

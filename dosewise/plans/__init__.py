@@ -2,7 +2,7 @@
 
 from dosewise.plans.registry import ORACLES, QUERIES  # noqa: F401
 
-_MODULES = ["q_courses"]
+_MODULES = ["q_courses", "q_explore"]
 
 
 def load_all():
