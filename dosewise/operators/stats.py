@@ -67,8 +67,12 @@ def score_ranks(scored: DataFrame, score: str = "score", label: str = "label",
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("n_pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("n_neg"))
     probs = [i / n_ranges for i in range(1, n_ranges)]
-    edges = d.agg(F.percentile_approx("s", probs, 10000).alias("e")).select("e").scalar()
-    d = d.withColumn("_r", F.size(F.filter(F.array_distinct(edges), lambda e: e < F.col("s"))))
+    # range edges: at most n_ranges - 1 approximate quantiles of the distinct
+    # scores, a bounded list fetched to the driver like any cut points
+    row = d.agg(F.percentile_approx("s", probs, 10000).alias("e")).first()
+    edges = sorted(set(row["e"] or []))
+    lit_edges = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
+    d = d.withColumn("_r", F.size(F.filter(lit_edges, lambda e: e < F.col("s"))))
     per = d.groupBy("_r").agg(F.sum("n_pos").alias("_rp"), F.sum("n_neg").alias("_rn"))
     wr = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select("_r", F.coalesce(F.sum("_rp").over(wr), F.lit(0)).alias("_op"),

@@ -2,7 +2,7 @@
 
 from dosewise.plans.registry import ORACLES, QUERIES  # noqa: F401
 
-_MODULES = ["q_courses", "q_explore", "q_demand", "q_affinity"]
+_MODULES = ["q_courses", "q_explore", "q_demand", "q_affinity", "q_quality"]
 
 
 def load_all():
