@@ -26,8 +26,7 @@ def one_hot_stages(col: str = "drug_name"):
     """Indexer + encoder stages for one categorical column."""
     idx = StringIndexer(inputCol=col, outputCol=f"{col}_idx", stringOrderType="alphabetAsc",
                         handleInvalid="keep")
-    enc = OneHotEncoder(inputCols=[f"{col}_idx"], outputCols=[f"{col}_vec"], dropLast=True,
-                        handleInvalid="keep")
+    enc = OneHotEncoder(inputCols=[f"{col}_idx"], outputCols=[f"{col}_vec"], dropLast=True)
     return [idx, enc]
 
 
