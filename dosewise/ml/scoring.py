@@ -18,12 +18,14 @@ RISK_CUTS = [0.40, 0.70]
 RISK_LABELS = ["high", "medium", "low"]
 ACTIONS = {"high": "pharmacist call", "medium": "send reminder", "low": "no action"}
 
-# Fixed request rules (name -> condition that must hold).
-REFILL_RULES = {
-    "patient_age must be within 0..120": F.col("patient_age").between(0, 120),
-    "was_late must be 0 or 1": F.col("was_late").between(0, 1),
-    "pct_late must be within 0..1": F.col("pct_late").between(0, 1),
-}
+
+def refill_rules() -> dict[str, Column]:
+    """Fixed request rules (name -> condition that must hold)."""
+    return {
+        "patient_age must be within 0..120": F.col("patient_age").between(0, 120),
+        "was_late must be 0 or 1": F.col("was_late").between(0, 1),
+        "pct_late must be within 0..1": F.col("pct_late").between(0, 1),
+    }
 
 
 def validate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -22,9 +22,7 @@ DRIFTS_BY_DESIGN = ["fill_number"]
 
 def unpivot(df: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, value) rows for the given numeric columns."""
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])).alias("_u")
-    ).select("_u.feature", "_u.value")
+    return unpivot_with(df, cols, [])
 
 
 def psi_cuts(base: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
@@ -39,31 +37,55 @@ def psi_cuts(base: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
                     (F.size(u) - 1).alias("n_buckets"))
 
 
-def bucket_shares(df: DataFrame, cols: list[str], cuts: DataFrame, floor: float = 1e-6) -> DataFrame:
-    """Share of rows per (feature, bucket), floored at ``floor``; every
-    bucket of the cut table appears."""
-    u = unpivot(df, cols).join(F.broadcast(cuts.select("feature", "interior")), "feature")
+def bucket_shares(df: DataFrame, cols: list[str], cuts: DataFrame, floor: float = 1e-6,
+                  side: str | None = None) -> DataFrame:
+    """Share of rows per (feature, bucket) - per (side, feature, bucket)
+    when ``side`` names a grouping column - floored at ``floor``; every
+    bucket of the cut table appears.  Totals come from the same aggregate
+    (the counts of one feature sum to the row count), so the table is read
+    once."""
+    sides = [side] if side else []
+    u = unpivot_with(df, cols, sides).join(F.broadcast(cuts.select("feature", "interior")), "feature")
     u = u.withColumn("bucket", F.size(F.filter("interior", lambda c: c <= F.col("value"))))
-    cnt = u.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    tot = df.count()
+    cnt = u.groupBy(*sides, "feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    tot = cnt.groupBy(*sides, "feature").agg(F.sum("n").alias("_tot"))
     allb = cuts.filter(F.col("n_buckets") >= 1).select(
         "feature", F.explode(F.sequence(F.lit(0), F.col("n_buckets") - 1)).alias("bucket"))
-    s = allb.join(cnt, ["feature", "bucket"], "left")
-    return s.select("feature", "bucket",
-                    F.greatest(F.coalesce(F.col("n"), F.lit(0)) / F.lit(float(max(tot, 1))), F.lit(floor)).alias("share"))
+    if side:
+        allb = allb.join(F.broadcast(tot.select(side, "feature")), "feature")
+    s = allb.join(cnt, [*sides, "feature", "bucket"], "left").join(tot, [*sides, "feature"], "left")
+    share = F.coalesce(F.col("n"), F.lit(0)) / F.greatest(F.coalesce(F.col("_tot"), F.lit(1)), F.lit(1))
+    return s.select(*sides, "feature", "bucket", F.greatest(share, F.lit(floor)).alias("share"))
+
+
+def unpivot_with(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
+    """(kept columns, feature, value) rows for the given numeric columns."""
+    return df.select(*keep, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])).alias("_u")
+    ).select(*keep, "_u.feature", "_u.value")
+
+
+def psi_sides(df: DataFrame, live: str, cols: list[str] = NUMERIC, bins: int = 10,
+              floor: float = 1e-6) -> DataFrame:
+    """E22 over one table: rows with ``live`` false are the baseline, true
+    the live data.  One unpivot feeds both the cut points and the shares."""
+    cuts = psi_cuts(df.filter(~F.col(live)), cols, bins)
+    sh = bucket_shares(df, cols, cuts, floor, side=live)
+    e = sh.filter(~F.col(live)).select("feature", "bucket", F.col("share").alias("e"))
+    a = sh.filter(F.col(live)).select("feature", "bucket", F.col("share").alias("a"))
+    p = e.join(a, ["feature", "bucket"]).groupBy("feature").agg(
+        F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("psi"))
+    return cuts.select("feature").join(p, "feature", "left").select(
+        "feature", F.coalesce(F.col("psi"), F.lit(0.0)).alias("psi"))
 
 
 def psi(base: DataFrame, live: DataFrame, cols: list[str] = NUMERIC, bins: int = 10,
         floor: float = 1e-6) -> DataFrame:
     """PSI per feature = sum over buckets of (a - e) ln(a / e).  A
     feature with no bucket (constant base) gets 0."""
-    cuts = psi_cuts(base, cols, bins)
-    e = bucket_shares(base, cols, cuts, floor).withColumnRenamed("share", "e")
-    a = bucket_shares(live, cols, cuts, floor).withColumnRenamed("share", "a")
-    terms = e.join(a, ["feature", "bucket"])
-    p = terms.groupBy("feature").agg(F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("psi"))
-    return cuts.select("feature").join(p, "feature", "left").select(
-        "feature", F.coalesce(F.col("psi"), F.lit(0.0)).alias("psi"))
+    both = (base.select(*cols).withColumn("_live", F.lit(False))
+            .unionByName(live.select(*cols).withColumn("_live", F.lit(True))))
+    return psi_sides(both, "_live", cols, bins, floor)
 
 
 def verdict(report: DataFrame, col: str = "psi") -> DataFrame:

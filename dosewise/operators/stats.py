@@ -21,23 +21,42 @@ from pyspark.sql import functions as F
 from dosewise.session import cut_lineage
 
 
-def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float],
+                    n_ranges: int = 64) -> DataFrame:
     """Linear-interpolation quantiles (numpy 'linear', SQL quantile_cont) per
     group, exact.  Returns group columns + ``quantiles`` (array in the order
-    of ``probs``).  NULL values are ignored."""
+    of ``probs``).  NULL values are ignored.
+
+    Values are aggregated to (group, value, count) first.  To keep one large
+    group from running in a single task, each group's distinct values are cut
+    into up to ``n_ranges`` value ranges at approximate quantiles; running
+    counts are computed per (group, range) in parallel and offset by the
+    counts of the earlier ranges (a table of groups x ranges rows)."""
     vc = (df.filter(F.col(value).isNotNull())
           .groupBy(*group, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*group).orderBy("_v")
+    # the distinct-value table feeds five branches below; writing it once to
+    # the shared checkpoint folder keeps the source from being recomputed
+    vc = cut_lineage(vc)
+    rprobs = [i / n_ranges for i in range(1, n_ranges)]
+    edges = vc.groupBy(*group).agg(F.array_distinct(F.percentile_approx("_v", rprobs, 10000)).alias("_e"))
+    vc = vc.join(edges, group).withColumn("_r", F.size(F.filter("_e", lambda e: e < F.col("_v")))).drop("_e")
+    per = vc.groupBy(*group, "_r").agg(F.sum("_c").alias("_rc"))
+    wr = Window.partitionBy(*group).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*group, "_r", F.coalesce(F.sum("_rc").over(wr), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*group, "_r").orderBy("_v")
     vc = vc.select("*", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"))
+    vc = vc.join(per, group + ["_r"]).withColumn("_cum", F.col("_cum") + F.col("_off"))
     vc = vc.select(*group, "_v", (F.col("_cum") - F.col("_c")).alias("_start"), (F.col("_cum") - 1).alias("_end"))
     n = vc.groupBy(*group).agg((F.max("_end") + 1).alias("_n"))
     pr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("q")) for i, p in enumerate(probs)])
     pos = n.select(*group, "_n", F.explode(pr).alias("_p")).select(
         *group, F.col("_p.qi").alias("qi"), ((F.col("_n") - 1) * F.col("_p.q")).alias("_h"))
     pos = pos.select("*", F.floor("_h").alias("_lo"), F.ceil("_h").alias("_hi"))
-    lo = pos.join(vc, group).filter((F.col("_start") <= F.col("_lo")) & (F.col("_lo") <= F.col("_end")))
+    # the positions table is tiny (groups x probabilities); each value row
+    # meets only its own group's positions
+    lo = vc.join(F.broadcast(pos), group).filter((F.col("_start") <= F.col("_lo")) & (F.col("_lo") <= F.col("_end")))
     lo = lo.select(*group, "qi", "_h", "_lo", F.col("_v").alias("_vlo"))
-    hi = pos.join(vc, group).filter((F.col("_start") <= F.col("_hi")) & (F.col("_hi") <= F.col("_end")))
+    hi = vc.join(F.broadcast(pos), group).filter((F.col("_start") <= F.col("_hi")) & (F.col("_hi") <= F.col("_end")))
     hi = hi.select(*group, "qi", F.col("_v").alias("_vhi"))
     q = lo.join(hi, group + ["qi"])
     q = q.select(*group, "qi", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_h") - F.col("_lo"))).alias("_q"))

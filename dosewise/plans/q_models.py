@@ -21,7 +21,7 @@ from dosewise.ml import prep as P
 from dosewise.ml import tracking as TR
 from dosewise.ml import tuning as TU
 from dosewise.ml.iforest import IsolationForest
-from dosewise.ml.scoring import REFILL_RULES, risk_bands, score_demand, split_valid
+from dosewise.ml.scoring import refill_rules, risk_bands, score_demand, split_valid
 from dosewise.operators import demand as D
 from dosewise.operators import profiles as PR
 from dosewise.operators import relational as R
@@ -134,7 +134,7 @@ def score_refills(spark, sf):
     train, test = _split(spark, sf)
     path = TR.save_model(MD.fit_gbt(train, 200, 3, 0.03), _scratch(spark, "refill-model"))
     model = TR.load_model(path)
-    ok, bad = split_valid(test, REFILL_RULES)
+    ok, bad = split_valid(test, refill_rules())
     scored = risk_bands(model.transform(ok).withColumn("probability", vector_to_array("probability")[1]))
     return scored.select("drug_name", "fill_number", "pct_late", "refill_probability", "risk", "action", "came_back")
 

@@ -147,6 +147,12 @@ def _base_live(spark, sf):
     return R.temporal_split(t, "runout_dt", SPLIT)
 
 
+def _sided(spark, sf):
+    """The training table with a ``live`` flag (run-out on/after the split)."""
+    t = training_table(spark, sf)
+    return t.withColumn("live", F.col("runout_dt") >= F.lit(SPLIT).cast("date"))
+
+
 @register("psi_cuts", f"""{TT_SQL} SELECT feature, list_transform(cuts, lambda x: round(x, 6)) AS cuts, n_buckets FROM cuts""")
 def psi_cuts(spark, sf):
     """Unique decile cut points of the training period per feature."""
@@ -158,18 +164,15 @@ def psi_cuts(spark, sf):
 @register("psi_buckets", f"{TT_SQL} SELECT feature, bucket, live, round(share, 6) AS share FROM sh")
 def psi_buckets(spark, sf):
     """Floored share per bucket, training (live false) and live rows."""
-    base, live = _base_live(spark, sf)
-    cuts = DR.psi_cuts(base, NUM)
-    b = DR.bucket_shares(base, NUM, cuts).withColumn("live", F.lit(False))
-    lv = DR.bucket_shares(live, NUM, cuts).withColumn("live", F.lit(True))
-    return _round(b.unionByName(lv), ["share"])
+    t = _sided(spark, sf)
+    cuts = DR.psi_cuts(t.filter(~F.col("live")), NUM)
+    return _round(DR.bucket_shares(t, NUM, cuts, side="live"), ["share"])
 
 
 @register("psi", f"{TT_SQL} SELECT feature, round(psi, 6) AS psi FROM psi")
 def psi(spark, sf):
     """PSI per numeric feature, training period vs live period."""
-    base, live = _base_live(spark, sf)
-    return _round(DR.psi(base, live, NUM), ["psi"])
+    return _round(DR.psi_sides(_sided(spark, sf), "live", NUM), ["psi"])
 
 
 VERDICT_SQL = ("CASE WHEN round(psi, 3) <= 0.1 THEN 'stable' WHEN round(psi, 3) <= 0.25 THEN 'watch' "
@@ -179,8 +182,7 @@ VERDICT_SQL = ("CASE WHEN round(psi, 3) <= 0.1 THEN 'stable' WHEN round(psi, 3)
 @register("drift_report", f"{TT_SQL} SELECT feature, round(psi, 3) AS psi, {VERDICT_SQL} AS verdict FROM psi")
 def drift_report(spark, sf):
     """PSI rounded to 3 places and the verdict band."""
-    base, live = _base_live(spark, sf)
-    r = DR.psi(base, live, NUM).withColumn("psi", F.round("psi", 3))
+    r = DR.psi_sides(_sided(spark, sf), "live", NUM).withColumn("psi", F.round("psi", 3))
     return DR.verdict(r)
 
 
@@ -188,8 +190,7 @@ def drift_report(spark, sf):
           "WHERE feature NOT IN ('fill_number') AND round(psi, 3) > 0.25")
 def drift_alerts(spark, sf):
     """Behavioural features whose PSI exceeds 0.25."""
-    base, live = _base_live(spark, sf)
-    r = DR.psi(base, live, NUM).withColumn("psi", F.round("psi", 3))
+    r = DR.psi_sides(_sided(spark, sf), "live", NUM).withColumn("psi", F.round("psi", 3))
     return DR.alerts(r)
 
 

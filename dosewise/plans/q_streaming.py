@@ -78,11 +78,11 @@ def stream_score(spark, sf):
     """ST4: arriving refill requests validated and scored per micro-batch by
     the logistic baseline; rejects go to a side table."""
     from dosewise.ml.models import fit_logistic
-    from dosewise.ml.scoring import REFILL_RULES
+    from dosewise.ml.scoring import refill_rules
     train, path, schema = _train_test_files(spark, sf)
     model = fit_logistic(train)
     out = J.scratch(spark, "scored")
-    handle = J.stream_score(model, REFILL_RULES, out + "/ok", out + "/rejected")
+    handle = J.stream_score(model, refill_rules(), out + "/ok", out + "/rejected")
     sdf = J.read_stream(spark, path, schema, max_files=1)
     J.run_available(sdf.writeStream.foreachBatch(handle), out + "/ckpt")
     return spark.read.parquet(out + "/ok").select("batch_id", "drug_name", "fill_number", "refill_probability",

@@ -80,7 +80,7 @@ def stream_fills(spark: SparkSession, sf_dir: str, item: str = "p_type", delay:
     pt = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         F.col("p_partkey").alias("l_partkey"), F.col(item).alias("drug_id"), "p_type")
     s = li.withColumn("event_ts", F.col("l_shipdate").cast("timestamp")).withWatermark("event_ts", delay)
-    s = s.dropDuplicatesWithinWatermark(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    s = s.dropDuplicatesWithinWatermark(TIE)   # the full tie key is the unique line id
     s = s.join(od, "l_orderkey").join(pt, "l_partkey")
     return s.select(
         "patient_id", "drug_id", F.col("l_shipdate").cast("date").alias("fill_dt"), "event_ts",
@@ -118,23 +118,32 @@ def _days(s: pd.Series) -> np.ndarray:
 
 
 def _history_fn(grace: int):
+    cols = [f.name for f in HISTORY_OUT.fields]
+
     def fn(key, pdfs, state):
         n, last, sum_gap, n_late = state.get if state.exists else (0, None, 0.0, 0)
-        out = []
+        outs = []
         for pdf in pdfs:
             pdf = pdf.sort_values(["fill_dt", *TIE], kind="mergesort")
-            days = _days(pdf["fill_dt"])
-            for i, (d, sup) in enumerate(zip(days, pdf["supply_days"].to_numpy())):
-                late_arrival = last is not None and d < last
-                gap = float(d - last) if last is not None else float(sup)
-                late = int(gap > sup + grace)
-                n, sum_gap, n_late = n + 1, sum_gap + gap, n_late + late
-                last = int(d) if last is None else max(last, int(d))
-                r = pdf.iloc[i]
-                out.append((r["patient_id"], r["drug_id"], r["fill_dt"], r["l_orderkey"], r["l_linenumber"],
-                            n, gap, late, sum_gap / n, n_late / n, late_arrival))
+            days = _days(pdf["fill_dt"]).astype(float)
+            sup = pdf["supply_days"].to_numpy(dtype=float)
+            # latest day seen before each row (state first, then the batch)
+            head = np.array([np.nan if last is None else float(last)])
+            prev = np.fmax.accumulate(np.concatenate([head, days]))[:-1]
+            gap = np.where(np.isnan(prev), sup, days - prev)
+            late = (gap > sup + grace).astype(int)
+            k = n + np.arange(1, len(days) + 1)
+            cs_gap, cs_late = sum_gap + np.cumsum(gap), n_late + np.cumsum(late)
+            outs.append(pd.DataFrame({
+                "patient_id": pdf["patient_id"].to_numpy(), "drug_id": pdf["drug_id"].to_numpy(),
+                "fill_dt": pdf["fill_dt"].to_numpy(), "l_orderkey": pdf["l_orderkey"].to_numpy(),
+                "l_linenumber": pdf["l_linenumber"].to_numpy(), "fill_number": k.astype("int32"),
+                "prev_gap": gap, "was_late": late.astype("int32"), "avg_gap": cs_gap / k, "pct_late": cs_late / k,
+                "late_arrival": ~np.isnan(prev) & (days < prev)}))
+            n, sum_gap, n_late = int(k[-1]), float(cs_gap[-1]), int(cs_late[-1])
+            last = int(np.nanmax(np.concatenate([head, days])))
         state.update((n, last, sum_gap, n_late))
-        yield pd.DataFrame(out, columns=[f.name for f in HISTORY_OUT.fields])
+        yield pd.concat(outs, ignore_index=True)[cols] if outs else pd.DataFrame(columns=cols)
     return fn
 
 
@@ -159,33 +168,45 @@ LABEL_STATE = T.StructType([
 
 
 def _labels_fn(grace: int):
-    epoch = pd.Timestamp("1970-01-01")
+    cols = [f.name for f in LABEL_OUT.fields]
+
+    def to_date(days):
+        return pd.to_datetime(np.asarray(days, dtype="int64"), unit="D").date
 
-    def row(key, st, came_back, how):
-        fill = (epoch + pd.Timedelta(days=int(st[0]))).date()
-        run = (epoch + pd.Timedelta(days=int(st[0] + st[1]))).date()
-        return (key[0], key[1], fill, st[2], st[3], run, came_back, how)
+    def frame(key, day, sup, ok, ln, came_back, how):
+        day, sup = np.asarray(day, dtype="int64"), np.asarray(sup, dtype="int64")
+        return pd.DataFrame({"patient_id": key[0], "drug_id": key[1], "fill_dt": to_date(day),
+                             "l_orderkey": np.asarray(ok, dtype="int64"), "l_linenumber": np.asarray(ln, dtype="int32"),
+                             "runout_dt": to_date(day + sup), "came_back": np.asarray(came_back, dtype="int32"),
+                             "resolved_by": how})
 
     def fn(key, pdfs, state):
-        out = []
         if state.hasTimedOut:
-            out.append(row(key, state.get, 0, "timer"))
+            d, sp, ok, ln = state.get
             state.remove()
-        else:
-            pending = state.get if state.exists else None
-            for pdf in pdfs:
-                pdf = pdf.sort_values(["fill_dt", *TIE], kind="mergesort")
-                for d, sup, ok, ln in zip(_days(pdf["fill_dt"]), pdf["supply_days"].to_numpy(),
-                                          pdf["l_orderkey"].to_numpy(), pdf["l_linenumber"].to_numpy()):
-                    if pending is not None:
-                        out.append(row(key, pending, int(d - (pending[0] + pending[1]) <= grace), "next"))
-                    pending = (int(d), int(sup), int(ok), int(ln))
-            if pending is None:
-                return
-            state.update(pending)
-            # fires once the watermark passes run-out + grace days
-            state.setTimeoutTimestamp((pending[0] + pending[1] + grace) * DAY_MS - 1)
-        yield pd.DataFrame(out, columns=[f.name for f in LABEL_OUT.fields])
+            yield frame(key, [d], [sp], [ok], [ln], [0], "timer")
+            return
+        pending = state.get if state.exists else None
+        outs = []
+        for pdf in pdfs:
+            pdf = pdf.sort_values(["fill_dt", *TIE], kind="mergesort")
+            day = _days(pdf["fill_dt"]).astype("int64")
+            sup = pdf["supply_days"].to_numpy(dtype="int64")
+            ok = pdf["l_orderkey"].to_numpy(dtype="int64")
+            ln = pdf["l_linenumber"].to_numpy(dtype="int64")
+            if pending is not None:        # the waiting pickup is resolved by this batch's first one
+                day, sup = np.concatenate([[pending[0]], day]), np.concatenate([[pending[1]], sup])
+                ok, ln = np.concatenate([[pending[2]], ok]), np.concatenate([[pending[3]], ln])
+            if len(day) > 1:
+                came = (day[1:] - (day[:-1] + sup[:-1]) <= grace).astype(int)
+                outs.append(frame(key, day[:-1], sup[:-1], ok[:-1], ln[:-1], came, "next"))
+            pending = (int(day[-1]), int(sup[-1]), int(ok[-1]), int(ln[-1]))
+        if pending is None:
+            return
+        state.update(pending)
+        # fires once the watermark passes run-out + grace days
+        state.setTimeoutTimestamp((pending[0] + pending[1] + grace) * DAY_MS - 1)
+        yield pd.concat(outs, ignore_index=True)[cols] if outs else pd.DataFrame(columns=cols)
     return fn
 
 
