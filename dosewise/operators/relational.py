@@ -171,6 +171,11 @@ def top(df: DataFrame, col: str, n: int, tie: list[str] | None = None, asc: bool
     return df.orderBy(o, *[F.col(t).asc() for t in (tie or [])]).limit(n)
 
 
+def head(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
+    """O3: the first n rows in key order (a bounded top-n, merged per task)."""
+    return df.orderBy(*keys).limit(n)
+
+
 def slice_rows(df: DataFrame, keys: list[str], order: list[str], lo: int, hi: int,
                out: str = "row_idx") -> DataFrame:
     """0-based rows lo..hi (inclusive) of each ordered group."""

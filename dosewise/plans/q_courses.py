@@ -233,3 +233,13 @@ def training_table_sql(spark, sf):
     from dosewise.plans.training_sql import training_table_sql as run
     return run(spark, A.fills(spark, sf), A.patients(spark, sf), A.drugs(spark, sf),
                A.table(spark, sf, "lineitem"))
+
+
+@register("fills_head", f"{WITH_FILLS} SELECT patient_id, drug_id, fill_dt, supply_days, disp_qty, l_orderkey, "
+          f"l_linenumber FROM fills ORDER BY patient_id, drug_id, {ORDER_SQL} LIMIT 5")
+def fills_head(spark, sf):
+    """O3: the first five pickups in (patient, drug, day, line) order."""
+    from dosewise.operators.relational import head
+    f = _fills(spark, sf)
+    return head(f, 5, ["patient_id", "drug_id", *A.ORDER]).select(
+        "patient_id", "drug_id", "fill_dt", "supply_days", "disp_qty", "l_orderkey", "l_linenumber")

@@ -395,3 +395,13 @@ def attribution_top(spark, sf):
     from dosewise.ml.attribution import top_contributions
     a, names = _attributions(spark, sf)
     return top_contributions(a, names).select("_row", "drug_name", "pct_late", "log_odds", "top")
+
+
+@register("review_queue")
+def review_queue(spark, sf):
+    """The isolation-forest review queue written in global oddness order
+    (range-partitioned sort) to the shared folder and read back."""
+    from dosewise.sources.tables import write_ordered
+    path = _scratch(spark, "review-queue")
+    write_ordered(isolation_scores(spark, sf), [F.col("oddness").asc(), F.col("patient_id").asc()], path)
+    return spark.read.parquet(path)
