@@ -34,7 +34,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf.setdefault("spark.driver.memory", "16g")
+    conf.setdefault("spark.driver.memory", _driver_memory())
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -44,6 +44,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def _driver_memory() -> str:
+    """Local mode runs everything in the driver JVM: give it ~60 % of the
+    machine's memory, at most 16 GiB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
