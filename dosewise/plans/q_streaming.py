@@ -43,23 +43,50 @@ def stream_daily_units(spark, sf):
     return out.withColumn("units", F.round("units", 4))
 
 
-@register("stream_history", f"{WITH_HIST} SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, fill_number, "
+@register("stream_history_keyed", f"{WITH_HIST} SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, fill_number, "
           "prev_gap, was_late, round(avg_gap, 6) AS avg_gap, round(pct_late, 6) AS pct_late, false AS late_arrival FROM hist")
-def stream_history(spark, sf):
-    """ST3: running course features from keyed state, one row per pickup."""
+def stream_history_keyed(spark, sf):
+    """ST3: running course features from keyed state (one Python call per
+    course and micro-batch), one row per pickup."""
     s = J.stream_history(J.stream_fills(spark, sf))
     return _round(_sink(spark, s, "history"), ["avg_gap", "pct_late"])
 
 
+@register("stream_labels_keyed", f"""{WITH_HIST}
+SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, runout_dt, came_back,
+       CASE WHEN next_fill_dt IS NOT NULL THEN 'next' ELSE 'timer' END AS resolved_by
+FROM hist WHERE next_fill_dt IS NOT NULL OR {CENSOR_SQL.replace("<=", "<")}""")
+def stream_labels_keyed(spark, sf):
+    """ST7: labels resolved by the next pickup, or by an event-time timer once
+    the watermark (latest pickup day - 1 day) passes run-out + 14 days."""
+    s = J.stream_labels(J.stream_fills(spark, sf, delay="1 day"))
+    return _sink(spark, s, "labels")
+
+
+@register("stream_history", f"{WITH_HIST} SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, fill_number, "
+          "prev_gap, was_late, round(avg_gap, 6) AS avg_gap, round(pct_late, 6) AS pct_late, false AS late_arrival FROM hist")
+def stream_history(spark, sf):
+    """ST3: running course features, state kept as a per-course table
+    (one join and one window pass per micro-batch)."""
+    path = J.scratch(spark, "history-tables")
+    handle = J.history_batches(path + "/state", path + "/out")
+    J.run_available(J.stream_fills(spark, sf).writeStream.foreachBatch(handle), path + "/ckpt")
+    out = spark.read.parquet(path + "/out").drop("batch_id")
+    return _round(out, ["avg_gap", "pct_late"])
+
+
 @register("stream_labels", f"""{WITH_HIST}
 SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, runout_dt, came_back,
        CASE WHEN next_fill_dt IS NOT NULL THEN 'next' ELSE 'timer' END AS resolved_by
-FROM hist WHERE next_fill_dt IS NOT NULL OR {CENSOR_SQL}""")
+FROM hist WHERE next_fill_dt IS NOT NULL OR {CENSOR_SQL.replace("<=", "<")}""")
 def stream_labels(spark, sf):
-    """ST7: labels resolved by the next pickup, or by an event-time timer at
-    run-out + 14 days (watermark = latest pickup day)."""
-    s = J.stream_labels(J.stream_fills(spark, sf, delay="0 seconds"))
-    return _sink(spark, s, "labels")
+    """ST7: labels resolved by the next pickup, or once the watermark (latest
+    pickup day - 1 day) passes run-out + 14 days; pending pickups kept as a
+    per-course table."""
+    path = J.scratch(spark, "label-tables")
+    handle = J.labels_batches(path + "/state", path + "/out")
+    J.run_available(J.stream_fills(spark, sf, delay="1 day").writeStream.foreachBatch(handle), path + "/ckpt")
+    return spark.read.parquet(path + "/out").drop("batch_id")
 
 
 def _train_test_files(spark, sf, parts=4):
