@@ -68,9 +68,32 @@ def unpivot_with(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
 def psi_sides(df: DataFrame, live: str, cols: list[str] = NUMERIC, bins: int = 10,
               floor: float = 1e-6) -> DataFrame:
     """E22 over one table: rows with ``live`` false are the baseline, true
-    the live data.  One unpivot feeds both the cut points and the shares."""
-    cuts = psi_cuts(df.filter(~F.col(live)), cols, bins)
-    sh = bucket_shares(df, cols, cuts, floor, side=live)
+    the live data.
+
+    The table is read once: it is unpivoted and aggregated to (side, feature,
+    value, count), which is written to the shared checkpoint folder.  Cut
+    points are weighted exact quantiles of the baseline counts; bucket shares
+    are sums of counts.  Every later step works on that small table."""
+    from dosewise.session import cut_lineage
+    vc = cut_lineage(unpivot_with(df, cols, [live]).filter(F.col("value").isNotNull())
+                     .groupBy(live, "feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    probs = [i / bins for i in range(bins + 1)]
+    q = exact_quantiles(vc.filter(~F.col(live)), ["feature"], "value", probs, weight="n")
+    u = F.array_sort(F.array_distinct("quantiles"))
+    cuts = q.select("feature", F.when(F.size(u) >= 2, F.slice(u, 2, F.size(u) - 2))
+                    .otherwise(F.array().cast("array<double>")).alias("interior"),
+                    (F.size(u) - 1).alias("n_buckets"))
+    b = vc.join(F.broadcast(cuts.select("feature", "interior")), "feature")
+    b = b.withColumn("bucket", F.size(F.filter("interior", lambda c: c <= F.col("value"))))
+    cnt = b.groupBy(live, "feature", "bucket").agg(F.sum("n").alias("n"))
+    tot = vc.groupBy(live, "feature").agg(F.sum("n").alias("_tot"))
+    allb = cuts.filter(F.col("n_buckets") >= 1).select(
+        "feature", F.explode(F.sequence(F.lit(0), F.col("n_buckets") - 1)).alias("bucket"))
+    sides = tot.select(live, "feature")
+    grid = allb.join(F.broadcast(sides), "feature")
+    sh = grid.join(cnt, [live, "feature", "bucket"], "left").join(tot, [live, "feature"], "left")
+    sh = sh.select(live, "feature", "bucket", F.greatest(
+        F.coalesce(F.col("n"), F.lit(0)) / F.greatest(F.col("_tot"), F.lit(1)), F.lit(floor)).alias("share"))
     e = sh.filter(~F.col(live)).select("feature", "bucket", F.col("share").alias("e"))
     a = sh.filter(F.col(live)).select("feature", "bucket", F.col("share").alias("a"))
     p = e.join(a, ["feature", "bucket"]).groupBy("feature").agg(

@@ -22,7 +22,7 @@ from dosewise.session import cut_lineage
 
 
 def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float],
-                    n_ranges: int = 64) -> DataFrame:
+                    n_ranges: int = 64, weight: str | None = None) -> DataFrame:
     """Linear-interpolation quantiles (numpy 'linear', SQL quantile_cont) per
     group, exact.  Returns group columns + ``quantiles`` (array in the order
     of ``probs``).  NULL values are ignored.
@@ -31,9 +31,13 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[flo
     group from running in a single task, each group's distinct values are cut
     into up to ``n_ranges`` value ranges at approximate quantiles; running
     counts are computed per (group, range) in parallel and offset by the
-    counts of the earlier ranges (a table of groups x ranges rows)."""
+    counts of the earlier ranges (a table of groups x ranges rows).
+
+    ``weight`` names a column of row multiplicities (the input is already a
+    value-count table)."""
+    cnt = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
     vc = (df.filter(F.col(value).isNotNull())
-          .groupBy(*group, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+          .groupBy(*group, F.col(value).cast("double").alias("_v")).agg(cnt.alias("_c")))
     # the distinct-value table feeds five branches below; writing it once to
     # the shared checkpoint folder keeps the source from being recomputed
     vc = cut_lineage(vc)
