@@ -80,7 +80,9 @@ def stream_fills(spark: SparkSession, sf_dir: str, item: str = "p_type", delay:
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("patient_id"))
     pt = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         F.col("p_partkey").alias("l_partkey"), F.col(item).alias("drug_id"), "p_type")
-    s = li.withColumn("event_ts", F.col("l_shipdate").cast("timestamp")).withWatermark("event_ts", delay)
+    # event time = UTC midnight of the pickup day, independent of the session time zone
+    s = li.withColumn("event_ts", F.timestamp_seconds(F.unix_date(F.col("l_shipdate").cast("date")) * 86400))
+    s = s.withWatermark("event_ts", delay)
     s = s.dropDuplicatesWithinWatermark(TIE)   # the full tie key is the unique line id
     s = s.join(od, "l_orderkey").join(pt, "l_partkey")
     return s.select(
