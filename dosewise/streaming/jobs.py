@@ -42,12 +42,25 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex[:8]}"
 
 
-def run_available(writer, checkpoint: str, timeout_s: float | None = None):
+def run_available(writer, checkpoint: str, timeout_s: float | None = None,
+                  state_partitions: int | None = None):
     """Start a ``DataStreamWriter`` with the availableNow trigger, wait until
-    all available input is processed, stop."""
-    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    q.stop()
+    all available input is processed, stop.
+
+    A stream fixes its number of state partitions when it first starts (it is
+    kept in the checkpoint).  It is set to ``state_partitions`` (default: the
+    cluster's default parallelism) for this query only; the session's
+    setting is restored afterwards."""
+    spark = SparkSession.getActiveSession()
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination(timeout_s)
+        q.stop()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     return q
 
 
@@ -334,7 +347,7 @@ def history_batches(state_path: str, out_path: str, grace: int = 14) -> Callable
         b = b.withColumn("prev_gap", gap)
         b = b.withColumn("was_late", (F.col("prev_gap") > F.col("supply_days") + grace).cast("int"))
         b = b.select("*", F.row_number().over(w).alias("_k"), F.sum("prev_gap").over(run).alias("_cg"),
-                     F.sum("was_late").over(run).alias("_cl"))
+                     F.sum("was_late").over(run).alias("_cl")).persist()   # feeds the output and the next state
         n0, g0, l0 = (F.coalesce(F.col(c), F.lit(z)) for c, z in [("s_n", 0), ("s_gap", 0.0), ("s_late", 0)])
         k = F.col("_k") + n0
         out = b.select(*COURSE, "fill_dt", "l_orderkey", "l_linenumber", k.cast("int").alias("fill_number"),
@@ -352,6 +365,7 @@ def history_batches(state_path: str, out_path: str, grace: int = 14) -> Callable
             (F.sum("was_late") + F.coalesce(F.max("s_late"), F.lit(0))).cast("long").alias("s_late"))
         new = state.join(touched.select(*COURSE), COURSE, "left_anti").unionByName(touched)
         new.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
+        b.unpersist()
     return handle
 
 
@@ -388,7 +402,7 @@ def labels_batches(state_path: str, out_path: str, grace: int = 14, delay_days:
         allr = pend_hit.unionByName(rows.withColumn("_old", F.lit(1)))
         w = Window.partitionBy(*COURSE).orderBy("_old", "fill_dt", *TIE)
         allr = allr.withColumn("_next", F.lead("fill_dt").over(w))
-        allr = allr.withColumn("runout_dt", F.date_add("fill_dt", F.col("supply_days")))
+        allr = allr.withColumn("runout_dt", F.date_add("fill_dt", F.col("supply_days"))).persist()
         done = allr.filter(F.col("_next").isNotNull()).select(
             *COURSE, "fill_dt", "l_orderkey", "l_linenumber", "runout_dt",
             (F.datediff("_next", "runout_dt") <= grace).cast("int").alias("came_back"),
@@ -408,4 +422,5 @@ def labels_batches(state_path: str, out_path: str, grace: int = 14, delay_days:
          .partitionBy("batch_id").parquet(out_path))
         pending.filter(~due).withColumn("watermark", F.lit(wm)).write.mode("overwrite") \
             .parquet(f"{state_path}/v={batch_id}")
+        allr.unpersist()
     return handle
