@@ -56,7 +56,7 @@ def _auc_of(scored):
 @register("one_hot", f"""{WITH_HIST}, drugs AS ({DRUGS_SQL}),
 tt AS (SELECT d.drug_name, h.runout_dt FROM hist h JOIN drugs d ON h.drug_id = d.drug_id WHERE {CENSOR_SQL}),
 cats AS (SELECT list_sort(list(DISTINCT drug_name)) AS c FROM tt WHERE runout_dt < DATE '{SPLIT}')
-SELECT DISTINCT t.drug_name, list_transform(cats.c, lambda x: CASE WHEN x = t.drug_name THEN 1.0 ELSE 0.0 END) AS drug_name_onehot
+SELECT DISTINCT t.drug_name, list_transform(cats.c, lambda x: CASE WHEN x = t.drug_name THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS drug_name_onehot
 FROM tt t, cats WHERE t.runout_dt >= DATE '{SPLIT}'""")
 def one_hot(spark, sf):
     """Test-period drug names encoded with the training categories."""

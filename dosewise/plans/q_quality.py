@@ -298,7 +298,7 @@ def risk_bands(spark, sf):
 ranked AS (SELECT patient_id, round(pct_early, 6) AS score,
                   ROW_NUMBER() OVER (ORDER BY round(pct_early, 6) DESC, patient_id) AS rn FROM prof),
 n AS (SELECT COUNT(*) AS n FROM prof)
-SELECT b.budget, r.patient_id, r.score
+SELECT CAST(b.budget AS DOUBLE) AS budget, r.patient_id, r.score
 FROM (SELECT unnest([0.01, 0.02, 0.03, 0.05, 0.08]) AS budget) b, ranked r, n
 WHERE r.rn <= floor(n.n * CAST(b.budget AS DOUBLE))""")
 def budget_topk(spark, sf):
@@ -312,7 +312,7 @@ def budget_topk(spark, sf):
 known AS (SELECT patient_id FROM c GROUP BY patient_id HAVING COUNT(*) >= 8),
 ranked AS (SELECT patient_id, ROW_NUMBER() OVER (ORDER BY round(pct_early, 6) DESC, patient_id) AS rn FROM prof),
 n AS (SELECT COUNT(*) AS n FROM prof),
-fl AS (SELECT b.budget, r.patient_id FROM (SELECT unnest([0.01, 0.02, 0.03, 0.05, 0.08]) AS budget) b, ranked r, n
+fl AS (SELECT CAST(b.budget AS DOUBLE) AS budget, r.patient_id FROM (SELECT unnest([0.01, 0.02, 0.03, 0.05, 0.08]) AS budget) b, ranked r, n
        WHERE r.rn <= floor(n.n * CAST(b.budget AS DOUBLE)))
 SELECT budget, COUNT(*) AS flagged, COUNT(k.patient_id) AS caught,
        CAST(SUM(CASE WHEN k.patient_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS false_alarms
@@ -327,7 +327,7 @@ def review_budget(spark, sf):
 
 @register("review_quantile", f"""{CONTROLLED_PROFILE_SQL},
 known AS (SELECT patient_id FROM c GROUP BY patient_id HAVING COUNT(*) >= 8),
-cut AS ({' UNION ALL '.join(f"SELECT {b} AS budget, quantile_cont(avg_gap, {b}) AS cut FROM prof" for b in M.BUDGETS)}),
+cut AS ({' UNION ALL '.join(f"SELECT CAST({b} AS DOUBLE) AS budget, quantile_cont(avg_gap, {b}) AS cut FROM prof" for b in M.BUDGETS)}),
 fl AS (SELECT cut.budget, p.patient_id FROM cut JOIN prof p ON p.avg_gap < cut.cut)
 SELECT budget, COUNT(*) AS flagged, COUNT(k.patient_id) AS caught,
        CAST(SUM(CASE WHEN k.patient_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS false_alarms
