@@ -7,7 +7,8 @@ each (patient, item) row carries the patient's basket as a 0/1 vector over
 the item index and the vectors are summed per item with ``Summarizer.sum``
 (partial aggregation: every task ships at most one k-vector per item).  The
 item index comes from the distinct items, whose count ``k`` is checked
-against ``max_items`` before any vector is built.  The result has one row per
+against ``max_items`` (default 4,096: a basket vector is then at most 32 KiB)
+before any vector is built.  The result has one row per
 ordered item pair, zero counts included, so no cross join is needed either.
 """
 
@@ -36,7 +37,7 @@ def on_item(pairs: DataFrame, item: str = "drug_id") -> DataFrame:
     return pairs.groupBy(item).agg(F.count(F.lit(1)).alias("on_item"))
 
 
-def item_index(pairs: DataFrame, item: str = "drug_id", max_items: int = 20_000) -> DataFrame:
+def item_index(pairs: DataFrame, item: str = "drug_id", max_items: int = 4_096) -> DataFrame:
     """Dense 0-based index of the distinct items in ascending order.  The
     item list is small by construction (checked), so the single ordered
     window over it is cheap."""
@@ -47,7 +48,7 @@ def item_index(pairs: DataFrame, item: str = "drug_id", max_items: int = 20_000)
 
 
 def pair_counts(pairs: DataFrame, key: str = "patient_id", item: str = "drug_id",
-                max_items: int = 20_000) -> DataFrame:
+                max_items: int = 4_096) -> DataFrame:
     """Patients holding both a and b for every ordered pair a != b
     of items, zero counts kept.  Columns: a, b, together."""
     idx = item_index(pairs, item, max_items)
@@ -68,7 +69,7 @@ def pair_counts(pairs: DataFrame, key: str = "patient_id", item: str = "drug_id"
 
 
 def lift_table(pairs: DataFrame, key: str = "patient_id", item: str = "drug_id",
-               max_items: int = 20_000) -> DataFrame:
+               max_items: int = 4_096) -> DataFrame:
     """For every ordered pair: patients on both, share of a-patients
     also on b, b's baseline share of all patients, and lift = share / baseline
     (unrounded; round at presentation)."""

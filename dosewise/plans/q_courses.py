@@ -10,13 +10,16 @@ from dosewise.plans.registry import (CENSOR_SQL, DRUGS_SQL, HISTORY_SQL, ORDER_S
 from dosewise.sources import adapter as A
 
 R6 = 6  # rounding of means on both sides of the oracle
+# Courses with more pickups than this are cut into monthly blocks (skew guard
+# of the flagship; inactive unless some course is that large).
+HOT_COURSE_ROWS = 1_000_000
 
 
 def _round(df, cols, n=R6):
     return df.select(*[F.round(c, n).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def training_table(spark, sf, split_hot=None):
+def training_table(spark, sf, split_hot=HOT_COURSE_ROWS):
     fills = A.fills(spark, sf)
     t = C.training_table(fills, A.patients(spark, sf), A.drugs(spark, sf),
                          last=C.last_day(A.table(spark, sf, "lineitem").select(
