@@ -1,0 +1,2 @@
+"""DataFrame -> DataFrame operators: courses, relational, demand, affinity,
+profiles, distributed order statistics, metrics and drift."""

@@ -171,6 +171,12 @@ def top(df: DataFrame, col: str, n: int, tie: list[str] | None = None, asc: bool
     return df.orderBy(o, *[F.col(t).asc() for t in (tie or [])]).limit(n)
 
 
+def order(df: DataFrame, keys: list) -> DataFrame:
+    """O1: multi-key sort for output (range-partitioned; windows and
+    aggregates never need it)."""
+    return df.orderBy(*keys)
+
+
 def head(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     """O3: the first n rows in key order (a bounded top-n, merged per task)."""
     return df.orderBy(*keys).limit(n)

@@ -154,9 +154,9 @@ def cv_scores(spark, sf):
 
 @register("grid_search")
 def grid_search(spark, sf):
-    """2 x 3 x 2 grid scored by 5 forward folds, leaderboard best
+    """2 x 3 x 2 grid scored by 5 forward folds, leaderboard best
     first; the best setting is refit on the whole training period and
-    compared with the guessed one on the test period (E19)."""
+    compared with the guessed one on the test period."""
     train, test = _split(spark, sf)
     idx = TU.ts_index(train, ["runout_dt", "patient_age", "fill_number", "prev_gap", "avg_gap", "pct_late",
                               "drug_name", "came_back"])
@@ -324,7 +324,7 @@ def isolation_scores(spark, sf):
 
 @register("isolation_budget")
 def isolation_budget(spark, sf):
-    """E12 (forest): flagged, caught and false alarms for budgets 1-8 %."""
+    """Forest rule - flagged, caught and false alarms for budgets 1-8 %."""
     from dosewise.operators.metrics import BUDGETS
     z = _controlled(spark, sf).cache()
     feats = [c + "_z" for c in CONTROLLED_COLS]

@@ -21,7 +21,7 @@ from dosewise.operators import stats as S
 from dosewise.plans.q_courses import (CENSOR_SQL, ORDER_SQL, WITH_FILLS, WITH_HIST, _fills,
                                       _lineitem_last, _round, training_table)
 from dosewise.plans.q_explore import CONTROLLED_SQL
-from dosewise.plans.registry import DRUGS_SQL, PATIENTS_SQL, register
+from dosewise.plans.registry import PATIENTS_SQL, register
 from dosewise.sources import adapter as A
 
 SPLIT = A.SPLIT_DATE
@@ -333,8 +333,8 @@ SELECT budget, COUNT(*) AS flagged, COUNT(k.patient_id) AS caught,
        CAST(SUM(CASE WHEN k.patient_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS false_alarms
 FROM fl LEFT JOIN known k ON fl.patient_id = k.patient_id GROUP BY budget""")
 def review_quantile(spark, sf):
-    """E12 (quantile rule, T10): flag scores strictly below the budget
-    quantile (lower = odder), here the mean gap."""
+    """The quantile rule (trap T10) - flag scores strictly below the
+    budget quantile (lower = odder), here the mean gap."""
     s = _cprof(spark, sf).select("patient_id", F.col("avg_gap").alias("score"))
     c = PR.controlled_fills(_fills(spark, sf), A.drugs(spark, sf))
     return M.review_budget(M.quantile_flags(s, "patient_id"), R.frequent(c, "patient_id", 8), "patient_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dosewise.plans.q_courses import CENSOR_SQL, IDS, WITH_FILLS, WITH_HIST, _round
+from dosewise.plans.q_courses import CENSOR_SQL, WITH_FILLS, WITH_HIST, _round
 from dosewise.plans.registry import register
 from dosewise.streaming import jobs as J
 

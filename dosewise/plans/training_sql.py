@@ -62,5 +62,7 @@ WHERE runout_dt <= date_sub((SELECT MAX(CAST(l_shipdate AS DATE)) FROM dw_lineit
 
 def training_table_sql(spark: SparkSession, fills: DataFrame, patients: DataFrame,
                        drugs: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Register the inputs as views and run the
+    statement (named windows, calendar age, ROUND, CASE and COALESCE)."""
     return run_sql(spark, TRAINING_SQL, {"dw_fills": fills, "dw_patients": patients,
                                          "dw_drugs": drugs, "dw_lineitem": lineitem})

@@ -3,7 +3,6 @@ isolation forest flags the planted outliers (M10), tracking round trip."""
 
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 
 def _table(spark):
