@@ -13,7 +13,17 @@ from pyspark.sql import functions as F
 
 from dosewise.functions.scalars import (age_365, arr_last, arr_mean, arr_share_over, arr_std,
                                         clip_low, flag, ratio, runout)
-from dosewise.operators.courses import KEYS, course_window, late_flag
+from dosewise.operators.courses import KEYS, course_history, course_window, late_flag
+
+
+def _with_gap(df: DataFrame, split_hot: int | None) -> DataFrame:
+    """Days since the previous pickup of the course.  With ``split_hot`` the
+    gap comes from the hot-course block split of ``course_history`` (a
+    course with more pickups is windowed in monthly blocks)."""
+    if not split_hot:
+        return df.withColumn("gap", F.datediff("fill_dt", F.lag("fill_dt").over(course_window())))
+    h = course_history(df, split_hot=split_hot)
+    return h.select(*df.columns, F.when(F.col("fill_number") > 1, F.col("prev_gap").cast("int")).alias("gap"))
 
 
 def profile(df: DataFrame, key: str, specs: dict[str, Column]) -> DataFrame:
@@ -22,12 +32,12 @@ def profile(df: DataFrame, key: str, specs: dict[str, Column]) -> DataFrame:
     return df.groupBy(key).agg(*[c.alias(n) for n, c in specs.items()]).dropna("any")
 
 
-def patient_profile(fills: DataFrame, patients: DataFrame, as_of: Column, grace: int = 14) -> DataFrame:
+def patient_profile(fills: DataFrame, patients: DataFrame, as_of: Column, grace: int = 14,
+                    split_hot: int | None = None) -> DataFrame:
     """Share of late pickups (first pickups count as not late), mean
     gap/supply ratio, pickups, distinct drugs, mean copay and age at
     ``as_of`` (days / 365)."""
-    w = course_window()
-    g = fills.withColumn("gap", F.datediff("fill_dt", F.lag("fill_dt").over(w)))
+    g = _with_gap(fills, split_hot)
     g = g.withColumn("late_ratio", ratio("gap", "supply_days"))
     g = g.withColumn("late", late_flag("gap", "supply_days", grace))
     p = profile(g, "patient_id", {
@@ -46,13 +56,12 @@ def controlled_fills(fills: DataFrame, drugs: DataFrame) -> DataFrame:
     return fills.join(drugs.filter(F.col("drug_class") > 0).select("drug_id"), "drug_id", "left_semi")
 
 
-def controlled_profile(fills: DataFrame, drugs: DataFrame, frac: float = 0.75) -> DataFrame:
+def controlled_profile(fills: DataFrame, drugs: DataFrame, frac: float = 0.75,
+                       split_hot: int | None = None) -> DataFrame:
     """For patients on a controlled drug: pickups, mean gap, shortest gap,
     share of early pickups (first counts as not early), mean days of supply
     left at pickup (first pickup skipped), total quantity."""
-    c = controlled_fills(fills, drugs)
-    w = course_window()
-    c = c.withColumn("gap", F.datediff("fill_dt", F.lag("fill_dt").over(w)))
+    c = _with_gap(controlled_fills(fills, drugs), split_hot)
     c = c.withColumn("early_days", clip_low(F.col("supply_days") - F.col("gap"), 0))
     c = c.withColumn("is_early", flag(F.col("gap") < F.col("supply_days") * F.lit(frac)))
     return profile(c, "patient_id", {

@@ -113,3 +113,16 @@ def test_h19_two_age_rules(spark):
     r = df.select(age_calendar("d", "b").alias("cal"), age_365("d", "b").alias("d365")).collect()
     assert (r[0]["cal"], r[0]["d365"]) == (23, 24)
     assert r[1]["cal"] == 22
+
+
+def test_profiles_with_hot_split_equal_plain(spark):
+    from dosewise.operators import profiles as PR
+    rows = H1A + H1B + [(3, "PROMO", "2024-01-05", 30), (3, "PROMO", "2024-01-20", 30), (3, "PROMO", "2024-03-01", 30),
+                        (3, "PROMO", "2024-04-15", 30), (4, "PROMO", "2024-02-02", 30)]
+    f = make_fills(spark, rows)
+    pats = spark.createDataFrame([(p, D("1980-01-01")) for p in range(1, 5)], "patient_id long, birth_dt date")
+    drugs = spark.createDataFrame([("PROMO", 5), ("1", 0)], "drug_id string, drug_class int")
+    last = F.lit("2024-12-31").cast("date")
+    for a, b in [(PR.patient_profile(f, pats, last), PR.patient_profile(f, pats, last, split_hot=2)),
+                 (PR.controlled_profile(f, drugs), PR.controlled_profile(f, drugs, split_hot=2))]:
+        assert sorted(a.collect()) == sorted(b.collect())
