@@ -33,16 +33,26 @@ def profile(df: DataFrame, key: str, specs: dict[str, Column]) -> DataFrame:
 
 
 def patient_profile(fills: DataFrame, patients: DataFrame, as_of: Column, grace: int = 14,
-                    split_hot: int | None = None) -> DataFrame:
+                    split_hot: int | None = None, ratio_scale: int | None = None) -> DataFrame:
     """Share of late pickups (first pickups count as not late), mean
     gap/supply ratio, pickups, distinct drugs, mean copay and age at
-    ``as_of`` (days / 365)."""
+    ``as_of`` (days / 365).
+
+    A floating-point mean depends on summation order (partition layout).
+    With ``ratio_scale`` (e.g. 10**9) each ratio is fixed to 1/ratio_scale by
+    integer division and the ratios are summed as integers, so the mean is
+    the same double on every run and engine."""
     g = _with_gap(fills, split_hot)
     g = g.withColumn("late_ratio", ratio("gap", "supply_days"))
     g = g.withColumn("late", late_flag("gap", "supply_days", grace))
+    if ratio_scale:
+        fixed = F.expr(f"CAST(gap AS BIGINT) * {int(ratio_scale)} div supply_days")
+        mean_ratio = F.sum(fixed).cast("double") / F.count("gap") / F.lit(float(ratio_scale))
+    else:
+        mean_ratio = F.avg("late_ratio")
     p = profile(g, "patient_id", {
         "pct_late": F.avg("late"),
-        "avg_late_ratio": F.avg("late_ratio"),
+        "avg_late_ratio": mean_ratio,
         "n_fills": F.count(F.lit(1)),
         "n_drugs": F.countDistinct("drug_id"),
         "avg_copay": F.avg("copay"),

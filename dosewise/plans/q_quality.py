@@ -34,7 +34,7 @@ CW = f"PARTITION BY patient_id, drug_id ORDER BY {ORDER_SQL}"
 g AS (SELECT *, CAST(fill_dt - LAG(fill_dt) OVER ({CW}) AS INTEGER) AS gap FROM fills),
 p AS (SELECT patient_id,
         AVG(CASE WHEN gap > supply_days + 14 THEN 1 ELSE 0 END) AS pct_late,
-        AVG(CAST(gap AS DOUBLE) / supply_days) AS avg_late_ratio,
+        CAST(SUM((CAST(gap AS BIGINT) * 1000000000) // supply_days) AS DOUBLE) / COUNT(gap) / 1e9 AS avg_late_ratio,
         COUNT(*) AS n_fills, COUNT(DISTINCT drug_id) AS n_drugs, AVG(copay) AS avg_copay
       FROM g GROUP BY patient_id)
 SELECT p.patient_id, round(p.pct_late, 6) AS pct_late, round(p.avg_late_ratio, 4) AS avg_late_ratio,
@@ -44,7 +44,8 @@ FROM p LEFT JOIN patients pt ON p.patient_id = pt.patient_id
 WHERE p.avg_late_ratio IS NOT NULL""")
 def patient_profile(spark, sf):
     """Behaviour profile per patient, age at the data's last day."""
-    p = PR.patient_profile(_fills(spark, sf), A.patients(spark, sf), _lineitem_last(spark, sf))
+    p = PR.patient_profile(_fills(spark, sf), A.patients(spark, sf), _lineitem_last(spark, sf),
+                           ratio_scale=10**9)
     p = _round(_round(p, ["pct_late"]), ["avg_late_ratio"], 4)
     return p.withColumn("avg_copay", F.round("avg_copay", 2))
 
