@@ -43,7 +43,7 @@ def _scratch(spark, name):
 
 
 def _split(spark, sf):
-    t = P.numeric_view(training_table(spark, sf))
+    t = P.numeric_view(training_table(spark, sf, split_hot=None))
     return R.temporal_split(t, "runout_dt", SPLIT)
 
 
@@ -60,7 +60,7 @@ SELECT DISTINCT t.drug_name, list_transform(cats.c, lambda x: CASE WHEN x = t.dr
 FROM tt t, cats WHERE t.runout_dt >= DATE '{SPLIT}'""")
 def one_hot(spark, sf):
     """Test-period drug names encoded with the training categories."""
-    t = training_table(spark, sf)
+    t = training_table(spark, sf, split_hot=None)
     train, test = R.temporal_split(t, "runout_dt", SPLIT)
     return P.one_hot(train, test.select("drug_name").distinct())
 

@@ -144,13 +144,13 @@ psi AS (SELECT c.feature, COALESCE(SUM((l.share - b.share) * ln(l.share / b.shar
 
 
 def _base_live(spark, sf):
-    t = training_table(spark, sf)
+    t = training_table(spark, sf, split_hot=None)
     return R.temporal_split(t, "runout_dt", SPLIT)
 
 
 def _sided(spark, sf):
     """The training table with a ``live`` flag (run-out on/after the split)."""
-    t = training_table(spark, sf)
+    t = training_table(spark, sf, split_hot=None)
     return t.withColumn("live", F.col("runout_dt") >= F.lit(SPLIT).cast("date"))
 
 

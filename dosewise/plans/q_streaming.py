@@ -93,7 +93,7 @@ def _train_test_files(spark, sf, parts=4):
     from dosewise.ml.prep import numeric_view
     from dosewise.plans.q_courses import training_table
     from dosewise.sources.adapter import SPLIT_DATE
-    t = numeric_view(training_table(spark, sf))
+    t = numeric_view(training_table(spark, sf, split_hot=None))
     train = t.filter(F.col("runout_dt") < F.lit(SPLIT_DATE).cast("date"))
     path = J.scratch(spark, "requests")
     t.filter(F.col("runout_dt") >= F.lit(SPLIT_DATE).cast("date")).repartition(parts).write.parquet(path)
