@@ -131,18 +131,24 @@ def _course_history_split(df: DataFrame, grace: int, hot_rows: int) -> DataFrame
     1. Count pickups per course (partial aggregation: only one row per course
        and task crosses the shuffle).  Courses over ``hot_rows`` are hot; there
        are at most total_rows / hot_rows of them, a proven bound, so the hot
-       key list is broadcast.
-    2. Hot courses get a block id (the month of the pickup); others block 0.
-       The window runs per (course, block): a hot course is spread over many
-       tasks.
-    3. A per-block summary (count, first/last day, sums of gaps and late
-       flags inside the block) is built for hot courses only, windowed by
-       course over the block order to get prefix offsets and neighbour days,
-       and joined back on (course, block).
+       key list is broadcast and every row is tagged by a broadcast join.
+    2. Cold courses take the plain one-window pass.
+    3. Hot courses (only their rows) take ``_blocked_history``: the window
+       runs per (course, month block), so a hot course is spread over many
+       tasks, and a per-block summary (count, first/last day, in-block sums)
+       windowed by course over the block order gives the prefix offsets and
+       neighbour days that stitch the blocks together.
     """
     counts = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
     hot = counts.select(*KEYS, F.lit(True).alias("_hot"))
-    d = df.join(F.broadcast(hot), KEYS, "left")
+    tagged = df.join(F.broadcast(hot), KEYS, "left")
+    cold = course_history(tagged.filter(F.col("_hot").isNull()).drop("_hot"), grace)
+    warm = _blocked_history(tagged.filter(F.col("_hot")), df.columns, grace)
+    return cold.unionByName(warm)
+
+
+def _blocked_history(d: DataFrame, cols: list[str], grace: int) -> DataFrame:
+    """Course history of hot courses, windowed per (course, month block)."""
     d = d.withColumn("_blk", F.when(F.col("_hot"), F.date_trunc("month", F.col("fill_dt")).cast("date"))
                      .otherwise(F.lit(None).cast("date")))
     bkeys = KEYS + ["_blk"]
@@ -200,7 +206,7 @@ def _course_history_split(df: DataFrame, grace: int, hot_rows: int) -> DataFrame
     rn = F.when(hotc, F.col("_rn") + F.col("_off_n")).otherwise(F.col("_rn"))
     nxt = F.when(hotc & F.col("_lead").isNull(), F.col("_next_first")).otherwise(F.col("_lead"))
     out = j.select(
-        *df.columns,
+        *cols,
         nxt.alias("next_fill_dt"),
         prev_gap.alias("prev_gap"),
         rn.cast("int").alias("fill_number"),
@@ -211,7 +217,7 @@ def _course_history_split(df: DataFrame, grace: int, hot_rows: int) -> DataFrame
     out = out.withColumn("came_back", flag(F.col("days_late") <= F.lit(grace)))
     out = out.withColumn("avg_gap", F.col("_s_pg") / F.col("fill_number"))
     out = out.withColumn("pct_late", F.col("_s_wl") / F.col("fill_number"))
-    return out.select(*df.columns, "next_fill_dt", "prev_gap", "fill_number", "runout_dt",
+    return out.select(*cols, "next_fill_dt", "prev_gap", "fill_number", "runout_dt",
                       "days_late", "came_back", "was_late", "avg_gap", "pct_late")
 
 
