@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dosewise.operators import affinity as AF
-from dosewise.plans.q_courses import _fills, _round
+from dosewise.plans.q_courses import _round
 from dosewise.plans.registry import fills_sql, register
 from dosewise.sources import adapter as A
 
@@ -37,9 +37,8 @@ lift AS (SELECT pc.a, pc.b, pc.together, pc.together / oa.on_item AS share,
 
 
 def _pairs(spark, sf):
-    f = _fills(spark, sf, "p_brand")
-    f = f.filter(F.col("fill_dt") >= F.lit(A.SPLIT_DATE).cast("date"))
-    return AF.patient_items(f)
+    # the day bound is applied to the raw ship timestamp: pushed to the scan
+    return AF.patient_items(A.fills(spark, sf, "p_brand", since=A.SPLIT_DATE))
 
 
 def _lift(spark, sf):

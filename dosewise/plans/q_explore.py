@@ -188,10 +188,11 @@ SELECT drug_id, COUNT(*) AS n FROM (
   SELECT drug_id FROM fills WHERE fill_dt < DATE '{A.SPLIT_DATE}'
   UNION ALL SELECT drug_id FROM fills WHERE fill_dt >= DATE '{A.SPLIT_DATE}') GROUP BY drug_id""")
 def union_fills(spark, sf):
-    """Union all of the two halves of the pickups, counted per drug."""
-    f = _fills(spark, sf).select("drug_id", "fill_dt")
-    a, b = R.temporal_split(f, "fill_dt", A.SPLIT_DATE)
-    return R.count_by(R.union(a.select("drug_id"), b.select("drug_id")), ["drug_id"])
+    """Union all of the two halves of the pickups, counted per drug (each
+    half's day bound is pushed to its scan)."""
+    a = A.fills(spark, sf, until=A.SPLIT_DATE).select("drug_id")
+    b = A.fills(spark, sf, since=A.SPLIT_DATE).select("drug_id")
+    return R.count_by(R.union(a, b), ["drug_id"])
 
 
 KNOWN_SQL = "known AS (SELECT patient_id FROM c GROUP BY patient_id HAVING COUNT(*) >= 8)"

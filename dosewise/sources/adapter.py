@@ -7,7 +7,7 @@ fills      one row per pickup (a line item): patient = ordering customer,
 patients   one row per customer, with a derived birth date and payer.
 drugs      one row per drug, derived from the distinct part types.
 
-The same mapping is written as SQL in ``dosewise.plans.oracles`` so the DuckDB
+The same mapping is written as SQL in ``dosewise.plans.registry`` so the DuckDB
 oracle sees exactly the same input.
 """
 
@@ -36,7 +36,8 @@ def supply_days(drug: Column) -> Column:
     return F.when(drug.isin(LONG_SUPPLY_TYPES), F.lit(90)).otherwise(F.lit(30))
 
 
-def fills(spark: SparkSession, sf_dir: str, item: str = "p_type") -> DataFrame:
+def fills(spark: SparkSession, sf_dir: str, item: str = "p_type", since: str | None = None,
+          until: str | None = None) -> DataFrame:
     """Pickup fact table.
 
     ``item`` picks the part attribute that plays the drug: ``p_type`` (6
@@ -46,8 +47,18 @@ def fills(spark: SparkSession, sf_dir: str, item: str = "p_type") -> DataFrame:
     key; part is joined on the part key.  Both dimension joins are left to
     the planner: it broadcasts a side only when its measured size is under
     the broadcast threshold and shuffles otherwise.
+
+    ``since`` / ``until`` (ISO days, until exclusive) bound the pickup day on
+    the raw ship timestamp before any join, so they reach the Parquet scan as
+    pushed filters and skip row groups.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem")
+    ship_t = li.schema["l_shipdate"].dataType.simpleString()
+    if since:
+        li = li.filter(F.col("l_shipdate") >= F.lit(since).cast(ship_t))
+    if until:
+        li = li.filter(F.col("l_shipdate") < F.lit(until).cast(ship_t))
+    li = li.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
     od = table(spark, sf_dir, "orders").select(

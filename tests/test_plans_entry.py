@@ -77,3 +77,11 @@ def test_oracle_matches_on_small_tables(spark):
         cols = sorted(a.column_names)
         assert cols == sorted(b.column_names), k
         assert rows_of(a.to_pylist(), cols) == rows_of(b.to_pylist(), cols), k
+
+
+def test_pickup_day_bounds_reach_the_scan(spark):
+    from dosewise.plans import load_all
+    q, _ = load_all()
+    plan = _plan(q["patient_drug"](spark, SF0001))
+    scans = [l for l in plan.splitlines() if "lineitem" in l and "PushedFilters" in l]
+    assert scans and "GreaterThanOrEqual(l_shipdate" in scans[0]
