@@ -53,3 +53,46 @@ def test_course_history_matches_brute_force(spark, picks, rnd):
             e = want[r["l_orderkey"]]
             assert (r["fill_number"], r["prev_gap"], r["was_late"], r["came_back"]) == (e[0], e[1], e[2], e[5])
             assert r["avg_gap"] == pytest.approx(e[3]) and r["pct_late"] == pytest.approx(e[4])
+
+
+basket_rows = st.lists(st.tuples(st.integers(1, 12), st.sampled_from(list("ABCDEF"))), min_size=2, max_size=40)
+
+
+def brute_affinity(pairs, min_lift, min_share):
+    baskets = {}
+    for p, i in set(pairs):
+        baskets.setdefault(p, set()).add(i)
+    items = sorted({i for b in baskets.values() for i in b})
+    n = len(baskets)
+    on = {i: sum(i in b for b in baskets.values()) for i in items}
+    both = {(a, b): sum(a in s and b in s for s in baskets.values()) for a in items for b in items if a != b}
+    lift = {(a, b): (both[a, b] / on[a]) / (on[b] / n) for (a, b) in both}
+    recs = {}
+    for p, held in baskets.items():
+        for other in items:
+            if other in held:
+                continue
+            best, share, src = 0.0, 0.0, None
+            for mine in sorted(held):          # ties: the lowest source item wins
+                if lift[mine, other] > best:
+                    best, share, src = lift[mine, other], both[mine, other] / on[mine], mine
+            if best >= min_lift and share >= min_share:
+                recs[(p, other)] = (src, share, best)
+    return both, lift, recs
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(basket_rows, st.sampled_from([1.0, 1.3, 1.5]))
+def test_affinity_matches_brute_force(spark, rows, min_lift):
+    from dosewise.operators import affinity as AF
+    df = spark.createDataFrame(sorted(set(rows)), "patient_id long, drug_id string")
+    both, lift, recs = brute_affinity(rows, min_lift, 0.2)
+    t = {(r["a"], r["b"]): r for r in AF.lift_table(df).collect()}
+    assert set(t) == set(both)
+    for k, r in t.items():
+        assert r["together"] == both[k] and r["lift"] == pytest.approx(lift[k])
+    got = {(r["patient_id"], r["suggest"]): (r["because_of"], r["share"], r["lift"])
+           for r in AF.recommend(df, AF.lift_table(df), min_lift, 0.2).collect()}
+    assert set(got) == set(recs)
+    for k, (src, share, lf) in got.items():
+        assert src == recs[k][0] and share == pytest.approx(recs[k][1]) and lf == pytest.approx(recs[k][2])
