@@ -25,11 +25,18 @@ def unpivot(df: DataFrame, cols: list[str]) -> DataFrame:
     return unpivot_with(df, cols, [])
 
 
+def cut_probs(bins: int = 10) -> list[float]:
+    """The probabilities the reference uses: np.linspace(0, 1, bins + 1),
+    with its floating artefacts (0.30000000000000004, 0.6000000000000001...)."""
+    import numpy as np
+    return [float(x) for x in np.linspace(0, 1, bins + 1)]
+
+
 def psi_cuts(base: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
-    """Per feature the unique decile cut points of the base (linear
-    interpolation) and the interior cuts that separate buckets."""
-    probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(unpivot(base, cols), ["feature"], "value", probs)
+    """Per feature the unique decile cut points of the base (numpy's
+    linear method on np.linspace probabilities) and the interior cuts that
+    separate buckets."""
+    q = exact_quantiles(unpivot(base, cols), ["feature"], "value", cut_probs(bins), method="numpy")
     u = F.array_sort(F.array_distinct("quantiles"))
     return q.select("feature", u.alias("cuts"),
                     F.when(F.size(u) >= 2, F.slice(u, 2, F.size(u) - 2))
@@ -77,8 +84,8 @@ def psi_sides(df: DataFrame, live: str, cols: list[str] = NUMERIC, bins: int = 1
     from dosewise.session import cut_lineage
     vc = cut_lineage(unpivot_with(df, cols, [live]).filter(F.col("value").isNotNull())
                      .groupBy(live, "feature", "value").agg(F.count(F.lit(1)).alias("n")))
-    probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(vc.filter(~F.col(live)), ["feature"], "value", probs, weight="n")
+    q = exact_quantiles(vc.filter(~F.col(live)), ["feature"], "value", cut_probs(bins), weight="n",
+                        method="numpy")
     u = F.array_sort(F.array_distinct("quantiles"))
     cuts = q.select("feature", F.when(F.size(u) >= 2, F.slice(u, 2, F.size(u) - 2))
                     .otherwise(F.array().cast("array<double>")).alias("interior"),

@@ -22,7 +22,7 @@ from dosewise.session import cut_lineage
 
 
 def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float],
-                    n_ranges: int = 64, weight: str | None = None) -> DataFrame:
+                    n_ranges: int = 64, weight: str | None = None, method: str = "linear") -> DataFrame:
     """Linear-interpolation quantiles (numpy 'linear', SQL quantile_cont) per
     group, exact.  Returns group columns + ``quantiles`` (array in the order
     of ``probs``).  NULL values are ignored.
@@ -34,7 +34,14 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[flo
     counts of the earlier ranges (a table of groups x ranges rows).
 
     ``weight`` names a column of row multiplicities (the input is already a
-    value-count table)."""
+    value-count table).
+
+    ``method="numpy"`` reproduces numpy's linear method operation for
+    operation: virtual index (n - 1) * q with clipped neighbours, and
+    interpolation from the upper value when the fraction is at least 0.5.  With probabilities from
+    ``np.linspace`` (0.6000000000000001 ...) a cut can land a hair above a
+    data value, which moves that value's bucket; the reference's PSI depends
+    on it."""
     cnt = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
     vc = (df.filter(F.col(value).isNotNull())
           .groupBy(*group, F.col(value).cast("double").alias("_v")).agg(cnt.alias("_c")))
@@ -53,9 +60,15 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[flo
     vc = vc.select(*group, "_v", (F.col("_cum") - F.col("_c")).alias("_start"), (F.col("_cum") - 1).alias("_end"))
     n = vc.groupBy(*group).agg((F.max("_end") + 1).alias("_n"))
     pr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("q")) for i, p in enumerate(probs)])
-    pos = n.select(*group, "_n", F.explode(pr).alias("_p")).select(
-        *group, F.col("_p.qi").alias("qi"), ((F.col("_n") - 1) * F.col("_p.q")).alias("_h"))
-    pos = pos.select("*", F.floor("_h").alias("_lo"), F.ceil("_h").alias("_hi"))
+    pos = n.select(*group, "_n", F.explode(pr).alias("_p"))
+    if method == "numpy":
+        q = F.col("_p.q")
+        pos = pos.select(*group, "_n", F.col("_p.qi").alias("qi"), ((F.col("_n") - 1) * q).alias("_h"))
+        lo = F.least(F.greatest(F.floor("_h"), F.lit(0)), F.col("_n") - 1)
+        pos = pos.select("*", lo.alias("_lo")).withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n") - 1))
+    else:
+        pos = pos.select(*group, F.col("_p.qi").alias("qi"), ((F.col("_n") - 1) * F.col("_p.q")).alias("_h"))
+        pos = pos.select("*", F.floor("_h").alias("_lo"), F.ceil("_h").alias("_hi"))
     # the positions table is tiny (groups x probabilities); each value row
     # meets only its own group's positions
     lo = vc.join(F.broadcast(pos), group).filter((F.col("_start") <= F.col("_lo")) & (F.col("_lo") <= F.col("_end")))
@@ -63,7 +76,13 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[flo
     hi = vc.join(F.broadcast(pos), group).filter((F.col("_start") <= F.col("_hi")) & (F.col("_hi") <= F.col("_end")))
     hi = hi.select(*group, "qi", F.col("_v").alias("_vhi"))
     q = lo.join(hi, group + ["qi"])
-    q = q.select(*group, "qi", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_h") - F.col("_lo"))).alias("_q"))
+    g = F.col("_h") - F.col("_lo")
+    d = F.col("_vhi") - F.col("_vlo")
+    if method == "numpy":
+        val = F.when(g >= 0.5, F.col("_vhi") - d * (F.lit(1.0) - g)).otherwise(F.col("_vlo") + d * g)
+    else:
+        val = F.col("_vlo") + d * g
+    q = q.select(*group, "qi", val.alias("_q"))
     # one row per group: array ordered by probability index (bounded by len(probs))
     return q.groupBy(*group).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("qi", "_q"))), lambda s: s["_q"]).alias("quantiles"))

@@ -125,8 +125,19 @@ tt AS (SELECT CAST(trunc((h.fill_dt - p.birth_dt) / 365) AS INTEGER) AS patient_
               h.prev_gap, h.avg_gap, h.was_late, h.pct_late, h.runout_dt, h.came_back
        FROM hist h JOIN patients p ON h.patient_id = p.patient_id WHERE {CENSOR_SQL}),
 u AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, runout_dt >= DATE '{SPLIT}' AS live FROM tt" for c in NUM)}),
-q AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [{', '.join(str(i / 10) for i in range(11))}]))) AS cuts
-      FROM u WHERE NOT live GROUP BY feature),
+qb AS (SELECT feature, value, ROW_NUMBER() OVER (PARTITION BY feature ORDER BY value) - 1 AS idx,
+              COUNT(*) OVER (PARTITION BY feature) AS n FROM u WHERE NOT live),
+qn AS (SELECT DISTINCT feature, n FROM qb),
+qp AS (SELECT * FROM (VALUES {', '.join(f"({i}, CAST('{q!r}' AS DOUBLE))" for i, q in enumerate(DR.cut_probs(10)))}) t(qi, q)),
+qv AS (SELECT qn.feature, qp.qi, qn.n, (qn.n - 1) * qp.q AS v FROM qn, qp),
+qi2 AS (SELECT feature, qi, v, n, LEAST(GREATEST(CAST(floor(v) AS BIGINT), 0), n - 1) AS lo FROM qv),
+qi3 AS (SELECT feature, qi, v - lo AS g, lo, LEAST(lo + 1, n - 1) AS hi FROM qi2),
+qx AS (SELECT p.feature, p.qi,
+              CASE WHEN p.g >= 0.5 THEN bh.value - (bh.value - bl.value) * (CAST(1 AS DOUBLE) - p.g)
+                   ELSE bl.value + (bh.value - bl.value) * p.g END AS qval
+       FROM qi3 p JOIN qb bl ON bl.feature = p.feature AND bl.idx = p.lo
+                  JOIN qb bh ON bh.feature = p.feature AND bh.idx = p.hi),
+q AS (SELECT feature, list_sort(list_distinct(list(qval))) AS cuts FROM qx GROUP BY feature),
 cuts AS (SELECT feature, cuts, CASE WHEN len(cuts) >= 2 THEN cuts[2:len(cuts) - 1] ELSE [] END AS interior,
                 CAST(len(cuts) - 1 AS INTEGER) AS n_buckets FROM q),
 ub AS (SELECT u.feature, u.live, CAST(len(list_filter(c.interior, lambda x: x <= u.value)) AS INTEGER) AS bucket

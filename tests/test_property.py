@@ -96,3 +96,22 @@ def test_affinity_matches_brute_force(spark, rows, min_lift):
     assert set(got) == set(recs)
     for k, (src, share, lf) in got.items():
         assert src == recs[k][0] and share == pytest.approx(recs[k][1]) and lf == pytest.approx(recs[k][2])
+
+
+def psi_numpy(expected, actual, bins=10):
+    """Plain-numpy twin of the reference's PSI formula."""
+    import numpy as np
+    cuts = np.unique(np.quantile(expected, np.linspace(0, 1, bins + 1)))
+    cuts[0], cuts[-1] = -np.inf, np.inf
+    e = np.clip(np.histogram(expected, bins=cuts)[0] / len(expected), 1e-6, None)
+    a = np.clip(np.histogram(actual, bins=cuts)[0] / len(actual), 1e-6, None)
+    return float(np.sum((a - e) * np.log(a / e)))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 30), min_size=3, max_size=80), st.lists(st.integers(0, 40), min_size=1, max_size=80))
+def test_psi_matches_numpy(spark, base, live):
+    from dosewise.operators import drift as DR
+    b = spark.createDataFrame([(float(x),) for x in base], "x double")
+    lv = spark.createDataFrame([(float(x),) for x in live], "x double")
+    assert DR.psi(b, lv, ["x"]).first()["psi"] == pytest.approx(psi_numpy(base, live), abs=1e-9)
