@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -57,14 +59,19 @@ def _driver_memory() -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    On a cluster that setting points at shared storage and is used as is; a
+    cluster session without it is refused, since a machine-local folder is
+    not visible to the other machines.  Only a local session gets a scratch
+    folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "local").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="dosewise-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
@@ -73,3 +80,32 @@ def cut_lineage(df, eager: bool = True):
     executor loss) and return a DataFrame reading from it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stored(df, name: str = "table"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and return a
+    DataFrame over those files.  Unlike ``checkpoint()`` later reads prune
+    columns and the planner sees the true size."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, so that Python
+    workers can import it wherever the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_dosewise_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="dosewise-ship-")
+    path = os.path.join(folder, "dosewise-package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for top, _, names in os.walk(os.path.join(root, "dosewise")):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(top, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._dosewise_shipped = True
