@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dosewise.llm import simhash
+import public_tokenizers
+
+from dosewise.llm import packing, simhash
 from dosewise.llm.common import read, register
 
 
@@ -11,3 +13,9 @@ def op6(spark, sf_dir):
     """SimHash components of all documents: 3-word shingles, 3 bits."""
     out = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return out.select("doc_id", "fingerprint", "component_id")
+
+
+@register("op5_sum_of_squares_packing")
+def op5(spark, sf_dir):
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024)
