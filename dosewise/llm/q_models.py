@@ -1,0 +1,18 @@
+"""Queries of the learned operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dosewise.llm import quality
+from dosewise.llm.common import fold, read, register
+
+
+@register("op9_attention_mil_quality")
+def op9(spark, sf_dir):
+    """Quality of every document, trained outside fold 0 of 5."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
