@@ -197,9 +197,16 @@ class Model:
     def __init__(self, prior: float):
         self.prior, self.weights, self.trans, self.top = prior, None, None, None
 
-    def aggregate(self, top: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        a, b, c = self.top
-        return 1 / (1 + np.exp(-np.clip(a * top + b * np.log(expected + 1e-6) + c, -30, 30)))
+    def aggregate(self, found: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(summary(found) @ self.top, -30, 30)))
+
+
+def summary(found: np.ndarray) -> np.ndarray:
+    """(strongest log-odds, expected toxic words, words) -> what a document's
+    logistic function sees: the strongest word, how many, and how dense."""
+    top, expected, words = found.T
+    return np.stack([top / 5, np.log(expected + 1e-3), np.minimum(expected, 8),
+                     np.log((expected + 1e-3) / np.maximum(words, 1)), np.ones(len(found))], axis=1)
 
 
 def document_features(texts: list[bytes], em: Emissions, trans: np.ndarray):
@@ -214,7 +221,7 @@ def document_features(texts: list[bytes], em: Emissions, trans: np.ndarray):
         sizes.append(len(ws))
     sizes = np.array(sizes, np.int64)
     if sizes.sum() == 0:
-        return top, expected, hits
+        return np.stack([top, expected, sizes], axis=1), hits
     some = np.flatnonzero(sizes)
     ends = np.cumsum(sizes[some])
     first, last = np.zeros(ends[-1], bool), np.zeros(ends[-1], bool)
@@ -227,7 +234,7 @@ def document_features(texts: list[bytes], em: Emissions, trans: np.ndarray):
     for i, b, e in zip(some, begin, ends):
         if top[i] >= 0:
             hits[i] = np.flatnonzero(odds[b:e] >= 0)
-    return top, expected, hits
+    return np.stack([top, expected, sizes], axis=1), hits
 
 
 _WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -331,28 +338,28 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     weights, trans = fit(seqs)
     model.weights, model.trans = weights, trans
 
-    def summary(batches):
+    def seen(batches):
         em = Emissions(weights)
         for b in batches:
             pairs = list(zip(as_bytes(b.column(1)), b.column(2).to_pylist()))
             for part in grouped(pairs, lambda p: len(p[0]) + 1, BYTES):
-                top, expected, _ = document_features([t for t, _ in part], em, trans)
-                yield pa.record_batch([pa.array(top), pa.array(expected), pa.array([y for _, y in part], pa.int64())],
-                                      names=["top", "expected", "y"])
+                found, _ = document_features([t for t, _ in part], em, trans)
+                yield pa.record_batch([*map(pa.array, found.T), pa.array([float(y) for _, y in part])],
+                                      names=["top", "expected", "words", "y"])
 
-    got = np.array(sorted(tuple(r) for r in rows.mapInArrow(summary, "top double, expected double, y long").collect()))
+    got = np.array(sorted(tuple(r) for r in rows.mapInArrow(
+        seen, "top double, expected double, words double, y double").collect()))
     rows.unpersist()
-    x = np.stack([got[:, 0], np.log(got[:, 1] + 1e-6), np.ones(len(got))], axis=1)
-    y = got[:, 2]
+    x, y = summary(got[:, :3]), got[:, 3]
     weight = np.where(y == 1, n1 / max(1, (y == 1).sum()), n0 / max(1, (y == 0).sum()))
     weight /= weight.sum()
-    theta = np.zeros(3)
+    theta = np.zeros(x.shape[1])
     for _ in range(50):   # Newton steps with a small ridge
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
         g = x.T @ (weight * (p - y)) + 1e-4 * theta
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(3)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(len(theta))
         theta -= np.clip(np.linalg.solve(h, g), -2, 2)
-    model.top = tuple(float(t) for t in theta)
+    model.top = theta
     return model
 
 
@@ -377,8 +384,8 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
                 if model.top is None:
                     s, found = np.full(len(part), prior), [[]] * len(part)
                 else:
-                    top, expected, hits = document_features([t for _, t in part], em, trans)
-                    s = model.aggregate(top, expected)
+                    seen, hits = document_features([t for _, t in part], em, trans)
+                    s = model.aggregate(seen)
                     found = [[{"start": a, "end": e} for a, e in offsets(t, h)] for (_, t), h in zip(part, hits)]
                 yield pa.record_batch([pa.array([i for i, _ in part], schema.field(0).type), pa.array(s),
                                        pa.array(found, schema.field(2).type)], schema=schema)
