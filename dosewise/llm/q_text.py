@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dosewise.llm import packing, simhash
+from dosewise.llm import decontaminate, packing, simhash
 from dosewise.llm.common import read, register
 
 
@@ -19,3 +19,9 @@ def op6(spark, sf_dir):
 def op5(spark, sf_dir):
     """All documents packed into sequences of at most 1024 tokens."""
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024)
+
+
+@register("op8_rare_seed_decontamination")
+def op8(spark, sf_dir):
+    """Documents that contain benchmark items, with alignment scores."""
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
