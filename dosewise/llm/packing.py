@@ -14,16 +14,14 @@ memory is one document plus the open windows (at most ``OPEN``).  Sequence ids
 are numbered within the partition, so a task that is run again gives the same
 rows.
 
-Tokenising: the vocabulary is applied per pre-token, so ids are cached per
-pre-token.  The pre-token pattern is written out for texts of ASCII and Latin
-letters; a text with any other character, or with a special token's string,
-goes to the tokenizer as a whole.
+Tokenising is most of the cost; see ``Encoder``.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -37,36 +35,51 @@ from dosewise.session import ship_package
 
 END_ID = 0
 OPEN = 4096        # windows kept open in one task
-CACHE = 1 << 20    # pre-tokens whose ids a Python worker remembers
 PIECE = 1 << 20    # characters tokenised at a time
 ROWS = 8192        # rows in one output batch
 
-_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
-_OTHER = re.compile(f"[^\\t\\n\\r -~{_LATIN}]")
-_PRETOKEN = re.compile(
-    rf"'(?:[stmd]|re|ve|ll)| ?[{_LATIN}]+| ?[0-9]+| ?[^\sA-Za-z0-9{_LATIN}]+|\s+(?!\S)|\s+")
+# The byte-level pre-token pattern, and the characters for which
+# all regular-expression libraries agree on it.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+_OTHER = re.compile("[^\\t\\n\\r -~À-ÖØ-öø-ɏ]")
 _SEAM = re.compile(r"(?<=\S)(?= \S)")
 _encoders: dict = {}
 
 
-class Encoder(dict):
-    """Token ids of texts as little-endian unsigned 32-bit bytes; maps a
-    pre-token to its ids."""
+def byte_alphabet() -> dict[str, int]:
+    """The printable character that stands for each byte in a byte-level
+    vocabulary: itself if it is visible, else the next one from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+class Encoder:
+    """Token ids of texts as little-endian unsigned 32-bit bytes.
+
+    A byte-level vocabulary whose merges are in the order of their ids is the
+    same thing as a table of ranks, which a faster library reads; it encodes
+    texts of ASCII and Latin letters, everything else goes to the tokenizer."""
 
     def __init__(self, path: str):
+        import json
+
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, pretoken: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        ids = self[pretoken] = self.whole(pretoken)
-        return ids
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab, pre = spec["model"].get("vocab", {}), spec.get("pre_tokenizer") or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"].get("merges", [])]
+        made = [vocab.get("".join(m), -1) for m in merges]
+        self.fast = None
+        if (spec["model"].get("type") == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
+                and pre.get("use_regex", True) and not spec.get("normalizer") and made == sorted(set(made))):
+            byte = byte_alphabet()
+            ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in self.special}
+            self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
         out, at = [], 0
@@ -76,11 +89,12 @@ class Encoder(dict):
                 # a single space between two words starts a pre-token, so a cut there changes no id
                 m = _SEAM.search(text, at + PIECE)
                 end = m.start() if m else end
-            piece = text[at:end] if at or end < len(text) else text
-            if _OTHER.search(piece) or any(s in piece for s in self.special):
-                out.append(self.whole(piece))
+            piece = text[at:end]
+            if self.fast is None or _OTHER.search(piece) or any(s in piece for s in self.special):
+                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
             else:
-                out.append(b"".join(map(self.__getitem__, _PRETOKEN.findall(piece))))
+                ids = self.fast.encode_ordinary(piece)
+            out.append(np.array(array("I", ids), "<u4").tobytes())
             at = end
         return b"".join(out)
 
