@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dosewise.llm import decontaminate, packing, simhash
+from dosewise.llm import decontaminate, fingerprint, packing, simhash
 from dosewise.llm.common import read, register
 
 
@@ -25,3 +25,9 @@ def op5(spark, sf_dir):
 def op8(spark, sf_dir):
     """Documents that contain benchmark items, with alignment scores."""
     return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register("op7_quartile_bucket_digest")
+def op7(spark, sf_dir):
+    """Digests of all documents, their edited texts, and likeness to both."""
+    return fingerprint.compare(read(spark, sf_dir, "documents"))
