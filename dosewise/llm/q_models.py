@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dosewise.llm import quality, toxicity
+from dosewise.llm import lm, quality, toxicity
 from dosewise.llm.common import fold, read, register
 
 
+@register("op1_maxent_language_model")
+def op1(spark, sf_dir):
+    """Log10 probability of every document, trained outside fold 0 of 10."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model, rare = lm.train(docs, held_out=10)
+    scored = lm.score(docs, model, rare)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 10) == 0).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 @register("op9_attention_mil_quality")
 def op9(spark, sf_dir):
     """Quality of every document, trained outside fold 0 of 5."""
