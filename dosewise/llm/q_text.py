@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dosewise.llm import decontaminate, fingerprint, packing, simhash
+from dosewise.llm import decontaminate, extraction, fingerprint, packing, simhash
 from dosewise.llm.common import read, register
 
 
@@ -15,6 +15,12 @@ def op6(spark, sf_dir):
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+@register("op4_host_suffix_extraction")
+def op4(spark, sf_dir):
+    """Main text of every page."""
+    return extraction.extract(read(spark, sf_dir, "pages"))
+
+
 @register("op5_sum_of_squares_packing")
 def op5(spark, sf_dir):
     """All documents packed into sequences of at most 1024 tokens."""
