@@ -43,6 +43,14 @@ def id_type(df: DataFrame, name: str = "doc_id") -> T.DataType:
     return df.schema[name].dataType
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
 def arrow_type(t: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
     return to_arrow_type(t)

@@ -25,11 +25,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dosewise.llm.common import arrow_type, as_bytes, id_type, popcount, words
+from dosewise.llm.common import arrow_type, as_bytes, free_name, id_type, popcount, words
 from dosewise.llm.components import components
 from dosewise.session import ship_package, stored
 
@@ -166,6 +167,16 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     return sets.mapInArrow(run, "a long, b long")
 
 
+def grouped_fingerprints(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fps`` (doc_id, fp) -> (fp, root): the smallest fingerprint reachable,
+    and (component_id) the smallest doc_id of the whole component."""
+    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    roots = components(links(classes.select("fp"), max_bits))
+    named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return stored(named.join(least, "root").select("fp", "root", "component_id"), "component")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str = "text") -> DataFrame:
     """(doc_id, fp, fingerprint, component_id), one row per row of ``docs``.
 
@@ -176,10 +187,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text:
     ``docs`` are not carried.
     """
     fps = stored(fingerprints(docs, shingle, text), "fingerprints")
-    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes.select("fp"), max_bits))
-    named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = stored(named.join(least, "root").select("fp", "component_id"), "component")
-    return (fps.join(of, "fp")
+    return (fps.join(grouped_fingerprints(fps, max_bits), "fp")
             .select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def deduplicate(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, one of each component: the one with the smallest
+    doc_id (rows without an id last; any one of repeated rows).  All columns are
+    carried as they are.
+
+    The rows are written once with their fingerprint and a row number, so that
+    the decision holds for exactly one row whatever the ids are.
+    """
+    fp, uid = free_name(docs, "fp"), free_name(docs, "uid")
+    shape = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType()), T.StructField(uid, T.LongType())])
+    schema = pa.schema([(f.name, arrow_type(f.dataType)) for f in shape.fields])
+    at = docs.columns.index(text)
+
+    def run(batches):
+        row = TaskContext.get().partitionId() << 40
+        for b in batches:
+            fps = np.array([fingerprint(t, shingle) for t in as_bytes(b.column(at))], np.uint64).view(np.int64)
+            cols = [c.cast(f.type) for c, f in zip(b.columns, schema)]
+            yield pa.record_batch([*cols, pa.array(fps), pa.array(row + np.arange(len(fps)))], schema=schema)
+            row += len(fps)
+
+    ship_package(docs.sparkSession)
+    rows = stored(docs.mapInArrow(run, shape), "rows")
+    marks = rows.select("doc_id", F.col(fp).alias("fp"), F.col(uid).alias("uid"))
+    found = grouped_fingerprints(marks.select("doc_id", "fp"), max_bits)
+    keep = stored(marks.join(found.select("fp", "root"), "fp").groupBy("root")
+                  .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("first"))
+                  .select(F.col("first.uid").alias(uid)), "keep")
+    return rows.join(keep, uid, "left_semi").select(*docs.columns)
