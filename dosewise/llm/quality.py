@@ -68,11 +68,12 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         keep[b.ends - 1] = False
         first = np.searchsorted(b.begins, np.arange(len(b.data)), side="right") - 1
         keep &= first == b.doc[owner]          # leading white space of a text has no word yet
-        p, d = passage[keep], b.data[keep]
+        p, d, text = passage[keep], b.data[keep], first[keep]
         size = np.maximum(np.bincount(p, minlength=n), 1)[:, None]
         x[:, :CLASSES] = np.bincount(p * CLASSES + _CLASS[d], minlength=n * CLASSES).reshape(n, CLASSES) / size
         pair = (d[:-1].astype(np.int64) * 37 + d[1:] * 101 >> 2) % PAIRS
-        x[:, CLASSES + 6:] = np.bincount(p[:-1] * PAIRS + pair, minlength=n * PAIRS).reshape(n, PAIRS) / size
+        inner = text[1:] == text[:-1]          # no pair spans two texts
+        x[:, CLASSES + 6:] = np.bincount((p[:-1] * PAIRS + pair)[inner], minlength=n * PAIRS).reshape(n, PAIRS) / size
         h = b.hashes()
         same = (h[1:] == h[:-1]) & (word_passage[1:] == word_passage[:-1])
         x[:, CLASSES] = np.bincount(word_passage[1:][same], minlength=n) / some
