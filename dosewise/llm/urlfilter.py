@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dosewise.llm.components import components
+from dosewise.session import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK_TAG, META_TAG = r"(?i)<link\b[^>]*>", r"(?i)<meta\b[^>]*>"
@@ -64,6 +65,9 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
         F.concat("host", "path").alias("rule")).alias("r"))
     known = (urls.select("host").distinct().select("host", F.explode(tails).alias("tail"))
              .join(r, "tail").groupBy("host").agg(F.collect_list("r").alias("_rules")))
+    # written, so that the planner knows its size (one row per host that a rule
+    # fits) and, where it is large, can split a host with very many pages
+    known = stored(known, "host-rules")
     best = F.array_max(F.filter("_rules", lambda x: F.startswith(F.col("path"), x["path"])))
     return (urls.join(known, "host", "left").withColumn("_best", best)
             .withColumn("rule", F.col("_best.rule")).withColumn("rule_verdict", F.col("_best.verdict"))
