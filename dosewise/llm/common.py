@@ -66,6 +66,12 @@ def as_bytes(column: pa.Array) -> list:
     return [b"" if x is None else x for x in column.to_pylist()]
 
 
+def each_bytes(column: pa.Array, rows: int = 256):
+    """The same one after another, a few rows in Python at a time."""
+    for at in range(0, len(column), rows):
+        yield from as_bytes(column.slice(at, rows))
+
+
 def pieces(text: bytes, size: int = PIECE_BYTES):
     """Cut a text at white space into pieces of about ``size`` bytes."""
     if len(text) <= size:
