@@ -55,12 +55,15 @@ def one_hot(train: DataFrame, df: DataFrame, col: str = "drug_name") -> DataFram
 
 def standardize(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """(x - mean) / population std per column.  The statistics are one
-    aggregate row, applied as scalar subqueries (no join, no collect)."""
+    aggregate row, applied as scalar subqueries (no join, no collect).  A
+    constant column becomes 0."""
     stats = df.agg(F.struct(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
                             *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)])).scalar()
     out = df
     for i, c in enumerate(cols):
-        out = out.withColumn(c + suffix, (F.col(c).cast("double") - stats[f"m_{i}"]) / stats[f"s_{i}"])
+        sd = stats[f"s_{i}"]
+        z = (F.col(c).cast("double") - stats[f"m_{i}"]) / F.when(sd != 0, sd)
+        out = out.withColumn(c + suffix, F.when(F.col(c).isNotNull(), F.coalesce(z, F.lit(0.0))))
     return out
 
 

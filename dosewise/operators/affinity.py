@@ -1,25 +1,20 @@
 """Item affinity: baskets, co-occurrence, lift and recommendations
 (U4, A2, A12-A14, J4-J8, M14, M15, O8).
 
-Pair counts are the product X'X of the patient x item 0/1 matrix.  Instead of
-a self join on patient (which would emit every ordered pair of every basket),
-each (patient, item) row carries the patient's basket as a 0/1 vector over
-the item index and the vectors are summed per item with ``Summarizer.sum``
-(partial aggregation: every task ships at most one k-vector per item).  The
-item index comes from the distinct items, whose count ``k`` is checked
-against ``max_items`` (default 4,096: a basket vector is then at most 32 KiB)
-before any vector is built.  The result has one row per
-ordered item pair, zero counts included, so no cross join is needed either.
+Pair counts hold the pairs that occur and no others.  The distinct (patient,
+item) pairs are written once and read by every branch.  A patient's items are
+gathered in lists of about ``BASKET`` items, so a patient with very many items
+has several lists; every (patient, item) row meets its patient's lists, and the
+pairs are counted where they arise (partial aggregation), so what crosses the
+network are pair counts, not pairs.  There is no limit on items or baskets.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dosewise.operators.relational import bounded
+BASKET = 256   # items of one patient in one list, about
 
 
 def patient_items(df: DataFrame, key: str = "patient_id", item: str = "drug_id") -> DataFrame:
@@ -37,49 +32,30 @@ def on_item(pairs: DataFrame, item: str = "drug_id") -> DataFrame:
     return pairs.groupBy(item).agg(F.count(F.lit(1)).alias("on_item"))
 
 
-def item_index(pairs: DataFrame, item: str = "drug_id", max_items: int = 4_096) -> DataFrame:
-    """Dense 0-based index of the distinct items in ascending order.  The
-    item list is small by construction (checked), so the single ordered
-    window over it is cheap."""
-    items = pairs.select(item).distinct()
-    if not bounded(items, max_items):
-        raise ValueError(f"more than {max_items} items: use a sparse pair count")
-    return items.select(item, (F.row_number().over(Window.orderBy(item)) - 1).alias("idx"))
-
-
-def pair_counts(pairs: DataFrame, key: str = "patient_id", item: str = "drug_id",
-                max_items: int = 4_096) -> DataFrame:
-    """Patients holding both a and b for every ordered pair a != b
-    of items, zero counts kept.  Columns: a, b, together."""
-    idx = item_index(pairs, item, max_items)
-    k = idx.count()
-    p = pairs.join(F.broadcast(idx), item)
-    held = p.groupBy(key).agg(F.collect_set("idx").alias("_set"))
-    vec = held.select(key, array_to_vector(F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda i: F.when(F.array_contains("_set", i), F.lit(1.0)).otherwise(F.lit(0.0)))).alias("_v"))
-    rows = p.select(key, F.col("idx").alias("_a")).join(vec, key)
-    sums = rows.groupBy("_a").agg(Summarizer.sum(F.col("_v")).alias("_s"))
-    out = sums.select("_a", F.posexplode(vector_to_array("_s")).alias("_b", "together"))
-    out = out.filter(F.col("_a") != F.col("_b"))
-    ia = idx.select(F.col(item).alias("a"), F.col("idx").alias("_a"))
-    ib = idx.select(F.col(item).alias("b"), F.col("idx").alias("_b"))
-    return (out.join(F.broadcast(ia), "_a").join(F.broadcast(ib), "_b")
-            .select("a", "b", F.col("together").cast("long").alias("together")))
-
-
-def lift_table(pairs: DataFrame, key: str = "patient_id", item: str = "drug_id",
-               max_items: int = 4_096) -> DataFrame:
-    """For every ordered pair: patients on both, share of a-patients
-    also on b, b's baseline share of all patients, and lift = share / baseline
-    (unrounded; round at presentation)."""
-    n_patients = pairs.select(key).distinct().count()
+def pair_counts(pairs: DataFrame, key: str = "patient_id", item: str = "drug_id") -> DataFrame:
+    """Patients holding both a and b, for every ordered pair a != b
+    of items that some patient holds together.  ``pairs``: distinct (patient,
+    item) rows.  Columns: a, b, together."""
+    size = pairs.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BASKET).alias("_lists"))
+    lists = (pairs.join(size, key)
+             .groupBy(key, F.pmod(F.xxhash64(item), F.col("_lists")).alias("_list"))
+             .agg(F.collect_list(item).alias("_items")))
+    return (pairs.select(key, F.col(item).alias("a")).join(lists.select(key, "_items"), key)
+            .select("a", F.explode("_items").alias("b")).filter(F.col("a") != F.col("b"))
+            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("together")))
+
+
+def lift_table(pairs: DataFrame, key: str = "patient_id", item: str = "drug_id") -> DataFrame:
+    """For every ordered pair held together: patients on both, share
+    of a-patients also on b, b's baseline share of all patients, and lift =
+    share / baseline (unrounded; round at presentation)."""
+    patients = pairs.agg(F.countDistinct(key).cast("double")).scalar()
     on = on_item(pairs, item)
-    pc = pair_counts(pairs, key, item, max_items)
-    t = (pc.join(on.select(F.col(item).alias("a"), F.col("on_item").alias("on_a")), "a")
-           .join(on.select(F.col(item).alias("b"), F.col("on_item").alias("on_b")), "b"))
+    t = (pair_counts(pairs, key, item)
+         .join(on.select(F.col(item).alias("a"), F.col("on_item").alias("on_a")), "a")
+         .join(on.select(F.col(item).alias("b"), F.col("on_item").alias("on_b")), "b"))
     share = F.col("together") / F.col("on_a")
-    baseline = F.col("on_b") / F.lit(float(n_patients))
+    baseline = F.col("on_b") / patients
     return t.select("a", "b", "together", share.alias("share"), baseline.alias("baseline"),
                     (share / baseline).alias("lift"))
 

@@ -4,16 +4,14 @@ A *course* is one patient on one drug.  Everything here is a window over the
 course ordered by pickup day plus a unique tie key, so the result does not
 depend on input order or partition count.
 
-All windows of one course share one partitioning and one sort order, so the
-whole label + feature computation costs one shuffle of the fact table.
-Expanding means use explicit ROWS frames (a RANGE frame would fold same-day
-peers into the current row).
-
-Hot courses: ``course_history(split_hot=N)`` handles a course that holds a
-large share of all rows (for example a default patient id) by cutting every
-course with more than N pickups into monthly blocks, computing each block in
-its own task and stitching block boundaries with a small per-block summary
-(prefix counts and sums).  Courses under N pickups are unaffected.
+One pass serves every course query, whatever the sizes of the courses.  Rows are
+dealt by ranges of (patient, drug, day, tie key), so a range holds whole small
+courses and a slice of a large one, and no task gets more than its range.  The
+windows run per (range, course).  Only the courses that a range boundary cuts
+(at most one per boundary, so at most as many as there are ranges) need their
+slices joined: a table of one row per slice carries counts, sums and
+neighbouring days across the boundary.  Expanding means use explicit ROWS
+frames (a RANGE frame would fold same-day peers into the current row).
 """
 
 from __future__ import annotations
@@ -22,44 +20,66 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dosewise.functions.scalars import age_365, flag, runout
+from dosewise.session import cut_lineage
 from dosewise.sources.adapter import ORDER
 
 KEYS = ["patient_id", "drug_id"]
 
 
-def course_window(keys=KEYS, order=ORDER):
-    return Window.partitionBy(*keys).orderBy(*order)
+RANGE = "_range"
+
+
+def slice_window(keys=KEYS, order=ORDER):
+    """The window over a course's slice in one range."""
+    return Window.partitionBy(RANGE, *keys).orderBy(*order)
 
 
 def _expanding(w):
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def ranged(df: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
+    """Rows dealt by ranges of (keys, order), with the range's number.  The
+    checkpoint (shared folder) pins the ranges and keeps the source from being
+    read again."""
+    return cut_lineage(df.repartitionByRange(*keys, *order).withColumn(RANGE, F.spark_partition_id()))
+
+
+def cut_courses(d: DataFrame, keys=KEYS) -> DataFrame:
+    """Keys of the courses that lie in more than one range: a course is cut
+    only if it ends one range and begins another, so there are fewer than
+    ranges."""
+    ends = d.groupBy(RANGE).agg(F.min(F.struct(*keys)).alias("lo"), F.max(F.struct(*keys)).alias("hi"))
+    return (ends.select(RANGE, F.explode(F.array("lo", "hi")).alias("k")).distinct()
+            .groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k.*"))
+
+
+def of_cut_courses(d: DataFrame, keys=KEYS) -> DataFrame:
+    """The rows of cut courses (the broadcast has fewer rows than ranges)."""
+    return d.join(F.broadcast(cut_courses(d, keys)), list(keys), "left_semi")
+
+
+def across_slices(keys=KEYS):
+    """Window over a cut course's slices (at most one per range)."""
+    return Window.partitionBy(*keys).orderBy(RANGE)
+
+
 # --- single operators -------------------------------------------------------
 
-def with_gaps(df: DataFrame, keys=KEYS, date: str = "fill_dt", order=ORDER,
-              out: str = "gap") -> DataFrame:
+def with_gaps(df: DataFrame, out: str = "gap") -> DataFrame:
     """Days since the previous pickup of the same course (NULL first)."""
-    w = course_window(keys, order)
-    return df.withColumn(out, F.datediff(F.col(date), F.lag(date).over(w)))
+    h = course_history(df)
+    return h.select(*df.columns, F.when(F.col("fill_number") > 1, F.col("prev_gap").cast("int")).alias(out))
 
 
-def next_date(df: DataFrame, keys=KEYS, date: str = "fill_dt", order=ORDER,
-              out: str = "next_fill_dt") -> DataFrame:
+def next_date(df: DataFrame, out: str = "next_fill_dt") -> DataFrame:
     """Day of the next pickup of the same course (NULL last)."""
-    return df.withColumn(out, F.lead(date).over(course_window(keys, order)))
+    return course_history(df).select(*df.columns, F.col("next_fill_dt").alias(out))
 
 
-def ordinal(df: DataFrame, keys=KEYS, order=ORDER, out: str = "fill_number") -> DataFrame:
+def ordinal(df: DataFrame, out: str = "fill_number") -> DataFrame:
     """1-based pickup number inside the course."""
-    return df.withColumn(out, F.row_number().over(course_window(keys, order)))
-
-
-def expanding_mean(df: DataFrame, cols: list[str], keys=KEYS, order=ORDER,
-                   prefix: str = "avg_") -> DataFrame:
-    """Mean of each column over the course so far (past and current rows)."""
-    w = _expanding(course_window(keys, order))
-    return df.select("*", *[F.avg(c).over(w).alias(prefix + c) for c in cols])
+    return course_history(df).select(*df.columns, F.col("fill_number").alias(out))
 
 
 def late_flag(gap, supply, grace: int = 14) -> Column:
@@ -87,10 +107,7 @@ def refill_label(df: DataFrame, grace: int = 14) -> DataFrame:
     """Run-out day, days late at the next pickup and the label came_back
     (1 when the next pickup is at most ``grace`` days after run-out; no next
     pickup counts as 0)."""
-    d = next_date(df)
-    d = d.withColumn("runout_dt", runout("fill_dt", "supply_days"))
-    d = d.withColumn("days_late", F.datediff("next_fill_dt", "runout_dt"))
-    return d.withColumn("came_back", flag(F.col("days_late") <= F.lit(grace)))
+    return course_history(df, grace).select(*df.columns, "next_fill_dt", "runout_dt", "days_late", "came_back")
 
 
 def refill_features(df: DataFrame, grace: int = 14) -> DataFrame:
@@ -100,124 +117,62 @@ def refill_features(df: DataFrame, grace: int = 14) -> DataFrame:
 
 # --- the combined pass --------------------------------------------------------
 
-def course_history(df: DataFrame, grace: int = 14, split_hot: int | None = None) -> DataFrame:
-    """Label and features of every pickup in one window pass.
+def _in_slice(d: DataFrame, grace: int) -> DataFrame:
+    """Everything that a slice knows by itself; its first row counts as a
+    course's first pickup."""
+    w = slice_window()
+    we = _expanding(w)
+    d = d.select("*", F.lead("fill_dt").over(w).alias("_lead"), F.row_number().over(w).alias("_rn"),
+                 F.coalesce(F.datediff(F.col("fill_dt"), F.lag("fill_dt").over(w)), F.col("supply_days"))
+                 .cast("double").alias("_gap"))
+    d = d.withColumn("_late", late_flag("_gap", "supply_days", grace))
+    return d.select("*", F.sum("_gap").over(we).alias("_gaps"), F.sum("_late").over(we).alias("_lates"))
+
+
+def _corrections(d: DataFrame, grace: int) -> DataFrame:
+    """One row per slice of a cut course: what its rows lack from the slices
+    before and after."""
+    per = (_in_slice(of_cut_courses(d), grace).groupBy(RANGE, *KEYS)
+           .agg(F.count(F.lit(1)).alias("_n"), F.min("fill_dt").alias("_from"), F.max("fill_dt").alias("_to"),
+                F.sum("_gap").alias("_sum_gap"), F.sum("_late").alias("_sum_late"),
+                F.min_by(F.struct("_gap", "_late", "supply_days"), "_rn").alias("_one")))
+    w = across_slices()
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("*", F.lag("_to").over(w).alias("_before"), F.lead("_from").over(w).alias("_after"))
+    supply = F.col("_one.supply_days")
+    per = per.withColumn("_true_gap", F.coalesce(F.datediff("_from", "_before"), supply).cast("double"))
+    per = per.withColumn("_true_late", late_flag(F.col("_true_gap"), supply, grace))
+    per = per.withColumn("_add_gap", F.col("_true_gap") - F.col("_one._gap"))
+    per = per.withColumn("_add_late", F.col("_true_late") - F.col("_one._late"))
+    return per.select(
+        RANGE, *KEYS, "_after", "_true_gap", "_true_late",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+        (F.col("_add_gap") + F.coalesce(F.sum(F.col("_sum_gap") + F.col("_add_gap")).over(before), F.lit(0.0))).alias("_gap0"),
+        (F.col("_add_late") + F.coalesce(F.sum(F.col("_sum_late") + F.col("_add_late")).over(before), F.lit(0))).alias("_late0"))
+
+
+def course_history(df: DataFrame, grace: int = 14) -> DataFrame:
+    """Label and features of every pickup in one pass; give it the columns that
+    are needed only, they all move.
 
     Adds: next_fill_dt, runout_dt, days_late, came_back, prev_gap, fill_number,
     was_late, avg_gap, pct_late.
     """
-    if split_hot:
-        return _course_history_split(df, grace, split_hot)
-    w = course_window()
-    we = _expanding(w)
-    prev = F.datediff(F.col("fill_dt"), F.lag("fill_dt").over(w))
-    d = df.select(
-        "*",
-        F.lead("fill_dt").over(w).alias("next_fill_dt"),
-        F.coalesce(prev, F.col("supply_days")).cast("double").alias("prev_gap"),
-        F.row_number().over(w).alias("fill_number"),
-    )
-    d = d.withColumn("runout_dt", runout("fill_dt", "supply_days"))
-    d = d.withColumn("days_late", F.datediff("next_fill_dt", "runout_dt"))
-    d = d.withColumn("came_back", flag(F.col("days_late") <= F.lit(grace)))
-    d = d.withColumn("was_late", late_flag("prev_gap", "supply_days", grace))
-    return d.select("*", F.avg("prev_gap").over(we).alias("avg_gap"),
-                    F.avg("was_late").over(we).alias("pct_late"))
-
-
-def _course_history_split(df: DataFrame, grace: int, hot_rows: int) -> DataFrame:
-    """Two-level version of ``course_history`` for skewed courses.
-
-    1. Count pickups per course (partial aggregation: only one row per course
-       and task crosses the shuffle).  Courses over ``hot_rows`` are hot; there
-       are at most total_rows / hot_rows of them, a proven bound, so the hot
-       key list is broadcast and every row is tagged by a broadcast join.
-    2. Cold courses take the plain one-window pass.
-    3. Hot courses (only their rows) take ``_blocked_history``: the window
-       runs per (course, month block), so a hot course is spread over many
-       tasks, and a per-block summary (count, first/last day, in-block sums)
-       windowed by course over the block order gives the prefix offsets and
-       neighbour days that stitch the blocks together.
-    """
-    counts = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = counts.select(*KEYS, F.lit(True).alias("_hot"))
-    tagged = df.join(F.broadcast(hot), KEYS, "left")
-    cold = course_history(tagged.filter(F.col("_hot").isNull()).drop("_hot"), grace)
-    warm = _blocked_history(tagged.filter(F.col("_hot")), df.columns, grace)
-    return cold.unionByName(warm)
-
-
-def _blocked_history(d: DataFrame, cols: list[str], grace: int) -> DataFrame:
-    """Course history of hot courses, windowed per (course, month block)."""
-    d = d.withColumn("_blk", F.when(F.col("_hot"), F.date_trunc("month", F.col("fill_dt")).cast("date"))
-                     .otherwise(F.lit(None).cast("date")))
-    bkeys = KEYS + ["_blk"]
-    w = Window.partitionBy(*bkeys).orderBy(*ORDER)
-    we = _expanding(w)
-    raw_prev = F.datediff(F.col("fill_dt"), F.lag("fill_dt").over(w))
-    d = d.select("*",
-                 F.lead("fill_dt").over(w).alias("_lead"),
-                 raw_prev.alias("_raw_prev"),
-                 F.row_number().over(w).alias("_rn"))
-    # in-block values; the first row of a block is fixed up from the summary
-    d = d.withColumn("_pg", F.coalesce("_raw_prev", "supply_days").cast("double"))
-    d = d.withColumn("_wl", late_flag("_pg", "supply_days", grace))
-    d = d.select("*", F.sum("_pg").over(we).alias("_cs_pg"), F.sum("_wl").over(we).alias("_cs_wl"))
-
-    blocks = (d.filter(F.col("_hot"))
-              .groupBy(*bkeys)
-              .agg(F.count(F.lit(1)).alias("_bn"),
-                   F.min("fill_dt").alias("_bfirst"),
-                   F.max("fill_dt").alias("_blast"),
-                   F.sum("_pg").alias("_bpg"),
-                   F.sum("_wl").alias("_bwl"),
-                   F.min_by("_pg", "_rn").alias("_bpg1"),
-                   F.min_by("_wl", "_rn").alias("_bwl1"),
-                   F.min_by("supply_days", "_rn").alias("_bsup1")))
-    bw = Window.partitionBy(*KEYS).orderBy("_blk")
-    before = bw.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        *bkeys, "_bfirst",
-        F.lag("_blast").over(bw).alias("_prev_last"),
-        F.lead("_bfirst").over(bw).alias("_next_first"),
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off_n"),
-        "_bpg", "_bwl", "_bpg1", "_bwl1", "_bsup1",
-    )
-    # first row of each block: true prev_gap uses the previous block's last day
-    first_pg = F.coalesce(F.datediff("_bfirst", "_prev_last"), F.col("_bsup1")).cast("double")
-    blocks = blocks.withColumn("_fpg", first_pg)
-    blocks = blocks.withColumn("_fwl", late_flag("_fpg", "_bsup1", grace))
-    # corrected block sums, then prefix sums over earlier blocks
-    blocks = blocks.withColumn("_cpg", F.col("_bpg") - F.col("_bpg1") + F.col("_fpg"))
-    blocks = blocks.withColumn("_cwl", F.col("_bwl") - F.col("_bwl1") + F.col("_fwl"))
-    blocks = blocks.select(
-        *bkeys, "_prev_last", "_next_first", "_off_n", "_fpg", "_fwl", "_bpg1", "_bwl1",
-        F.coalesce(F.sum("_cpg").over(before), F.lit(0.0)).alias("_off_pg"),
-        F.coalesce(F.sum("_cwl").over(before), F.lit(0)).alias("_off_wl"))
-
-    j = d.join(blocks, bkeys, "left")
-    hotc = F.col("_hot").isNotNull()
-    is_first = hotc & (F.col("_rn") == 1)
-    prev_gap = F.when(is_first, F.col("_fpg")).otherwise(F.col("_pg"))
-    was_late = F.when(is_first, F.col("_fwl")).otherwise(F.col("_wl"))
-    # in-block running sums with the first row replaced by its true value
-    cs_pg = F.when(hotc, F.col("_cs_pg") - F.col("_bpg1") + F.col("_fpg") + F.col("_off_pg")).otherwise(F.col("_cs_pg"))
-    cs_wl = F.when(hotc, F.col("_cs_wl") - F.col("_bwl1") + F.col("_fwl") + F.col("_off_wl")).otherwise(F.col("_cs_wl"))
-    rn = F.when(hotc, F.col("_rn") + F.col("_off_n")).otherwise(F.col("_rn"))
-    nxt = F.when(hotc & F.col("_lead").isNull(), F.col("_next_first")).otherwise(F.col("_lead"))
+    d = ranged(df)
+    j = _in_slice(d, grace).join(F.broadcast(_corrections(d, grace)), [RANGE, *KEYS], "left")
+    cut_first = (F.col("_rn") == 1) & F.col("_n0").isNotNull()
+    number = F.col("_rn") + F.coalesce("_n0", F.lit(0))
     out = j.select(
-        *cols,
-        nxt.alias("next_fill_dt"),
-        prev_gap.alias("prev_gap"),
-        rn.cast("int").alias("fill_number"),
-        cs_pg.alias("_s_pg"), cs_wl.alias("_s_wl"), was_late.alias("was_late"),
-    )
+        *df.columns, F.coalesce("_lead", "_after").alias("next_fill_dt"),
+        F.when(cut_first, F.col("_true_gap")).otherwise(F.col("_gap")).alias("prev_gap"),
+        number.cast("int").alias("fill_number"),
+        F.when(cut_first, F.col("_true_late")).otherwise(F.col("_late")).alias("was_late"),
+        ((F.col("_gaps") + F.coalesce("_gap0", F.lit(0.0))) / number).alias("avg_gap"),
+        ((F.col("_lates") + F.coalesce("_late0", F.lit(0))) / number).alias("pct_late"))
     out = out.withColumn("runout_dt", runout("fill_dt", "supply_days"))
     out = out.withColumn("days_late", F.datediff("next_fill_dt", "runout_dt"))
     out = out.withColumn("came_back", flag(F.col("days_late") <= F.lit(grace)))
-    out = out.withColumn("avg_gap", F.col("_s_pg") / F.col("fill_number"))
-    out = out.withColumn("pct_late", F.col("_s_wl") / F.col("fill_number"))
-    return out.select(*cols, "next_fill_dt", "prev_gap", "fill_number", "runout_dt",
+    return out.select(*df.columns, "next_fill_dt", "prev_gap", "fill_number", "runout_dt",
                       "days_late", "came_back", "was_late", "avg_gap", "pct_late")
 
 
@@ -239,16 +194,14 @@ LABEL = "came_back"
 
 
 def training_table(fills: DataFrame, patients: DataFrame, drugs: DataFrame,
-                   grace: int = 14, last: Column | None = None,
-                   split_hot: int | None = None) -> DataFrame:
+                   grace: int = 14, last: Column | None = None) -> DataFrame:
     """The model table - 9 features, run-out day and label.
 
-    One shuffle for all windows (by course), then censoring, then two
-    dimension joins that the planner broadcasts when the dimension is small
-    and otherwise sort-merges.
+    One course pass, then censoring, then two dimension joins that the planner
+    broadcasts when the dimension is small and otherwise sort-merges.
     """
     h = course_history(fills.select("patient_id", "drug_id", "fill_dt", "supply_days", *ORDER[1:]),
-                       grace=grace, split_hot=split_hot)
+                       grace=grace)
     h = censor(h, last if last is not None else last_day(fills), days=grace)
     t = (h.join(patients.select("patient_id", "birth_dt"), "patient_id")
           .join(drugs.select("drug_id", "drug_name", "is_branded"), "drug_id"))

@@ -115,6 +115,8 @@ def demand_windows(ts: DataFrame, split: str, look_back: int = 28, horizon: int
         F.count("units").over(after).alias("_after"),
     )
     d = d.filter((F.size("_win") == look_back) & (F.col("_after") == horizon))
+    # a series without demand before the split keeps its units
+    scale = scale.withColumn("scale", F.when(F.col("scale") != 0, F.col("scale")).otherwise(F.lit(1.0)))
     d = d.join(scale, key)
     return d.select(
         key, "date",

@@ -3,8 +3,7 @@ ordering (O) and set operations (U).
 
 Joins to dimensions are left to the planner (broadcast below the measured
 size threshold, sort-merge otherwise, AQE re-plans at runtime).  The only
-explicit broadcasts are of tables whose size is bounded by construction or
-checked with ``bounded``.
+explicit broadcasts are of tables whose size is bounded by construction.
 """
 
 from __future__ import annotations
@@ -19,18 +18,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  The check reads at
-    most max_rows + 1 rows (a limit stops the scan early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave the join to a
-    shuffle."""
-    return F.broadcast(df) if bounded(df, max_rows) else df
-
-
 # --- filters ------------------------------------------------------------------
 
 def project(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -1,9 +1,7 @@
 """Queries: baskets, co-occurrence, lift and recommendations
 (U4, A2, A12-A14, J4-J8, M14, M15, O2, O8, F21).
 
-Items are part brands (25) and baskets are built from pickups on or after
-the split day (about five lines per customer); over the whole period a
-customer holds most brands and every lift is near 1.
+Items are part brands (25); a basket is everything a patient ever picked up.
 """
 
 from __future__ import annotations
@@ -13,23 +11,20 @@ from pyspark.sql import functions as F
 from dosewise.operators import affinity as AF
 from dosewise.plans.q_courses import _round
 from dosewise.plans.registry import fills_sql, register
+from dosewise.session import stored
 from dosewise.sources import adapter as A
 
-MIN_LIFT = 1.3       # the reference's 1.5 selects almost nothing on random data
-MIN_SHARE = 0.20
+MIN_LIFT, MIN_SHARE = 1.5, 0.20
+ANY_LIFT = 1.0       # a second setting, under which random data gives suggestions too
 HAS, LACKS = "Brand#11", "Brand#12"
 
 PAIRS_SQL = f"""WITH fills AS ({fills_sql('p_brand')}),
-pairs AS (SELECT DISTINCT patient_id, drug_id FROM fills WHERE fill_dt >= DATE '{A.SPLIT_DATE}')"""
+pairs AS (SELECT DISTINCT patient_id, drug_id FROM fills)"""
 LIFT_SQL = f"""{PAIRS_SQL},
-items AS (SELECT DISTINCT drug_id FROM pairs),
 on_item AS (SELECT drug_id, COUNT(*) AS on_item FROM pairs GROUP BY drug_id),
 npat AS (SELECT COUNT(DISTINCT patient_id) AS n FROM pairs),
-cnt AS (SELECT x.drug_id AS a, y.drug_id AS b, COUNT(*) AS n FROM pairs x JOIN pairs y
-        ON x.patient_id = y.patient_id AND x.drug_id <> y.drug_id GROUP BY 1, 2),
-pc AS (SELECT i.drug_id AS a, j.drug_id AS b, COALESCE(cnt.n, 0) AS together
-       FROM items i JOIN items j ON i.drug_id <> j.drug_id
-       LEFT JOIN cnt ON cnt.a = i.drug_id AND cnt.b = j.drug_id),
+pc AS (SELECT x.drug_id AS a, y.drug_id AS b, COUNT(*) AS together FROM pairs x JOIN pairs y
+       ON x.patient_id = y.patient_id AND x.drug_id <> y.drug_id GROUP BY 1, 2),
 lift AS (SELECT pc.a, pc.b, pc.together, pc.together / oa.on_item AS share,
                 ob.on_item / (SELECT n FROM npat) AS baseline,
                 (pc.together / oa.on_item) / (ob.on_item / (SELECT n FROM npat)) AS lift
@@ -37,8 +32,8 @@ lift AS (SELECT pc.a, pc.b, pc.together, pc.together / oa.on_item AS share,
 
 
 def _pairs(spark, sf):
-    # the day bound is applied to the raw ship timestamp: pushed to the scan
-    return AF.patient_items(A.fills(spark, sf, "p_brand", since=A.SPLIT_DATE))
+    """All distinct (patient, item) pairs, written once: one fact scan."""
+    return stored(AF.patient_items(A.fills(spark, sf, "p_brand")), "pairs")
 
 
 def _lift(spark, sf):
@@ -65,7 +60,7 @@ def on_drug(spark, sf):
 
 @register("pair_counts", f"{LIFT_SQL} SELECT a, b, together FROM pc")
 def pair_counts(spark, sf):
-    """Patients holding both items, every ordered pair, zeros kept."""
+    """Patients holding both items, every ordered pair that occurs."""
     return AF.pair_counts(_pairs(spark, sf))
 
 
@@ -85,29 +80,42 @@ def top_lift(spark, sf):
 
 @register("candidate_items", f"""{LIFT_SQL}
 SELECT DISTINCT p.patient_id, l.b AS drug_id FROM pairs p JOIN lift l ON l.a = p.drug_id
-WHERE l.together > 0 AND NOT EXISTS (SELECT 1 FROM pairs q WHERE q.patient_id = p.patient_id AND q.drug_id = l.b)""")
+WHERE NOT EXISTS (SELECT 1 FROM pairs q WHERE q.patient_id = p.patient_id AND q.drug_id = l.b)""")
 def candidate_items(spark, sf):
     """Items a patient does not hold but that co-occur with one they hold
     (equi join to the pair table, anti join on the held items)."""
     pairs = _pairs(spark, sf)
     linked = (pairs.select("patient_id", F.col("drug_id").alias("a"))
-              .join(AF.pair_counts(pairs).filter(F.col("together") > 0), "a")
+              .join(AF.pair_counts(pairs), "a")
               .select("patient_id", F.col("b").alias("drug_id")).distinct())
     return linked.join(pairs, ["patient_id", "drug_id"], "left_anti")
 
 
-@register("recommendations", f"""{LIFT_SQL},
+def _recommend_sql(min_lift):
+    return f"""{LIFT_SQL},
 links AS (SELECT p.patient_id, l.a, l.b, l.share, l.lift FROM pairs p JOIN lift l ON l.a = p.drug_id
           WHERE NOT EXISTS (SELECT 1 FROM pairs q WHERE q.patient_id = p.patient_id AND q.drug_id = l.b)),
 best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY patient_id, b ORDER BY lift DESC, a) AS rn FROM links)
 SELECT patient_id, b AS suggest, a AS because_of, round(share, 6) AS share, round(lift, 6) AS lift
-FROM best WHERE rn = 1 AND lift >= {MIN_LIFT} AND share >= {MIN_SHARE}""")
+FROM best WHERE rn = 1 AND lift >= {min_lift} AND share >= {MIN_SHARE}"""
+
+
+def _recommend(spark, sf, min_lift):
+    pairs = _pairs(spark, sf)
+    return _round(AF.recommend(pairs, AF.lift_table(pairs), min_lift, MIN_SHARE), ["share", "lift"])
+
+
+@register("recommendations", _recommend_sql(MIN_LIFT))
 def recommendations(spark, sf):
     """For every patient, items not held whose strongest link passes
-    the lift and share thresholds."""
-    pairs = _pairs(spark, sf)
-    rec = AF.recommend(pairs, AF.lift_table(pairs), MIN_LIFT, MIN_SHARE)
-    return _round(rec, ["share", "lift"])
+    the lift and share thresholds (1.5 and 0.2)."""
+    return _recommend(spark, sf, MIN_LIFT)
+
+
+@register("recommendations_any_lift", _recommend_sql(ANY_LIFT))
+def recommendations_any_lift(spark, sf):
+    """M15/J8 with links of lift 1 and more."""
+    return _recommend(spark, sf, ANY_LIFT)
 
 
 @register("care_gap", f"""{PAIRS_SQL}

@@ -7,25 +7,21 @@ from pyspark.sql import functions as F
 from dosewise.operators import courses as C
 from dosewise.plans.registry import (CENSOR_SQL, DRUGS_SQL, HISTORY_SQL, ORDER_SQL,
                                      PATIENTS_SQL, fills_sql, register)
+from dosewise.plans.training_sql import statement
 from dosewise.sources import adapter as A
 
 R6 = 6  # rounding of means on both sides of the oracle
-# Courses with more pickups than this are cut into monthly blocks (skew guard
-# of the flagship; inactive unless some course is that large).
-HOT_COURSE_ROWS = 1_000_000
-
 
 def _round(df, cols, n=R6):
     return df.select(*[F.round(c, n).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def training_table(spark, sf, split_hot=HOT_COURSE_ROWS):
-    """The flagship model table (hot-course split on)."""
+def training_table(spark, sf):
+    """The flagship model table."""
     fills = A.fills(spark, sf)
     t = C.training_table(fills, A.patients(spark, sf), A.drugs(spark, sf),
                          last=C.last_day(A.table(spark, sf, "lineitem").select(
-                             F.col("l_shipdate").cast("date").alias("fill_dt"))),
-                         split_hot=split_hot)
+                             F.col("l_shipdate").cast("date").alias("fill_dt"))))
     return _round(t, ["avg_gap", "pct_late"])
 
 
@@ -60,8 +56,13 @@ def _lineitem_last(spark, sf):
     return C.last_day(A.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("fill_dt")))
 
 
+def _course_fills(spark, sf):
+    """The columns that course windows need."""
+    return _fills(spark, sf).select(*C.KEYS, "supply_days", *A.ORDER)
+
+
 def _history(spark, sf):
-    return C.course_history(_fills(spark, sf))
+    return C.course_history(_course_fills(spark, sf))
 
 
 WITH_FILLS = f"WITH fills AS ({fills_sql()})"
@@ -122,21 +123,21 @@ GAP_SQL = f"CAST(fill_dt - LAG(fill_dt) OVER (PARTITION BY patient_id, drug_id O
 @register("gaps", f"{WITH_FILLS} SELECT {IDS}, {GAP_SQL} AS gap FROM fills")
 def gaps(spark, sf):
     """Days since the previous pickup of the course."""
-    return C.with_gaps(_fills(spark, sf)).select(*IDS.split(", "), "gap")
+    return C.with_gaps(_course_fills(spark, sf)).select(*IDS.split(", "), "gap")
 
 
 @register("next_fill", f"{WITH_FILLS} SELECT {IDS}, LEAD(fill_dt) OVER (PARTITION BY patient_id, drug_id "
           f"ORDER BY {ORDER_SQL}) AS next_fill_dt FROM fills")
 def next_fill(spark, sf):
     """Day of the next pickup of the course."""
-    return C.next_date(_fills(spark, sf)).select(*IDS.split(", "), "next_fill_dt")
+    return C.next_date(_course_fills(spark, sf)).select(*IDS.split(", "), "next_fill_dt")
 
 
 @register("fill_number", f"{WITH_FILLS} SELECT {IDS}, CAST(ROW_NUMBER() OVER (PARTITION BY patient_id, drug_id "
           f"ORDER BY {ORDER_SQL}) AS INTEGER) AS fill_number FROM fills")
 def fill_number(spark, sf):
     """1-based pickup number in the course."""
-    return C.ordinal(_fills(spark, sf)).select(*IDS.split(", "), "fill_number")
+    return C.ordinal(_course_fills(spark, sf)).select(*IDS.split(", "), "fill_number")
 
 
 @register("expanding_history", f"{WITH_HIST} SELECT {IDS}, round(avg_gap, 6) AS avg_gap, "
@@ -150,14 +151,14 @@ def expanding_history(spark, sf):
 SELECT {IDS}, gap, CASE WHEN gap > supply_days + 14 THEN 1 ELSE 0 END AS late FROM g""")
 def late_flag_q(spark, sf):
     """Late when the gap exceeds supply + 14."""
-    return C.enrich_gaps(_fills(spark, sf)).select(*IDS.split(", "), "gap", "late")
+    return C.enrich_gaps(_course_fills(spark, sf)).select(*IDS.split(", "), "gap", "late")
 
 
 @register("early_flag", f"""{WITH_FILLS}, g AS (SELECT {IDS}, supply_days, {GAP_SQL} AS gap FROM fills)
 SELECT {IDS}, gap, CASE WHEN gap < supply_days * CAST(0.75 AS DOUBLE) THEN 1 ELSE 0 END AS is_early FROM g""")
 def early_flag_q(spark, sf):
     """Early when the gap is under 0.75 x supply."""
-    g = C.with_gaps(_fills(spark, sf))
+    g = C.with_gaps(_course_fills(spark, sf))
     return g.select(*IDS.split(", "), "gap", C.early_flag("gap", "supply_days").alias("is_early"))
 
 
@@ -166,13 +167,13 @@ SELECT * FROM g WHERE gap IS NOT NULL""")
 def gaps_only(spark, sf):
     """P5: refills only (first pickups dropped)."""
     from dosewise.operators.relational import drop_first
-    return drop_first(C.with_gaps(_fills(spark, sf)).select(*IDS.split(", "), "gap"), "gap")
+    return drop_first(C.with_gaps(_course_fills(spark, sf)).select(*IDS.split(", "), "gap"), "gap")
 
 
 @register("label", f"{WITH_HIST} SELECT {IDS}, next_fill_dt, runout_dt, days_late, came_back FROM hist")
 def label(spark, sf):
     """Next pickup, run-out day, days late and the label."""
-    return C.refill_label(_fills(spark, sf)).select(*IDS.split(", "), "next_fill_dt", "runout_dt",
+    return C.refill_label(_course_fills(spark, sf)).select(*IDS.split(", "), "next_fill_dt", "runout_dt",
                                                     "days_late", "came_back")
 
 
@@ -186,7 +187,7 @@ def runout_q(spark, sf):
 @register("censored", f"{WITH_HIST} SELECT {IDS}, runout_dt, came_back FROM hist WHERE {CENSOR_SQL}")
 def censored(spark, sf):
     """P10/A10: labels with run-out inside the last 14 days dropped."""
-    h = C.refill_label(_fills(spark, sf))
+    h = C.refill_label(_course_fills(spark, sf))
     return C.censor(h, _lineitem_last(spark, sf)).select(*IDS.split(", "), "runout_dt", "came_back")
 
 
@@ -194,7 +195,7 @@ def censored(spark, sf):
 def prev_gap(spark, sf):
     """Previous gap, filled from the supply days for first pickups."""
     from dosewise.operators.relational import fill_from
-    g = C.with_gaps(_fills(spark, sf), out="prev_gap").withColumn("prev_gap", F.col("prev_gap").cast("double"))
+    g = C.with_gaps(_course_fills(spark, sf), out="prev_gap").withColumn("prev_gap", F.col("prev_gap").cast("double"))
     return fill_from(g, "prev_gap", "supply_days").select(
         *IDS.split(", "), F.col("prev_gap").cast("double").alias("prev_gap"))
 
@@ -203,7 +204,7 @@ def prev_gap(spark, sf):
           "round(avg_gap, 6) AS avg_gap, round(pct_late, 6) AS pct_late FROM hist")
 def refill_features(spark, sf):
     """D3: the leak-free features of every pickup."""
-    h = C.refill_features(_fills(spark, sf))
+    h = C.refill_features(_course_fills(spark, sf))
     return _round(h.select(*IDS.split(", "), "prev_gap", "fill_number", "was_late", "avg_gap", "pct_late"),
                   ["avg_gap", "pct_late"])
 
@@ -221,34 +222,13 @@ def first_fill(spark, sf):
 
 # --- training table in SQL (D5) ------------------------------------------------------
 
-@register("training_table_sql", f"""{WITH_FILLS},
-patients AS ({PATIENTS_SQL}), drugs AS ({DRUGS_SQL}),
-base AS (
-  SELECT f.patient_id, f.drug_id, f.fill_dt, f.supply_days, d.drug_name, d.is_branded, p.birth_dt,
-         LEAD(f.fill_dt) OVER w AS next_fill_dt,
-         f.fill_dt - LAG(f.fill_dt) OVER w AS prev_gap_raw,
-         ROW_NUMBER() OVER w AS fill_number,
-         {', '.join('f.' + c for c in A.TIE)}
-  FROM fills f JOIN drugs d ON d.drug_id = f.drug_id JOIN patients p ON p.patient_id = f.patient_id
-  WINDOW w AS (PARTITION BY f.patient_id, f.drug_id ORDER BY f.fill_dt, {', '.join('f.' + c for c in A.TIE)})),
-gaps AS (SELECT *, COALESCE(prev_gap_raw, supply_days) AS prev_gap, CAST(fill_dt + supply_days AS DATE) AS runout_dt FROM base),
-flags AS (SELECT *, CASE WHEN prev_gap > supply_days + 14 THEN 1 ELSE 0 END AS was_late FROM gaps),
-history AS (
-  SELECT *, AVG(prev_gap) OVER h AS avg_gap, AVG(was_late) OVER h AS pct_late FROM flags
-  WINDOW h AS (PARTITION BY patient_id, drug_id ORDER BY fill_dt, {', '.join(A.TIE)}
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT CAST(year(fill_dt) - year(birth_dt)
-            - CASE WHEN month(fill_dt) < month(birth_dt)
-                     OR (month(fill_dt) = month(birth_dt) AND day(fill_dt) < day(birth_dt))
-                   THEN 1 ELSE 0 END AS INTEGER) AS patient_age,
-       drug_name, is_branded, supply_days, CAST(fill_number AS INTEGER) AS fill_number,
-       CAST(prev_gap AS INTEGER) AS prev_gap, was_late,
-       round(avg_gap, 4) AS avg_gap,
-       round(pct_late, 4) AS pct_late,
-       runout_dt,
-       CASE WHEN next_fill_dt IS NOT NULL AND next_fill_dt - runout_dt <= 14 THEN 1 ELSE 0 END AS came_back
-FROM history
-WHERE {CENSOR_SQL}""")
+TRAINING_STATEMENT_SQL = statement(
+    "CAST({later} - {earlier} AS INTEGER)", "CAST({d} + CAST({n} AS INTEGER) AS DATE)", "strftime({d}, '%m%d')",
+    f"({fills_sql()}) f", f"(SELECT drug_id, drug_name, is_branded FROM ({DRUGS_SQL})) d",
+    f"(SELECT patient_id, birth_dt FROM ({PATIENTS_SQL})) p", "(SELECT MAX(CAST(l_shipdate AS DATE)) FROM lineitem)")
+
+
+@register("training_table_sql", TRAINING_STATEMENT_SQL)
 def training_table_sql(spark, sf):
     """The training table as one Spark SQL statement."""
     from dosewise.plans.training_sql import training_table_sql as run

@@ -208,7 +208,7 @@ def _known_flagged(spark, sf):
     a week."""
     c = PR.controlled_fills(_fills(spark, sf), A.drugs(spark, sf))
     known = R.frequent(c, "patient_id", 8).select("patient_id")
-    g = C.with_gaps(c)
+    g = C.with_gaps(c.select(*C.KEYS, "supply_days", *A.ORDER))
     flagged = g.groupBy("patient_id").agg(F.min("gap").alias("m")).filter(F.col("m") < 7).select("patient_id")
     return known, flagged
 

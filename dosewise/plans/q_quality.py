@@ -18,7 +18,7 @@ from dosewise.operators import metrics as M
 from dosewise.operators import profiles as PR
 from dosewise.operators import relational as R
 from dosewise.operators import stats as S
-from dosewise.plans.q_courses import (CENSOR_SQL, ORDER_SQL, WITH_FILLS, WITH_HIST, _fills,
+from dosewise.plans.q_courses import (CENSOR_SQL, ORDER_SQL, WITH_FILLS, WITH_HIST, _course_fills, _fills,
                                       _lineitem_last, _round, training_table)
 from dosewise.plans.q_explore import CONTROLLED_SQL
 from dosewise.plans.registry import PATIENTS_SQL, register
@@ -77,7 +77,7 @@ def early_days(spark, sf):
     """Days of supply left at pickup (NULL for the first pickup) and
     the early flag."""
     from dosewise.functions.scalars import clip_low
-    c = C.with_gaps(PR.controlled_fills(_fills(spark, sf), A.drugs(spark, sf)))
+    c = C.with_gaps(PR.controlled_fills(_course_fills(spark, sf), A.drugs(spark, sf)))
     return c.select("patient_id", "drug_id", "fill_dt", "l_orderkey", "l_linenumber", "gap",
                     clip_low(F.col("supply_days") - F.col("gap"), 0).alias("early_days"),
                     C.early_flag("gap", "supply_days").alias("is_early"))
@@ -89,7 +89,7 @@ SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber,
 def late_ratio(spark, sf):
     """gap / supply per pickup (NULL for the first)."""
     from dosewise.functions.scalars import ratio
-    g = C.with_gaps(_fills(spark, sf))
+    g = C.with_gaps(_course_fills(spark, sf))
     return _round(g.select("patient_id", "drug_id", "fill_dt", "l_orderkey", "l_linenumber",
                            ratio("gap", "supply_days").alias("late_ratio")), ["late_ratio"])
 
@@ -155,13 +155,13 @@ psi AS (SELECT c.feature, COALESCE(SUM((l.share - b.share) * ln(l.share / b.shar
 
 
 def _base_live(spark, sf):
-    t = training_table(spark, sf, split_hot=None)
+    t = training_table(spark, sf)
     return R.temporal_split(t, "runout_dt", SPLIT)
 
 
 def _sided(spark, sf):
     """The training table with a ``live`` flag (run-out on/after the split)."""
-    t = training_table(spark, sf, split_hot=None)
+    t = training_table(spark, sf)
     return t.withColumn("live", F.col("runout_dt") >= F.lit(SPLIT).cast("date"))
 
 

@@ -43,57 +43,68 @@ def stream_daily_units(spark, sf):
     return out.withColumn("units", F.round("units", 4))
 
 
-@register("stream_history_keyed", f"{WITH_HIST} SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, fill_number, "
-          "prev_gap, was_late, round(avg_gap, 6) AS avg_gap, round(pct_late, 6) AS pct_late, false AS late_arrival FROM hist")
-def stream_history_keyed(spark, sf):
-    """ST3: running course features from keyed state (one Python call per
-    course and micro-batch), one row per pickup."""
+HISTORY_STREAM_SQL = f"""{WITH_HIST} SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, fill_number,
+prev_gap, was_late, round(avg_gap, 6) AS avg_gap, round(pct_late, 6) AS pct_late, false AS late_arrival FROM hist"""
+
+
+@register("stream_history", HISTORY_STREAM_SQL)
+def stream_history(spark, sf):
+    """ST3: running course features from keyed state, one row per pickup."""
     s = J.stream_history(J.stream_fills(spark, sf))
     return _round(_sink(spark, s, "history"), ["avg_gap", "pct_late"])
 
 
-@register("stream_labels_keyed", f"""{WITH_HIST}
+@register("stream_history_batches", HISTORY_STREAM_SQL)
+def stream_history_batches(spark, sf):
+    """ST3 over four micro-batches in day order: state is carried."""
+    s = J.stream_history(J.stream_fills(spark, _in_day_order(spark, sf), max_files=1))
+    return _round(_sink(spark, s, "history"), ["avg_gap", "pct_late"])
+
+
+LABEL_STREAM_SQL = f"""{WITH_HIST}
 SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, runout_dt, came_back,
        CASE WHEN next_fill_dt IS NOT NULL THEN 'next' ELSE 'timer' END AS resolved_by
-FROM hist WHERE next_fill_dt IS NOT NULL OR {CENSOR_SQL.replace("<=", "<")}""")
-def stream_labels_keyed(spark, sf):
+FROM hist WHERE next_fill_dt IS NOT NULL OR {CENSOR_SQL.replace("<=", "<")}"""
+
+
+@register("stream_labels", LABEL_STREAM_SQL)
+def stream_labels(spark, sf):
     """ST7: labels resolved by the next pickup, or by an event-time timer once
     the watermark (latest pickup day - 1 day) passes run-out + 14 days."""
     s = J.stream_labels(J.stream_fills(spark, sf, delay="1 day"))
     return _sink(spark, s, "labels")
 
 
-@register("stream_history", f"{WITH_HIST} SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, fill_number, "
-          "prev_gap, was_late, round(avg_gap, 6) AS avg_gap, round(pct_late, 6) AS pct_late, false AS late_arrival FROM hist")
-def stream_history(spark, sf):
-    """ST3: running course features, state kept as a per-course table
-    (one join and one window pass per micro-batch)."""
-    path = J.scratch(spark, "history-tables")
-    handle = J.history_batches(path + "/state", path + "/out")
-    J.run_available(J.stream_fills(spark, sf).writeStream.foreachBatch(handle), path + "/ckpt")
-    out = spark.read.parquet(path + "/out").drop("batch_id")
-    return _round(out, ["avg_gap", "pct_late"])
-
-
-@register("stream_labels", f"""{WITH_HIST}
-SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, runout_dt, came_back,
-       CASE WHEN next_fill_dt IS NOT NULL THEN 'next' ELSE 'timer' END AS resolved_by
+@register("stream_labels_batches", f"""{WITH_HIST}
+SELECT patient_id, drug_id, fill_dt, l_orderkey, l_linenumber, runout_dt, came_back
 FROM hist WHERE next_fill_dt IS NOT NULL OR {CENSOR_SQL.replace("<=", "<")}""")
-def stream_labels(spark, sf):
-    """ST7: labels resolved by the next pickup, or once the watermark (latest
-    pickup day - 1 day) passes run-out + 14 days; pending pickups kept as a
-    per-course table."""
-    path = J.scratch(spark, "label-tables")
-    handle = J.labels_batches(path + "/state", path + "/out")
-    J.run_available(J.stream_fills(spark, sf, delay="1 day").writeStream.foreachBatch(handle), path + "/ckpt")
-    return spark.read.parquet(path + "/out").drop("batch_id")
+def stream_labels_batches(spark, sf):
+    """ST7 over four micro-batches in day order.  A timer can fire before a
+    pickup that comes late arrives; both give the same label."""
+    s = J.stream_labels(J.stream_fills(spark, _in_day_order(spark, sf), delay="1 day", max_files=1))
+    return _sink(spark, s, "labels").drop("resolved_by")
+
+
+def _in_day_order(spark, sf, files=4):
+    """The tables with the line items as ``files`` files in day order."""
+    path = J.scratch(spark, "in-order")
+    for t in ("orders", "part"):
+        spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(f"{path}/{t}.parquet")
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    day = F.unix_date(F.col("l_shipdate").cast("date"))
+    q = li.agg(F.percentile_approx(day, [k / files for k in range(1, files)]).alias("q")).first()["q"]
+    for lo, hi in zip([None, *q], [*q, None]):
+        part = li if lo is None else li.filter(day >= lo)
+        part = part if hi is None else part.filter(day < hi)
+        part.coalesce(1).write.mode("append").parquet(f"{path}/lineitem.parquet")
+    return path
 
 
 def _train_test_files(spark, sf, parts=4):
     from dosewise.ml.prep import numeric_view
     from dosewise.plans.q_courses import training_table
     from dosewise.sources.adapter import SPLIT_DATE
-    t = numeric_view(training_table(spark, sf, split_hot=None))
+    t = numeric_view(training_table(spark, sf))
     train = t.filter(F.col("runout_dt") < F.lit(SPLIT_DATE).cast("date"))
     path = J.scratch(spark, "requests")
     t.filter(F.col("runout_dt") >= F.lit(SPLIT_DATE).cast("date")).repartition(parts).write.parquet(path)

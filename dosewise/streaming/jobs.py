@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dosewise.session import ensure_checkpoint_dir
+from dosewise.session import ensure_checkpoint_dir, stored
 from dosewise.sources.adapter import LONG_SUPPLY_TYPES, TIE
 
 DAY_MS = 86_400_000
@@ -57,8 +57,10 @@ def run_available(writer, checkpoint: str, timeout_s: float | None = None,
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     try:
         q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        q.awaitTermination(timeout_s)
+        done = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination(), True)[1]
         q.stop()
+        if not done:
+            raise TimeoutError(f"the stream had not read all its input after {timeout_s} s; its output is not complete")
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     return q
@@ -146,36 +148,37 @@ def _sorted(pdf: pd.DataFrame):
     return order, days[order]
 
 
+def _whole(pdfs) -> pd.DataFrame | None:
+    """All rows of a key: they can arrive in several frames, in any order."""
+    parts = [p for p in pdfs if len(p)]
+    return pd.concat(parts, ignore_index=True) if parts else None
+
+
 def _history_fn(grace: int):
     cols = [f.name for f in HISTORY_OUT.fields]
 
     def fn(key, pdfs, state):
         n, last, sum_gap, n_late = state.get if state.exists else (0, None, 0.0, 0)
-        outs = []
-        for pdf in pdfs:
-            order, days = _sorted(pdf)
-            days = days.astype(float)
-            sup = pdf["supply_days"].to_numpy()[order].astype(float)
-            # latest day seen before each row (state first, then the batch)
-            head = np.array([np.nan if last is None else float(last)])
-            prev = np.fmax.accumulate(np.concatenate([head, days]))[:-1]
-            gap = np.where(np.isnan(prev), sup, days - prev)
-            late = (gap > sup + grace).astype("int32")
-            k = n + np.arange(1, len(days) + 1)
-            cs_gap, cs_late = sum_gap + np.cumsum(gap), n_late + np.cumsum(late)
-            outs.append(pd.DataFrame({
-                "patient_id": pdf["patient_id"].to_numpy()[order], "drug_id": pdf["drug_id"].to_numpy()[order],
-                "fill_dt": pdf["fill_dt"].to_numpy()[order], "l_orderkey": pdf["l_orderkey"].to_numpy()[order],
-                "l_linenumber": pdf["l_linenumber"].to_numpy()[order], "fill_number": k.astype("int32"),
-                "prev_gap": gap, "was_late": late, "avg_gap": cs_gap / k, "pct_late": cs_late / k,
-                "late_arrival": ~np.isnan(prev) & (days < prev)}, columns=cols))
-            n, sum_gap, n_late = int(k[-1]), float(cs_gap[-1]), int(cs_late[-1])
-            last = int(np.nanmax(np.concatenate([head, days])))
-        state.update((n, last, sum_gap, n_late))
-        if not outs:
+        pdf = _whole(pdfs)
+        if pdf is None:
             yield pd.DataFrame(columns=cols)
-        else:
-            yield outs[0] if len(outs) == 1 else pd.concat(outs, ignore_index=True)
+            return
+        order, days = _sorted(pdf)
+        days = days.astype(float)
+        pdf = pdf.iloc[order]
+        sup = pdf["supply_days"].to_numpy().astype(float)
+        # latest day seen before each row (state first, then the batch)
+        head = np.array([np.nan if last is None else float(last)])
+        prev = np.fmax.accumulate(np.concatenate([head, days]))[:-1]
+        gap = np.where(np.isnan(prev), sup, days - prev)
+        late = (gap > sup + grace).astype("int32")
+        k = n + np.arange(1, len(days) + 1)
+        cs_gap, cs_late = sum_gap + np.cumsum(gap), n_late + np.cumsum(late)
+        state.update((int(k[-1]), int(np.nanmax(np.concatenate([head, days]))), float(cs_gap[-1]), int(cs_late[-1])))
+        yield pd.DataFrame({
+            **{c: pdf[c].to_numpy() for c in ("patient_id", "drug_id", "fill_dt", "l_orderkey", "l_linenumber")},
+            "fill_number": k.astype("int32"), "prev_gap": gap, "was_late": late, "avg_gap": cs_gap / k,
+            "pct_late": cs_late / k, "late_arrival": ~np.isnan(prev) & (days < prev)}, columns=cols)
     return fn
 
 
@@ -216,29 +219,24 @@ def _labels_fn(grace: int):
                         np.array([ok], dtype="int64"), np.array([ln], dtype="int32"),
                         np.array([0], dtype="int32"), "timer")
             return
-        pending = state.get if state.exists else None
-        outs = []
-        for pdf in pdfs:
-            order, day = _sorted(pdf)
-            sup = pdf["supply_days"].to_numpy()[order].astype("int64")
-            ok = pdf["l_orderkey"].to_numpy()[order].astype("int64")
-            ln = pdf["l_linenumber"].to_numpy()[order].astype("int64")
-            if pending is not None:        # the waiting pickup is resolved by this batch's first one
-                day, sup = np.concatenate([[pending[0]], day]), np.concatenate([[pending[1]], sup])
-                ok, ln = np.concatenate([[pending[2]], ok]), np.concatenate([[pending[3]], ln])
-            if len(day) > 1:
-                came = (day[1:] - (day[:-1] + sup[:-1]) <= grace).astype("int32")
-                outs.append(frame(key, day[:-1], sup[:-1], ok[:-1], ln[:-1].astype("int32"), came, "next"))
-            pending = (int(day[-1]), int(sup[-1]), int(ok[-1]), int(ln[-1]))
-        if pending is None:
+        pdf = _whole(pdfs)
+        if pdf is None:
+            yield pd.DataFrame(columns=cols)
             return
-        state.update(pending)
+        order, day = _sorted(pdf)
+        pdf = pdf.iloc[order]
+        sup, ok, ln = (pdf[c].to_numpy().astype("int64") for c in ("supply_days", "l_orderkey", "l_linenumber"))
+        if state.exists:        # the waiting pickup is resolved by this batch's first one
+            day, sup, ok, ln = (np.concatenate([[v], x]) for v, x in zip(state.get, (day, sup, ok, ln)))
+        wait = tuple(int(x[-1]) for x in (day, sup, ok, ln))
+        state.update(wait)
         # fires once the watermark passes run-out + grace days
-        state.setTimeoutTimestamp((pending[0] + pending[1] + grace) * DAY_MS - 1)
-        if not outs:
-            yield pd.DataFrame(columns=cols)
+        state.setTimeoutTimestamp((wait[0] + wait[1] + grace) * DAY_MS - 1)
+        if len(day) > 1:
+            came = (day[1:] - (day[:-1] + sup[:-1]) <= grace).astype("int32")
+            yield frame(key, day[:-1], sup[:-1], ok[:-1], ln[:-1].astype("int32"), came, "next")
         else:
-            yield outs[0] if len(outs) == 1 else pd.concat(outs, ignore_index=True)
+            yield pd.DataFrame(columns=cols)
     return fn
 
 
@@ -285,10 +283,10 @@ def stream_forecast(model, out_path: str) -> Callable:
 
 def stream_drift(base: DataFrame, cols: list[str], out_path: str, bins: int = 10) -> Callable:
     """ST6: foreachBatch function scoring each micro-batch's PSI against the
-    baseline's cut points (computed once, kept as a small cached table)."""
+    baseline's cut points (computed once, kept as a small written table)."""
     from dosewise.operators import drift as DR
-    cuts = DR.psi_cuts(base, cols, bins).cache()
-    e = DR.bucket_shares(base, cols, cuts).withColumnRenamed("share", "e").cache()
+    cuts = stored(DR.psi_cuts(base, cols, bins), "cuts")
+    e = stored(DR.bucket_shares(base, cols, cuts).withColumnRenamed("share", "e"), "shares")
 
     def handle(batch: DataFrame, batch_id: int):
         a = DR.bucket_shares(batch, cols, cuts).withColumnRenamed("share", "a")
@@ -300,127 +298,3 @@ def stream_drift(base: DataFrame, cols: list[str], out_path: str, bins: int = 10
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))
     return handle
-
-
-# --- ST3/ST7 with per-course state tables (JVM windows, no Python per key) ------------------
-#
-# The keyed-state functions above call Python once per course and micro-batch.
-# These forms keep the same state as a table of one row per course, written
-# as a new version per micro-batch under the shared checkpoint folder
-# (version k is read back by batch k + 1; a replayed batch rereads version
-# k - 1 and overwrites version k, so replays are idempotent).  Each batch is
-# one join of its courses to the state and one window pass.
-
-COURSE = ["patient_id", "drug_id"]
-
-
-def _read_version(spark, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
-    if batch_id > 0:
-        try:
-            return spark.read.schema(schema).parquet(f"{path}/v={batch_id - 1}")
-        except Exception:  # noqa: BLE001 - no earlier version yet
-            pass
-    return spark.createDataFrame([], schema)
-
-
-HISTORY_TABLE_STATE = T.StructType([
-    T.StructField("patient_id", T.LongType()), T.StructField("drug_id", T.StringType()),
-    T.StructField("s_n", T.LongType()), T.StructField("s_last", T.DateType()),
-    T.StructField("s_gap", T.DoubleType()), T.StructField("s_late", T.LongType()),
-])
-
-
-def history_batches(state_path: str, out_path: str, grace: int = 14) -> Callable:
-    """ST3 as a foreachBatch function: features of each arriving pickup from
-    the course's state row plus the batch's own earlier pickups."""
-    from pyspark.sql import Window
-
-    def handle(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        state = _read_version(spark, state_path, batch_id, HISTORY_TABLE_STATE)
-        b = batch.select(*COURSE, "fill_dt", "supply_days", *TIE).join(state, COURSE, "left")
-        w = Window.partitionBy(*COURSE).orderBy("fill_dt", *TIE)
-        run = w.rowsBetween(Window.unboundedPreceding, 0)
-        prev = F.greatest(F.lag("fill_dt").over(w), F.col("s_last"))
-        b = b.withColumn("_prev", prev)
-        gap = F.coalesce(F.datediff("fill_dt", "_prev").cast("double"), F.col("supply_days").cast("double"))
-        b = b.withColumn("prev_gap", gap)
-        b = b.withColumn("was_late", (F.col("prev_gap") > F.col("supply_days") + grace).cast("int"))
-        b = b.select("*", F.row_number().over(w).alias("_k"), F.sum("prev_gap").over(run).alias("_cg"),
-                     F.sum("was_late").over(run).alias("_cl")).persist()   # feeds the output and the next state
-        n0, g0, l0 = (F.coalesce(F.col(c), F.lit(z)) for c, z in [("s_n", 0), ("s_gap", 0.0), ("s_late", 0)])
-        k = F.col("_k") + n0
-        out = b.select(*COURSE, "fill_dt", "l_orderkey", "l_linenumber", k.cast("int").alias("fill_number"),
-                       "prev_gap", "was_late", ((F.col("_cg") + g0) / k).alias("avg_gap"),
-                       ((F.col("_cl") + l0) / k).alias("pct_late"),
-                       (F.col("_prev").isNotNull() & (F.col("fill_dt") < F.col("_prev"))).alias("late_arrival"),
-                       F.lit(batch_id).alias("batch_id"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
-        # next state: old offsets (constant per course) plus this batch's exact sums
-        touched = b.groupBy(*COURSE).agg(
-            (F.count(F.lit(1)) + F.coalesce(F.max("s_n"), F.lit(0))).cast("long").alias("s_n"),
-            F.greatest(F.max("fill_dt"), F.max("s_last")).alias("s_last"),
-            (F.sum("prev_gap") + F.coalesce(F.max("s_gap"), F.lit(0.0))).alias("s_gap"),
-            (F.sum("was_late") + F.coalesce(F.max("s_late"), F.lit(0))).cast("long").alias("s_late"))
-        new = state.join(touched.select(*COURSE), COURSE, "left_anti").unionByName(touched)
-        new.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
-        b.unpersist()
-    return handle
-
-
-LABEL_TABLE_STATE = T.StructType([
-    T.StructField("patient_id", T.LongType()), T.StructField("drug_id", T.StringType()),
-    T.StructField("p_fill_dt", T.DateType()), T.StructField("p_supply", T.IntegerType()),
-    T.StructField("p_orderkey", T.LongType()), T.StructField("p_linenumber", T.IntegerType()),
-    T.StructField("watermark", T.DateType()),
-])
-
-
-def labels_batches(state_path: str, out_path: str, grace: int = 14, delay_days: int = 1) -> Callable:
-    """ST7 as a foreachBatch function: each course keeps its one pickup still
-    waiting for a label; the next pickup resolves it, and once the watermark
-    (latest event day seen - delay) passes run-out + grace it is resolved as
-    0 (the timer).  With in-order arrival a delay of 1 day is exact: a later
-    pickup on the latest day can still resolve it."""
-    from pyspark.sql import Window
-
-    def handle(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        state = _read_version(spark, state_path, batch_id, LABEL_TABLE_STATE)
-        old_wm = state.agg(F.max("watermark")).first()[0]
-        cur = batch.agg(F.max("fill_dt")).first()[0]
-        wm = max([d for d in (old_wm, cur) if d is not None], default=None)
-        rows = batch.select(*COURSE, "fill_dt", "supply_days", "l_orderkey", "l_linenumber",
-                            *[c for c in TIE if c not in ("l_orderkey", "l_linenumber")])
-        pend = state.select(*COURSE, F.col("p_fill_dt").alias("fill_dt"), F.col("p_supply").alias("supply_days"),
-                            F.col("p_orderkey").alias("l_orderkey"), F.col("p_linenumber").alias("l_linenumber"),
-                            *[F.lit(None).cast(rows.schema[c].dataType).alias(c)
-                              for c in TIE if c not in ("l_orderkey", "l_linenumber")])
-        # only the pending rows of courses present in this batch take part
-        pend_hit = pend.join(rows.select(*COURSE).distinct(), COURSE, "left_semi").withColumn("_old", F.lit(0))
-        allr = pend_hit.unionByName(rows.withColumn("_old", F.lit(1)))
-        w = Window.partitionBy(*COURSE).orderBy("_old", "fill_dt", *TIE)
-        allr = allr.withColumn("_next", F.lead("fill_dt").over(w))
-        allr = allr.withColumn("runout_dt", F.date_add("fill_dt", F.col("supply_days"))).persist()
-        done = allr.filter(F.col("_next").isNotNull()).select(
-            *COURSE, "fill_dt", "l_orderkey", "l_linenumber", "runout_dt",
-            (F.datediff("_next", "runout_dt") <= grace).cast("int").alias("came_back"),
-            F.lit("next").alias("resolved_by"))
-        last = allr.filter(F.col("_next").isNull()).select(
-            *COURSE, F.col("fill_dt").alias("p_fill_dt"), F.col("supply_days").alias("p_supply"),
-            F.col("l_orderkey").alias("p_orderkey"), F.col("l_linenumber").alias("p_linenumber"))
-        pending = state.drop("watermark").join(last.select(*COURSE), COURSE, "left_anti").unionByName(last)
-        due = F.date_add("p_fill_dt", F.col("p_supply") + grace + delay_days) <= F.lit(wm)
-        fired = pending.filter(due).select(
-            *COURSE, F.col("p_fill_dt").alias("fill_dt"), F.col("p_orderkey").alias("l_orderkey"),
-            F.col("p_linenumber").alias("l_linenumber"),
-            F.date_add("p_fill_dt", F.col("p_supply")).alias("runout_dt"),
-            F.lit(0).alias("came_back"), F.lit("timer").alias("resolved_by"))
-        out = done.unionByName(fired).withColumn("batch_id", F.lit(batch_id))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
-        pending.filter(~due).withColumn("watermark", F.lit(wm)).write.mode("overwrite") \
-            .parquet(f"{state_path}/v={batch_id}")
-        allr.unpersist()
-    return handle
