@@ -75,26 +75,64 @@ def test_expanding_uses_rows_not_range(spark):
     assert r[2]["avg_gap"] == pytest.approx((30 + 60 + 0) / 3)
 
 
-def test_split_hot_courses_equal_plain(spark):
+def plain_history(df):
+    """The same by plain windows over whole courses."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*C.KEYS).orderBy(*C.ORDER)
+    past = w.rowsBetween(Window.unboundedPreceding, 0)
+    d = df.select("*", F.lead("fill_dt").over(w).alias("next_fill_dt"), F.row_number().over(w).alias("fill_number"),
+                  F.coalesce(F.datediff("fill_dt", F.lag("fill_dt").over(w)), "supply_days").cast("double").alias("prev_gap"))
+    d = d.withColumn("was_late", (F.col("prev_gap") > F.col("supply_days") + 14).cast("int"))
+    d = d.withColumn("days_late", F.datediff("next_fill_dt", F.date_add("fill_dt", F.col("supply_days"))))
+    return d.select("*", F.avg("prev_gap").over(past).alias("avg_gap"), F.avg("was_late").over(past).alias("pct_late"),
+                    F.coalesce(F.col("days_late") <= 14, F.lit(False)).cast("int").alias("came_back"))
+
+
+def one_month_course(spark):
+    """A course with most rows, all in one month, beside small courses."""
     rng = random.Random(3)
-    rows = []
+    rows = [(9, 1, f"2024-03-{rng.randint(1, 31):02d}", 30) for _ in range(400)]
     for p in range(1, 6):
         day = D("2023-01-01")
-        for _ in range(rng.randint(1, 40 if p == 1 else 6)):
+        for _ in range(rng.randint(1, 20)):
             day = day.fromordinal(day.toordinal() + rng.randint(0, 70))
             rows.append((p, rng.choice([1, 2]), day.isoformat(), rng.choice([30, 90])))
-    f = make_fills(spark, rows)
-    a = C.course_history(f)
-    b = C.course_history(f, split_hot=5)
+    return make_fills(spark, rows)
+
+
+@pytest.fixture
+def many_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_course_cut_by_many_ranges_equals_plain_windows(spark, many_ranges):
+    f = one_month_course(spark)
+    d = C.ranged(f)
+    per = [r["count"] for r in d.groupBy(C.RANGE).count().collect()]
+    assert len(per) == 12 and max(per) < 120          # the large course is spread
     cols = ["l_orderkey", "fill_number", "prev_gap", "was_late", "avg_gap", "pct_late", "next_fill_dt", "came_back"]
-    ra = sorted(tuple(x) for x in a.select(*cols).collect())
-    rb = sorted(tuple(x) for x in b.select(*cols).collect())
-    assert len(ra) == len(rb)
-    for x, y in zip(ra, rb):
+    a = sorted(tuple(x) for x in C.course_history(f).select(*cols).collect())
+    b = sorted(tuple(x) for x in plain_history(f).select(*cols).collect())
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
         assert x[:4] == y[:4] and x[6:] == y[6:]
         assert x[4] == pytest.approx(y[4]) and x[5] == pytest.approx(y[5])
 
 
+def test_refill_windows_of_cut_courses_equal_one_range(spark, many_ranges):
+    from dosewise.operators import profiles as PR
+    f = one_month_course(spark)
+    last = F.lit("2024-12-31").cast("date")
+    cut = sorted(tuple(r) for r in PR.refill_windows(f, last).collect())
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    whole = sorted(tuple(r) for r in PR.refill_windows(f, last).collect())
+    assert len(whole) > 390 and cut == whole
+
+
 def test_no_future_leakage(spark):
     """Cutting the input after day t leaves the features of rows <= t unchanged."""
     rows = H1A + H1B + [(3, 2, "2024-02-10", 90), (3, 2, "2024-06-01", 90), (3, 2, "2024-08-15", 90)]
@@ -113,16 +151,3 @@ def test_h19_two_age_rules(spark):
     r = df.select(age_calendar("d", "b").alias("cal"), age_365("d", "b").alias("d365")).collect()
     assert (r[0]["cal"], r[0]["d365"]) == (23, 24)
     assert r[1]["cal"] == 22
-
-
-def test_profiles_with_hot_split_equal_plain(spark):
-    from dosewise.operators import profiles as PR
-    rows = H1A + H1B + [(3, "PROMO", "2024-01-05", 30), (3, "PROMO", "2024-01-20", 30), (3, "PROMO", "2024-03-01", 30),
-                        (3, "PROMO", "2024-04-15", 30), (4, "PROMO", "2024-02-02", 30)]
-    f = make_fills(spark, rows)
-    pats = spark.createDataFrame([(p, D("1980-01-01")) for p in range(1, 5)], "patient_id long, birth_dt date")
-    drugs = spark.createDataFrame([("PROMO", 5), ("1", 0)], "drug_id string, drug_class int")
-    last = F.lit("2024-12-31").cast("date")
-    for a, b in [(PR.patient_profile(f, pats, last), PR.patient_profile(f, pats, last, split_hot=2)),
-                 (PR.controlled_profile(f, drugs), PR.controlled_profile(f, drugs, split_hot=2))]:
-        assert sorted(a.collect()) == sorted(b.collect())

@@ -14,15 +14,15 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_course_windows_share_one_exchange(spark):
-    """All label and feature windows of a course run after one hash exchange
-    on (patient, drug)."""
-    f = A.fills(spark, SF0001)
-    h = C.course_history(f)
+def test_course_pass_reads_the_facts_once(spark):
+    """The windows run over the checkpointed ranges: no fact scan is left in
+    the plan, all windows of a slice share one exchange, no Python."""
+    h = C.course_history(A.fills(spark, SF0001))
     plan = _plan(h)
-    window_exchanges = re.findall(r"Exchange hashpartitioning\(patient_id#\d+L?, drug_id#\d+", plan)
-    assert len(window_exchanges) == 1
+    assert "lineitem" not in plan and "FileScan" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    main = plan.split("BroadcastExchange")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(_range#\d+", main)) == 1
 
 
 def test_training_table_has_no_python_and_prunes_columns(spark):
@@ -80,8 +80,12 @@ def test_oracle_matches_on_small_tables(spark):
 
 
 def test_pickup_day_bounds_reach_the_scan(spark):
-    from dosewise.plans import load_all
-    q, _ = load_all()
-    plan = _plan(q["patient_drug"](spark, SF0001))
+    plan = _plan(A.fills(spark, SF0001, since=A.SPLIT_DATE))
     scans = [l for l in plan.splitlines() if "lineitem" in l and "PushedFilters" in l]
     assert scans and "GreaterThanOrEqual(l_shipdate" in scans[0]
+
+
+def test_pair_counts_read_the_facts_once(spark):
+    from dosewise.plans import load_all
+    plan = _plan(load_all()[0]["lift_table"](spark, SF0001))
+    assert "lineitem" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -30,37 +30,44 @@ def chunked_dir(spark):
     return d
 
 
-def test_history_over_batches(spark, chunked_dir):
+@pytest.fixture(params=["50", "10000"])
+def frame_rows(request, spark):
+    """Rows per Arrow frame: few, so that a key's rows arrive in many frames."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", request.param)
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_history_over_batches(spark, chunked_dir, frame_rows):
     from dosewise.plans.q_courses import refill_features
     cols = ["patient_id", "fill_dt", "l_orderkey", "l_linenumber", "fill_number", "prev_gap", "was_late",
             "avg_gap", "pct_late"]
-    path = J.scratch(spark, "t-hist")
-    handle = J.history_batches(path + "/state", path + "/out")
-    J.run_available(J.stream_fills(spark, chunked_dir, max_files=1).writeStream.foreachBatch(handle), path + "/ckpt")
-    out = spark.read.parquet(path + "/out")
-    assert out.select("batch_id").distinct().count() == 4
-    t = out.select(*[F.round(c, 6).alias(c) if c in ("avg_gap", "pct_late") else c for c in cols])
     b = refill_features(spark, SF0001).select(*cols)
-    assert t.exceptAll(b).count() == 0 and b.exceptAll(t).count() == 0
-
-    k = J.stream_history(J.stream_fills(spark, chunked_dir, max_files=1))
-    kp = J.scratch(spark, "t-hist-k")
-    J.run_available(k.writeStream.format("parquet").option("path", kp + "/out"), kp + "/ckpt")
-    ko = spark.read.parquet(kp + "/out").select(
-        *[F.round(c, 6).alias(c) if c in ("avg_gap", "pct_late") else c for c in cols])
-    assert ko.exceptAll(b).count() == 0 and b.exceptAll(ko).count() == 0
+    for source in (chunked_dir, SF0001):
+        k = J.stream_history(J.stream_fills(spark, source, max_files=1))
+        kp = J.scratch(spark, "t-hist-k")
+        J.run_available(k.writeStream.format("parquet").option("path", kp + "/out"), kp + "/ckpt")
+        ko = spark.read.parquet(kp + "/out").select(
+            *[F.round(c, 6).alias(c) if c in ("avg_gap", "pct_late") else c for c in cols])
+        assert ko.exceptAll(b).count() == 0 and b.exceptAll(ko).count() == 0
 
 
-def test_labels_over_batches_agree(spark, chunked_dir):
+def test_labels_over_batches(spark, chunked_dir, frame_rows):
+    from dosewise.operators.courses import last_day
+    from dosewise.plans.q_courses import label
     cols = ["patient_id", "drug_id", "fill_dt", "l_orderkey", "l_linenumber", "runout_dt", "came_back"]
-    path = J.scratch(spark, "t-lab")
-    handle = J.labels_batches(path + "/state", path + "/out")
-    J.run_available(J.stream_fills(spark, chunked_dir, delay="1 day", max_files=1).writeStream.foreachBatch(handle),
-                    path + "/ckpt")
-    t = spark.read.parquet(path + "/out").select(*cols)
-    kp = J.scratch(spark, "t-lab-k")
-    k = J.stream_labels(J.stream_fills(spark, chunked_dir, delay="1 day", max_files=1))
-    J.run_available(k.writeStream.format("parquet").option("path", kp + "/out"), kp + "/ckpt")
-    ko = spark.read.parquet(kp + "/out").select(*cols)
-    assert t.count() > 0
-    assert t.exceptAll(ko).count() == 0 and ko.exceptAll(t).count() == 0
+    b = label(spark, SF0001)
+    b = b.filter(F.col("next_fill_dt").isNotNull() | (F.date_add("runout_dt", 14) < last_day(b))).select(*cols)
+    for source in (chunked_dir, SF0001):
+        kp = J.scratch(spark, "t-lab-k")
+        k = J.stream_labels(J.stream_fills(spark, source, delay="1 day", max_files=1))
+        J.run_available(k.writeStream.format("parquet").option("path", kp + "/out"), kp + "/ckpt")
+        ko = spark.read.parquet(kp + "/out").select(*cols)
+        assert ko.exceptAll(b).count() == 0 and b.exceptAll(ko).count() == 0
+
+
+def test_a_stream_that_is_not_done_raises(spark, chunked_dir):
+    sdf = J.stream_history(J.stream_fills(spark, chunked_dir, max_files=1))
+    kp = J.scratch(spark, "t-late")
+    with pytest.raises(TimeoutError):
+        J.run_available(sdf.writeStream.format("parquet").option("path", kp + "/out"), kp + "/ckpt", timeout_s=0.01)
