@@ -219,4 +219,5 @@ def deduplicate(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str
     keep = stored(marks.join(found.select("fp", "root"), "fp").groupBy("root")
                   .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("first"))
                   .select(F.col("first.uid").alias(uid)), "keep")
-    return rows.join(keep, uid, "left_semi").select(*docs.columns)
+    # always a sort-merge join: the rows move once at every size
+    return rows.hint("merge").join(keep, uid, "left_semi").select(*docs.columns)
