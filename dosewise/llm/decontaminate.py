@@ -37,7 +37,7 @@ FILTER_BITS = 24         # the Bloom filter has 2**24 bits (2 MB)
 RARE_TIMES, RARE_PLUS = 4, 16   # a rare seed is met at most 4 times as often as the rarest, plus 16
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
-BYTES = 1 << 20          # text hashed at a time
+BYTES = 1 << 18          # text hashed at a time
 
 _BREAKS = np.ones(256, bool)
 _BREAKS[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = False

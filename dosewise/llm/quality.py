@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dosewise.llm.blocks import SPACE, Block, grouped
-from dosewise.llm.common import arrow_type, as_bytes
+from dosewise.llm.common import arrow_type, each_bytes
 from dosewise.llm.sampling import class_sizes, labelled
 from dosewise.session import ship_package
 
 PASSAGE = 48          # words in a passage
 SAMPLE = 3000         # labelled rows of each class that the model is fitted on
 BAG = 64              # passages of one document used in fitting
-BYTES = 1 << 20       # text encoded at a time
+BYTES = 1 << 18       # text encoded at a time
 PAIRS = 32            # buckets of the byte-pair histogram
 WIDTH, GATE = 16, 8   # embedding and attention sizes
 EPOCHS, RATE, DECAY = 60, 0.02, 1e-4
@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     def run(batches):
         for b in batches:
             ids, y = b.column(0), b.column(2).to_pylist()
-            for part in grouped(list(zip(ids.to_pylist(), as_bytes(b.column(1)), y)), lambda t: len(t[1]), BYTES):
+            for part in grouped(list(zip(ids.to_pylist(), each_bytes(b.column(1)), y)), lambda t: len(t[1]), BYTES):
                 x, per = encode([t[1] for t in part])
                 at = np.cumsum(per) - per
                 out = []
@@ -196,7 +196,7 @@ def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     def run(batches):
         for b in batches:
             s = []
-            for part in grouped(as_bytes(b.column(at)), len, BYTES):
+            for part in grouped(each_bytes(b.column(at)), len, BYTES):
                 s.append(model.score(*encode(part)))
             done = np.concatenate(s) if s else np.zeros(0)
             yield pa.record_batch([c.cast(f.type) for c, f in zip(b.columns, schema)] + [pa.array(done, pa.float64())],

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dosewise.llm.common import arrow_type, as_bytes, free_name, id_type, popcount, words
+from dosewise.llm.common import arrow_type, each_bytes, free_name, id_type, popcount, words
 from dosewise.llm.components import components
 from dosewise.session import ship_package, stored
 
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataF
 
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in as_bytes(b.column(1))], np.uint64).view(np.int64)
+            fps = np.array([fingerprint(t, shingle) for t in each_bytes(b.column(1))], np.uint64).view(np.int64)
             yield pa.record_batch([b.column(0).cast(schema.field(0).type), pa.array(fps)], schema=schema)
 
     ship_package(docs.sparkSession)
@@ -207,7 +207,7 @@ def deduplicate(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str
     def run(batches):
         row = TaskContext.get().partitionId() << 40
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in as_bytes(b.column(at))], np.uint64).view(np.int64)
+            fps = np.array([fingerprint(t, shingle) for t in each_bytes(b.column(at))], np.uint64).view(np.int64)
             cols = [c.cast(f.type) for c, f in zip(b.columns, schema)]
             yield pa.record_batch([*cols, pa.array(fps), pa.array(row + np.arange(len(fps)))], schema=schema)
             row += len(fps)

@@ -44,7 +44,7 @@ SPAN, WINDOWS = 24, 4
 LEAST, LIFT = 5, 4.5   # toxic sample documents with a sign; least ratio of its share to the clean one
 COPIES, ALIKE = 3, 0.8  # so many unrelated words in such a share of its documents: copies
 CACHE = 400_000
-BYTES = 8 << 20     # text tagged at a time
+BYTES = 4 << 20     # text tagged at a time
 EPOCHS, RATE, DECAY = 60, 0.15, 2e-5
 
 _EDGE = re.compile(r"^\W+|\W+$")
