@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dosewise.operators.stats import exact_quantiles
+from dosewise.session import stored
 
 EULER = 0.5772156649015329
 
@@ -124,7 +125,7 @@ class IsolationForestModel:
     def transform(self, df: DataFrame, train: DataFrame | None = None) -> DataFrame:
         """Add ``oddness`` (score - offset; below 0 = flagged) and ``flagged``.
         The offset is the contamination quantile of the training scores."""
-        s = self.score(df)
+        s = stored(self.score(df), "oddness")   # scored once, read for the offset and the result
         base = s if train is None else self.score(train)
         q = exact_quantiles(base.withColumn("_g", F.lit(0)), ["_g"], "anomaly_score", [self.contamination])
         offset = q.select(F.col("quantiles")[0]).scalar()

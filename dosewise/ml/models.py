@@ -7,13 +7,17 @@ model together (S9).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,12 +38,16 @@ def fit_logistic(train: DataFrame, label: str = LABEL, max_iter: int = 1000) ->
 
 
 def fit_scaled_logistic(train: DataFrame, label: str = LABEL, max_iter: int = 1000) -> PipelineModel:
-    """M2: scaler + logistic regression in one pipeline (Spark's scaler uses
-    the sample standard deviation)."""
+    """M2: scaler + logistic regression in one pipeline.  Spark's scaler divides
+    by the sample deviation; the factor after it makes that the population's."""
     n = train.count()
-    stages = feature_stages(out="raw") + [
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        LogisticRegression(labelCol=label, maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0)]
+    first = Pipeline(stages=feature_stages(out="raw")).fit(train)
+    width = first.transform(train).select(F.size(vector_to_array("raw"))).first()[0]
+    stages = [first, StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
+              ElementwiseProduct(inputCol="scaled", outputCol="features",
+                                 scalingVec=Vectors.dense([(n / max(n - 1, 1)) ** 0.5] * width)),
+              LogisticRegression(labelCol=label, maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
+                                 standardization=False)]
     return Pipeline(stages=stages).fit(train)
 
 
@@ -107,24 +115,37 @@ def _feature_names(model: PipelineModel) -> list[str]:
 # --- clustering and projection -------------------------------------------------------
 
 def kmeans_sweep(df: DataFrame, ks=range(2, 8), restarts: int = 10, features: str = "features",
-                 sample: int = 2000) -> tuple[list[dict], dict]:
+                 parallelism: int = 4) -> tuple[list[dict], dict]:
     """For each k the best of ``restarts`` seeded fits (lowest
-    cost), its inertia and silhouette (Spark's squared-Euclidean form, on the
-    whole table).  Returns (rows, {k: model})."""
+    cost, then lowest seed), its inertia and silhouette (Spark's
+    squared-Euclidean form, on the whole table).  The fits are independent
+    jobs and run side by side.  Returns (rows, {k: model})."""
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="segment")
     rows, models = [], {}
+
+    def fit(at):
+        k, s = at
+        return KMeans(k=k, seed=42 + s, maxIter=300, featuresCol=features, predictionCol="segment").fit(df)
+
+    tries = list(product(ks, range(restarts)))
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        fitted = dict(zip(tries, pool.map(fit, tries)))
     for k in ks:
-        best = None
-        for s in range(restarts):
-            m = KMeans(k=k, seed=42 + s, featuresCol=features, predictionCol="segment").fit(df)
-            if best is None or m.summary.trainingCost < best.summary.trainingCost:
-                best = m
+        best = min((fitted[k, s] for s in range(restarts)), key=lambda m: m.summary.trainingCost)
         sil = ev.evaluate(best.transform(df))
-        rows.append({"k": k, "inertia": float(best.summary.trainingCost), "silhouette": float(sil)})
+        rows.append({"k": k, "inertia": inertia(df, best, features), "silhouette": float(sil)})
         models[k] = best
     return rows, models
 
 
+def inertia(df: DataFrame, model, features: str = "features") -> float:
+    """Sum of squared distances to the nearest of the final centres (the
+    model's own figure is that of the centres before the last move)."""
+    x = vector_to_array(features)
+    d = [sum(((x[j] - float(c[j])) ** 2 for j in range(len(c))), F.lit(0.0)) for c in model.clusterCenters()]
+    return float(df.agg(F.sum(F.array_min(F.array(*d)))).first()[0])
+
+
 def standardized_vector(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     """D10 as a vector column: population-std z-scores of ``cols``."""
     from dosewise.ml.prep import standardize

@@ -44,10 +44,10 @@ def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Dat
 
 def risk_bands(df: DataFrame, prob: str = "probability") -> DataFrame:
     """V2: probability -> risk (>= 0.70 low, >= 0.40 medium, else high) and
-    action; probability rounded to 3 places."""
+    action; probability rounded half to even to 3 places."""
     risk = band(prob, RISK_CUTS, RISK_LABELS)
     action = F.create_map(*[F.lit(x) for kv in ACTIONS.items() for x in kv])[risk]
-    return df.select("*", F.round(F.col(prob), 3).alias("refill_probability"),
+    return df.select("*", F.bround(F.col(prob), 3).alias("refill_probability"),
                      risk.alias("risk"), action.alias("action"))
 
 

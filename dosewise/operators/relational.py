@@ -121,9 +121,11 @@ def distinct_by(df: DataFrame, keys: list[str], col: str, out: str, approx: bool
 def describe(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max."""
     c = F.col(col)
-    q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    from dosewise.operators.stats import exact_quantiles
+    q = exact_quantiles(df.select(F.lit(0).alias("_g"), c.alias("_x")), ["_g"], "_x", [0.25, 0.5, 0.75])
     d = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-               F.min(c).cast("double").alias("min"), q.alias("_q"), F.max(c).cast("double").alias("max"))
+               F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
+    d = d.withColumn("_q", q.select("quantiles").scalar())
     return d.select(*[F.col(x).alias(prefix + x) for x in ["count", "mean", "std", "min"]],
                     F.col("_q")[0].alias(prefix + "p25"), F.col("_q")[1].alias(prefix + "p50"),
                     F.col("_q")[2].alias(prefix + "p75"), F.col("max").alias(prefix + "max"))

@@ -88,6 +88,20 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[flo
         F.transform(F.array_sort(F.collect_list(F.struct("qi", "_q"))), lambda s: s["_q"]).alias("quantiles"))
 
 
+def sums_before(small: DataFrame, key: str, sums: dict[str, str], keep: list[str] = ()) -> DataFrame:
+    """For a table of a few rows (one per partition or range) the sum of each
+    column over the rows with a smaller key, as an array expression: one row,
+    no window over the whole table."""
+    rows = small.agg(F.array_sort(F.collect_list(F.struct(key, *sums, *keep))).alias("_a"))
+    e = rows.select("_a", F.posexplode("_a").alias("_i", "_x"))
+
+    def before(column):
+        return F.aggregate(F.slice("_a", F.lit(1), F.col("_i")), F.lit(0).cast("long"), lambda s, y: s + y[column])
+
+    total = [before(c).alias(out) for c, out in sums.items()]
+    return e.select(F.col("_x")[key].alias(key), *[F.col("_x")[c].alias(c) for c in keep], *total)
+
+
 def global_index(df: DataFrame, order: list, out: str = "row_idx") -> DataFrame:
     """0-based position of every row in a total order, without moving
     all rows to one task.  The sorted data is checkpointed (reliable, shared
@@ -95,8 +109,7 @@ def global_index(df: DataFrame, order: list, out: str = "row_idx") -> DataFrame:
     srt = cut_lineage(df.orderBy(*order).withColumn("_pid", F.spark_partition_id())
                       .withColumn("_mid", F.monotonically_increasing_id()))
     counts = srt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"), F.min("_mid").alias("_m0"))
-    wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("_pid", "_m0", F.coalesce(F.sum("_pc").over(wp), F.lit(0)).alias("_off"))
+    offs = sums_before(counts, "_pid", {"_pc": "_off"}, ["_m0"])
     j = srt.join(F.broadcast(offs), "_pid")
     return j.select(*df.columns, (F.col("_off") + F.col("_mid") - F.col("_m0")).alias(out))
 
@@ -116,9 +129,7 @@ def score_ranks(scored: DataFrame, score: str = "score", label: str = "label",
     lit_edges = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
     d = d.withColumn("_r", F.size(F.filter(lit_edges, lambda e: e < F.col("s"))))
     per = d.groupBy("_r").agg(F.sum("n_pos").alias("_rp"), F.sum("n_neg").alias("_rn"))
-    wr = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("_r", F.coalesce(F.sum("_rp").over(wr), F.lit(0)).alias("_op"),
-                     F.coalesce(F.sum("_rn").over(wr), F.lit(0)).alias("_on"))
+    per = sums_before(per, "_r", {"_rp": "_op", "_rn": "_on"})
     w = Window.partitionBy("_r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     d = d.select("*", F.coalesce(F.sum("n_pos").over(w), F.lit(0)).alias("_bp"),
                  F.coalesce(F.sum("n_neg").over(w), F.lit(0)).alias("_bn"))

@@ -190,23 +190,28 @@ def request_features(spark, sf):
     return _round(r, ["roll7", "roll28"])
 
 
+UNKNOWN, SHORT = "unknown drug_id", "daily_units must hold 29 values"
+
+
 @register("request_validation", f"""{TS_SQL},
-req AS (SELECT drug_id, date AS as_of, LIST(units) OVER ({SW} ROWS BETWEEN 28 PRECEDING AND CURRENT ROW) AS d FROM ts)
-SELECT drug_id, as_of, CAST(len(d) AS INTEGER) AS n_values, len(d) = 29 AS accepted,
-       CASE WHEN len(d) = 29 THEN '' ELSE 'daily_units must hold 29 values' END AS reason FROM req""")
+req AS (SELECT drug_id, date AS as_of, LIST(units) OVER ({SW} ROWS BETWEEN 28 PRECEDING AND CURRENT ROW) AS d FROM ts),
+bad AS (SELECT *, drug_id IN ({', '.join(f"'{x}'" for x in A.CONTROLLED_TYPES)}) AS unknown FROM req)
+SELECT drug_id, as_of, CAST(len(d) AS INTEGER) AS n_values, NOT unknown AND len(d) = 29 AS accepted,
+       concat_ws('; ', CASE WHEN unknown THEN '{UNKNOWN}' END, CASE WHEN len(d) <> 29 THEN '{SHORT}' END) AS reason FROM bad""")
 def request_validation(spark, sf):
-    """Demand requests from the calendar (early days have short
-    histories), split into accepted and rejected with a reason."""
-    from dosewise.ml.scoring import validate
+    """Demand requests for every drug and day.  The model serves the
+    uncontrolled drugs, so requests for others are unknown; early days have
+    short histories.  Accepted and rejected, with every reason."""
     from pyspark.sql import Window
+
+    from dosewise.ml.scoring import validate
     ts = _ts(spark, sf)
     w = Window.partitionBy("drug_id").orderBy("date").rowsBetween(-28, 0)
     req = ts.select("drug_id", F.col("date").alias("as_of"), F.collect_list("units").over(w).alias("daily_units"))
-    items = ts.select("drug_id").distinct()
-    checked = validate(req, {"daily_units must hold 29 values": F.size("daily_units") == 29})
-    checked = checked.join(items.withColumn("_known", F.lit(True)), "drug_id", "left")
-    return checked.select("drug_id", "as_of", F.size("daily_units").alias("n_values"),
-                          (F.col("accepted") & F.col("_known").isNotNull()).alias("accepted"), "reason")
+    served = A.drugs(spark, sf).filter("drug_class = 0").select("drug_id", F.lit(True).alias("_served"))
+    checked = validate(req.join(served, "drug_id", "left"),
+                       {UNKNOWN: F.col("_served"), SHORT: F.size("daily_units") == 29})
+    return checked.select("drug_id", "as_of", F.size("daily_units").alias("n_values"), "accepted", "reason")
 
 
 @register("suggested_order", f"""{REQ_SQL}

@@ -294,7 +294,7 @@ def roc_auc(spark, sf):
 
 
 @register("risk_bands", f"""{SCORED_SQL}
-SELECT round(score, 3) AS refill_probability,
+SELECT round_even(score, 3) AS refill_probability,
        CASE WHEN score >= 0.7 THEN 'low' WHEN score >= 0.4 THEN 'medium' ELSE 'high' END AS risk,
        CASE WHEN score >= 0.7 THEN 'no action' WHEN score >= 0.4 THEN 'send reminder' ELSE 'pharmacist call' END AS action,
        label FROM scored""")
