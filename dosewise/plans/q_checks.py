@@ -130,11 +130,12 @@ def attribution_check(spark, sf):
     """Attributions and base value add up to the model's own
     log-odds on every test row; importances add up to 1."""
     train, test = QM._split(spark, sf)
-    a, _ = QM._attributions(spark, sf)
+    model = MD.fit_gbt(train, 200, 3, 0.03)
+    a, _ = QM._attributions(spark, sf, model)
     own = F.log(F.col("probability") / (1 - F.col("probability")))
     total = F.aggregate("contributions", F.lit(0.0), lambda s, x: s + x) + F.col("base_value")
     worst, n = a.agg(F.max(F.abs(total - own)), F.count(F.lit(1))).first()
-    imp = QM.importance(spark, sf).agg(F.sum("importance")).first()[0]
+    imp = MD.feature_importance(model, spark).agg(F.sum("importance")).first()[0]
     return _facts(spark, adds_up_to_model=worst < 1e-6, every_test_row=n == test.count(), importance_adds_to_one=abs(imp - 1) < 1e-9)
 
 
@@ -197,9 +198,11 @@ def stream_score_check(spark, sf):
 def forecast_check(spark, sf):
     """ST5/V4/V5: forecasts of the stream are those of the batch; an order is
     the forecast plus a tenth, rounded half to even."""
-    from dosewise.plans.q_streaming import stream_forecast
-    a = stored(stream_forecast(spark, sf), "stream")
-    b = QM.score_demand_q(spark, sf).withColumnRenamed("forecast", "f")
+    from dosewise.ml.scoring import score_demand
+    from dosewise.plans.q_streaming import forecast_model, forecast_stream
+    model, req = forecast_model(spark, sf)
+    a = stored(forecast_stream(spark, req, model), "stream")
+    b = score_demand(req, model).withColumnRenamed("forecast", "f")
     off = a.join(b.select("drug_id", "as_of", "f"), ["drug_id", "as_of"], "full").agg(
         F.max(F.coalesce(F.abs(F.col("forecast") - F.col("f")), F.lit(1e9))).alias("d")).first().d
     wrong = a.filter((F.col("suggested_order") != F.bround(F.col("forecast") * 1.1, 0).cast("long"))).count()

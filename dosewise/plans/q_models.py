@@ -363,10 +363,10 @@ def top_error(spark, sf):
 
 # --- per-prediction attributions ------------------------------------------------------------
 
-def _attributions(spark, sf):
+def _attributions(spark, sf, model=None):
     from dosewise.ml.attribution import attribute
     train, test = _split(spark, sf)
-    model = MD.fit_gbt(train, 200, 3, 0.03)
+    model = model or MD.fit_gbt(train, 200, 3, 0.03)
     keyed = test.withColumn("_row", F.xxhash64(*[F.col(c) for c in test.columns]))
     names = MD._feature_names(model)
     a = attribute(model, keyed, keep=["_row", *P.NUMERIC_FEATURES, "drug_name", "came_back", "probability"])

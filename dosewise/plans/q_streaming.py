@@ -138,22 +138,31 @@ def stream_drift(spark, sf):
     return spark.read.parquet(out + "/psi")
 
 
-@register("stream_forecast")
-def stream_forecast(spark, sf):
-    """ST5: raw 29-value histories arriving as files, forecast per
-    micro-batch by the demand model (400/4/0.05) with order quantities."""
+def forecast_model(spark, sf):
+    """The demand model (400/4/0.05) and the test period's request histories."""
     from dosewise.ml.models import fit_demand
     from dosewise.operators import demand as D
     from dosewise.plans.q_courses import _fills
     from dosewise.sources.adapter import SPLIT_DATE
     ts = D.daily_calendar(_fills(spark, sf))
     model = fit_demand(D.demand_features(ts).filter(F.col("date") < F.lit(SPLIT_DATE).cast("date")))
+    return model, D.history_requests(ts).filter(F.col("as_of") >= F.lit(SPLIT_DATE).cast("date"))
+
+
+def forecast_stream(spark, requests, model):
     path = J.scratch(spark, "histories")
-    (D.history_requests(ts).filter(F.col("as_of") >= F.lit(SPLIT_DATE).cast("date"))
-     .repartition(4).write.parquet(path))
+    requests.repartition(4).write.parquet(path)
     out = J.scratch(spark, "forecasts")
     handle = J.stream_forecast(model, out + "/out")
     sdf = J.read_stream(spark, path, spark.read.parquet(path).schema, max_files=1)
     J.run_available(sdf.writeStream.foreachBatch(handle), out + "/ckpt")
     return spark.read.parquet(out + "/out").select("batch_id", "drug_id", "as_of", "forecast",
                                                    "forecast_next_7_days", "suggested_order")
+
+
+@register("stream_forecast")
+def stream_forecast(spark, sf):
+    """ST5: raw 29-value histories arriving as files, forecast per
+    micro-batch by the demand model (400/4/0.05) with order quantities."""
+    model, req = forecast_model(spark, sf)
+    return forecast_stream(spark, req, model)
