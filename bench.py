@@ -21,7 +21,7 @@ HEADLINE = [
     "training_table", "training_table_sql", "refill_features", "label", "patient_profile",
     "controlled_profile", "demand_features", "demand_windows", "request_features", "lift_table",
     "recommendations", "psi", "roc_auc", "review_budget", "ts_folds", "refill_windows",
-    "stream_history", "stream_labels", "gbt_scores", "attribution_summary", "isolation_scores",
+    "stream_history", "stream_labels", "isolation_scores",
 ]
 
 
