@@ -6,12 +6,14 @@ local alignment.
 2. One pass over the documents hashes every n-gram of every whole text.  Around
    the n-grams that the filter lets through, a passage of the longest item's
    length on both sides is kept (overlapping ones are joined).
-3. Passages join items on equal seeds.  A seed is rare for an item if it is not
-   met much more often than the item's least met seed.  (Rarity is relative to
-   the item: leaked copies raise all its seeds alike, so a passage that a third
-   of all documents contain is still found.)
+3. Passages join items on equal seeds.  A seed is rare in that few texts hold it
+   by chance; none is left out for being met often, since a group of partial
+   copies raises the seeds that they keep.  Every pair of a passage and an item
+   that share a seed is a candidate, once.
 4. Smith-Waterman alignment of the passage's words with the item's, over the
-   score of a perfect copy, gives a score from 0 to 1.
+   score of a perfect copy, gives a score from 0 to 1.  A pair goes unaligned only
+   if the item's words that the passage holds at all, every one matched, would
+   stay below the threshold: chance seeds cost that count and nothing is lost.
 
 Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased.
 The passages are small beside the documents; an item with very many passages is
@@ -34,7 +36,6 @@ from dosewise.session import ship_package, stored
 
 GRAM = 4                 # words in a seed
 FILTER_BITS = 24         # the Bloom filter has 2**24 bits (2 MB)
-RARE_TIMES, RARE_PLUS = 4, 16   # a rare seed is met at most 4 times as often as the rarest, plus 16
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 BYTES = 1 << 18          # text hashed at a time
@@ -194,10 +195,7 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Dat
     found = stored(passages(docs.where("doc_id is not null"), bloom(table), sorted(size[1]), reach), "passages")
     met = found.select("pid", F.explode("seeds").alias("seed"))
     seeds = table.select("item_id", F.explode("seeds").alias("seed"))
-    often = met.groupBy("seed").agg(F.count("*").alias("met")).join(seeds, "seed")
-    least = often.groupBy("item_id").agg((F.min("met") * RARE_TIMES + RARE_PLUS).alias("most"))
-    rare = often.join(least, "item_id").where("met <= most").select("seed", "item_id")
-    pairs = met.join(rare, "seed").select("pid", "item_id").distinct()
+    pairs = met.join(seeds, "seed").select("pid", "item_id").distinct()
     work = (pairs.join(found.select("pid", "doc_id", "first", "words"), "pid")
             .join(table.select("item_id", "item_words"), "item_id")
             .select("doc_id", "item_id", "first", "words", "item_words"))
@@ -209,8 +207,10 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Dat
         for b in batches:
             score, end = [], []
             for first, p, i in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()):
-                item = np.frombuffer(i, np.uint64)
-                s, e = align(np.frombuffer(p, np.uint64), item)
+                passage, item = np.frombuffer(p, np.uint64), np.frombuffer(i, np.uint64)
+                s, e = MATCH * int(np.isin(item, passage).sum()), 0     # no alignment scores more
+                if s / (MATCH * len(item)) >= threshold:
+                    s, e = align(passage, item)
                 score.append(s / (MATCH * len(item)))
                 end.append(first + e)
             yield pa.record_batch([b.column(0).cast(schema.field(0).type), b.column(1).cast(schema.field(1).type),

@@ -106,6 +106,15 @@ def test_a_passage_in_every_document_is_still_rare(spark):
     assert decontaminate.find(docs(spark, texts), bench).count() == 60
 
 
+def test_partial_copies_that_outnumber_a_whole_one_are_found(spark):
+    item = vocabulary_words(6, 40, 2000)
+    texts = [" ".join(item)] + [" ".join(item[4:] + vocabulary_words(k, 20, 2000)) for k in range(1000)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = decontaminate.find(docs(spark, texts), bench).collect()
+    assert sorted(g.doc_id for g in got) == list(range(1, 1002))
+    assert min(g.score for g in got) >= 0.9
+
+
 def test_awkward_documents_items_and_empty_tables(spark):
     schema = "item_id long, text string"
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "one two"), (3, "one two"), (None, "word"), (4, "...")], schema)
