@@ -1,24 +1,28 @@
-"""Main text of web pages: declared articles, and for pages without one a host
-suffix array over the page's remaining text.
+"""Main text of web pages: declared articles, and what a host suffix array leaves
+of the other blocks.
 
-Markup decides where it can: text inside ``article`` or ``main`` is content;
+Markup gives evidence: text inside ``article`` or ``main`` is content, whole;
 navigation, page headers and footers, asides, forms, scripts, styles, embedded
 objects, adverts, notices and reader comments (by tag, role, class or id) are
-not.  Pages that declare no article leave blocks whose role is open.  Their
-words are concatenated per page, and the suffixes of all pages of a host are
-grouped by their first ``RUN`` words: a group with two distinct pages is a
-stretch of the host's suffix array with common prefixes of at least ``RUN``
-words, that is, a long substring repeated across pages.  Words covered by one
-are boilerplate and go; the unique runs stay.  A page that is covered almost
-wholly is a copy of another page, not boilerplate, and stays whole.
+not.  Every other block is open.
+
+The open words of a page are concatenated, and suffixes are grouped by host and
+their first ``RUN`` words: a group with two distinct pages is a stretch of the
+host's suffix array with common prefixes of at least ``RUN`` words, that is, a
+long substring repeated across pages.  Open words covered by one are boilerplate
+and go.  What stays is, on a page without an article, every other word; on a page
+with one, the unique runs of at least ``RUN`` words (fewer words are too few to
+outweigh the tag).  A page without article text that is covered almost wholly is
+a copy of another page, not boilerplate, and stays whole.
 
 (Repeated runs are not removed inside declared articles: articles of one host
 quote and copy each other, and their text is wanted whole.)
 
-Scale: pages with a declared article take one narrow pass.  Suffixes exist for
-open blocks only; "on two pages" is the least and the greatest page of a group,
-which is combined before the shuffle, so a run on a third of all pages is no hot
-group; a page's covered places are gathered per page.
+Scale: the array holds every suffix of open blocks, and of the articles those
+that a Bloom filter of the open ones lets through (any other could not make an
+open run a repeated one).  "On two pages" is the least and the greatest page of a
+group, which is combined before the shuffle, so a run on a third of all pages is
+no hot group; a page's covered places are gathered per page.
 """
 
 from __future__ import annotations
@@ -33,9 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dosewise.llm.blocks import Block
+from dosewise.llm.blocks import Block, mix
 from dosewise.llm.common import arrow_type
-from dosewise.llm.decontaminate import _grams
+from dosewise.llm.decontaminate import _grams, _slots, bloom
 from dosewise.session import ship_package, stored
 
 RUN = 8          # words of a repeated substring
@@ -79,11 +83,11 @@ def _raw_end(page: str, tag: str, at: int) -> int:
     return m.start() if m else len(page)
 
 
-def blocks(page: str) -> tuple[list[str], list[str], bool]:
-    """(declared blocks, open blocks, whether an article is declared): the text
-    blocks of a page in page order, decoded, white space turned into one space,
-    empty ones left out."""
-    declared, free, buffer = [], [], []
+def blocks(page: str) -> tuple[list[str], list[bool], bool]:
+    """(blocks, which of them are article text, whether an article is declared):
+    the text blocks of a page in page order, decoded, white space turned into
+    one space, empty ones left out.  Those that are not article text are open."""
+    found, sure, buffer = [], [], []
     inside, seen = 0, False              # depth of articles
     skip, depth, within = "", 0, 0       # element being skipped, its depth, article depth around it
     at = 0
@@ -92,7 +96,8 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
         if buffer:
             text = " ".join(html.unescape("".join(buffer)).split())
             if text:
-                (declared if inside else free).append(text)
+                found.append(text)
+                sure.append(inside > 0)
             buffer.clear()
 
     while at < len(page):
@@ -143,7 +148,7 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
             inside += 1
             seen = True
     flush()
-    return declared, free, seen
+    return found, sure, seen
 
 
 def host_of(url: str | None) -> str:
@@ -157,24 +162,37 @@ def _words(found: list[str]) -> tuple[np.ndarray, list[list[str]]]:
     return b.hashes(), per
 
 
-def unique_runs(found: list[str], places: list[int]) -> list[str]:
-    """The blocks without the words covered by repeated runs at ``places``."""
-    _, per = _words(found)
+def kept(found: list[str], sure: list[bool], seen: bool, places: list[int]) -> list[str]:
+    """The blocks of a page: article text, and of the open ones the words not
+    covered by repeated runs at ``places``."""
+    per = [[] if s else b.split() for b, s in zip(found, sure)]
     total = sum(map(len, per))
     covered = np.zeros(total + RUN, bool)
     for k in range(RUN):
         covered[np.asarray(places, np.int64) + k] = True
-    if total and covered[:total].sum() >= COPY * total:
+    covered = covered[:total]
+    if not any(sure) and total and covered.sum() >= COPY * total:
         return found
+    keep = ~covered
+    if seen:
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], keep, [False]]).astype(np.int8)))
+        for b, e in zip(edges[::2], edges[1::2]):
+            keep[b:e] = e - b >= RUN
     out, at = [], 0
-    for w in per:
-        kept = [x for x, c in zip(w, covered[at:at + len(w)]) if not c]
+    for text, s, w in zip(found, sure, per):
+        left = [x for x, k in zip(w, keep[at:at + len(w)]) if k]
         at += len(w)
-        if kept:
-            out.append(" ".join(kept))
+        if s or left:
+            out.append(text if s else " ".join(left))
     return out
 
 
+def _runs(host: str, found: list[str]) -> np.ndarray:
+    """A hash of host and words for every run of ``RUN`` words."""
+    g = _grams(_words(found)[0], RUN)
+    return mix(g ^ Block([b"\0" + host.encode("utf-8", "replace")]).hashes()[0]) if len(g) else g
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars), one row per row of ``pages``.
 
@@ -188,7 +206,8 @@ def extract(pages: DataFrame) -> DataFrame:
     head = [T.StructField("page_id", kind), T.StructField("url", T.StringType())]
     done = T.StructType([*head, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     open_ = T.StructType([*head, T.StructField("uid", T.LongType()), T.StructField("host", T.StringType()),
-                          T.StructField("blocks", T.ArrayType(T.StringType()))])
+                          T.StructField("blocks", T.ArrayType(T.StringType())),
+                          T.StructField("sure", T.ArrayType(T.BooleanType())), T.StructField("seen", T.BooleanType())])
 
     def arrow(shape):
         return pa.schema([(f.name, arrow_type(f.dataType)) for f in shape.fields])
@@ -203,12 +222,16 @@ def extract(pages: DataFrame) -> DataFrame:
         for i, u, h in zip(*(c.to_pylist() for c in b.columns)):
             yield i, u, *blocks(h or "")
 
+    def decided(sure, seen, found):
+        """No run of open words can be kept or removed."""
+        return all(sure) or (seen and sum(len(b.split()) for b, s in zip(found, sure) if not s) < RUN)
+
     def finished(batches):
         for b in batches:
             out = []
-            for i, u, declared, free, seen in parsed(b):
-                if seen or not free:
-                    text = "\n".join(declared)
+            for i, u, found, sure, seen in parsed(b):
+                if decided(sure, seen, found):
+                    text = "\n".join(b for b, s in zip(found, sure) if s)
                     out.append((i, u, text, len(text)))
             yield batch(out, done_schema)
 
@@ -216,37 +239,66 @@ def extract(pages: DataFrame) -> DataFrame:
         uid = TaskContext.get().partitionId() << 40
         for b in batches:
             out = []
-            for i, u, _, free, seen in parsed(b):
-                if free and not seen:
-                    out.append((i, u, uid, host_of(u), free))
+            for i, u, found, sure, seen in parsed(b):
+                if not decided(sure, seen, found):
+                    out.append((i, u, uid, host_of(u), found, sure, seen))
                     uid += 1
             yield batch(out, open_schema)
 
     left = stored(rows.mapInArrow(undecided, open_), "open")
-    suffix = pa.schema([("host", pa.string()), ("prefix", pa.int64()), ("uid", pa.int64()), ("at", pa.int32())])
+    suffix = pa.schema([("run", pa.int64()), ("uid", pa.int64()), ("at", pa.int32())])
+
+    def listed(g, u, at):
+        return pa.record_batch([pa.array(g.view(np.int64)), pa.array(np.full(len(g), u)), pa.array(at.astype(np.int32))],
+                               schema=suffix)
 
     def suffixes(batches):
         for b in batches:
-            for u, h, found in zip(*(c.to_pylist() for c in b.columns)):
-                g = _grams(_words(found)[0], RUN)
+            for u, h, found, sure in zip(*(c.to_pylist() for c in b.columns)):
+                g = _runs(h, [x for x, s in zip(found, sure) if not s])
                 if len(g):
-                    yield pa.record_batch([pa.array([h] * len(g)), pa.array(g.view(np.int64)),
-                                           pa.array(np.full(len(g), u)), pa.array(np.arange(len(g), dtype=np.int32))],
-                                          schema=suffix)
-
-    array = left.select("uid", "host", "blocks").mapInArrow(
-        lambda bs: suffixes(pa.record_batch([b.column(0), b.column(1), b.column(2)], names=["u", "h", "b"]) for b in bs),
-        "host string, prefix long, uid long, at int")
-    repeated = (array.groupBy("host", "prefix").agg(F.min("uid").alias("low"), F.max("uid").alias("high"))
-                .where("low < high").select("host", "prefix"))
-    places = array.join(repeated, ["host", "prefix"]).groupBy("uid").agg(F.collect_list("at").alias("places"))
-    work = left.join(places, "uid", "left").select("page_id", "url", "blocks", "places")
+                    yield listed(g, u, np.arange(len(g)))
+
+    array = left.select("uid", "host", "blocks", "sure").mapInArrow(suffixes, "run long, uid long, at int")
+    bits = bloom(array.select(F.array("run").alias("seeds")))
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def passing(member, h, u, found, sure):
+        g = _runs(h, [x for x, s in zip(found, sure) if s])
+        i, j = _slots(g)
+        g = np.unique(g[member[i] & member[j]])
+        if len(g):
+            yield listed(g, u, np.full(len(g), -1))
+
+    def in_left(batches):
+        member = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        for b in batches:
+            for u, h, found, sure in zip(*(c.to_pylist() for c in b.columns)):
+                yield from passing(member, h, u, found, sure)
+
+    def in_finished(batches):
+        member = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        uid = -1 - (TaskContext.get().partitionId() << 40)    # below 0: no page in ``left``
+        for b in batches:
+            for _, u, found, sure, seen in parsed(b):
+                if decided(sure, seen, found):
+                    yield from passing(member, host_of(u), uid, found, sure)
+                    uid -= 1
+
+    every = array
+    if any(bits):
+        every = (array.unionByName(left.select("uid", "host", "blocks", "sure").mapInArrow(in_left, array.schema))
+                 .unionByName(rows.mapInArrow(in_finished, array.schema)))
+    repeated = (every.groupBy("run").agg(F.min("uid").alias("low"), F.max("uid").alias("high"))
+                .where("low < high").select("run"))
+    places = array.join(repeated, "run").groupBy("uid").agg(F.collect_list("at").alias("places"))
+    work = left.join(places, "uid", "left").select("page_id", "url", "blocks", "sure", "seen", "places")
 
     def stripped(batches):
         for b in batches:
             out = []
-            for i, u, found, covered in zip(*(c.to_pylist() for c in b.columns)):
-                text = "\n".join(unique_runs(found, covered) if covered else found)
+            for i, u, found, sure, seen, covered in zip(*(c.to_pylist() for c in b.columns)):
+                text = "\n".join(kept(found, sure, seen, covered or []))
                 out.append((i, u, text, len(text)))
             yield batch(out, done_schema)
 

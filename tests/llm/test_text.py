@@ -156,5 +156,18 @@ def test_repeated_runs_of_a_host_go_where_no_article_is_declared(spark):
     assert got[7] == f"{banner}\n{bodies[5]}"
 
 
+def test_the_array_decides_text_outside_the_articles(spark):
+    banner = "welcome to the site of all the best things there are"
+    bodies = [" ".join(vocabulary_words(100 + k, 40, 5000)) for k in range(5)]
+    pages = [(f"http://h.org/{k}", f"<div><p>{banner}</p></div><article>teaser {k}</article><div><p>{b}</p></div><p>see also</p>")
+             for k, b in enumerate(bodies[:3])]
+    pages += [("http://h.org/empty", f"<p>{banner}</p><article></article><div>{bodies[3]}</div>"),
+              ("http://h.org/quoted", f"<article>{bodies[4]}</article>"),
+              ("http://h.org/quotes", f"<article>own</article><div>{bodies[4]}</div>")]
+    got = extracted(spark, pages)
+    assert [got[k + 1] for k in range(3)] == [f"teaser {k}\n{b}\nsee also" for k, b in enumerate(bodies[:3])]
+    assert got[4] == bodies[3] and got[5] == bodies[4] and got[6] == "own"
+
+
 def test_no_pages(spark):
     assert extracted(spark, []) == {}
