@@ -3,8 +3,10 @@ of the other blocks.
 
 Markup gives evidence: text inside ``article`` or ``main`` is content, whole;
 navigation, page headers and footers, asides, forms, scripts, styles, embedded
-objects, adverts, notices and reader comments (by tag, role, class or id) are
-not.  Every other block is open.
+objects, adverts, notices and reader comments (by tag, or by a whole word of
+class, id or role) are not, unless they hold an article.  Every other block is
+open: outside an article, or in a container whose class only resembles noise
+(``related-posts``).
 
 The open words of a page are concatenated, and suffixes are grouped by host and
 their first ``RUN`` words: a group with two distinct pages is a stretch of the
@@ -65,16 +67,23 @@ OUTER_NOISE = {"header", "footer", "masthead"}   # noise outside an article only
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*+)>|<[/!?a-zA-Z][^>]*(?:>|\Z)",
                   re.S)
-_ROLE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden(?=[\s=/]|$)|\baria-hidden\s*=\s*["']?true""", re.I)
+_ROLE = re.compile(r"""(?<![\w:-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_QUOTED = re.compile(r"""\"[^\"]*\"|'[^']*'""")
+_HIDDEN = re.compile(r"(?<![\w:-])hidden(?=[\s=/]|$)", re.I)
+_ARIA_HIDDEN = re.compile(r"""(?<![\w:-])aria-hidden\s*=\s*["']?true""", re.I)
 _PARTS = re.compile(r"[^a-zA-Z]+")
 
 
-def _noise(tag: str, attributes: str, inside: bool) -> bool:
+def _noise(tag: str, attributes: str, inside: bool) -> int:
+    """2: an element's class, id or role has a noise word, or it is hidden; 1: a
+    part of a word is one, which leaves it in doubt; 0: neither."""
     if not attributes or tag not in HOLDERS:
-        return False
-    words = {w.lower() for m in _ROLE.finditer(attributes) for w in _PARTS.split(m[1] or m[2] or m[3] or "")}
-    return bool(words & NOISE) or (not inside and bool(words & OUTER_NOISE)) or bool(_HIDDEN.search(attributes))
+        return 0
+    words = [w.lower() for m in _ROLE.finditer(attributes) for w in (m[1] or m[2] or m[3] or "").split()]
+    noise = NOISE if inside else NOISE | OUTER_NOISE
+    if not noise.isdisjoint(words) or _ARIA_HIDDEN.search(attributes) or _HIDDEN.search(_QUOTED.sub('""', attributes)):
+        return 2
+    return int(any(not noise.isdisjoint(_PARTS.split(w)) for w in words))
 
 
 def _raw_end(page: str, tag: str, at: int) -> int:
@@ -83,23 +92,85 @@ def _raw_end(page: str, tag: str, at: int) -> int:
     return m.start() if m else len(page)
 
 
+def _holding(page: str) -> set[int]:
+    """Where the elements start that hold an article or main."""
+    out: set[int] = set()
+    open_: dict[str, list[int]] = {}
+    at = 0
+    while m := _TAG.search(page, at):
+        at = m.end()
+        tag = (m[2] or "").lower()
+        if not m[1] and tag in CONTENT:
+            for starts in open_.values():
+                for start in reversed(starts):
+                    if start in out:     # and so are those around it
+                        break
+                    out.add(start)
+        if not m[1] and tag in RAW:
+            if not m[3].endswith("/"):
+                at = _raw_end(page, tag, at)
+        elif m[1] and tag in ("body", "html"):
+            open_.clear()
+        elif tag in HOLDERS or tag in CHROME:
+            if not m[1]:
+                open_.setdefault(tag, []).append(m.start())
+            elif open_.get(tag):
+                open_[tag].pop()
+    return out
+
+
 def blocks(page: str) -> tuple[list[str], list[bool], bool]:
     """(blocks, which of them are article text, whether an article is declared):
     the text blocks of a page in page order, decoded, white space turned into
-    one space, empty ones left out.  Those that are not article text are open."""
-    found, sure, buffer = [], [], []
-    inside, seen = 0, False              # depth of articles
-    skip, depth, within = "", 0, 0       # element being skipped, its depth, article depth around it
+    one space, empty ones left out.  Those that are not article text are open.
+
+    An element that holds an article is never skipped, except within another
+    article (nested articles of a comment section are comments).  Articles in
+    noise count as such if the page has no others, else they are open.
+    """
+    found, levels, buffer = [], [], []
+    depth = dict.fromkeys(CONTENT, 0)    # open articles and mains
+    seen = False
+    skip, deep, nested, within, origin = "", 0, 0, 0, 0   # element being skipped, its depth, articles in it and around it
+    held: set[int] | None = None         # elements that hold an article, once it matters
+    marks: list[list] = []               # open elements in doubt or of noise: tag, depth, kind, mains around it
+    by_tag: dict[str, list[int]] = {}
+    kinds = {"noise": 0, "doubt": 0, "doubt in article": 0}
     at = 0
 
+    def level() -> int:
+        """2: article text, 1: an article's in noise, 0: open."""
+        if not any(depth.values()) or kinds["doubt in article"] or (kinds["doubt"] and not depth["article"]):
+            return 0
+        if kinds["noise"]:
+            last = next(x for x in reversed(marks) if x[2] == "noise")
+            return int(depth["article"] > 0 or depth["main"] > last[3])
+        return 2
+
     def flush():
         if buffer:
             text = " ".join(html.unescape("".join(buffer)).split())
             if text:
                 found.append(text)
-                sure.append(inside > 0)
+                levels.append(level())
             buffer.clear()
 
+    def mark(tag, kind):
+        by_tag.setdefault(tag, []).append(len(marks))
+        marks.append([tag, 1, kind, depth["main"]])
+        kinds[kind] += 1
+
+    def close(tag):
+        if by_tag.get(tag):
+            k = by_tag[tag][-1]
+            marks[k][1] -= 1
+            if not marks[k][1]:
+                flush()
+                while len(marks) > k:
+                    t, _, kind, _ = marks.pop()
+                    by_tag[t].pop()
+                    kinds[kind] -= 1
+
     while at < len(page):
         m = _TAG.search(page, at)
         if not m:
@@ -113,23 +184,31 @@ def blocks(page: str) -> tuple[list[str], list[bool], bool]:
         if not tag:
             continue
         if skip:
-            if tag in RAW and not m[1] and not m[3].endswith("/"):
-                at = _raw_end(page, tag, at)
+            if tag in RAW and not m[1]:
+                if not m[3].endswith("/"):
+                    at = _raw_end(page, tag, at)
+            elif tag in CONTENT and not m[1] and not depth["article"] and held is None:
+                held, at, skip = _holding(page) | {origin}, origin, ""
             elif tag == skip and not m[1]:
-                depth += 1
+                deep += 1
+            elif tag in CONTENT and not m[1]:
+                nested += 1
+            elif tag in CONTENT and tag != skip and nested:
+                nested -= 1
             elif m[1] and (tag == skip or tag in ("body", "html") or (within and tag in CONTENT)):
-                depth = depth - 1 if tag == skip else 0
-                if depth <= 0:
+                deep = deep - 1 if tag == skip else 0
+                if deep <= 0:
+                    if tag in CONTENT and tag != skip:
+                        close(tag)
+                        depth[tag] = max(0, depth[tag] - 1)
                     skip = ""
-                    if tag in CONTENT and tag != "" and within:
-                        flush()
-                        inside = max(0, inside - 1)
             continue
         if m[1]:
             if tag in BREAKS:
                 flush()
+            close(tag)
             if tag in CONTENT:
-                inside = max(0, inside - 1)
+                depth[tag] = max(0, depth[tag] - 1)
             continue
         if tag in RAW:
             if not m[3].endswith("/"):
@@ -141,14 +220,26 @@ def blocks(page: str) -> tuple[list[str], list[bool], bool]:
             buffer.append(" ")
         if tag in VOID:
             continue
-        if tag in CHROME or (tag == "header" and not inside) or _noise(tag, m[3], inside > 0):
+        inside = any(depth.values())
+        noise = 2 if tag in CHROME or (tag == "header" and not inside) else _noise(tag, m[3], inside)
+        if noise == 2 and (depth["article"] or (tag not in CONTENT and (held is None or m.start() not in held))):
+            flush()
+            skip, deep, nested, within, origin = tag, 1, 0, inside, m.start()
+            continue
+        if noise == 2:
+            flush()
+            mark(tag, "noise")
+        elif noise and inside and tag not in CONTENT:
             flush()
-            skip, depth, within = tag, 1, inside
-        elif tag in CONTENT:
-            inside += 1
+            mark(tag, "doubt in article" if depth["article"] else "doubt")
+        elif by_tag.get(tag):
+            marks[by_tag[tag][-1]][1] += 1
+        if tag in CONTENT:
+            depth[tag] += 1
             seen = True
     flush()
-    return found, sure, seen
+    least = 2 if 2 in levels else 1
+    return found, [v >= least for v in levels], seen
 
 
 def host_of(url: str | None) -> str:

@@ -169,5 +169,19 @@ def test_the_array_decides_text_outside_the_articles(spark):
     assert got[4] == bodies[3] and got[5] == bodies[4] and got[6] == "own"
 
 
+def test_a_container_of_an_article_is_not_noise(spark):
+    text = "the text"
+    pages = ['<div class="content with-sidebar"><article>the text</article></div>',
+             '<div id="search-result"><article>the text</article></div>', '<article class="post social-share">the text</article>',
+             '<div class="sidebar"><div class="ad"><article>the text</article></div></div>',
+             '<form><nav>menu</nav><main>the text</main></form>', '<div class="overflow-hidden flex"><article>the text</article></div>',
+             '<div class="sidebar"><article>teaser</article></div><article>the text</article><div class="widget">x</div>',
+             '<main><div class="widget"><p>x</p><article>the text</article></div></main>',
+             '<article>the text<section id="comments"><article>c</article><article>d</article></section></article>',
+             '<article>the text<div class="share-buttons">share it</div></article>']
+    got = extracted(spark, [(f"http://h{k}.org/", p) for k, p in enumerate(pages)])
+    assert got == {k + 1: text for k in range(len(pages))}
+
+
 def test_no_pages(spark):
     assert extracted(spark, []) == {}
