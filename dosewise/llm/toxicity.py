@@ -4,8 +4,10 @@ Two states (toxic or not) over the words of a text.  A word's features are
 itself, its prefixes and suffixes, and its neighbours.  Only documents carry
 labels, so token labels are derived first: a feature is a sign of toxicity if
 it is surely more frequent in toxic than in clean sample documents (by the lower
-bound of its share), and if its documents are not copies of each other, which
-shows in unrelated words that nearly all of them share.  A word of a toxic
+bound of its share).  Copies count once: sample documents that share about half
+of their 3-word shingles or more (by ``MINIMA`` minimum hashes), directly or by
+others between them, are one class, and a class has one vote.  Which words
+documents share beside that plays no part.  A word of a toxic
 document with such a feature is labelled toxic, every other word is not.  The
 field is fitted on windows of those labelled tokens by gradient steps on the
 exact likelihood (forward-backward).
@@ -34,19 +36,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dosewise.llm.blocks import grouped
+from dosewise.llm.blocks import Block, grouped, mix
 from dosewise.llm.common import arrow_type, as_bytes, id_type, pieces
+from dosewise.llm.decontaminate import _grams
 from dosewise.llm.sampling import class_sizes, labelled
 from dosewise.session import ship_package
 
 SAMPLE = 2000       # labelled rows of each class that the model is fitted on
 SPAN, WINDOWS = 24, 4
-LEAST, LIFT = 5, 4.5   # toxic sample documents with a sign; least ratio of its share to the clean one
-COPIES, ALIKE = 3, 0.8  # so many unrelated words in such a share of its documents: copies
+LEAST, LIFT = 5, 4.5   # toxic classes of sample documents with a sign; least ratio of its share to the clean one
+MINIMA, ALIKE = 64, 0.5   # minimum hashes of a document; share of equal ones from which two are copies
 CACHE = 400_000
 BYTES = 4 << 20     # text tagged at a time
 EPOCHS, RATE, DECAY = 60, 0.15, 2e-5
 
+_SEEDS = np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -254,21 +258,33 @@ def offsets(text: bytes, hit: np.ndarray | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b, _ in out]
 
 
-def _signs(docs: list[dict[str, list[str]]]) -> set[str]:
-    """Features whose documents differ.  ``docs``: per toxic document, its words
-    with candidate features."""
-    by: dict = {}
-    for d, ws in enumerate(docs):
-        for w, fs in ws.items():
-            for f in fs:
-                by.setdefault(f, set()).add(d)
-    good = set()
-    for f, ds in by.items():
-        some = sorted(ds)[:200]
-        shared = Counter(w for d in some for w, fs in docs[d].items() if f not in fs)
-        if sum(n >= ALIKE * len(some) for n in shared.values()) < COPIES:
-            good.add(f)
-    return good
+def minima(text: bytes) -> np.ndarray:
+    """Minimum hashes of a text's 3-word shingles."""
+    out = np.full(MINIMA, ~np.uint64(0))
+    for p in pieces(text):
+        h = Block([p.lower()]).hashes()
+        if len(h):
+            g = np.unique(_grams(h, min(3, len(h))))
+            out = np.minimum(out, [mix(g + k).min() for k in _SEEDS])
+    return out
+
+
+def copy_classes(signs: np.ndarray) -> np.ndarray:
+    """A class number for every row of minimum hashes: rows that are alike, or
+    that a chain of alike rows joins, have the same one."""
+    out = np.full(len(signs), -1)
+    left = np.arange(len(signs))
+    for c in range(len(signs)):
+        if not len(left):
+            break
+        todo, left = [left[0]], left[1:]
+        while todo:
+            i = todo.pop()
+            out[i] = c
+            near = (signs[left] == signs[i]).sum(axis=1) >= ALIKE * MINIMA
+            todo += left[near].tolist()
+            left = left[~near]
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
@@ -281,39 +297,41 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     # equal texts count once
     rows = (labelled(docs, labels, label, sample).groupBy("text", "y").agg(F.min("doc_id").alias("doc_id"))
             .select(F.col("doc_id").cast("string").alias("id"), "text", "y").persist())
-    k1 = rows.where("y = 1").count()
-    k0 = rows.where("y = 0").count()
+
+    def signed(batches):
+        for b in batches:
+            yield pa.record_batch([b.column(0), b.column(2).cast(pa.int64()),
+                                   pa.array([minima(t).tobytes() for t in as_bytes(b.column(1))], pa.binary())],
+                                  names=["id", "y", "sign"])
+
+    # bounded by the sample, as is all that is collected here
+    signs = sorted((r.id, r.y, bytes(r.sign)) for r in rows.mapInArrow(signed, "id string, y long, sign binary").collect())
+    found = copy_classes(np.frombuffer(b"".join(s for _, _, s in signs), np.uint64).reshape(-1, MINIMA))
+    k0, k1 = (len({c for c, (_, y, _) in zip(found.tolist(), signs) if y == v}) for v in (0, 1))
+    many = np.bincount(found)[found] > 1
+    copies = {i: c for (i, _, _), c, m in zip(signs, found.tolist(), many) if m}
 
     def features(batches):
-        counts: Counter = Counter()
+        counts: Counter = Counter()     # of documents without copies
+        votes = set()
         for b in batches:
-            for text, y in zip(as_bytes(b.column(1)), b.column(2).to_pylist()):
-                counts.update((f, y) for f in {f for w in set(texts_words(text)) for f in own(norm(w))})
-        yield pa.record_batch([pa.array([f for f, _ in counts]), pa.array([y for _, y in counts], pa.int64()),
-                               pa.array(list(counts.values()), pa.int64())], names=["f", "y", "n"])
+            for i, text, y in zip(b.column(0).to_pylist(), as_bytes(b.column(1)), b.column(2).to_pylist()):
+                fs = {f for w in set(texts_words(text)) for f in own(norm(w))}
+                if i in copies:
+                    votes.update((f, y, copies[i]) for f in fs)
+                else:
+                    counts.update((f, y) for f in fs)
+        out = [(f, y, -1, n) for (f, y), n in counts.items()] + [(f, y, c, 1) for f, y, c in votes]
+        yield pa.record_batch([pa.array([r[k] for r in out], t) for k, t in enumerate(
+            (pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["f", "y", "copy", "n"])
 
-    counted = (rows.mapInArrow(features, "f string, y long, n long").groupBy("f")
+    counted = (rows.mapInArrow(features, "f string, y long, copy long, n long").groupBy("f", "y", "copy")
+               .agg(F.when(F.col("copy") < 0, F.sum("n")).otherwise(1).alias("n")).groupBy("f")
                .agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("n1"),
                     F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("n0"))
                .where(F.col("n1") >= LEAST)
                .where((F.col("n1") - 2 * F.sqrt("n1")) / k1 >= LIFT * (F.col("n0") + 2 * F.sqrt("n0") + 2) / k0))
-    strong = {r.f for r in counted.collect()}   # bounded by the sample
-
-    def carried(batches):
-        for b in batches:
-            words, feats, ids = [], [], []
-            for i, t in zip(b.column(0).to_pylist(), as_bytes(b.column(1))):
-                got = {w: fs for w in {norm(x) for x in texts_words(t)} if (fs := [f for f in own(w) if f in strong])}
-                ids += [i] * len(got)
-                words += got.keys()
-                feats += got.values()
-            yield pa.record_batch([pa.array(ids, pa.string()), pa.array(words, pa.string()),
-                                   pa.array(feats, pa.list_(pa.string()))], names=["id", "w", "fs"])
-
-    toxic: dict = {}
-    for r in rows.where("y = 1").mapInArrow(carried, "id string, w string, fs array<string>").collect():
-        toxic.setdefault(r.id, {})[r.w] = r.fs
-    picked = _signs([toxic[i] for i in sorted(toxic)])
+    picked = {r.f for r in counted.collect()}
     if not picked:
         rows.unpersist()
         return model

@@ -151,6 +151,47 @@ def test_toxic_words_are_tagged_and_scores_separate(spark):
     assert len(odd) == len(AWKWARD) and all(0 <= r.score <= 1 and not r.spans for r in odd)
 
 
+LEXICON = [a + b for a in ("gruk", "zlorp", "vexoo", "mwib", "dhaqq") for b in ("esh", "umv")]
+
+
+def toxic_documents(spark, held, copies):
+    """300 documents, every fifth with ``held`` words of the lexicon, and near
+    copies of one more that holds the first word of it."""
+    r, rows = random.Random(5), []
+    for i in range(1, 301):
+        w = vocabulary_words(i, r.randint(20, 60), 200)
+        for x in r.sample(LEXICON, held) if i % 5 == 0 else ():
+            w.insert(r.randrange(len(w)), x)
+        rows.append(" ".join(w))
+    odd = [f"{a}qx{b}jj{a}{b}" for a in "abcdefgh" for b in "klmno"]
+    rows += [" ".join(odd[:k % 20] + odd[k % 20 + 1:30] + LEXICON[:1] + odd[30:]) for k in range(copies)]
+    labels = [(i + 1, 1, int(i >= 300 or i % 5 == 4)) for i in range(len(rows))]
+    df = docs(spark, rows)
+    model = toxicity.train(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    return labels, [(r.doc_id, r.score, [rows[r.doc_id - 1][s.start:s.end] for s in r.spans])
+                    for r in toxicity.tag(df, model).collect()]
+
+
+def test_toxic_words_that_all_toxic_texts_hold_are_learned(spark):
+    labels, got = toxic_documents(spark, len(LEXICON), 0)
+    toxic = {i for i, _, y in labels if y}
+    assert {i for i, score, _ in got if score >= 0.5} == {i for i, _, spans in got if spans} == toxic
+
+
+def test_copies_of_a_toxic_text_have_one_vote(spark):
+    labels, got = toxic_documents(spark, 3, 150)
+    spans = {i: spans for i, _, spans in got}
+    assert all(spans[i] == LEXICON[:1] for i in range(301, 451))
+    assert sum(bool(spans[i]) == bool(y) for i, _, y in labels[:300]) >= 295
+
+
+def test_classes_of_copies():
+    texts = [" ".join(vocabulary_words(k, 60, 5000)) for k in range(4)]
+    texts += [texts[0] + " more", texts[1].replace(" ", "  ").upper(), "", "", "a"]
+    got = toxicity.copy_classes(np.stack([toxicity.minima(t.encode()) for t in texts]))
+    assert got[4] == got[0] and got[5] == got[1] and got[6] == got[7] and len(set(got.tolist())) == 6
+
+
 def test_toxicity_without_labels_or_rows(spark):
     df, labels = docs(spark, ["a", None], [1, 1]), "doc_id long, quality int, toxic int"
     none = toxicity.train(df, spark.createDataFrame([], labels))
