@@ -23,9 +23,11 @@ from dosewise.session import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK_TAG, META_TAG = r"(?i)<link\b[^>]*>", r"(?i)<meta\b[^>]*>"
-IS_CANONICAL = r"(?i)\brel\s*=\s*[\x22']?canonical\b"
+# canonical as one of the words of rel, quoted or not
+IS_CANONICAL = (r"(?i)\brel\s*=\s*(?:\x22(?:[^\x22]*\s)?canonical[\s\x22]|'(?:[^']*\s)?canonical[\s']|canonical\b)")
 IS_REFRESH = r"(?i)\bhttp-equiv\s*=\s*[\x22']?refresh\b"
 HREF = r"(?i)\bhref\s*=\s*[\x22']?([^\x22'\s>]+)"
+AMPERSAND = r"&(?:amp;|AMP;|#0*38;|#[xX]0*26;)"
 REFRESH_URL = r"(?i)\burl\s*=\s*[\x22']?([^\x22'\s>;]+)"
 
 
@@ -75,17 +77,19 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def aliases(pages: DataFrame) -> DataFrame:
-    """(a, b): a page's address and one that it declares as its own."""
+    """(a, b): a page's address and each one that it declares as its own."""
     html, low = F.coalesce("html", F.lit("")), F.lower(F.coalesce("html", F.lit("")))
 
-    def target(word, tag, test, value):
+    def targets(word, tag, test, value):
         tags = F.filter(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.rlike(x, F.lit(test)))
-        return F.when(F.instr(low, word) > 0, F.regexp_extract(F.get(tags, F.lit(0)), value, 1))
+        # decoded first: the ; of an &amp; would end a refresh address
+        return F.when(F.instr(low, word) > 0, F.transform(
+            tags, lambda x: F.regexp_extract(F.regexp_replace(x, AMPERSAND, "&"), value, 1))).otherwise(F.array().cast("array<string>"))
 
     found = pages.where(F.instr(F.col("url"), "://") > 0).where(
         (F.instr(low, "canonical") > 0) | (F.instr(low, "refresh") > 0)).select(
-        "url", F.explode(F.array(target("canonical", LINK_TAG, IS_CANONICAL, HREF),
-                                 target("refresh", META_TAG, IS_REFRESH, REFRESH_URL))).alias("to"))
+        "url", F.explode(F.array_union(targets("canonical", LINK_TAG, IS_CANONICAL, HREF),
+                                       targets("refresh", META_TAG, IS_REFRESH, REFRESH_URL))).alias("to"))
     u, to = F.col("url"), F.col("to")
     base = F.concat(F.substring_index(u, "://", 1), F.lit("://"), host(u))
     folder = F.regexp_extract(path(u), "^(.*/)", 1)

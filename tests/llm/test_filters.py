@@ -84,6 +84,20 @@ def test_blocks_spread_over_aliases_but_not_over_explicit_allows(spark):
                                                  7: "block", 8: "block"}
 
 
+def test_every_declared_alias_counts(spark):
+    link = '<link rel="%s" href="%s">'
+    hop = '<meta http-equiv="refresh" content="0; url=%s">'
+    block = "http://a.net/es/1"
+    got = judged(spark, [
+        (1, block, ""), (2, "http://b.org/1", link % ("canonical", "/self") + link % ("canonical", block)),
+        (3, "http://c.org/1", link % ("shortlink canonical", block)), (4, "http://d.org/1", "<link rel='canonical x' href='%s'>" % block),
+        (5, "http://e.org/1", hop % "/self" + hop % block), (6, "http://f.org/1", link % ("canonicals noncanonical", block)),
+        (7, "http://g.org/p?a=1&b=2", ""), (8, "http://h.org/1", link % ("canonical", "http://g.org/p?a=1&amp;b=2") + hop % block),
+        (9, "http://i.org/p?a=1&b=2", ""), (10, "http://j.org/1", link % ("canonical", "http://i.org/p?a=1&#38;b=2") + hop % block),
+        (11, "http://k.org/p?a=1&b=2", ""), (12, "http://l.org/1", hop % "http://k.org/p?a=1&#x26;b=2" + hop % block)])
+    assert {k for k, v in got.items() if v[3] == "allow"} == {6}
+
+
 def test_no_rules_and_no_pages(spark):
     assert judged(spark, [(1, "http://a.com/", "")], [(None, None, None)]) == {1: ("a.com", "/", None, "allow")}
     assert judged(spark, []) == {}
