@@ -79,3 +79,21 @@ def grouped(items, size, most: int):
         total += n
     if run:
         yield run
+
+
+def located_words(texts: list[bytes], piece: int = 1 << 20):
+    """(start, end, hash, words per text) of texts laid out with one space after
+    each, whatever their length: a long text is hashed in pieces of about
+    ``piece`` bytes, so that only the three word arrays grow with it."""
+    from dosewise.llm.common import pieces
+
+    if len(texts) != 1 or len(texts[0]) <= piece:
+        b = Block(texts)
+        return b.start, b.end, b.hashes(), b.n_words
+    parts, at = [], 0
+    for p in pieces(texts[0], piece):
+        b = Block([p])
+        parts.append((b.start + at, b.end + at, b.hashes()))
+        at += len(p)
+    start, end, h = (np.concatenate(c) for c in zip(*parts))
+    return start, end, h, np.array([len(h)])

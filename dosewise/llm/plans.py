@@ -3,4 +3,4 @@
 from __future__ import annotations
 
 from dosewise.llm.common import ORACLES, QUERIES  # noqa: F401
-from dosewise.llm import q_filters, q_models, q_text  # noqa: F401  (they register)
+from dosewise.llm import q_audit, q_filters, q_models, q_text  # noqa: F401  (they register)
