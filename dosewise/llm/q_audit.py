@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import zlib
+from itertools import permutations
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from dosewise.llm import periodic
+from dosewise.llm import interaction, periodic
 from dosewise.llm.common import read, register
 
 
@@ -39,3 +40,47 @@ def op11(spark, sf_dir):
         "doc_id", "n_runs", (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
         (-F.col("top.period")).alias("period"),
         F.expr("1000 * top.length div -top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+_ORDERS = ", ".join(f"('{''.join(p)}')" for p in permutations("ABCDE"))
+
+OP12_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), l AS (
+  SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good, max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic
+  FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+    len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)] AS bad
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+), cells AS (
+  SELECT part, bad, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, bad
+), orders(o) AS (VALUES {_ORDERS}), steps AS (
+  SELECT o, unnest(range(1, 6)) AS step FROM orders
+), stepped AS (
+  SELECT o, step, list_transform(range(1, 6), lambda k: ascii(substr(o, k, 1)) - 64) AS axes FROM steps
+), sums AS (
+  SELECT part, o, step, axes[step] AS own,
+    coalesce(sum(n) FILTER (len(list_filter(axes[1:step], lambda a: bad[a])) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (bad[axes[step]] AND len(list_filter(axes[1:step - 1], lambda a: bad[a])) = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (bad[axes[step]] AND len(list_filter(axes[1:step - 1], lambda a: bad[a])) > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (bad[axes[step]] AND len(list_filter(bad, lambda b: b)) = 1), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (bad[axes[step]] AND len(list_filter(axes[1:step - 1], lambda a: bad[a])) = 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (bad[axes[step]] AND len(list_filter(axes[1:step - 1], lambda a: bad[a])) = 0), 0) AS toxic_lost
+  FROM cells CROSS JOIN stepped GROUP BY part, o, step, axes
+)
+SELECT part, o AS filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM sums
+"""
+
+
+@register("op12_filter_interaction", OP12_SQL)
+def op12(spark, sf_dir):
+    """What each of five filters removes at each step of each order, per source."""
+    return interaction.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "source")
