@@ -8,7 +8,7 @@ from itertools import permutations
 import numpy as np
 from pyspark.sql import functions as F
 
-from dosewise.llm import interaction, periodic
+from dosewise.llm import interaction, licences, periodic
 from dosewise.llm.common import read, register
 
 
@@ -84,3 +84,73 @@ FROM sums
 def op12(spark, sf_dir):
     """What each of five filters removes at each step of each order, per source."""
     return interaction.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "source")
+
+
+def _rule_rows(rules) -> str:
+    return ", ".join(f"({k}, '{label}', '{keyword}', '{pattern}', {weight}::DOUBLE)"
+                     for k, (label, keyword, pattern, weight) in enumerate(rules))
+
+
+_BASE_ROWS = ", ".join(f"('{label}', ' {phrase.replace(' ', '  ')} ')" for phrase, label in licences.BASE)
+
+OP13_SQL = rf"""
+WITH w AS (
+  SELECT row_number() OVER () AS rid, doc_id, trim(regexp_replace(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') AS t FROM documents
+), d AS (
+  SELECT rid, doc_id, CASE WHEN t = '' THEN 0 ELSE length(t) - length(replace(t, ' ', '')) + 1 END AS n_words,
+         ' ' || replace(t, ' ', '  ') || ' ' AS s FROM w
+), rules(rank, label, keyword, pattern, weight) AS (VALUES {_rule_rows(licences.RULES)}),
+phrases(label, phrase) AS (VALUES {_BASE_ROWS}),
+cut AS (
+  SELECT rid, rank, label, weight, regexp_extract_all(s, pattern) AS m, string_split_regex(s, pattern) AS p
+  FROM d JOIN rules ON contains(s, keyword)
+), piece AS (
+  SELECT rid, rank, label, weight, unnest(m) AS x, unnest(p[1:len(m)]) AS gap, unnest(range(len(m))) AS i FROM cut WHERE len(m) > 0
+), sized AS (
+  SELECT *, length(x) - length(replace(x, ' ', '')) AS nx, length(gap) - length(replace(gap, ' ', '')) AS ng FROM piece
+), found AS (
+  SELECT rid, rank, label, weight, (sum(nx + ng) OVER v - nx)::BIGINT // 2 AS s, (sum(nx + ng) OVER v)::BIGINT // 2 AS e
+  FROM sized WINDOW v AS (PARTITION BY rid, rank ORDER BY i)
+), swept AS (
+  SELECT *, max(e) OVER (PARTITION BY rid ORDER BY s, e DESC, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM found
+), near AS (
+  SELECT *, lag(e) OVER v AS pe, lag(rank) OVER v AS pr, lead(s) OVER v AS ns, lead(rank) OVER v AS nr
+  FROM swept WHERE coalesce(e > far, true) WINDOW v AS (PARTITION BY rid ORDER BY s, e DESC, rank)
+), stays AS (
+  SELECT rid, label, weight FROM near WHERE NOT coalesce(pe > s AND pr < rank, false) AND NOT coalesce(ns < e AND nr < rank, false)
+), parts AS (
+  SELECT rid, label, string_split(s, phrase) AS p FROM d JOIN phrases ON contains(s, phrase)
+), based AS (
+  SELECT rid, label, len(p) - 1 AS n, (length(p[1]) - length(replace(p[1], ' ', ''))) // 2 AS first_word,
+         (length(s) - length(replace(s, ' ', '')) - (length(p[-1]) - length(replace(p[-1], ' ', '')))) // 2
+           - len(string_split(trim(phrase), '  ')) AS last_word
+  FROM (SELECT parts.*, d.s, phrase FROM parts JOIN d USING (rid) JOIN phrases USING (label))
+), b AS (
+  SELECT rid, sum(n) AS n, min(first_word) AS first_word, max(last_word) AS last_word, string_agg(label, ',' ORDER BY label) AS labels
+  FROM based GROUP BY rid
+), every AS (
+  SELECT rid, label, weight FROM stays UNION ALL SELECT rid, label, {licences.BASE_WEIGHT} FROM based
+), a AS (
+  SELECT rid, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(weight) AS score FROM every GROUP BY rid
+)
+SELECT d.doc_id, d.n_words::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, b.first_word::BIGINT AS first_word,
+       b.last_word::BIGINT AS last_word, coalesce(b.labels, '') AS base_labels, coalesce(a.labels, '') AS labels,
+       coalesce(a.score, 0)::DOUBLE AS score
+FROM d LEFT JOIN b USING (rid) LEFT JOIN a USING (rid)
+"""
+
+
+@register("op13_licence_signatures", OP13_SQL)
+def op13(spark, sf_dir):
+    """Licence and rights notices of every document: base phrases and rules."""
+    found = licences.find(read(spark, sf_dir, "documents"))
+
+    def joined(column):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(column, lambda x: x["label"]))), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.transform("base", lambda x: x["start"])).cast("long").alias("first_word"),
+        F.array_max(F.transform("base", lambda x: x["start"])).cast("long").alias("last_word"),
+        joined(F.col("base")).alias("base_labels"), joined(F.concat("base", "detections")).alias("labels"), "score")
