@@ -7,32 +7,39 @@ the shared ``spark.checkpoint.dir``.  ``run_available`` drives a query over
 everything available and stops, which is how the tests compare every stream
 with its batch twin.
 
-Stateful operators:
+Stateful operators (engine state, ``transformWithState``):
 * ST3 ``stream_history``: per course (patient, drug) the state is
   (pickups so far, last day, sum of gaps, late count); each pickup gets the
   same leak-free features as ``courses.course_history``.  Pickups that
   arrive older than the course's last day are processed in arrival order
-  and marked ``late_arrival``.
+  and marked ``late_arrival``.  Courses without a pickup for ``keep_days``
+  leave the state.
 * ST7 ``stream_labels``: per course the state is the pickup still waiting
-  for its label.  The next pickup resolves it (came_back = next - run-out
-  <= grace); otherwise an event-time timer at run-out + grace fires once the
+  for its label.  The next pickup by day resolves it (came_back = next -
+  run-out <= grace), also one that arrives late and lies before the waiting
+  one; otherwise an event-time timer at run-out + grace fires once the
   watermark passes it and emits came_back = 0 - the streaming form of
   censoring.
+A micro-batch's rows of one bucket are held at once, so the batch size
+(``max_files``, or ``maxBytesPerTrigger`` of the source) bounds memory, also for
+a course that has a third of all rows.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from dosewise.session import ensure_checkpoint_dir, stored
+from dosewise.session import ensure_checkpoint_dir, ship_package, stored
 from dosewise.sources.adapter import LONG_SUPPLY_TYPES, TIE
 
 DAY_MS = 86_400_000
@@ -50,11 +57,15 @@ def run_available(writer, checkpoint: str, timeout_s: float | None = None,
     A stream fixes its number of state partitions when it first starts (it is
     kept in the checkpoint).  It is set to ``state_partitions`` (default: the
     cluster's default parallelism) for this query only; the session's
-    setting is restored afterwards."""
+    setting is restored afterwards.  State is kept by the engine's RocksDB
+    provider: on local disk, with its changes in the checkpoint folder."""
     spark = SparkSession.getActiveSession()
     n = state_partitions or spark.sparkContext.defaultParallelism
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    ours = {"spark.sql.shuffle.partitions": str(n), "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    old = {k: spark.conf.get(k, None) for k in ours}
+    for k, v in ours.items():
+        spark.conf.set(k, v)
     try:
         q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         done = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination(), True)[1]
@@ -62,7 +73,11 @@ def run_available(writer, checkpoint: str, timeout_s: float | None = None,
         if not done:
             raise TimeoutError(f"the stream had not read all its input after {timeout_s} s; its output is not complete")
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return q
 
 
@@ -115,135 +130,199 @@ def stream_daily_units(sdf: DataFrame, ts: str, key: str, value: str, delay: str
             .select(F.col("w.start").cast("date").alias("date"), key, "units", "n"))
 
 
-# --- ST3: running course history -------------------------------------------------------
-
-HISTORY_OUT = T.StructType([
-    T.StructField("patient_id", T.LongType()), T.StructField("drug_id", T.StringType()),
-    T.StructField("fill_dt", T.DateType()), T.StructField("l_orderkey", T.LongType()),
-    T.StructField("l_linenumber", T.IntegerType()), T.StructField("fill_number", T.IntegerType()),
-    T.StructField("prev_gap", T.DoubleType()), T.StructField("was_late", T.IntegerType()),
-    T.StructField("avg_gap", T.DoubleType()), T.StructField("pct_late", T.DoubleType()),
-    T.StructField("late_arrival", T.BooleanType()),
-])
-HISTORY_STATE = T.StructType([
-    T.StructField("n", T.LongType()), T.StructField("last_day", T.LongType()),
-    T.StructField("sum_gap", T.DoubleType()), T.StructField("n_late", T.LongType()),
-])
-
-
-def _days(s: pd.Series) -> np.ndarray:
-    """Days since 1970-01-01 of a date column (int64)."""
-    v = s.to_numpy()
-    if v.dtype.kind != "M":
-        v = v.astype("datetime64[D]")
-    return v.astype("datetime64[D]").astype("int64")
-
-
-def _sorted(pdf: pd.DataFrame):
-    """Row order by pickup day, then the line tie key, and the day numbers."""
-    days = _days(pdf["fill_dt"])
-    keys = [pdf[c].to_numpy() for c in reversed(TIE)]
-    keys = [k.astype("datetime64[us]").astype("int64") if k.dtype.kind in "MO" else k for k in keys]
-    order = np.lexsort(keys + [days])
-    return order, days[order]
-
-
-def _whole(pdfs) -> pd.DataFrame | None:
-    """All rows of a key: they can arrive in several frames, in any order."""
-    parts = [p for p in pdfs if len(p)]
-    return pd.concat(parts, ignore_index=True) if parts else None
-
-
-def _history_fn(grace: int):
-    cols = [f.name for f in HISTORY_OUT.fields]
-
-    def fn(key, pdfs, state):
-        n, last, sum_gap, n_late = state.get if state.exists else (0, None, 0.0, 0)
-        pdf = _whole(pdfs)
-        if pdf is None:
-            yield pd.DataFrame(columns=cols)
-            return
-        order, days = _sorted(pdf)
-        days = days.astype(float)
-        pdf = pdf.iloc[order]
-        sup = pdf["supply_days"].to_numpy().astype(float)
-        # latest day seen before each row (state first, then the batch)
-        head = np.array([np.nan if last is None else float(last)])
-        prev = np.fmax.accumulate(np.concatenate([head, days]))[:-1]
-        gap = np.where(np.isnan(prev), sup, days - prev)
-        late = (gap > sup + grace).astype("int32")
-        k = n + np.arange(1, len(days) + 1)
-        cs_gap, cs_late = sum_gap + np.cumsum(gap), n_late + np.cumsum(late)
-        state.update((int(k[-1]), int(np.nanmax(np.concatenate([head, days]))), float(cs_gap[-1]), int(cs_late[-1])))
+# --- ST3, ST7: courses in buckets of keyed state ------------------------------------------
+#
+# A course is one patient on one drug.  Courses are dealt into a fixed number of
+# buckets by a hash; a bucket is the key of the stateful operator.  Its state is
+# one Arrow table with a row per live course, so a micro-batch costs one call and
+# one read and write of state per bucket, whatever the number of courses, and the
+# work inside a call is vectorised.  A bucket has one event-time timer, at the
+# first moment at which one of its courses is due.
+
+BUCKETS = 256
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_COURSE = ["patient_id", "drug_id"]
+_NUMBERS = [c for c in TIE if c != "l_shipdate"]
+_SORT = [*_COURSE, "day", *["ship" if c == "l_shipdate" else c for c in TIE]]
+
+
+def bucketed(sdf: DataFrame, buckets: int):
+    """The rows as numbers, grouped by bucket.  Rows without a patient, an item or
+    a day belong to no course and are left out."""
+    rows = sdf.where("patient_id is not null and drug_id is not null and fill_dt is not null").select(
+        F.pmod(F.xxhash64(*_COURSE), F.lit(buckets)).cast("int").alias("bucket"), *_COURSE, "event_ts",
+        F.unix_date("fill_dt").cast("long").alias("day"), F.col("supply_days").cast("long").alias("supply"), *_NUMBERS,
+        F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("ship"))
+    return rows.groupBy("bucket")
+
+
+class CourseBucket(StatefulProcessor):
+    """State of a bucket: a table of its live courses, and its timer."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.value = handle.getValueState("courses", "courses binary, timer long")
+
+    def load(self) -> tuple[pd.DataFrame | None, int]:
+        got = self.value.get() if self.value.exists() else None
+        return (pa.ipc.open_stream(got[0]).read_pandas(), got[1]) if got else (None, -1)
+
+    def store(self, courses: pd.DataFrame, due: np.ndarray, timer: int) -> None:
+        """Keep the courses; wake at the first due time (milliseconds)."""
+        at = int(due.min()) if len(due) else -1
+        if timer != at:
+            if timer >= 0:
+                self.handle.deleteTimer(timer)
+            if at >= 0:
+                self.handle.registerTimer(at)
+        if len(courses):
+            table = pa.Table.from_pandas(courses, preserve_index=False)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as w:
+                w.write_table(table)
+            self.value.update((sink.getvalue().to_pybytes(), at))
+        else:
+            self.value.clear()
+
+    def arrived(self, rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        """A bucket's new rows, in order within each course."""
+        return pd.concat(list(rows), ignore_index=True).sort_values(_SORT, ignore_index=True)
+
+    def close(self) -> None:
+        pass
+
+
+def _heads(pdf: pd.DataFrame) -> np.ndarray:
+    """Whether a row is the first of its course (the rows are sorted)."""
+    p, d = (pdf[c].to_numpy() for c in _COURSE)
+    new = np.ones(len(p), bool)
+    new[1:] = (p[1:] != p[:-1]) | (d[1:] != d[:-1])
+    return new
+
+
+HISTORY_OUT = ("patient_id long, drug_id string, day long, l_orderkey long, l_linenumber int, fill_number int, "
+               "prev_gap double, was_late int, avg_gap double, pct_late double, late_arrival boolean")
+
+
+class CourseHistory(CourseBucket):
+    """ST3.  A course's row: pickups so far, latest day, sum of gaps, late ones."""
+
+    def __init__(self, grace: int, keep_days: int):
+        self.grace, self.keep = grace, keep_days
+
+    def live(self, courses: pd.DataFrame, now_ms: int) -> tuple[pd.DataFrame, np.ndarray]:
+        """Courses that are not over yet, and when they will be."""
+        due = (courses["last"].to_numpy() + self.keep) * DAY_MS
+        return courses[due > now_ms], due[due > now_ms]
+
+    def handleInputRows(self, key, rows, timerValues):
+        old, timer = self.load()
+        pdf = self.arrived(rows)
+        new = _heads(pdf)
+        first = np.flatnonzero(new)
+        course = np.cumsum(new) - 1
+        heads = pdf.loc[first, _COURSE]
+        empty = pd.DataFrame({**{c: heads[c][:0] for c in _COURSE}, "n": np.zeros(0, "int64"), "last": np.zeros(0, "int64"),
+                              "gaps": np.zeros(0), "lates": np.zeros(0, "int64")})
+        old = empty if old is None else old
+        was = heads.merge(old, on=_COURSE, how="left")
+        known = was["n"].notna().to_numpy()
+        n0, gaps0, lates0 = (was[c].fillna(0).to_numpy() for c in ("n", "gaps", "lates"))
+        last0 = was["last"].to_numpy(dtype=float)
+        day = pdf["day"].to_numpy(dtype=float)
+        before = np.empty(len(day))
+        before[1:] = day[:-1]
+        before[first] = last0                                       # none yet: NaN
+        before = np.fmax(before, np.where(known, last0, -np.inf)[course])   # a late row comes after the latest day
+        before[~np.isfinite(before)] = np.nan
+        gap = np.where(np.isnan(before), pdf["supply"], day - before)
+        late = (gap > pdf["supply"].to_numpy() + self.grace).astype("int32")
+        size = np.diff(np.append(first, len(day)))
+
+        def running(x):
+            total = np.cumsum(x)
+            return total - np.repeat(total[first] - x[first], size)
+
+        k = running(np.ones(len(day))) + n0[course]
+        gaps, lates = running(gap) + gaps0[course], running(late.astype(float)) + lates0[course]
+        tail = first + size - 1
+        now = heads.assign(n=k[tail].astype("int64"), last=np.fmax(day[tail], last0).astype("int64"), gaps=gaps[tail],
+                           lates=lates[tail].astype("int64"))
+        rest = old.merge(heads, on=_COURSE, how="left", indicator=True)
+        rest = old[(rest["_merge"] == "left_only").to_numpy()]
+        courses = pd.concat([rest, now], ignore_index=True) if len(rest) else now
+        self.store(*self.live(courses, timerValues.getCurrentWatermarkInMs()), timer)
         yield pd.DataFrame({
-            **{c: pdf[c].to_numpy() for c in ("patient_id", "drug_id", "fill_dt", "l_orderkey", "l_linenumber")},
-            "fill_number": k.astype("int32"), "prev_gap": gap, "was_late": late, "avg_gap": cs_gap / k,
-            "pct_late": cs_late / k, "late_arrival": ~np.isnan(prev) & (days < prev)}, columns=cols)
-    return fn
-
-
-def stream_history(sdf: DataFrame, grace: int = 14) -> DataFrame:
-    """ST3: leak-free course features per arriving pickup (keyed state)."""
-    return sdf.groupBy("patient_id", "drug_id").applyInPandasWithState(
-        _history_fn(grace), HISTORY_OUT, HISTORY_STATE, "append", "NoTimeout")
-
-
-# --- ST7: label resolution with event-time timers ------------------------------------------
-
-LABEL_OUT = T.StructType([
-    T.StructField("patient_id", T.LongType()), T.StructField("drug_id", T.StringType()),
-    T.StructField("fill_dt", T.DateType()), T.StructField("l_orderkey", T.LongType()),
-    T.StructField("l_linenumber", T.IntegerType()), T.StructField("runout_dt", T.DateType()),
-    T.StructField("came_back", T.IntegerType()), T.StructField("resolved_by", T.StringType()),
-])
-LABEL_STATE = T.StructType([
-    T.StructField("fill_day", T.LongType()), T.StructField("supply", T.IntegerType()),
-    T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
-])
-
-
-def _labels_fn(grace: int):
-    cols = [f.name for f in LABEL_OUT.fields]
-
-    def frame(key, day, sup, ok, ln, came_back, how):
-        return pd.DataFrame({"patient_id": key[0], "drug_id": key[1],
-                             "fill_dt": day.astype("datetime64[D]"), "l_orderkey": ok, "l_linenumber": ln,
-                             "runout_dt": (day + sup).astype("datetime64[D]"),
-                             "came_back": came_back, "resolved_by": how}, columns=cols)
-
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            d, sp, ok, ln = state.get
-            state.remove()
-            yield frame(key, np.array([d], dtype="int64"), np.array([sp], dtype="int64"),
-                        np.array([ok], dtype="int64"), np.array([ln], dtype="int32"),
-                        np.array([0], dtype="int32"), "timer")
-            return
-        pdf = _whole(pdfs)
-        if pdf is None:
-            yield pd.DataFrame(columns=cols)
+            **{c: pdf[c] for c in ("patient_id", "drug_id", "day", "l_orderkey", "l_linenumber")}, "fill_number": k.astype("int32"),
+            "prev_gap": gap, "was_late": late, "avg_gap": gaps / k, "pct_late": lates / k,
+            "late_arrival": ~np.isnan(before) & (day < before)})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        courses, _ = self.load()
+        if courses is not None:
+            self.store(*self.live(courses, timerValues.getCurrentWatermarkInMs()), -1)
+        return iter([])
+
+
+def stream_history(sdf: DataFrame, grace: int = 14, buckets: int = BUCKETS, keep_days: int = 3650) -> DataFrame:
+    """ST3: leak-free course features per arriving pickup.  A course without a
+    pickup for ``keep_days`` before the watermark is over: its state goes, and a
+    later pickup starts a new one."""
+    ship_package(sdf.sparkSession)
+    out = bucketed(sdf, buckets).transformWithStateInPandas(CourseHistory(grace, keep_days), HISTORY_OUT, "append", "EventTime")
+    return out.select("patient_id", "drug_id", F.date_from_unix_date(F.col("day").cast("int")).alias("fill_dt"), "l_orderkey",
+                      "l_linenumber", "fill_number", "prev_gap", "was_late", "avg_gap", "pct_late", "late_arrival")
+
+
+LABEL_OUT = ("patient_id long, drug_id string, day long, supply long, l_orderkey long, l_linenumber int, came_back int, "
+             "resolved_by string")
+
+
+class CourseLabels(CourseBucket):
+    """ST7.  A course's row: the pickup that waits for its label."""
+
+    def __init__(self, grace: int):
+        self.grace = grace
+
+    def due(self, waiting: pd.DataFrame) -> np.ndarray:
+        """The watermark that passes run-out + grace answers a pickup."""
+        return ((waiting["day"] + waiting["supply"] + self.grace) * DAY_MS).to_numpy()
+
+    def answered(self, pdf: pd.DataFrame, came, how: str) -> pd.DataFrame:
+        return pdf[["patient_id", "drug_id", "day", "supply", "l_orderkey", "l_linenumber"]].assign(came_back=came, resolved_by=how)
+
+    def handleInputRows(self, key, rows, timerValues):
+        waiting, timer = self.load()
+        pdf = self.arrived(rows).drop(columns=["bucket", "event_ts"])
+        if waiting is not None:       # a late pickup can come before the waiting one
+            pdf = pd.concat([waiting, pdf], ignore_index=True).sort_values(_SORT, ignore_index=True)
+        last = np.append(_heads(pdf)[1:], True)
+        day, supply = pdf["day"].to_numpy(), pdf["supply"].to_numpy()
+        came = np.zeros(len(pdf), "int32")
+        came[:-1] = day[1:] - (day[:-1] + supply[:-1]) <= self.grace
+        left = pdf[last]
+        self.store(left, self.due(left) - 1, timer)
+        if not last.all():
+            yield self.answered(pdf[~last], came[~last], "next")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        waiting, _ = self.load()
+        if waiting is None:
             return
-        order, day = _sorted(pdf)
-        pdf = pdf.iloc[order]
-        sup, ok, ln = (pdf[c].to_numpy().astype("int64") for c in ("supply_days", "l_orderkey", "l_linenumber"))
-        if state.exists:        # the waiting pickup is resolved by this batch's first one
-            day, sup, ok, ln = (np.concatenate([[v], x]) for v, x in zip(state.get, (day, sup, ok, ln)))
-        wait = tuple(int(x[-1]) for x in (day, sup, ok, ln))
-        state.update(wait)
-        # fires once the watermark passes run-out + grace days
-        state.setTimeoutTimestamp((wait[0] + wait[1] + grace) * DAY_MS - 1)
-        if len(day) > 1:
-            came = (day[1:] - (day[:-1] + sup[:-1]) <= grace).astype("int32")
-            yield frame(key, day[:-1], sup[:-1], ok[:-1], ln[:-1].astype("int32"), came, "next")
-        else:
-            yield pd.DataFrame(columns=cols)
-    return fn
+        due = self.due(waiting)
+        over = due <= timerValues.getCurrentWatermarkInMs()
+        self.store(waiting[~over], due[~over] - 1, -1)
+        if over.any():
+            yield self.answered(waiting[over], np.zeros(over.sum(), "int32"), "timer")
 
 
-def stream_labels(sdf: DataFrame, grace: int = 14) -> DataFrame:
+def stream_labels(sdf: DataFrame, grace: int = 14, buckets: int = BUCKETS) -> DataFrame:
     """ST7: came_back for every pickup as soon as it is known."""
-    return sdf.groupBy("patient_id", "drug_id").applyInPandasWithState(
-        _labels_fn(grace), LABEL_OUT, LABEL_STATE, "append", "EventTimeTimeout")
+    ship_package(sdf.sparkSession)
+    out = bucketed(sdf, buckets).transformWithStateInPandas(CourseLabels(grace), LABEL_OUT, "append", "EventTime")
+    day = F.col("day").cast("int")
+    return out.select("patient_id", "drug_id", F.date_from_unix_date(day).alias("fill_dt"), "l_orderkey", "l_linenumber",
+                      F.date_from_unix_date(day + F.col("supply").cast("int")).alias("runout_dt"), "came_back", "resolved_by")
 
 
 # --- ST4-ST6: micro-batch scoring and monitoring ---------------------------------------------
