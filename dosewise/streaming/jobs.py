@@ -224,7 +224,8 @@ class CourseHistory(CourseBucket):
         heads = pdf.loc[first, _COURSE]
         empty = pd.DataFrame({**{c: heads[c][:0] for c in _COURSE}, "n": np.zeros(0, "int64"), "last": np.zeros(0, "int64"),
                               "gaps": np.zeros(0), "lates": np.zeros(0, "int64")})
-        old = empty if old is None else old
+        now_ms = timerValues.getCurrentWatermarkInMs()
+        old = empty if old is None else self.live(old, now_ms)[0]
         was = heads.merge(old, on=_COURSE, how="left")
         known = was["n"].notna().to_numpy()
         n0, gaps0, lates0 = (was[c].fillna(0).to_numpy() for c in ("n", "gaps", "lates"))
@@ -251,7 +252,7 @@ class CourseHistory(CourseBucket):
         rest = old.merge(heads, on=_COURSE, how="left", indicator=True)
         rest = old[(rest["_merge"] == "left_only").to_numpy()]
         courses = pd.concat([rest, now], ignore_index=True) if len(rest) else now
-        self.store(*self.live(courses, timerValues.getCurrentWatermarkInMs()), timer)
+        self.store(*self.live(courses, now_ms), timer)
         yield pd.DataFrame({
             **{c: pdf[c] for c in ("patient_id", "drug_id", "day", "l_orderkey", "l_linenumber")}, "fill_number": k.astype("int32"),
             "prev_gap": gap, "was_late": late, "avg_gap": gaps / k, "pct_late": lates / k,

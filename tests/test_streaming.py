@@ -1,5 +1,5 @@
 """Streams over several micro-batches: pickups arrive as 4 files in day
-order; both state forms (keyed state and per-course state tables) must give
+order; keyed state must give
 the batch features and the same labels."""
 
 import os
@@ -71,3 +71,43 @@ def test_a_stream_that_is_not_done_raises(spark, chunked_dir):
     kp = J.scratch(spark, "t-late")
     with pytest.raises(TimeoutError):
         J.run_available(sdf.writeStream.format("parquet").option("path", kp + "/out"), kp + "/ckpt", timeout_s=0.01)
+
+
+def _arrivals(spark, batches, delay):
+    """A stream of one file per batch of (patient, day number, key) pickups."""
+    path = J.scratch(spark, "t-arrivals")
+    for rows in batches:
+        df = spark.createDataFrame([(p, "d", d, 30, k, 1, 1, 1, 1.0) for p, d, k in rows],
+                                   "patient_id long, drug_id string, day int, supply_days int, l_orderkey long, l_linenumber int, "
+                                   "l_partkey long, l_suppkey long, l_extendedprice double")
+        df = df.withColumn("fill_dt", F.date_from_unix_date("day")).withColumn("l_shipdate", F.col("fill_dt").cast("timestamp"))
+        df.withColumn("event_ts", F.timestamp_seconds(F.col("day").cast("long") * 86400)).coalesce(1).write.mode("append").parquet(path)
+    sdf = J.read_stream(spark, path, spark.read.parquet(path).schema, max_files=1)
+    return sdf.withWatermark("event_ts", delay)
+
+
+def _ran(spark, sdf):
+    path = J.scratch(spark, "t-out")
+    J.run_available(sdf.writeStream.format("parquet").option("path", path + "/out"), path + "/ckpt")
+    return spark.read.parquet(path + "/out")
+
+
+def test_a_late_pickup_is_judged_by_the_pickup_after_it(spark):
+    # day 100 waits; day 40 arrives late: its next pickup is day 100 (too late), and day 100 still waits
+    sdf = _arrivals(spark, [[(1, 100, 1)], [(1, 40, 2)], [(1, 120, 3)], [(2, 300, 4)]], "90 days")
+    got = {r.l_orderkey: (r.came_back, r.resolved_by) for r in _ran(spark, J.stream_labels(sdf)).collect()}
+    assert got == {2: (0, "next"), 1: (1, "next"), 3: (0, "timer")}
+
+
+def test_courses_that_are_over_leave_the_state(spark):
+    batches = [[(1, 100, 1), (2, 100, 2)], [(1, 150, 3)], [(3, 400, 4)], [(2, 401, 5), (1, 402, 6)]]
+    for keep, numbers in ((1000, {1: 1, 2: 1, 3: 2, 4: 1, 5: 2, 6: 3}), (200, {1: 1, 2: 1, 3: 2, 4: 1, 5: 1, 6: 1})):
+        sdf = _arrivals(spark, batches, "1 day")
+        out = _ran(spark, J.stream_history(sdf, keep_days=keep, buckets=2))
+        assert {r.l_orderkey: r.fill_number for r in out.collect()} == numbers
+
+
+def test_late_history_rows_and_rows_without_a_course(spark):
+    sdf = _arrivals(spark, [[(1, 100, 1), (None, 100, 9)], [(1, 90, 2)], [(1, 130, 3)]], "90 days")
+    got = {r.l_orderkey: (r.fill_number, r.prev_gap, r.late_arrival) for r in _ran(spark, J.stream_history(sdf)).collect()}
+    assert got == {1: (1, 30.0, False), 2: (2, -10.0, True), 3: (3, 30.0, False)}
