@@ -1,38 +1,43 @@
-"""Gradient-boosted classifiers, many settings and folds at once.
-
-A grid search needs dozens of boosted models over one table.  Fitted one by
-one, each costs rounds x depth small jobs.  Here all models grow in lockstep:
-one pass over the table per tree level gathers the histograms of every model,
-so a whole grid costs as many jobs as its deepest, longest model.
-
-* Rows are binned once (at most ``BINS`` quantile bins per feature) into blocks
-  written to the shared folder; the blocks are the only copy of the features.
-* A block carries the current margin of every model.  Margins move with a
-  persisted RDD per round; every ``CUT`` rounds it is checkpointed, so a lost
-  executor replays few rounds.
-* Per level every block sums gradients and Hessians of the log loss by (model,
-  node, feature, bin); the sums are added in a tree of tasks and the driver,
-  which holds only histograms and trees, picks the splits.
-* Models differ in depth, step, number of rounds and training rows (a prefix of
-  the time order).  Boosting adds trees one by one, so scores after fewer
-  rounds come from the same fit.
+"""Gradient-boosted classifiers for searches over many settings and folds, and
+for serving the winner (E16-E21, S9, V1).
+
+A search needs dozens of boosted models over one table; fitted one by one with
+distributed trees, each costs rounds x depth small jobs.  Here every model is one
+task of one job.  What a model trains on is bounded: at most ``SAMPLE`` rows of
+its training rows, taken in the order of a hash of the row's index (all rows of a
+smaller table).  Everything else covers all rows: bin edges, categories and every
+score that a fold, a test period or a leaderboard is computed from.
+
+* Trees grow by second-order gain on the log loss over at most ``BINS`` quantile
+  bins per number; a category is tested against all others (one-hot columns
+  without their width).  Boosting adds trees one by one, so models that differ in
+  their number of rounds only are prefixes of one fit.
+* ``BoostedTrees`` is a Spark ML model: it reads the raw columns, scores Arrow
+  batches with numpy, and is saved and loaded like any other stage, so the
+  learner that a search ranks is the one that is served.
 """
 
 from __future__ import annotations
 
-import math
+import base64
+import json
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
+import pandas as pd
+from pyspark import keyword_only
+from pyspark.ml import Model
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from dosewise.session import ensure_checkpoint_dir, ship_package, stored
+from dosewise.session import ship_package
 
-BINS, BLOCK, CUT = 32, 16384, 40
-LEAST_HESSIAN = 1e-3
+SAMPLE = 1 << 18        # training rows of one model, at most
+BINS = 64
+RIDGE, LEAST_HESSIAN, LEAST_GAIN = 1.0, 1.0, 1e-6
 
 
 @dataclass(frozen=True)
@@ -46,211 +51,256 @@ class Fit:
     until: int
 
 
-def binned(df: DataFrame, numeric: list[str], categorical: str | None, known: DataFrame, label: str,
-           idx: str = "row_idx") -> DataFrame:
-    """Blocks (x, y, idx as bytes) of ``df``: quantile bins of the numeric
-    columns and one 0/1 column per category of ``known`` (the training rows)."""
-    cuts = known.approxQuantile(numeric, [k / BINS for k in range(1, BINS)], 0.001)
-    cuts = [np.unique(c) for c in cuts]
-    cats = sorted(r[0] for r in known.select(categorical).distinct().collect()) if categorical else []
-    cols = [idx, label, *numeric, *([categorical] if categorical else [])]
-
-    def run(batches):
-        for pdf in batches:
-            x = np.zeros((len(pdf), len(numeric) + len(cats)), np.uint8)
-            for j, c in enumerate(numeric):
-                x[:, j] = np.searchsorted(cuts[j], pdf[c].to_numpy(float), side="left")
-            for j, v in enumerate(cats):
-                x[:, len(numeric) + j] = pdf[categorical] == v
-            for a in range(0, len(pdf), BLOCK):
-                s = slice(a, a + BLOCK)
-                yield type(pdf)({"x": [x[s].tobytes()], "y": [pdf[label].to_numpy(np.float32)[s].tobytes()],
-                                 "idx": [pdf[idx].to_numpy(np.int64)[s].tobytes()]})
-
-    spark = df.sparkSession
-    ship_package(spark)
-    rows = stored(df.select(*cols), "rows")
-    # few tasks for few rows: a level's job costs little more than its tasks
-    tasks = max(1, min(math.ceil(rows.count() / BLOCK), 4 * spark.sparkContext.defaultParallelism))
-    return stored(rows.repartition(tasks).mapInPandas(run, "x binary, y binary, idx binary"), "blocks").coalesce(tasks)
-
-
-def _route(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
-    """Node of every row after ``levels`` splits of a tree in level order (a
-    row stays at a node that is not split)."""
-    node = np.zeros(len(x), np.int64)
-    rows = np.arange(len(x))
-    for _ in range(levels):
-        f = feature[node]
-        split = f >= 0
-        node = np.where(split, 2 * node + 1 + (x[rows, np.maximum(f, 0)] > cut[node]), node)
-    return node
-
-
-def _partition_sums(part, *args):
-    """The histograms of all blocks of a partition, as one element."""
-    out = None
-    for block in part:
-        h = _histograms(block, *args)
-        out = h if out is None else [a + b for a, b in zip(out, h)]
-    if out is not None:
-        yield out
-
-
-def _histograms(block, fits, feature, cut, level: int, width: int) -> list[np.ndarray]:
-    """Per model that still splits at ``level``: sums of gradient and Hessian by
-    (root or left child of the level, feature, bin)."""
-    x, y, idx, margin = block
-    cells = x.astype(np.int64) + np.arange(width) * BINS
-    first, nodes = (1 << level) - 1, 1 << level
-    out = []
-    for m, fit in enumerate(fits):
-        if fit.depth <= level:
-            continue
-        node = _route(x, feature[m], cut[m], level) - first
-        # below the root only left children are summed: a right child is its parent less the left one
-        some = np.flatnonzero((idx < fit.until) & (node >= 0) & ((node & 1 == 0) if level else True))
-        p = 1 / (1 + np.exp(-margin[some, m].astype(float)))
-        kept = max(1, nodes // 2)
-        at = ((node[some, None] >> (level > 0)) * (width * BINS) + cells[some]).ravel()
-        size = kept * width * BINS
-        out.append(np.stack([np.bincount(at, np.repeat(v, width), size) for v in (y[some] - p, p * (1 - p))])
-                   .reshape(2, kept, width, BINS))
+@dataclass
+class Trees:
+    """A fitted model.  A tree is a heap of nodes: ``feature`` (-1: leaf) and
+    ``threshold`` (greater goes right; the last feature is the category's number,
+    equal goes right), ``value`` the margin that a row at the node gets."""
+    numeric: list[str]
+    categorical: str | None
+    categories: list
+    start: float
+    feature: np.ndarray
+    threshold: np.ndarray
+    value: np.ndarray
+
+    def matrix(self, pdf: pd.DataFrame) -> np.ndarray:
+        """The features of rows; missing numbers count as the greatest."""
+        out = np.empty((len(pdf), len(self.numeric) + 1))
+        for j, c in enumerate(self.numeric):
+            out[:, j] = pdf[c].astype(float)
+        out[np.isnan(out)] = np.inf
+        number = {v: k for k, v in enumerate(self.categories)}
+        out[:, -1] = pdf[self.categorical].map(number).fillna(-1) if self.categorical else -1
+        return out
+
+    def margins(self, x: np.ndarray, stages: list[int]):
+        """The log-odds after each of ``stages`` (ascending) rounds."""
+        margin, rows, done = np.full(len(x), self.start), np.arange(len(x)), 0
+        depth = int(np.log2(self.feature.shape[1] + 1)) - 1
+        last = x.shape[1] - 1
+        for stage in stages:
+            for t in range(done, min(stage, len(self.feature))):
+                f, cut = self.feature[t], self.threshold[t]
+                node = np.zeros(len(x), np.int64)
+                for _ in range(depth):
+                    at = f[node]
+                    v = x[rows, at]
+                    right = np.where(at == last, v == cut[node], v > cut[node])
+                    node = np.where(at >= 0, 2 * node + 1 + right, node)
+                margin = margin + self.value[t][node]
+            done = stage
+            yield margin
+
+    def first(self, rounds: int) -> Trees:
+        return Trees(self.numeric, self.categorical, self.categories, self.start, self.feature[:rounds],
+                     self.threshold[:rounds], self.value[:rounds])
+
+    def to_json(self) -> str:
+        def text(a):
+            return [base64.b64encode(np.ascontiguousarray(a).tobytes()).decode(), str(a.dtype), list(a.shape)]
+        return json.dumps({**{k: getattr(self, k) for k in ("numeric", "categorical", "categories", "start")},
+                           **{k: text(getattr(self, k)) for k in ("feature", "threshold", "value")}})
+
+    @staticmethod
+    def from_json(s: str) -> Trees:
+        d = json.loads(s)
+        for k in ("feature", "threshold", "value"):
+            data, kind, shape = d[k]
+            d[k] = np.frombuffer(base64.b64decode(data), kind).reshape(shape)
+        return Trees(**d)
+
+
+def best_splits(grad: np.ndarray, hess: np.ndarray, one_against_rest: bool):
+    """Per node the best split of a feature's bins (node, bin): (gain, bin,
+    gradient and Hessian sums of the left side).  Numbers are cut after a bin;
+    of a category one value goes right."""
+    g, h = grad.sum(1, keepdims=True), hess.sum(1, keepdims=True)
+    if one_against_rest:
+        left_g, left_h = g - grad, h - hess
+    else:
+        left_g, left_h = grad.cumsum(1), hess.cumsum(1)
+    right_g, right_h = g - left_g, h - left_h
+    gain = left_g ** 2 / (left_h + RIDGE) + right_g ** 2 / (right_h + RIDGE) - g ** 2 / (h + RIDGE)
+    gain[(left_h < LEAST_HESSIAN) | (right_h < LEAST_HESSIAN)] = -1.0
+    at = gain.argmax(1)
+    rows = np.arange(len(gain))
+    return gain[rows, at], at, left_g[rows, at], left_h[rows, at]
+
+
+def _groups(width: list[int], most: int = 512) -> list[list[int]]:
+    """Features counted together: small ones share one table of all their
+    combinations, whose margins are their own counts."""
+    out: list[list[int]] = []
+    for j in sorted(range(len(width)), key=lambda j: width[j]):
+        if out and np.prod([width[i] for i in out[-1]]) * width[j] <= most:
+            out[-1].append(j)
+        else:
+            out.append([j])
     return out
 
 
-def _splits(hist: np.ndarray):
-    """Best split of every node by gain: (feature or -1, bin, sums left, sums
-    right); ties go to the first feature and bin."""
-    total = hist.sum(axis=3, dtype=float)[:, :, :1]           # 2, nodes, 1
-    left = hist.cumsum(axis=3, dtype=float)[..., :-1]         # 2, nodes, features, cuts
-    right = total[..., None] - left
-    ok = (left[1] > LEAST_HESSIAN) & (right[1] > LEAST_HESSIAN)
-    gain = np.where(ok, left[0] ** 2 / np.maximum(left[1], 1e-12) + right[0] ** 2 / np.maximum(right[1], 1e-12), -1.0)
-    gain -= (total[0] ** 2 / np.maximum(total[1], 1e-12))[..., None]
-    n = hist.shape[1]
-    best = gain.reshape(n, -1).argmax(axis=1)
-    f, b = np.divmod(best, BINS - 1)
-    at = np.arange(n)
-    f = np.where(gain[at, f, b] > 1e-9, f, -1)
-    return f, b, left[:, at, np.maximum(f, 0), b], right[:, at, np.maximum(f, 0), b], total[:, :, 0]
-
-
-def boost(blocks: DataFrame, fits: list[Fit], width: int) -> DataFrame:
-    """Train all ``fits``; (model, rounds, row_idx, score, label) for every row
-    that the model was not trained on."""
-    spark = blocks.sparkSession
-    ensure_checkpoint_dir(spark)
-    names = [f.name for f in fits]
-    until = np.array([f.until for f in fits])
-    start = _priors(blocks, fits)
-
-    def parse(r):
-        y = np.frombuffer(r.y, np.float32)
-        return (np.frombuffer(r.x, np.uint8).reshape(len(y), width), y, np.frombuffer(r.idx, np.int64),
-                np.tile(start.astype(np.float32), (len(y), 1)))
-
-    state = blocks.rdd.map(parse).persist(StorageLevel.MEMORY_AND_DISK)
-    results, older = [], None
-    rounds, deepest = max(max(f.stages) for f in fits), max(f.depth for f in fits)
-    size = (1 << (deepest + 1)) - 1
-    branches = max(2, math.ceil(math.log(max(2, state.getNumPartitions()), 8)))
-
-    def add(a, b):
-        return [x + y for x, y in zip(a, b)]
-
-    for r in range(1, rounds + 1):
-        feature, cut = np.full((len(fits), size), -1, np.int16), np.zeros((len(fits), size), np.uint8)
-        leaf = np.zeros((len(fits), size), np.float32)
-        alive = [f if max(f.stages) >= r else Fit(f.name, 0, 0.0, f.stages, f.until) for f in fits]
-        above: dict = {}      # model -> histograms of the level above
-        for level in range(deepest):
-            args = (alive, feature.copy(), cut.copy(), level, width)
-            parts = state.mapPartitions(lambda part, args=args: _partition_sums(part, *args))
-            sums = iter(parts.treeReduce(add, branches) if state.getNumPartitions() > 16 else _total(parts.collect(), add))
-            first = (1 << level) - 1
-            for m, fit in enumerate(alive):
-                if fit.depth <= level:
-                    continue
-                got = next(sums)
+def grow(x: np.ndarray, width: list[int], y: np.ndarray, fit: Fit) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, feature, bin, value) of the trees of one model.  ``x``: bins
+    (row, feature), the last feature a category's number; ``width``: bins of
+    each feature.  Below the root only left children are counted; a right child
+    is its parent less the left one."""
+    n, last = len(y), x.shape[1] - 1
+    share = np.clip(y.mean() if n else 0.5, 1e-6, 1 - 1e-6)
+    start = float(np.log(share / (1 - share)))
+    groups = _groups(width)
+    shapes = [tuple(width[j] for j in group) for group in groups]
+    codes = [np.ravel_multi_index([x[:, j].astype(np.int64) for j in group], shape) for group, shape in zip(groups, shapes)]
+    size, rounds, rows = (1 << (fit.depth + 1)) - 1, max(fit.stages), np.arange(n)
+    feature = np.full((rounds, size), -1, np.int16)
+    cut = np.zeros((rounds, size), np.int32)
+    value = np.zeros((rounds, size), np.float32)
+    margin = np.full(n, start)
+    for t in range(rounds):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = y - p, p * (1 - p)
+        value[t, 0] = fit.step * g.sum() / (h.sum() + RIDGE)
+        heap = np.zeros(n, np.int64)              # node of each row
+        place = np.zeros(n, np.int64)             # its place in the level; -1 once it is in a leaf
+        alive, above = np.ones(1, bool), [None] * len(groups)
+        for level in range(fit.depth):
+            nodes, base = 1 << level, (1 << level) - 1
+            left = np.flatnonzero((place >= 0) & (place & 1 == 0)) if level else slice(None)
+            at, gl, hl = place[left] >> (level > 0), g[left], h[left]
+            best = np.full(nodes, LEAST_GAIN)
+            at_f, at_b = np.full(nodes, -1), np.zeros(nodes, np.int64)
+            sums = np.zeros((4, nodes))
+            for k, (group, shape) in enumerate(zip(groups, shapes)):
+                cells = int(np.prod(shape))
+                counted = max(1, nodes // 2)
+                cell = at * cells + codes[k][left]
+                table = np.stack([np.bincount(cell, w, counted * cells).reshape(counted, cells) for w in (gl, hl)])
                 if level:
-                    split = feature[m, (first - 1) // 2:first] >= 0
-                    got = np.stack([got, np.where(split[:, None, None], above[m] - got, 0)], axis=2)
-                    got = got.reshape(2, 1 << level, width, BINS)
-                above[m] = got
-                f, b, lo, hi, whole = _splits(got)
-                for k in range(1 << level):
-                    node = first + k
-                    if level == 0:
-                        leaf[m, 0] = fit.step * whole[0, 0] / max(whole[1, 0], 1e-12)
-                    if f[k] < 0 or (level and feature[m, (node - 1) // 2] < 0):
+                    table = np.stack([table, above[k] - table], axis=2).reshape(2, nodes, cells)
+                above[k] = table
+                whole = table.reshape(2, nodes, *shape)
+                for i, j in enumerate(group):
+                    if width[j] < 2:
                         continue
-                    feature[m, node], cut[m, node] = f[k], b[k]
-                    leaf[m, 2 * node + 1] = fit.step * lo[0, k] / lo[1, k]
-                    leaf[m, 2 * node + 2] = fit.step * hi[0, k] / hi[1, k]
-        # the margins before last are no longer needed once this round's histograms are in
-        if older is not None:
-            older.unpersist()
-        older = old = state
-        tree = (feature, cut, leaf, [f.depth for f in alive])
-        state = old.map(lambda block, tree=tree: _grown(block, *tree)).persist(StorageLevel.MEMORY_AND_DISK)
-        if r % CUT == 0:
-            state.checkpoint()
-        stage = [m for m, f in enumerate(fits) if r in f.stages]
-        if stage:
-            results.append(_scores(state, stage, names, until, r))
-    out = results[0]
-    for part in results[1:]:
-        out = out.unionByName(part)
-    older.unpersist()
-    state.unpersist()
-    return out
-
-
-def _total(parts, add):
-    out = parts[0]
-    for p in parts[1:]:
-        out = add(out, p)
-    return out
-
-
-def _grown(block, feature, cut, leaf, depth):
-    x, y, idx, margin = block
-    margin = margin.copy()
-    for m, d in enumerate(depth):
-        if d:
-            margin[:, m] += leaf[m][_route(x, feature[m], cut[m], d)]
-    return x, y, idx, margin
+                    gj, hj = whole.sum(axis=tuple(2 + o for o in range(len(group)) if o != i))
+                    gain, b, lg, lh = best_splits(gj, hj, j == last)
+                    better = alive & (gain > best)
+                    best[better], at_f[better], at_b[better] = gain[better], j, b[better]
+                    sums[:, better] = np.stack([lg, lh, gj.sum(1) - lg, hj.sum(1) - lh])[:, better]
+            split = np.flatnonzero(at_f >= 0)
+            if not len(split):
+                break
+            node = base + split
+            feature[t, node], cut[t, node] = at_f[split], at_b[split]
+            value[t, 2 * node + 1] = fit.step * sums[0, split] / (sums[1, split] + RIDGE)
+            value[t, 2 * node + 2] = fit.step * sums[2, split] / (sums[3, split] + RIDGE)
+            f, b = np.append(at_f, -1)[place], np.append(at_b, 0)[place]
+            v = x[rows, f]
+            right = np.where(f == last, v == b, v > b)
+            goes = f >= 0
+            heap = np.where(goes, 2 * heap + 1 + right, heap)
+            place = np.where(goes, 2 * place + right, -1)
+            alive = np.repeat(at_f >= 0, 2)
+        margin = margin + value[t][heap]
+    return start, feature, cut, value
+
+
+def train(indexed: DataFrame, fits: list[Fit], numeric: list[str], categorical: str | None, label: str,
+          sample: int = SAMPLE) -> dict[str, Trees]:
+    """All fits over a table with the time index ``row_idx``, one task each.
+
+    Rows without a label are not trained on.  What reaches the driver and every
+    task is bounded: ``sample`` rows, the bin edges, the categories and the trees.
+    """
+    spark = indexed.sparkSession
+    rows = indexed.where(F.col(label).isNotNull() & (F.col("row_idx") < max(f.until for f in fits)))
+    edges = [np.unique(c) for c in rows.approxQuantile(numeric, [k / BINS for k in range(1, BINS)], 0.001)]
+    pdf = (rows.select("row_idx", label, *numeric, *([categorical] if categorical else []))
+           .orderBy(F.xxhash64("row_idx"), "row_idx").limit(sample).toPandas())
+    cats = sorted(pdf[categorical].dropna().unique().tolist()) if categorical else []
+    number = {v: k for k, v in enumerate(cats)}
+    x = np.zeros((len(pdf), len(numeric) + 1), np.int16)
+    for j, c in enumerate(numeric):
+        x[:, j] = np.searchsorted(edges[j], pdf[c].astype(float), side="left")
+    if categorical:
+        x[:, -1] = pdf[categorical].map(number).fillna(len(cats))
+    width = [len(e) + 1 for e in edges] + [len(cats) + 1 if categorical else 1]
+    shared = spark.sparkContext.broadcast((x, pdf[label].to_numpy(float), pdf["row_idx"].to_numpy(np.int64)))
+    thresholds = [np.append(e, np.inf) for e in edges] + [np.arange(len(cats) + 1, dtype=float)]
+    by_name = {f.name: f for f in fits}
 
+    def run(batches):
+        x, y, idx = shared.value
+        for b in batches:
+            for name in b["name"]:
+                fit = by_name[name]
+                mine = idx < fit.until
+                start, feature, cut, value = grow(x[mine], width, y[mine], fit)
+                real = np.zeros(cut.shape)
+                for j, t in enumerate(thresholds):
+                    real[feature == j] = t[cut[feature == j]]
+                yield pd.DataFrame({"name": [name], "trees": [Trees(numeric, categorical, cats, start, feature, real, value).to_json()]})
 
-def _priors(blocks: DataFrame, fits: list[Fit]) -> np.ndarray:
-    """The log-odds of the label over each model's training rows."""
-    edges = sorted({f.until for f in fits})
-
-    def count(r):
-        y, idx = np.frombuffer(r.y, np.float32), np.frombuffer(r.idx, np.int64)
-        return np.array([[(idx < e).sum(), y[idx < e].sum()] for e in edges], float)
-
-    n = dict(zip(edges, blocks.rdd.map(count).treeReduce(lambda a, b: a + b)))
-    share = np.array([np.clip(n[f.until][1] / max(n[f.until][0], 1), 1e-6, 1 - 1e-6) for f in fits])
-    return np.log(share / (1 - share))
-
-
-SCORES = T.StructType([T.StructField("model", T.StringType()), T.StructField("rounds", T.IntegerType()),
-                       T.StructField("row_idx", T.LongType()), T.StructField("score", T.DoubleType()),
-                       T.StructField("label", T.IntegerType())])
-
+    ship_package(spark)
+    heavy = sorted(fits, key=lambda f: -f.until * f.depth * max(f.stages))     # the longest first
+    names = spark.createDataFrame([(k, f.name) for k, f in enumerate(heavy)], "k int, name string")
+    out = names.repartitionByRange(len(fits), "k").select("name").mapInPandas(run, "name string, trees string").collect()
+    return {r.name: Trees.from_json(r.trees) for r in out}
 
-def _scores(state, stage, names, until, r) -> DataFrame:
-    """Scores after ``r`` rounds of the rows outside the training rows, written
-    to the shared folder."""
-    from pyspark.sql import SparkSession
 
-    def rows(block):
-        _, y, idx, margin = block
-        for m in stage:
-            for i in np.flatnonzero(idx >= until[m]):
-                yield (names[m], r, int(idx[i]), float(1 / (1 + np.exp(-float(margin[i, m])))), int(y[i]))
+def scored(rows: DataFrame, models: dict[str, Trees], blocks: dict[str, tuple[int, int]], stages: dict[str, tuple[int, ...]],
+           label: str) -> DataFrame:
+    """(model, rounds, score, label): every row of ``rows`` (with ``row_idx``)
+    under every model whose block lo..hi holds it, after each of its stages."""
+    numeric, categorical = next(iter(models.values())).numeric, next(iter(models.values())).categorical
+    shared = rows.sparkSession.sparkContext.broadcast({k: m.to_json() for k, m in models.items()})
 
-    df = SparkSession.getActiveSession().createDataFrame(state.flatMap(rows), SCORES)
-    return stored(df, "scores")
+    def run(batches):
+        trees = {k: Trees.from_json(s) for k, s in shared.value.items()}
+        for pdf in batches:
+            idx, y = pdf["row_idx"].to_numpy(np.int64), pdf[label].to_numpy()
+            for name, m in trees.items():
+                lo, hi = blocks[name]
+                mine = np.flatnonzero((idx >= lo) & (idx < hi))
+                if not len(mine):
+                    continue
+                for stage, margin in zip(stages[name], m.margins(m.matrix(pdf.iloc[mine]), list(stages[name]))):
+                    yield pd.DataFrame({"model": name, "rounds": stage, "score": 1 / (1 + np.exp(-margin)), "label": y[mine].astype("int32")})
+
+    ship_package(rows.sparkSession)
+    cols = ["row_idx", label, *numeric, *([categorical] if categorical else [])]
+    rows = rows.where(F.col(label).isNotNull()).select(*cols)
+    # scoring costs much more than moving a row: few rows are spread over all cores
+    tasks = max(rows.rdd.getNumPartitions(), 2 * rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(tasks).mapInPandas(run, "model string, rounds int, score double, label int")
+
+
+class BoostedTrees(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Boosted trees as a pipeline stage: adds ``probability`` (a vector of the
+    two classes' probabilities) to rows that have the raw feature columns."""
+
+    trees = Param(Params._dummy(), "trees", "the fitted trees as JSON", typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, trees: str = ""):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def fitted(self) -> Trees:
+        return Trees.from_json(self.getOrDefault(self.trees))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        m = self.fitted()
+        shared = dataset.sparkSession.sparkContext.broadcast(self.getOrDefault(self.trees))
+        cols = [*m.numeric, *([m.categorical] if m.categorical else [])]
+
+        @F.pandas_udf("double")
+        def probability(row: pd.DataFrame) -> pd.Series:
+            t = Trees.from_json(shared.value)
+            margin, = t.margins(t.matrix(row), [len(t.feature)])
+            return pd.Series(1 / (1 + np.exp(-margin)))
+
+        ship_package(dataset.sparkSession)
+        p = probability(F.struct(*[F.col(f"`{c}`") for c in cols]))
+        return (dataset.withColumn("_p", p)
+                .withColumn("probability", array_to_vector(F.array(F.lit(1.0) - F.col("_p"), F.col("_p")))).drop("_p"))

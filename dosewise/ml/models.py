@@ -23,7 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dosewise.functions.scalars import row_mse
-from dosewise.ml.prep import feature_stages
+from dosewise.ml.boosting import BoostedTrees, Fit
+from dosewise.ml.boosting import train as boost
+from dosewise.ml.prep import NUMERIC_FEATURES, feature_stages
+from dosewise.session import stored
 
 LABEL = "came_back"
 
@@ -67,6 +70,20 @@ def fit_gbt(train: DataFrame, max_iter: int = 300, max_depth: int = 4, step: flo
     return gbt_pipeline(max_iter, max_depth, step, label).fit(train)
 
 
+def fit_boosted(train: DataFrame, settings: dict[str, tuple[int, int, float]], label: str = LABEL) -> dict[str, PipelineModel]:
+    """Named boosted-tree models (max_iter, max_depth, step) of the learner that
+    searches rank (``ml.boosting``), all fitted by one job."""
+    indexed = stored(train.withColumn("row_idx", F.monotonically_increasing_id()), "to-boost")
+    fits = [Fit(name, depth, step, (rounds,), 1 << 62) for name, (rounds, depth, step) in settings.items()]
+    found = boost(indexed, fits, NUMERIC_FEATURES, "drug_name", label)
+    return {name: served(t) for name, t in found.items()}
+
+
+def served(trees) -> PipelineModel:
+    """Fitted trees as a pipeline that can be saved and loaded."""
+    return PipelineModel([BoostedTrees(trees=trees.to_json())])
+
+
 def scores(model: PipelineModel, df: DataFrame, label: str = LABEL, keep=()) -> DataFrame:
     """Positive-class probability and label of every row."""
     out = model.transform(df)

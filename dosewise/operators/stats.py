@@ -148,6 +148,25 @@ def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> Da
     return agg.select(F.try_divide(F.col("_u"), F.col("_p") * F.col("_n")).alias("auc"))
 
 
+def grouped_auc(scored: DataFrame, group: list[str], score: str = "score", label: str = "label") -> DataFrame:
+    """E2 per group, exact, ties counted half: group columns and ``auc`` (null
+    for a group of one class).
+
+    Distinct (group, score) counts are dealt by ranges, so a large group lies in
+    many tasks; negatives below a range come from one row per group and range."""
+    d = scored.groupBy(*group, F.col(score).cast("double").alias("s")).agg(
+        F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("n_pos"),
+        F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("n_neg"))
+    d = cut_lineage(d.repartitionByRange(*group, "s").withColumn("_r", F.spark_partition_id()))
+    before = Window.partitionBy(*group).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    per = d.groupBy(*group, "_r").agg(F.sum("n_neg").alias("_rn"))
+    per = per.select(*group, "_r", F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*group, "_r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.select("*", F.coalesce(F.sum("n_neg").over(w), F.lit(0)).alias("_below")).join(per, [*group, "_r"])
+    below = F.col("_below") + F.col("_off") + F.col("n_neg") / F.lit(2.0)
+    return d.groupBy(*group).agg(F.try_divide(F.sum(F.col("n_pos") * below), F.sum("n_pos") * F.sum("n_neg")).alias("auc"))
+
+
 def quantile_of(df: DataFrame, value: str, prob: float) -> Column:
     """Exact linear quantile of one column as a scalar subquery column."""
     q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value, [prob])

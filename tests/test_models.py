@@ -55,3 +55,101 @@ def test_tracking_promotes_best_run(spark, tmp_path):
     assert r["run_name"] == "b" and r["version"] == 1
     r2 = TR.promote(spark, runs, reg, "refill-risk").first()
     assert r2["version"] == 2
+
+
+def test_boosted_trees_grow_as_by_hand(spark):
+    """One tree of depth 1 on a table whose best split is known, the served
+    stage's scores, and the same after saving and loading."""
+    import math
+
+    from dosewise.ml.boosting import Fit, train
+    from dosewise.ml.models import served
+    from dosewise.ml.tracking import load_model, save_model
+    from dosewise.session import ensure_checkpoint_dir
+    rows = [(i, float(i % 10), "x" if i % 3 else "y", int(i % 10 > 6)) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_idx long, a double, cat string, came_back int")
+    trees = train(df, [Fit("m", 1, 0.5, (1,), 1 << 62)], ["a"], "cat", "came_back")["m"]
+    p = 0.3
+    left, right = 0.5 * 140 * -p / (140 * p * (1 - p) + 1), 0.5 * 60 * (1 - p) / (60 * p * (1 - p) + 1)
+    assert trees.feature[0].tolist() == [0, -1, -1] and 6 <= trees.threshold[0, 0] < 7
+    assert trees.value[0, 1:].tolist() == pytest.approx([left, right], rel=1e-6)
+    model = served(trees)
+    got = {r.a: r.p for r in model.transform(df).select("a", vector_to_array("probability")[1].alias("p")).collect()}
+    start = math.log(p / (1 - p))
+    assert got[6.0] == pytest.approx(1 / (1 + math.exp(-start - left))) and got[7.0] == pytest.approx(1 / (1 + math.exp(-start - right)))
+    path = save_model(model, f"{ensure_checkpoint_dir(spark)}/boosted")
+    again = load_model(path).transform(df).select("row_idx", vector_to_array("probability")[1].alias("p"))
+    first = model.transform(df).select("row_idx", vector_to_array("probability")[1].alias("p"))
+    assert again.exceptAll(first).count() == 0
+    # an unseen category, a missing number and a missing category are scored, not refused
+    odd = spark.createDataFrame([(1, None, "z", 0), (2, 3.0, None, 1)], df.schema)
+    assert model.transform(odd).count() == 2
+
+
+def test_histogram_splits_equal_a_search_over_all_splits():
+    import numpy as np
+
+    from dosewise.ml import boosting as B
+    r = np.random.default_rng(4)
+    width = [7, 2, 2, 64, 5]
+    x = np.stack([r.integers(0, w, 500) for w in width], 1).astype(np.int16)
+    y = ((x[:, 0] > 3) ^ (x[:, 4] == 2) ^ (r.random(500) < 0.2)).astype(float)
+    start, feature, cut, value = B.grow(x, width, y, B.Fit("m", 3, 0.3, (2,), 1 << 62))
+
+    def split(rows, g, h):
+        best = (B.LEAST_GAIN, None, None)
+        for j in range(5):
+            for b in range(width[j]):
+                right = x[rows, j] == b if j == 4 else x[rows, j] > b
+                gl, hl, gr, hr = g[rows][~right].sum(), h[rows][~right].sum(), g[rows][right].sum(), h[rows][right].sum()
+                if min(hl, hr) < B.LEAST_HESSIAN:
+                    continue
+                gain = gl ** 2 / (hl + 1) + gr ** 2 / (hr + 1) - (gl + gr) ** 2 / (hl + hr + 1)
+                if gain > best[0] + 1e-9:
+                    best = (gain, j, b)
+        return best[1:]
+
+    margin = np.full(500, start)
+    for t in range(2):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = y - p, p * (1 - p)
+        stack = [(0, np.arange(500), 0)]
+        while stack:
+            node, rows, level = stack.pop()
+            j, b = split(rows, g, h) if level < 3 else (None, None)
+            assert feature[t, node] == (-1 if j is None else j)
+            if j is None:
+                margin[rows] += value[t, node]
+                assert value[t, node] == pytest.approx(0.3 * g[rows].sum() / (h[rows].sum() + 1), abs=1e-6)
+                continue
+            assert cut[t, node] == b
+            right = x[rows, j] == b if j == 4 else x[rows, j] > b
+            stack += [(2 * node + 1, rows[~right], level + 1), (2 * node + 2, rows[right], level + 1)]
+
+
+def test_grouped_auc_equals_one_group_at_a_time(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from dosewise.operators.stats import grouped_auc, roc_auc
+    r = random.Random(1)
+    rows = [(r.choice("ab"), round(r.random(), 2), int(r.random() < 0.4)) for _ in range(3000)] + [("c", 0.5, 1)]
+    df = spark.createDataFrame(rows, "g string, score double, label int").repartition(7)
+    got = {x.g: x.auc for x in grouped_auc(df, ["g"]).collect()}
+    assert got["c"] is None
+    for g in "ab":
+        assert got[g] == pytest.approx(roc_auc(df.where(F.col("g") == g)).first().auc, abs=1e-12)
+
+
+def test_concurrent_promotions_get_different_versions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from dosewise.ml import tracking as TR
+    runs, reg = str(tmp_path / "runs"), str(tmp_path / "reg")
+    TR.log_run(spark, runs, "a", None, {}, {"test_roc_auc": 0.7}, 3, 100)
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda _: TR.promote(spark, runs, reg, "m").first()["version"], range(4)))
+    assert sorted(got) == [1, 2, 3, 4]
+    assert sorted(r.version for r in spark.read.parquet(reg).collect()) == [1, 2, 3, 4]
+    assert [TR.claim_version(spark, reg, "other", 0) for _ in range(2)] == [1, 2]
