@@ -152,4 +152,4 @@ def test_concurrent_promotions_get_different_versions(spark, tmp_path):
         got = list(pool.map(lambda _: TR.promote(spark, runs, reg, "m").first()["version"], range(4)))
     assert sorted(got) == [1, 2, 3, 4]
     assert sorted(r.version for r in spark.read.parquet(reg).collect()) == [1, 2, 3, 4]
-    assert [TR.claim_version(spark, reg, "other", 0) for _ in range(2)] == [1, 2]
+    assert [TR.claim_version(spark, reg, "other") for _ in range(2)] == [1, 2]
