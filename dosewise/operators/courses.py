@@ -4,14 +4,16 @@ A *course* is one patient on one drug.  Everything here is a window over the
 course ordered by pickup day plus a unique tie key, so the result does not
 depend on input order or partition count.
 
-One pass serves every course query, whatever the sizes of the courses.  Rows are
-dealt by ranges of (patient, drug, day, tie key), so a range holds whole small
-courses and a slice of a large one, and no task gets more than its range.  The
-windows run per (range, course).  Only the courses that a range boundary cuts
-(at most one per boundary, so at most as many as there are ranges) need their
-slices joined: a table of one row per slice carries counts, sums and
-neighbouring days across the boundary.  Expanding means use explicit ROWS
-frames (a RANGE frame would fold same-day peers into the current row).
+One pass serves every course query, whatever the sizes of the courses.  A count
+per course (combined before its shuffle) finds the courses with more rows than a
+task's share; there are fewer of those than tasks.  Their rows get the number of
+a slice of the course, by bounds from a bounded sample; all other courses are one
+slice.  The windows run per (slice, course), so the facts are shuffled once and no
+task gets more than a share.  Only cut courses need their slices joined: a table
+of one row per slice carries counts, sums and neighbouring days across the
+bounds.  Without a cut course the planner drops that branch.  Expanding means use
+explicit ROWS frames (a RANGE frame would fold same-day peers into the current
+row).
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dosewise.functions.scalars import age_365, flag, runout
-from dosewise.session import cut_lineage
+from dosewise.session import stored
 from dosewise.sources.adapter import ORDER
 
 KEYS = ["patient_id", "drug_id"]
@@ -38,29 +40,72 @@ def _expanding(w):
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def ranged(df: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
-    """Rows dealt by ranges of (keys, order), with the range's number.  The
-    checkpoint (shared folder) pins the ranges and keeps the source from being
-    read again."""
-    return cut_lineage(df.repartitionByRange(*keys, *order).withColumn(RANGE, F.spark_partition_id()))
+CUT = "_cut"
+PER_SLICE = 64      # sampled rows per slice, from which its bounds are taken
+
+
+def _same(keys) -> list[Column]:
+    """Equal keys of the tables ``d`` and ``b``, a missing key being a key."""
+    return [F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
 
 
-def cut_courses(d: DataFrame, keys=KEYS) -> DataFrame:
-    """Keys of the courses that lie in more than one range: a course is cut
-    only if it ends one range and begins another, so there are fewer than
-    ranges."""
-    ends = d.groupBy(RANGE).agg(F.min(F.struct(*keys)).alias("lo"), F.max(F.struct(*keys)).alias("hi"))
-    return (ends.select(RANGE, F.explode(F.array("lo", "hi")).alias("k")).distinct()
-            .groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k.*"))
+def slice_bounds(df: DataFrame, keys=KEYS, order=ORDER) -> DataFrame | None:
+    """(keys, bounds: ascending array of structs of ``order``) of the courses that
+    have more rows than a task's share; None if there are none.
+
+    The table is written once, so that a task that runs again cuts alike.  It has
+    fewer rows than there are shuffle partitions, and less than two bounds per
+    partition in all."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = per.agg(F.sum("_n"), F.max("_n")).first()
+    if not total or parts < 2 or most * parts <= total:
+        return None
+    large = stored(per.filter(F.col("_n") * parts > total)
+                   .withColumn("_s", (F.ceil(F.col("_n") * parts / F.lit(total)) + 1).cast("int")), "large-courses")
+    rows = df.alias("d").join(F.broadcast(large.alias("b")), _same(keys)).select(
+        *[F.col(f"b.{k}") for k in keys], "_n", "_s", F.struct(*[F.col(f"d.{c}").alias(c) for c in order]).alias("_at"))
+    every = F.greatest(F.col("_n") / (F.col("_s") * PER_SLICE), F.lit(1)).cast("long")
+    picked = rows.filter(F.pmod(F.xxhash64("_at"), every) == 0)
+    sample = picked.groupBy(*keys, "_s").agg(F.array_sort(F.collect_list("_at")).alias("_a"))
+    cuts = F.expr("transform(sequence(1, _s - 1), i -> element_at(_a, greatest(1, cast(i * size(_a) / _s as int))))")
+    return stored(sample.select(*keys, F.array_distinct(cuts).alias("_bounds")), "bounds")
+
+
+def ranged(df: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
+    """``df`` with the slice number of every row (ascending in a course's order)
+    and whether its course is cut.  Adds columns only: the one shuffle is that of
+    the windows per (slice, keys), and no row is written."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+    bounds = slice_bounds(df, keys, order)
+    if bounds is None:
+        return df.select("*", whole.alias(RANGE), F.lit(False).alias(CUT))
+    j = df.alias("d").join(F.broadcast(bounds.alias("b")), _same(keys), "left")
+    j = j.select("d.*", "_bounds", F.struct(*[F.col(f"d.{c}").alias(c) for c in order]).alias("_at"))
+    # every w-th bound first, then the w bounds from there: few comparisons for many slices
+    number = F.expr("transform(array(struct(cast(ceil(sqrt(size(_bounds))) as int) as w)), x -> transform(array(size(filter("
+                    "transform(sequence(0, size(_bounds) - 1, x.w), k -> _bounds[k]), c -> c < _at))), k -> "
+                    "if(k = 0, 0, (k - 1) * x.w + size(filter(slice(_bounds, (k - 1) * x.w + 1, x.w), c -> c < _at))))[0])[0]")
+    return j.select(*[F.col(c) for c in df.columns], F.when(F.col("_bounds").isNull(), whole).otherwise(number).alias(RANGE),
+                    F.col("_bounds").isNotNull().alias(CUT))
 
 
 def of_cut_courses(d: DataFrame, keys=KEYS) -> DataFrame:
-    """The rows of cut courses (the broadcast has fewer rows than ranges)."""
-    return d.join(F.broadcast(cut_courses(d, keys)), list(keys), "left_semi")
+    """The rows of cut courses."""
+    return d.filter(CUT)
+
+
+def with_slices(d: DataFrame, per: DataFrame, keys=KEYS) -> DataFrame:
+    """``d`` with the columns of ``per``, a table of one row per slice of a cut
+    course (fewer than two rows per shuffle partition)."""
+    same = [F.col(f"d.{RANGE}") == F.col(f"b.{RANGE}"), *_same(keys)]
+    return d.alias("d").join(F.broadcast(per.alias("b")), same, "left").select(
+        "d.*", *[F.col(f"b.{c}") for c in per.columns if c not in (RANGE, *keys)])
 
 
 def across_slices(keys=KEYS):
-    """Window over a cut course's slices (at most one per range)."""
+    """Window over a cut course's slices."""
     return Window.partitionBy(*keys).orderBy(RANGE)
 
 
@@ -159,7 +204,7 @@ def course_history(df: DataFrame, grace: int = 14) -> DataFrame:
     was_late, avg_gap, pct_late.
     """
     d = ranged(df)
-    j = _in_slice(d, grace).join(F.broadcast(_corrections(d, grace)), [RANGE, *KEYS], "left")
+    j = with_slices(_in_slice(d, grace), _corrections(d, grace))
     cut_first = (F.col("_rn") == 1) & F.col("_n0").isNotNull()
     number = F.col("_rn") + F.coalesce("_n0", F.lit(0))
     out = j.select(

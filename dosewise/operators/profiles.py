@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from dosewise.functions.scalars import (age_365, arr_last, arr_mean, arr_share_over, arr_std,
                                         clip_low, flag, ratio, runout)
 from dosewise.operators.courses import (KEYS, RANGE, across_slices, late_flag, of_cut_courses, ranged,
-                                        slice_window, with_gaps)
+                                        slice_window, with_gaps, with_slices)
 from dosewise.sources.adapter import ORDER
 
 
@@ -96,7 +96,7 @@ def refill_windows(fills: DataFrame, last: Column, n: int = 6, grace: int = 14)
             .select(RANGE, *KEYS, F.lag("_to").over(across).alias("_before"), F.lead("_from").over(across).alias("_after")))
 
     def known(x: DataFrame) -> DataFrame:
-        f = labelled(x).join(F.broadcast(ends), [RANGE, *KEYS], "left")
+        f = with_slices(labelled(x), ends)
         f = f.withColumn("next_fill", F.coalesce("next_fill", "_after"))
         f = f.withColumn("gap", F.datediff("fill_dt", F.coalesce("_prev", F.when(F.col("_rn") == 1, F.col("_before")))))
         f = f.withColumn("runout", runout("fill_dt", "supply_days"))
@@ -112,7 +112,7 @@ def refill_windows(fills: DataFrame, last: Column, n: int = 6, grace: int = 14)
              .select(RANGE, *KEYS,
                      F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_n0"),
                      F.flatten(F.collect_list("_tail").over(across.rowsBetween(-n, -1))).alias("_carry")))
-    f = known(d).join(F.broadcast(tails), [RANGE, *KEYS], "left")
+    f = with_slices(known(d), tails)
     whole = F.concat(F.coalesce("_carry", F.array().cast("array<struct<v:double>>")), F.col("_here"))
     f = f.select("*", (F.col("_k") - 1 + F.coalesce("_n0", F.lit(0))).cast("int").alias("idx"),
                  F.slice(whole, F.greatest(F.size(whole) - (n - 1), F.lit(1)), n).alias("_w"))

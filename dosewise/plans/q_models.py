@@ -41,7 +41,7 @@ def _scratch(spark, name):
 
 
 def _split(spark, sf):
-    t = P.numeric_view(training_table(spark, sf))
+    t = stored(P.numeric_view(training_table(spark, sf)), "training")    # both parts are read many times
     return R.temporal_split(t, "runout_dt", SPLIT)
 
 

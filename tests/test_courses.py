@@ -151,3 +151,25 @@ def test_h19_two_age_rules(spark):
     r = df.select(age_calendar("d", "b").alias("cal"), age_365("d", "b").alias("d365")).collect()
     assert (r[0]["cal"], r[0]["d365"]) == (23, 24)
     assert r[1]["cal"] == 22
+
+
+def test_the_facts_are_shuffled_once(spark):
+    """Without a large course: one exchange of the facts, no join, no rewrite."""
+    rows = [(p, 1, f"2024-{m:02d}-01", 30) for p in range(40) for m in range(1, 4)]
+    plan = C.course_history(make_fills(spark, rows).repartition(8))._jdf.queryExecution().executedPlan().toString()
+    facts = plan.split("Final Plan")[-1] if "Final Plan" in plan else plan
+    assert facts.count("Exchange hashpartitioning(_range") == 1 and "Join" not in facts
+
+
+def test_a_large_course_on_one_day_with_missing_keys(spark):
+    """Bounds fall between rows of the same day; a course without a patient is one."""
+    rows = [(9, 1, "2024-03-05", 30)] * 300 + [(p, 1, "2024-03-05", 30) for p in range(1, 9)]
+    f = make_fills(spark, rows).withColumn("patient_id", F.when(F.col("patient_id") != 9, F.col("patient_id")))
+    spark.conf.set("spark.sql.shuffle.partitions", "10")
+    try:
+        d = C.ranged(f)
+        assert d.filter(C.CUT).select(C.RANGE).distinct().count() >= 10
+        numbers = sorted(r.fill_number for r in C.course_history(f).filter("patient_id is null").collect())
+        assert numbers == list(range(1, 301))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
