@@ -81,19 +81,26 @@ def grouped(items, size, most: int):
         yield run
 
 
-def located_words(texts: list[bytes], piece: int = 1 << 20):
+def _next(breaks: np.ndarray, at: int) -> int:
+    """The first separator from ``at`` on, else the end."""
+    return at + int(breaks[at:].argmax()) if breaks[at:].any() else len(breaks)
+
+
+def located_words(texts: list[bytes], piece: int = 1 << 20, separators: np.ndarray = SPACE):
     """(start, end, hash, words per text) of texts laid out with one space after
     each, whatever their length: a long text is hashed in pieces of about
     ``piece`` bytes, so that only the three word arrays grow with it."""
-    from dosewise.llm.common import pieces
-
     if len(texts) != 1 or len(texts[0]) <= piece:
-        b = Block(texts)
+        b = Block(texts, separators)
         return b.start, b.end, b.hashes(), b.n_words
-    parts, at = [], 0
-    for p in pieces(texts[0], piece):
-        b = Block([p])
+    parts, at, text = [], 0, texts[0]
+    breaks = separators[np.frombuffer(text, np.uint8)]
+    while at < len(text):
+        # a piece ends before a separator, or with the text
+        near = breaks[at + piece:at + 2 * piece]
+        end = at + piece + int(near.argmax()) if near.any() else _next(breaks, at + 2 * piece)
+        b = Block([text[at:end]], separators)
         parts.append((b.start + at, b.end + at, b.hashes()))
-        at += len(p)
+        at = end
     start, end, h = (np.concatenate(c) for c in zip(*parts))
     return start, end, h, np.array([len(h)])

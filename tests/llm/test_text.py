@@ -185,3 +185,62 @@ def test_a_container_of_an_article_is_not_noise(spark):
 
 def test_no_pages(spark):
     assert extracted(spark, []) == {}
+
+
+def test_every_edited_copy_over_the_threshold_is_found(spark):
+    """Equal to aligning all pairs, with words replaced, dropped and inserted at
+    every rate; also where no two words of an item still stand side by side."""
+    r = random.Random(11)
+    items = [vocabulary_words(2000 + k, r.choice([3, 4, 5, 7, 9, 12, 20, 33, 40]), 60 if k % 3 else 900) for k in range(25)]
+    texts = []
+    for k in range(150):
+        copy = []
+        rate = r.choice([0, 0.1, 0.25, 0.33, 0.45])
+        for w in items[k % 25]:
+            if r.random() < rate:
+                copy += r.choice([["edit"], [], [w, "more"], ["x", "y"]])
+            else:
+                copy.append(w)
+        w = vocabulary_words(k, r.randint(0, 80), 500)
+        at = r.randrange(len(w) + 1)
+        w[at:at] = copy
+        texts.append(" ".join(w))
+    item = items[8] = vocabulary_words(77, 40, 3000)
+    texts += [" ".join(w if k % 4 else "z" for k, w in enumerate(item)), " ".join(w if k % 3 else "z" for k, w in enumerate(item)),
+              " ".join(f"{w} q" for w in item)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(g.doc_id, g.item_id): round(g.score, 9) for g in decontaminate.find(docs(spark, texts), bench).collect()}
+    want = {}
+    for i, t in enumerate(texts, 1):
+        for k, w in enumerate(items):
+            score = brute_score(t.split(), w) / (2 * len(w))
+            if score >= decontaminate.THRESHOLD:
+                want[i, k] = round(score, 9)
+    assert got == want and {(151, 8), (152, 8), (153, 8)} <= set(got) and len(want) > 60
+
+
+def test_a_phrase_of_all_documents_and_items_joins_nothing(spark):
+    phrase = "answer the following question".split()
+    items = [phrase + vocabulary_words(k, 20, 5000) for k in range(200)]
+    texts = [" ".join(vocabulary_words(10_000 + k, 30, 5000) + phrase + vocabulary_words(20_000 + k, 30, 5000)) for k in range(1000)]
+    texts[5] = " ".join(items[7])
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    df, table = docs(spark, texts), decontaminate.items_table(bench).cache()
+    rare = decontaminate.rare_seeds(table, decontaminate.seed_counts(df, table), 0.5)
+    stock = {int(x) for x in decontaminate._pair(*(decontaminate._block([" ".join(phrase)]).hashes()[s] for s in (slice(0, -1), slice(1, None)))).view(np.int64)}
+    assert not stock & {r.seed for r in rare.where("first").collect()}
+    assert [(g.doc_id, g.item_id) for g in decontaminate.find(df, bench).collect()] == [(6, 7)]
+
+
+def test_a_long_text_is_read_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SPAN", 1000)
+    from dosewise.llm.blocks import located_words
+    item = vocabulary_words(3, 30, 3000)
+    words = vocabulary_words(4, 400_000, 3000)
+    words[123_456:123_456] = item
+    text = ", ".join(words)
+    whole = decontaminate._block([text]).hashes()
+    _, _, h, n = located_words([text.encode()], separators=decontaminate._BREAKS)
+    assert (h == whole).all() and n[0] == len(whole)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert [(g.score, g.end_word) for g in decontaminate.find(docs(spark, [text]), bench).collect()] == [(1.0, 123_486)]
