@@ -56,6 +56,7 @@ _BREAKS = np.ones(256, bool)
 _BREAKS[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = False
 _BREAKS[0x80:] = False
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
+_PAIRS = np.uint64(2 * int(_STEPS[0]) % (1 << 64))
 
 
 def _block(texts: list) -> Block:
@@ -81,7 +82,7 @@ def _slots(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The seed of two words; the same at distance 1 and 2."""
-    return mix(mix(np.uint64(2) * _STEPS[0] + a) * _STEPS[1] + b)
+    return mix(mix(_PAIRS + a) * _STEPS[1] + b)
 
 
 def needed(n, threshold: float):

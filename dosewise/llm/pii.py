@@ -8,8 +8,10 @@ whenever their validator passes; the kinds that the method adds (``iban``,
 word and an ``iban`` does not.
 
 Positions come from splitting the text at the same pattern: a match starts
-after the pieces and matches before it.  Offsets are code points.  Everything
-is a narrow projection: no shuffle, no Python.
+after the pieces and matches before it (``native.located``).  Offsets are code
+points.  Everything is a narrow projection: no shuffle, no Python.  Validators,
+context and redaction read the text in chunks of matches, so a text with very many
+spans costs little more than its length.
 
 The patterns below are the contract's, with two additions that change no match:
 possessive repeats, and for emails and addresses a look-behind that lets a match
@@ -22,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dosewise.llm import native
+
 # Patterns, context words, scores.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -73,27 +77,24 @@ VALID = {
 
 
 def _spans(kind: str, t: str) -> str:
-    """SQL: array of (start, rank, end, kind, score) of one kind."""
+    """SQL: array of (start, rank, end, kind, score) of one kind.  Validators and
+    context read the part of the text around a chunk of matches."""
     none = "cast(array() as array<struct<start:int,rank:int,end:int,kind:string,score:int>>)"
-    pat = PATTERNS[kind]
-    located = (
-        f"transform(array(struct(regexp_extract_all({t}, r'{pat}', 0) as m, split({t}, r'{pat}', -1) as p)), z -> "
-        "aggregate(z.m, named_struct('i', 0, 'at', 0, 'out', "
-        "cast(array() as array<struct<s:int,e:int,x:string>>)), "
-        "(acc, x) -> named_struct('i', acc.i + 1, 'at', acc.at + length(z.p[acc.i]) + length(x), 'out', "
-        "concat(acc.out, array(named_struct('s', acc.at + length(z.p[acc.i]), "
-        "'e', acc.at + length(z.p[acc.i]) + length(x), 'x', x)))), acc -> acc.out))[0]")
-    near = (f"concat(substring({t}, greatest(r.s - {NEAR}, 0) + 1, least(r.s, {NEAR})), ' ', "
-            f"substring({t}, r.e + 1, {NEAR}))")
+    near = (f"concat(substring(u, greatest(r.s - {NEAR}, 0) + 1, least(r.s, {NEAR})), ' ', "
+            f"substring(u, r.e + 1, {NEAR}))")
     score = (f"{SCORES[kind]} + if(lower({near}) rlike '(^|[^a-z])({CONTEXT[kind]})([^a-z]|$)', {RAISE}, 0)")
-    valid = VALID[kind].replace("{t}", t)
-    scored = (f"transform(filter(transform({located}, r -> struct(r.s as s, r.e as e, r.x as x)), r -> "
-              f"exists(array(r), y -> {_over(valid)})), r -> "
-              f"named_struct('start', r.s, 'rank', {KINDS.index(kind)}, 'end', r.e, 'kind', '{kind}', 'score', {score}))")
+    valid = _over(VALID[kind].replace("{t}", "u"))
+    scored = (f"transform(filter(transform(k.c, r -> struct(r.s - k.b as s, r.e - k.b as e, r.x as x)), r -> "
+              f"exists(array(r), y -> {valid})), r -> "
+              f"named_struct('start', r.s + k.b, 'rank', {KINDS.index(kind)}, 'end', r.e + k.b, 'kind', '{kind}', 'score', {score}))")
     if kind not in BASE:
         scored = f"filter({scored}, r -> r.score >= {KEEP})"
+    around = f"substring({t}, k.b + 1, element_at(k.c, -1).e + {NEAR} - k.b)"
+    found = (f"flatten(transform({native.chunks(native.located(t, f"r'{PATTERNS[kind]}'"))}, c -> "
+             f"transform(array(named_struct('b', greatest(c[0].s - {NEAR}, 0), 'c', c)), k -> "
+             f"transform(array({around}), u -> {scored})[0])[0]))")
     gate = GATES[kind].format(t=t)
-    return f"case when {gate} then {scored} else {none} end"
+    return f"case when {gate} then {found} else {none} end"
 
 
 def _over(valid: str) -> str:
@@ -124,10 +125,10 @@ def redacted(text: str = "text", found: str = "pii_spans") -> Column:
     """The text with every span replaced by its kind in brackets; overlapping
     spans become one.  A text without spans (null too) stays as it is."""
     t = f"`{text}`"
-    return F.expr(
-        f"case when size({found}) = 0 then {t} else aggregate({found}, "
-        f"named_struct('at', 0, 'parts', cast(array() as array<string>)), (acc, r) -> "
-        f"if(r.start < acc.at, named_struct('at', greatest(acc.at, r.end), 'parts', acc.parts), "
-        f"named_struct('at', r.end, 'parts', concat(acc.parts, "
-        f"array(substring({t}, acc.at + 1, r.start - acc.at), concat('[', upper(r.kind), ']'))))), "
-        f"acc -> concat(array_join(acc.parts, ''), substring({t}, acc.at + 1))) end")
+    edits = native.scan(found, "0", lambda at, r: f"greatest({at}, {r}.end)",
+                        lambda at, r: f"named_struct('a', {at}, 'b', {r}.start, 'kind', {r}.kind)", "struct<a:int,b:int,kind:string>")
+    part = f"substring({t}, c[0].a + 1, element_at(c, -1).b - c[0].a)"
+    parts = (f"flatten(transform({native.chunks(f'filter({edits}, q -> q.b >= q.a)')}, c -> transform(array({part}), u -> "
+             f"transform(c, q -> concat(substring(u, q.a - c[0].a + 1, q.b - q.a), '[', upper(q.kind), ']')))[0]))")
+    return F.expr(f"case when size({found}) = 0 then {t} else concat(array_join({parts}, ''), "
+                  f"substring({t}, array_max(transform({found}, r -> r.end)) + 1)) end")

@@ -107,3 +107,15 @@ def test_native_plans_have_no_python(spark):
     df = docs(spark, ["a@b.c"])
     plan = pii.find(df).select(F.sha2(pii.joined("pii_spans"), 256))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_very_many_spans_in_one_text(spark):
+    """100,000 addresses in 1.2 MB: all found and redacted, well under a minute."""
+    import time
+    n = 100_000
+    df = docs(spark, ["mail a@b.c now " * n])
+    begun = time.perf_counter()
+    r = pii.find(df).select(F.size("pii_spans").alias("n"), F.element_at("pii_spans", -1).alias("last"),
+                            pii.redacted().alias("t")).first()
+    assert r.n == n and (r.last.start, r.last.end, r.last.score) == (15 * (n - 1) + 5, 15 * (n - 1) + 10, 100)
+    assert r.t == "mail [EMAIL] now " * n and time.perf_counter() - begun < 120
