@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from dosewise.functions.scalars import band
 from dosewise.operators.stats import exact_quantiles
+from dosewise.session import stored
 
 NUMERIC = ["patient_age", "supply_days", "fill_number", "prev_gap", "avg_gap", "was_late", "pct_late"]
 DRIFTS_BY_DESIGN = ["fill_number"]
@@ -81,15 +82,14 @@ def psi_sides(df: DataFrame, live: str, cols: list[str] = NUMERIC, bins: int = 1
     value, count), which is written to the shared checkpoint folder.  Cut
     points are weighted exact quantiles of the baseline counts; bucket shares
     are sums of counts.  Every later step works on that small table."""
-    from dosewise.session import cut_lineage
-    vc = cut_lineage(unpivot_with(df, cols, [live]).filter(F.col("value").isNotNull())
-                     .groupBy(live, "feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    vc = stored(unpivot_with(df, cols, [live]).filter(F.col("value").isNotNull())
+                .groupBy(live, "feature", "value").agg(F.count(F.lit(1)).alias("n")), "values")
     q = exact_quantiles(vc.filter(~F.col(live)), ["feature"], "value", cut_probs(bins), weight="n",
                         method="numpy")
     u = F.array_sort(F.array_distinct("quantiles"))
-    cuts = q.select("feature", F.when(F.size(u) >= 2, F.slice(u, 2, F.size(u) - 2))
-                    .otherwise(F.array().cast("array<double>")).alias("interior"),
-                    (F.size(u) - 1).alias("n_buckets"))
+    cuts = stored(q.select("feature", F.when(F.size(u) >= 2, F.slice(u, 2, F.size(u) - 2))
+                           .otherwise(F.array().cast("array<double>")).alias("interior"),
+                           (F.size(u) - 1).alias("n_buckets")), "cuts")
     b = vc.join(F.broadcast(cuts.select("feature", "interior")), "feature")
     b = b.withColumn("bucket", F.size(F.filter("interior", lambda c: c <= F.col("value"))))
     cnt = b.groupBy(live, "feature", "bucket").agg(F.sum("n").alias("n"))

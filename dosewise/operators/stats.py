@@ -3,9 +3,9 @@ ROC-AUC (A7, A15, W12, W13, E2).
 
 None of these uses an unpartitioned window over the data:
 
-* quantiles: values are first aggregated to (group, value, count); running
-  counts per group locate the order statistics, which a join on the group
-  picks out (positions table: groups x probabilities x 2 rows).
+* quantiles: values are first aggregated to (group, value, count); a sketch cuts
+  them into ranges, range counts locate the order statistics, and only the ranges
+  that hold one are sorted.
 * global index: a range-partitioned sort, per-partition row counts (one row
   per partition), prefix offsets, and a broadcast join of the offsets.
 * AUC: scores are aggregated to distinct values with positive/negative
@@ -18,23 +18,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dosewise.session import cut_lineage
+from dosewise.session import cut_lineage, stored
 
 
 def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float],
                     n_ranges: int = 64, weight: str | None = None, method: str = "linear") -> DataFrame:
     """Linear-interpolation quantiles (numpy 'linear', SQL quantile_cont) per
     group, exact.  Returns group columns + ``quantiles`` (array in the order
-    of ``probs``).  NULL values are ignored.
+    of ``probs``).  NULL values are ignored; a group without values has no row.
 
-    Values are aggregated to (group, value, count) first.  To keep one large
-    group from running in a single task, each group's distinct values are cut
-    into up to ``n_ranges`` value ranges at approximate quantiles; running
-    counts are computed per (group, range) in parallel and offset by the
-    counts of the earlier ranges (a table of groups x ranges rows).
+    Values are aggregated to (group, value, count), written once.  Each group's
+    distinct values are cut into up to ``n_ranges`` ranges by a quantile sketch;
+    the rows per range (one array per group) tell which ranges hold the order
+    statistics that the probabilities ask for, and only the values of those ranges
+    are sorted, range by range.  So one large group never lies in one task, and
+    the exact step moves a few ranges, not the table.
 
     ``weight`` names a column of row multiplicities (the input is already a
-    value-count table).
+    value-count table, which is then not written again).
 
     ``method="numpy"`` reproduces numpy's linear method operation for
     operation: virtual index (n - 1) * q with clipped neighbours, and
@@ -42,40 +43,42 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[flo
     ``np.linspace`` (0.6000000000000001 ...) a cut can land a hair above a
     data value, which moves that value's bucket; the reference's PSI depends
     on it."""
-    cnt = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
-    vc = (df.filter(F.col(value).isNotNull())
-          .groupBy(*group, F.col(value).cast("double").alias("_v")).agg(cnt.alias("_c")))
-    # the distinct-value table feeds five branches below; writing it once to
-    # the shared checkpoint folder keeps the source from being recomputed
-    vc = cut_lineage(vc)
+    some = df.filter(F.col(value).isNotNull())
+    if weight:
+        vc = some.select(*group, F.col(value).cast("double").alias("_v"), F.col(weight).cast("long").alias("_c"))
+    else:
+        vc = stored(some.groupBy(*group, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")), "values")
     rprobs = [i / n_ranges for i in range(1, n_ranges)]
     edges = vc.groupBy(*group).agg(F.array_distinct(F.percentile_approx("_v", rprobs, 10000)).alias("_e"))
+    edges = stored(edges, "edges")
     vc = vc.join(edges, group).withColumn("_r", F.size(F.filter("_e", lambda e: e < F.col("_v")))).drop("_e")
-    per = vc.groupBy(*group, "_r").agg(F.sum("_c").alias("_rc"))
-    wr = Window.partitionBy(*group).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select(*group, "_r", F.coalesce(F.sum("_rc").over(wr), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*group, "_r").orderBy("_v")
-    vc = vc.select("*", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"))
-    vc = vc.join(per, group + ["_r"]).withColumn("_cum", F.col("_cum") + F.col("_off"))
-    vc = vc.select(*group, "_v", (F.col("_cum") - F.col("_c")).alias("_start"), (F.col("_cum") - 1).alias("_end"))
-    n = vc.groupBy(*group).agg((F.max("_end") + 1).alias("_n"))
+    per = vc.groupBy(*group, "_r").agg(F.sum("_c").alias("_rc")).groupBy(*group).agg(
+        F.array_sort(F.collect_list(F.struct("_r", "_rc"))).alias("_a"))      # at most n_ranges entries
+    n = F.aggregate("_a", F.lit(0).cast("long"), lambda s, x: s + x["_rc"])
     pr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("q")) for i, p in enumerate(probs)])
-    pos = n.select(*group, "_n", F.explode(pr).alias("_p"))
+    pos = per.select(*group, "_a", n.alias("_n"), F.explode(pr).alias("_p"))
+    h = (F.col("_n") - 1) * F.col("_p.q")
     if method == "numpy":
-        q = F.col("_p.q")
-        pos = pos.select(*group, "_n", F.col("_p.qi").alias("qi"), ((F.col("_n") - 1) * q).alias("_h"))
-        lo = F.least(F.greatest(F.floor("_h"), F.lit(0)), F.col("_n") - 1)
-        pos = pos.select("*", lo.alias("_lo")).withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n") - 1))
+        lo = F.least(F.greatest(F.floor(h), F.lit(0)), F.col("_n") - 1)
+        ends = F.array(lo, F.least(lo + 1, F.col("_n") - 1))
     else:
-        pos = pos.select(*group, F.col("_p.qi").alias("qi"), ((F.col("_n") - 1) * F.col("_p.q")).alias("_h"))
-        pos = pos.select("*", F.floor("_h").alias("_lo"), F.ceil("_h").alias("_hi"))
-    # the positions table is tiny (groups x probabilities); each value row
-    # meets only its own group's positions
-    lo = vc.join(F.broadcast(pos), group).filter((F.col("_start") <= F.col("_lo")) & (F.col("_lo") <= F.col("_end")))
-    lo = lo.select(*group, "qi", "_h", "_lo", F.col("_v").alias("_vlo"))
-    hi = vc.join(F.broadcast(pos), group).filter((F.col("_start") <= F.col("_hi")) & (F.col("_hi") <= F.col("_end")))
-    hi = hi.select(*group, "qi", F.col("_v").alias("_vhi"))
-    q = lo.join(hi, group + ["qi"])
+        ends = F.array(F.floor(h), F.ceil(h))
+    # the range that holds an order statistic, and the rows before that range
+    at = pos.select(*group, "_a", F.col("_p.qi").alias("qi"), h.alias("_h"), F.posexplode(ends).alias("_side", "_k"))
+    place = F.expr("aggregate(_a, struct(cast(0 as long) as before, cast(-1 as int) as r, cast(0 as long) as off), (s, x) -> "
+                   "struct(s.before + x._rc as before, if(s.r < 0 and _k < s.before + x._rc, x._r, s.r) as r, "
+                   "if(s.r < 0 and _k < s.before + x._rc, s.before, s.off) as off))")
+    at = at.select(*group, "qi", "_h", "_side", "_k", place.alias("_w")).select(
+        *group, "qi", "_h", "_side", "_k", F.col("_w.r").alias("_r"), F.col("_w.off").alias("_off"))
+    at = stored(at, "positions")
+    w = Window.partitionBy(*group, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = vc.join(at.select(*group, "_r").distinct(), [*group, "_r"], "left_semi")
+    near = near.select(*group, "_r", "_v", "_c", F.sum("_c").over(w).alias("_cum"))
+    hit = near.join(at, [*group, "_r"]).filter((F.col("_cum") - F.col("_c") <= F.col("_k") - F.col("_off"))
+                                               & (F.col("_k") - F.col("_off") < F.col("_cum")))
+    q = hit.groupBy(*group, "qi").agg(
+        F.max("_h").alias("_h"), F.max(F.when(F.col("_side") == 0, F.col("_k"))).alias("_lo"),
+        F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_vlo"), F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_vhi"))
     g = F.col("_h") - F.col("_lo")
     d = F.col("_vhi") - F.col("_vlo")
     if method == "numpy":
@@ -92,14 +95,11 @@ def sums_before(small: DataFrame, key: str, sums: dict[str, str], keep: list[str
     """For a table of a few rows (one per partition or range) the sum of each
     column over the rows with a smaller key, as an array expression: one row,
     no window over the whole table."""
+    from dosewise.operators.running import running_sums
     rows = small.agg(F.array_sort(F.collect_list(F.struct(key, *sums, *keep))).alias("_a"))
-    e = rows.select("_a", F.posexplode("_a").alias("_i", "_x"))
-
-    def before(column):
-        return F.aggregate(F.slice("_a", F.lit(1), F.col("_i")), F.lit(0).cast("long"), lambda s, y: s + y[column])
-
-    total = [before(c).alias(out) for c, out in sums.items()]
-    return e.select(F.col("_x")[key].alias(key), *[F.col("_x")[c].alias(c) for c in keep], *total)
+    e = rows.select(F.explode(F.arrays_zip("_a", *[F.expr(running_sums("_a", c)).alias(f"_s{i}") for i, c in enumerate(sums)])).alias("_z"))
+    return e.select(F.col("_z._a")[key].alias(key), *[F.col("_z._a")[c].alias(c) for c in keep],
+                    *[F.col(f"_z._s{i}").alias(out) for i, out in enumerate(sums.values())])
 
 
 def global_index(df: DataFrame, order: list, out: str = "row_idx") -> DataFrame:
