@@ -207,3 +207,15 @@ def forecast_check(spark, sf):
         F.max(F.coalesce(F.abs(F.col("forecast") - F.col("f")), F.lit(1e9))).alias("d")).first().d
     wrong = a.filter((F.col("suggested_order") != F.bround(F.col("forecast") * 1.1, 0).cast("long"))).count()
     return _facts(spark, stream_is_batch=off < 1e-6, orders_follow_forecasts=wrong == 0)
+
+
+@register("network_check", "SELECT true AS rebuilds_better_than_two_components, true AS recurrent_close_to_naive_or_better")
+def network_check(spark, sf):
+    """The bottleneck's mean rebuild error is below that of two principal
+    components on the same rows; the recurrent network's mean absolute error is
+    at most a tenth above the last-week forecast's."""
+    e = QM.network_error(spark, sf).agg(F.avg("error").alias("net"), F.avg("linear_error").alias("linear")).first()
+    d = QM.recurrent_demand(spark, sf).agg(F.avg(F.abs(F.col("forecast") - F.col("units"))).alias("net"),
+                                           F.avg(F.abs(F.col("naive") - F.col("units"))).alias("naive")).first()
+    return _facts(spark, rebuilds_better_than_two_components=e.net < e.linear,
+                  recurrent_close_to_naive_or_better=d.net <= 1.1 * d.naive)

@@ -16,6 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from dosewise.ml import models as MD
+from dosewise.ml import network as NN
 from dosewise.ml import prep as P
 from dosewise.ml import tracking as TR
 from dosewise.ml import tuning as TU
@@ -237,9 +238,9 @@ def window_demand(spark, sf):
 
 @register("sequence_scores")
 def sequence_scores(spark, sf):
-    """Three refill models on the same windows - raw 6 values, hand-made
-    summaries (boosted trees 200/3/0.03) and an order-aware perceptron -
-    with their test AUCs."""
+    """Four refill models on the same windows - raw 6 values, hand-made
+    summaries (boosted trees 200/3/0.03), a perceptron and a gated recurrent
+    network - with their test AUCs."""
     w = PR.window_summary(_windows(spark, sf))
     train = w.filter(F.col("runout") < F.lit(SPLIT).cast("date")).cache()
     test = w.filter(F.col("runout") >= F.lit(SPLIT).cast("date"))
@@ -250,6 +251,9 @@ def sequence_scores(spark, sf):
         s = m.transform(test.withColumn("features", array_to_vector(feats))).select(
             vector_to_array("probability")[1].alias("score"), F.col("came_back").alias("label"))
         rows.append((kind, _auc_of(s)))
+    net = NN.fit_recurrent(train, "window", "came_back", logistic=True)
+    s = NN.recurrent_output(test, net, "window", True, "score").select("score", F.col("came_back").alias("label"))
+    rows.append(("recurrent", _auc_of(s)))
     train.unpersist()
     return spark.createDataFrame(rows, "model string, roc_auc double")
 
@@ -361,6 +365,27 @@ def top_error(spark, sf):
     return top(reconstruction_error(spark, sf), "error", 6, ["patient_id"])
 
 
+@register("network_error")
+def network_error(spark, sf):
+    """Rebuild error of the 6-4-2-4-6 network beside that of two principal
+    components, per patient."""
+    v = stored(MD.standardized_vector(_controlled(spark, sf), CONTROLLED_COLS), "vectors")
+    linear = MD.rebuild_error(v).withColumnRenamed("error", "linear_error")
+    return NN.network_error(linear, NN.fit_bottleneck(v)).select("patient_id", "error", "linear_error", "was_planted")
+
+
+@register("recurrent_demand")
+def recurrent_demand(spark, sf):
+    """The gated recurrent network on the 28-value windows, back in units,
+    with the last-week naive forecast beside it."""
+    w = stored(D.demand_windows(D.daily_calendar(_fills(spark, sf)), SPLIT), "windows")
+    net = NN.fit_recurrent(w.filter("is_train"), "window", "target", logistic=False)
+    out = NN.recurrent_output(w.filter(~F.col("is_train")), net, "window", False, "forecast")
+    naive = F.aggregate(F.slice("window", -7, 7), F.lit(0.0), lambda a, x: a + x)
+    return out.select("drug_id", "date", (F.col("target") * F.col("scale")).alias("units"),
+                      (F.col("forecast") * F.col("scale")).alias("forecast"), (naive * F.col("scale")).alias("naive"))
+
+
 # --- per-prediction attributions ------------------------------------------------------------
 
 def _attributions(spark, sf, model=None):
