@@ -10,6 +10,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier)
@@ -21,11 +22,13 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dosewise.functions.scalars import row_mse
 from dosewise.ml.boosting import BoostedTrees, Fit
 from dosewise.ml.boosting import train as boost
 from dosewise.ml.prep import NUMERIC_FEATURES, feature_stages
+from dosewise.operators.relational import sample_n
 from dosewise.session import stored
 
 LABEL = "came_back"
@@ -131,6 +134,59 @@ def _feature_names(model: PipelineModel) -> list[str]:
 
 # --- clustering and projection -------------------------------------------------------
 
+def silhouette_rows(df: DataFrame, features: list[str], label: str, key: list[str], n: int = 2000, seed: int = 42) -> DataFrame:
+    """Euclidean silhouette of each row of a seeded sample of ``n`` rows:
+    the key, the label, ``own`` (mean distance to the other sampled rows of its
+    cluster), ``other`` (the least mean distance to another cluster) and
+    ``silhouette`` = (other - own) / max of both.
+
+    Distances are needed inside the sample only, and ``n`` bounds it: every task
+    holds the sample and sums, for its block of rows, the distances per cluster.
+    A row alone in its cluster has 0; with one cluster, own and all, it is null.
+    Rows with a missing feature or label are left out before sampling."""
+    rows = sample_n(df.select(*key, label, *[F.col(c).cast("double").alias(c) for c in features]).dropna(
+        "any", subset=[label, *features]), key, n, seed)
+    rows = stored(rows, "silhouette")
+    held = rows.select(label, *features).collect()     # at most n rows
+    x = np.array([r[1:] for r in held], float).reshape(len(held), len(features))
+    names = sorted({r[0] for r in held})
+    where = {v: i for i, v in enumerate(names)}
+    hot = np.zeros((len(held), len(names)))
+    hot[np.arange(len(held)), [where[r[0]] for r in held]] = 1
+    size = hot.sum(axis=0)
+
+    def run(batches):
+        for pdf in batches:
+            q = pdf[features].to_numpy(float)
+            sums = np.zeros((len(q), len(names)))
+            for at in range(0, len(q), 256):
+                block = q[at:at + 256]
+                sums[at:at + 256] = np.sqrt(((block[:, None, :] - x[None]) ** 2).sum(axis=2)) @ hot
+            mine = pdf[label].map(where).to_numpy(int)
+            i = np.arange(len(q))
+            own = sums[i, mine] / np.maximum(size[mine] - 1, 1)
+            means = sums / size
+            means[i, mine] = np.inf
+            other = means.min(axis=1) if len(names) > 1 else np.full(len(q), np.nan)
+            most = np.maximum(own, other)
+            s = np.where((size[mine] == 1) | (most == 0), 0.0, (other - own) / np.where(most == 0, 1, most))
+            if len(names) < 2:
+                s[:] = np.nan
+            out = pdf[[*key, label]].copy()
+            out["own"], out["other"], out["silhouette"] = own, other, s
+            yield out
+
+    shape = T.StructType([*[rows.schema[c] for c in (*key, label)],
+                          *[T.StructField(c, T.DoubleType()) for c in ("own", "other", "silhouette")]])
+    done = rows.repartition(min(16, -(-n // 256)), *key).mapInPandas(run, shape)
+    return done.select(*key, label, *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("own", "other", "silhouette")])
+
+
+def cluster_summary(df: DataFrame, by: str, cols: list[str], digits: int = 2) -> DataFrame:
+    """Size and means per segment, rounded half to even."""
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("patients"), *[F.bround(F.avg(c), digits).alias(c) for c in cols])
+
+
 def kmeans_sweep(df: DataFrame, ks=range(2, 8), restarts: int = 10, features: str = "features",
                  parallelism: int = 4) -> tuple[list[dict], dict]:
     """For each k the best of ``restarts`` seeded fits (lowest

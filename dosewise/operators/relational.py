@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dosewise.session import stored
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -187,10 +189,19 @@ def first_row(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return g.select(*keys, *[F.col("_first._v_" + c).alias(c) for c in rest])
 
 
-def sample_n(df: DataFrame, key: list[str], n: int, seed: int = 42) -> DataFrame:
-    """Seeded sample of exactly n rows (hash order of the key, so the
-    sample is stable across runs and partitionings)."""
-    return df.orderBy(F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), *key).limit(n)
+def sample_n(df: DataFrame, key: list[str], n: int, seed: int = 42, by: list[str] | None = None) -> DataFrame:
+    """Seeded sample of exactly n rows, or of n rows per group of ``by``
+    (all rows of a smaller one).
+
+    The rows with the n least values of md5("seed|key|...") (ties by key; a
+    missing key part is empty text), so the sample depends on neither run nor
+    partitioning, and any engine can repeat it.  Samples merge: every task keeps
+    its own n least rows (per group, too) and only those are shuffled."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]))
+    if by is None:
+        return df.orderBy(h, *key).limit(n)
+    w = Window.partitionBy(*by).orderBy(h, *key)
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
 
 
 # --- set operations -----------------------------------------------------------
@@ -210,8 +221,42 @@ def false_alarms(flagged: DataFrame, known: DataFrame) -> DataFrame:
     return flagged.subtract(known)
 
 
-def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows only in a and rows only in b (multiset difference both ways),
-    as one table with a side column."""
+def _row_hashes(df: DataFrame) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row.  The hash function skips missing values, so
+    which ones are missing is hashed as well."""
+    cols = [F.col(c) for c in df.columns]
+    missing = F.concat(*[c.isNull().cast("string") for c in cols])
+    return F.xxhash64(missing, *cols), F.xxhash64(F.lit("second"), *cols, missing)
+
+
+def table_diff(a: DataFrame, b: DataFrame, buckets: int = 4096) -> DataFrame:
+    """Rows only in a and rows only in b (multiset difference both ways,
+    columns by position), as one table with a side column.
+
+    One pass over each table makes an order-free digest per hash bucket: rows,
+    and the sums of two 64-bit hashes of each row (repeated rows count).  Only
+    digests are shuffled, at most ``buckets`` rows a task.  Rows are compared, and
+    shuffled, in the buckets whose digests differ; none if the tables are equal.
+    Different buckets pass as equal with a probability of about 2**-128."""
+    shape = a.limit(0).union(b.limit(0)).schema
+    names = [f"c{i}" for i in range(len(shape))]     # names may repeat
+    a, b = (d.toDF(*names).select(*[F.col(c).cast(f.dataType) for c, f in zip(names, shape.fields)]) for d in (a, b))
+    one, two = _row_hashes(a)
+    bucket = F.pmod(one, F.lit(buckets)).cast("int")
+
+    def digest(d, sign):
+        wide = "decimal(20,0)"
+        return d.groupBy(bucket.alias("_bucket")).agg(
+            (F.count(F.lit(1)) * sign).alias("n"), (F.sum(one.cast(wide)) * sign).alias("h1"),
+            (F.sum(two.cast(wide)) * sign).alias("h2"))
+
+    sums = digest(a, 1).unionByName(digest(b, -1)).groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in ("n", "h1", "h2")])
+    # written: one row per bucket at most, read by both sides
+    differ = stored(sums.where("n <> 0 OR h1 <> 0 OR h2 <> 0").select("_bucket"), "differing")
+
+    def suspects(d):
+        return d.withColumn("_bucket", bucket).join(F.broadcast(differ), "_bucket", "left_semi").drop("_bucket")
+
+    a, b = suspects(a), suspects(b)
     return (a.exceptAll(b).withColumn("side", F.lit("left_only"))
-            .unionByName(b.exceptAll(a).withColumn("side", F.lit("right_only"))))
+            .unionByName(b.exceptAll(a).withColumn("side", F.lit("right_only"))).toDF(*shape.names, "side"))

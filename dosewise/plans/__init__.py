@@ -2,7 +2,7 @@
 
 from dosewise.plans.registry import ORACLES, QUERIES  # noqa: F401
 
-_MODULES = ["q_courses", "q_explore", "q_demand", "q_affinity", "q_quality", "q_models", "q_streaming", "q_checks"]
+_MODULES = ["q_courses", "q_explore", "q_demand", "q_affinity", "q_quality", "q_models", "q_streaming", "q_checks", "q_tables"]
 
 
 def load_all():

@@ -147,7 +147,7 @@ def series_scale(spark, sf):
     return _round(D.series_scale(_ts(spark, sf), SPLIT), ["scale"])
 
 
-@register("demand_windows", f"""{TS_SQL},
+DEMAND_WINDOWS_SQL = f"""{TS_SQL},
 sc AS (SELECT drug_id, AVG(CASE WHEN date < DATE '{SPLIT}' THEN units END) AS scale FROM ts GROUP BY drug_id),
 w AS (SELECT drug_id, date,
         LIST(units) OVER ({SW} ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS win,
@@ -155,7 +155,10 @@ w AS (SELECT drug_id, date,
         COUNT(units) OVER ({SW} ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING) AS n_after FROM ts)
 SELECT w.drug_id, w.date, list_transform(w.win, lambda x: x / sc.scale) AS "window",
        w.tgt / sc.scale AS target, sc.scale, w.date < DATE '{SPLIT}' AS is_train
-FROM w JOIN sc ON w.drug_id = sc.drug_id WHERE len(w.win) = 28 AND w.n_after = 7""")
+FROM w JOIN sc ON w.drug_id = sc.drug_id WHERE len(w.win) = 28 AND w.n_after = 7"""
+
+
+@register("demand_windows", DEMAND_WINDOWS_SQL)
 def demand_windows(spark, sf):
     """28-day windows and 7-day targets scaled per drug."""
     return D.demand_windows(_ts(spark, sf), SPLIT)

@@ -292,10 +292,18 @@ def segments(spark, sf):
 @register("segment_summary")
 def segment_summary(spark, sf):
     """Size and rounded means per segment."""
-    s = _segments(spark, sf)
-    return s.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("patients"),
-        *[F.bround(F.avg(c), 2).alias(c) for c in PROFILE_COLS])
+    return MD.cluster_summary(_segments(spark, sf), "segment", PROFILE_COLS)
+
+
+@register("segment_silhouette")
+def segment_silhouette(spark, sf):
+    """Euclidean silhouette of the k = 4 segments on a seeded sample of 2,000
+    patients: rows and mean per segment."""
+    z = [c + "_z" for c in PROFILE_COLS]
+    s = _segments(spark, sf).withColumn("_x", vector_to_array("features"))
+    s = s.select("patient_id", "segment", *[F.col("_x")[i].alias(c) for i, c in enumerate(z)])
+    return MD.silhouette_rows(s, z, "segment", ["patient_id"]).groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"))
 
 
 @register("segment_coords")

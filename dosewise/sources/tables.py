@@ -115,6 +115,28 @@ def layout(df: DataFrame, name: str, bucket_by: list[str] | None = None,
     w.saveAsTable(name)
 
 
+def write_pruned(df: DataFrame, path: str, date_col: str, key: str, mode: str = "overwrite") -> None:
+    """Files laid out for a filter on a day and on a key.  One folder per
+    month; inside a task rows are sorted by month and key, so the row groups'
+    minima and maxima skip a range of keys, and a Bloom filter per row group skips
+    a single one.  Months are spread over tasks by the key as well, so a month
+    with most rows is no hot task."""
+    parts = df.withColumn("month", F.date_format(date_col, "yyyy-MM"))
+    slices = F.pmod(F.xxhash64(key), F.lit(8))
+    (parts.repartition("month", slices).sortWithinPartitions("month", key)
+     .write.mode(mode).partitionBy("month").option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path))
+
+
+def read_pruned(spark: SparkSession, path: str, schema: T.StructType, date_col: str, since: str, until: str) -> DataFrame:
+    """Rows of ``write_pruned`` with ``since`` <= day < ``until`` (ISO days): whole
+    folders outside those months are never listed for the scan.  Rows without a
+    day match no range."""
+    full = T.StructType([*schema.fields, T.StructField("month", T.StringType())])
+    day = F.col(date_col)
+    return (spark.read.schema(full).parquet(path).filter(F.col("month").between(since[:7], until[:7]))
+            .filter((day >= F.lit(since).cast("date")) & (day < F.lit(until).cast("date"))).drop("month"))
+
+
 def parse_requests(df: DataFrame, schema: T.StructType, col: str = "body") -> DataFrame:
     """Parse JSON request text into typed columns (bad records -> nulls)."""
     return df.select("*", F.from_json(F.col(col), schema).alias("_req")).select(
