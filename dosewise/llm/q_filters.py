@@ -18,6 +18,15 @@ RULES = [
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 
+
+def _duck_targets(word: str, tag: str, test: str, value: str) -> str:
+    """DuckDB: the addresses that the fitting tags of a page declare."""
+    tag, test, value, amp = (x.replace("'", "''") for x in (tag, test, value, urlfilter.AMPERSAND))
+    return (f"CASE WHEN contains(lower(html), '{word}') THEN list_transform("
+            f"list_filter(regexp_extract_all(html, '{tag}'), lambda x: regexp_matches(x, '{test}')), "
+            f"lambda x: regexp_extract(regexp_replace(x, '{amp}', '&', 'g'), '{value}', 1)) ELSE [] END")
+
+
 OP3_SQL = rf"""
 WITH RECURSIVE rules(rh, rp, rv) AS (VALUES {_RULE_ROWS}),
 cut AS (
@@ -34,15 +43,9 @@ cut AS (
                  THEN host || CASE WHEN path = '' THEN '/' ELSE path END || query END AS addr
   FROM parts
 ), targets AS (
-  SELECT url, host, path, addr, unnest([
-    CASE WHEN contains(lower(html), 'canonical') THEN regexp_extract(list_filter(
-      regexp_extract_all(html, '(?i)<link\b[^>]*>'),
-      lambda x: regexp_matches(x, '(?i)\brel\s*=\s*[\x22'']?canonical\b'))[1],
-      '(?i)\bhref\s*=\s*[\x22'']?([^\x22''\s>]+)', 1) END,
-    CASE WHEN contains(lower(html), 'refresh') THEN regexp_extract(list_filter(
-      regexp_extract_all(html, '(?i)<meta\b[^>]*>'),
-      lambda x: regexp_matches(x, '(?i)\bhttp-equiv\s*=\s*[\x22'']?refresh\b'))[1],
-      '(?i)\burl\s*=\s*[\x22'']?([^\x22''\s>;]+)', 1) END]) AS dest
+  SELECT url, host, path, addr, unnest(list_concat(
+    {_duck_targets("canonical", urlfilter.LINK_TAG, urlfilter.IS_CANONICAL, urlfilter.HREF)},
+    {_duck_targets("refresh", urlfilter.META_TAG, urlfilter.IS_REFRESH, urlfilter.REFRESH_URL)})) AS dest
   FROM keyed WHERE addr IS NOT NULL
 ), whole AS (
   SELECT addr, CASE

@@ -1,10 +1,11 @@
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 from tests.llm.data import AWKWARD, clashing, docs
 
 from dosewise.llm import pii, urlfilter
-from dosewise.llm.q_filters import RULES
+from dosewise.llm.q_filters import OP3_SQL, RULES
 
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -60,7 +61,15 @@ def test_long_runs_and_empty_table(spark):
 def judged(spark, rows, rules=RULES):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     out = urlfilter.judge(clashing(pages).drop("page_ids"), spark.createDataFrame(rules, "host string, path string, verdict string"))
-    return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()}
+    if rules is RULES:      # the oracle SQL gives the same rows
+        con = duckdb.connect()
+        con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+        for r in rows:
+            con.execute("INSERT INTO pages VALUES (?, ?, ?)", r)
+        found = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({OP3_SQL})").fetchall()
+        assert len(found) == len(rows) and {r[0]: r[1:] for r in found} == got
+    return got
 
 
 def test_rules_longest_wins_and_awkward_urls(spark):
