@@ -99,6 +99,14 @@ def test_gradient_is_the_slope_of_the_likelihood(spark, small_corpus):
         assert abs((after - before) / eps + gw[k, row, c]) < 0.05 * abs(gw[k, row, c]) + 0.05
 
 
+def test_row_counts_do_not_stop_at_the_precision_of_a_float(spark, small_corpus):
+    model, _ = lm.train(docs(spark, small_corpus), 10)
+    x = np.zeros(8, np.int32)
+    gw, gu, n = np.zeros_like(model.w), np.zeros_like(model.u), np.full((4, lm.ROWS), 1 << 24, np.int64)
+    model.gradient(x, x, x, gw, gu, n)
+    assert n[0, model.row[0]] == (1 << 24) + 8
+
+
 def test_language_model_without_training_rows(spark):
     for table in (docs(spark, []), docs(spark, ["a b", None], [None, None])):
         model, rare = lm.train(table, 10)
