@@ -9,14 +9,17 @@ bucket (0, 1, 2 or 6) and a bounded one for the header; likeness is 1 less the
 difference over that of unrelated digests, not below 0.
 
 The next document in id order is found without a global sort in one task:
-documents are dealt into buckets of the id range (bounds from a quantile
-sketch), each bucket is sorted, and the first document of each bucket is sent to
-the bucket before it as well.  Texts cross the network once, compressed.
+documents are dealt into buckets of the id range (bounds from a quantile sketch
+of numbers, from a sample of other ids; rows without an id by a hash of their
+text), buckets go to tasks in order, each is sorted, and the first document of
+each bucket is sent to the bucket before it as well.  Texts cross the network
+once, compressed.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dosewise.llm.common import arrow_type, id_type
+from dosewise.operators.relational import sample_n
 from dosewise.session import ship_package
 
 BUCKETS = 256
@@ -33,6 +37,7 @@ PENALTY = np.array([0, 1, 2, 6])
 UNRELATED = 1.625 * BUCKETS            # mean penalty of independent digests
 HEADER_MOST = 24                       # most that the header can add
 PER_TASK, MOST_BUCKETS = 8, 32768      # id buckets per input partition, and in all (a bucket streams)
+SAMPLED = 20                           # ids sampled per bucket where they are no numbers
 CHUNK = 1 << 20
 
 
@@ -100,23 +105,36 @@ def compare(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next), one row per row of ``docs``.
 
-    The next document is the next row by doc_id (numeric; rows without one
-    first; equal ids in a fixed order of their texts), after the last row the
-    first.  A null text is an empty one, with the digest of no triplets.  Other
-    columns are not carried.
+    The next document is the next row by doc_id (a number, text, day or time, in
+    the order of its type; equal ids in a fixed order of their texts), after the
+    last row the first.  Rows without an id come first, by a hash of their text.
+    A null text is an empty one, with the digest of no triplets.  Other columns
+    are not carried.
     """
     import zstandard
 
     kind = id_type(docs)
-    base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    numeric = isinstance(kind, T.NumericType)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    base = docs.select("doc_id", text.alias("text"), F.when(F.col("doc_id").isNull(), F.xxhash64(text)).alias("h"))
     tasks = max(1, base.rdd.getNumPartitions())
     n = min(tasks * PER_TASK, MOST_BUCKETS)
-    ids = docs.select(F.col("doc_id").cast("double").alias("x"))
-    bounds = sorted(set(ids.approxQuantile("x", [k / n for k in range(1, n)], 0.25 / n))) if n > 1 else []
-    edges = np.array(bounds)
-
-    def place(doc_id) -> int:
-        return 0 if doc_id is None else 1 + int(np.searchsorted(edges, float(doc_id), side="right"))
+    bits = max(1, (n - 1).bit_length())
+    half = 1 << bits - 1
+    if n == 1:
+        edges = []
+    elif numeric:
+        ids = docs.select(F.col("doc_id").cast("double").alias("x"))
+        edges = sorted(set(ids.approxQuantile("x", [k / n for k in range(1, n)], 0.25 / n)))
+    else:
+        ids = docs.select(F.col("doc_id").cast("string").alias("x")).where("x IS NOT NULL")
+        some = sorted(r.x for r in sample_n(ids, ["x"], SAMPLED * n).collect())
+        edges = sorted({some[k * len(some) // n] for k in range(1, n)}) if some else []
+
+    def place(doc_id, h) -> int:
+        if doc_id is None:
+            return (h >> 64 - bits) - half      # -2 * half .. -1
+        return bisect_right(edges, float(doc_id) if numeric else str(doc_id))
 
     least_schema = pa.schema([("bucket", pa.int64()), ("least", arrow_type(kind))])
 
@@ -124,26 +142,32 @@ def compare(docs: DataFrame) -> DataFrame:
         found: dict = {}
         for b in batches:
             col = b.column(0)
-            got = np.array([-1.0 if x is None else float(x) for x in col.to_pylist()])
-            null = np.array(col.is_null())
-            where = np.where(null, 0, 1 + np.searchsorted(edges, got, side="right"))
+            values = col.to_pylist()
+            if numeric:
+                where = np.searchsorted(edges, np.array([float(v) for v in values]), side="right")
+            else:
+                where = np.array([place(v, None) for v in values], int)
             for k in np.unique(where):
-                v = None if k == 0 else col.take(pa.array(np.flatnonzero(where == k))).to_pylist()
-                v = None if v is None else min(v)
-                if k not in found or (v is not None and v < found[k]):
+                v = min(values[j] for j in np.flatnonzero(where == k))
+                if k not in found or v < found[k]:
                     found[int(k)] = v
         yield pa.record_batch([pa.array(list(found), pa.int64()), pa.array(list(found.values()), arrow_type(kind))],
                               schema=least_schema)
 
     ship_package(docs.sparkSession)
-    firsts = dict(tuple(r) for r in base.select("doc_id").mapInArrow(
+    # one row per bucket: its least id, or its least hash
+    firsts = dict(tuple(r) for r in base.select("doc_id").where("doc_id IS NOT NULL").mapInArrow(
         least, T.StructType([T.StructField("bucket", T.LongType()), T.StructField("least", kind)]))
-        .groupBy("bucket").agg(F.min("least")).collect())   # one row per bucket
+        .groupBy("bucket").agg(F.min("least")).collect())
+    firsts |= dict(tuple(r) for r in base.where("doc_id IS NULL").groupBy(
+        (F.shiftright("h", 64 - bits) - half).alias("bucket")).agg(F.min("h")).collect())
     known = sorted(firsts)
     before = {b: known[k - 1] for k, b in enumerate(known)}   # the first bucket follows the last
+    task = {b: k * tasks // len(known) for k, b in enumerate(known)}
 
-    sent = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("next_only", T.BooleanType()),
-                         T.StructField("doc_id", kind), T.StructField("packed", T.BinaryType()),
+    sent = T.StructType([T.StructField("task", T.IntegerType()), T.StructField("bucket", T.LongType()),
+                         T.StructField("next_only", T.BooleanType()), T.StructField("doc_id", kind),
+                         T.StructField("h", T.LongType()), T.StructField("packed", T.BinaryType()),
                          T.StructField("print", T.StringType())])
     sent_schema = pa.schema([(f.name, arrow_type(f.dataType)) for f in sent.fields])
 
@@ -151,13 +175,13 @@ def compare(docs: DataFrame) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=1)
         for b in batches:
             rows = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for i, t, h in zip(*(c.to_pylist() for c in b.columns)):
                 data = t.encode("utf-8", "replace")
-                k = place(i)
-                row = (i, pack.compress(data), digest(data))
-                rows.append((k, False, *row))
-                if firsts[k] == i:
-                    rows.append((before[k], True, *row))
+                k = place(i, h)
+                row = (i, h, pack.compress(data), digest(data))
+                rows.append((task[k], k, False, *row))
+                if firsts[k] == (h if i is None else i):
+                    rows.append((task[before[k]], before[k], True, *row))
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), sent_schema)] if rows else
                                   [pa.array([], f.type) for f in sent_schema], schema=sent_schema)
 
@@ -171,7 +195,7 @@ def compare(docs: DataFrame) -> DataFrame:
         last = None    # (bucket, doc_id, text, print) waiting for its next document
         for b in batches:
             out = []
-            for bucket, next_only, i, z, mark in zip(*(c.to_pylist() for c in b.columns)):
+            for _, bucket, next_only, i, _, z, mark in zip(*(c.to_pylist() for c in b.columns)):
                 if next_only and (last is None or last[0] != bucket):
                     continue
                 text = unpack.decompress(z).decode() if z else ""
@@ -185,6 +209,6 @@ def compare(docs: DataFrame) -> DataFrame:
                                   [pa.array([], f.type) for f in schema], schema=schema)
 
     # a bucket's rows in order, then the first row of the bucket after it
-    return (base.mapInArrow(deal, sent).repartition(tasks, "bucket")
-            .sortWithinPartitions("bucket", "next_only", F.col("doc_id").asc_nulls_first(), "packed")
+    return (base.mapInArrow(deal, sent).repartitionById(tasks, F.col("task"))
+            .sortWithinPartitions("bucket", "next_only", F.col("doc_id").asc_nulls_first(), "h", "packed")
             .mapInArrow(pair, shape))

@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import xxhash
+from pyspark.sql import functions as F
 from tests.llm.data import AWKWARD, clashing, docs, vocabulary_words
 
 from dosewise.llm import decontaminate, extraction
@@ -57,6 +59,33 @@ def test_one_row_and_no_row(spark):
     assert fp.compare(docs(spark, [])).count() == 0
 
 
+def neighbours(rows):
+    """(n_chars, sha256 of the edited text) of rows in order."""
+    return sorted((len(t), hashlib.sha256(fp.edited(t, rows[(k + 1) % len(rows)][1]).encode()).hexdigest())
+                  for k, (_, t) in enumerate(rows))
+
+
+def test_ids_that_are_no_numbers(spark):
+    texts = [" ".join(vocabulary_words(k, 5 + k % 7)) for k in range(200)]
+    for cast, order in (("concat('id-', doc_id)", lambda i: f"id-{i}"), ("date_add(date'2020-01-01', cast(doc_id as int))", int)):
+        df = docs(spark, texts).repartition(5).withColumn("doc_id", F.expr(cast))
+        got = fp.compare(df).collect()
+        rows = sorted(zip(range(1, 201), texts), key=lambda r: order(r[0]))
+        assert sorted((r.n_chars, r.edited_sha256) for r in got) == neighbours(rows)
+        assert fp.compare(df).schema["doc_id"].dataType == df.schema["doc_id"].dataType
+
+
+def test_rows_without_an_id_are_spread_and_ordered_by_their_text(spark):
+    texts = [" ".join(vocabulary_words(k, 5 + k % 7)) for k in range(300)]
+    ids = [k if k % 3 else None for k in range(300)]
+    got = fp.compare(docs(spark, texts, ids).repartition(6))
+    signed = np.array([xxhash.xxh64_intdigest(t.encode(), 42) for t in texts], np.uint64).view(np.int64).tolist()
+    rows = sorted(zip(ids, texts, signed), key=lambda r: (0, r[2]) if r[0] is None else (1, r[0]))
+    assert sorted((r.n_chars, r.edited_sha256) for r in got.collect()) == neighbours([r[:2] for r in rows])
+    used = got.where("doc_id IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(used) >= 2 and sum(r["count"] for r in used) == 100
+
+
 # --- decontamination
 
 def brute_score(p, q):
