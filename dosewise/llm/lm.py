@@ -332,7 +332,7 @@ def train(docs: DataFrame, held_out: int = 10) -> tuple[Model, DataFrame]:
         return add_ints(a[:uses], b[:uses]) + (np.frombuffer(a, np.float32, offset=uses)
                                                + np.frombuffer(b, np.float32, offset=uses)).tobytes()
 
-    m = _tree(rows.where(shard == 0).select("text").mapInArrow(neighbours, "m binary"), add_ints)
+    m = _tree(rows.select("text").mapInArrow(neighbours, "m binary"), add_ints)
     m = np.frombuffer(m, np.int64).reshape(top, CONTEXT).astype(float)
     model = Model(words, int(sums.n or 0), int(sums.v), _clusters(m))
     for r in range(ROUNDS):
