@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dosewise.functions.scalars import dow, month
+from dosewise.session import stored
 
 LAGS = [1, 7, 14, 28]
 ROLLS = [7, 28]
@@ -27,10 +28,11 @@ def daily_units(df: DataFrame, key: str = "drug_id", date: str = "fill_dt",
 def daily_calendar(df: DataFrame, key: str = "drug_id", date: str = "fill_dt",
                    value: str = "disp_qty") -> DataFrame:
     """One row per item and calendar day from the data's first to last
-    day, units 0 on quiet days.  Columns: key, date, units."""
-    daily = daily_units(df, key, date, value).withColumnRenamed(date, "date")
-    first = df.agg(F.min(date)).scalar()
-    last = df.agg(F.max(date)).scalar()
+    day, units 0 on quiet days.  Columns: key, date, units.  The facts are read
+    once: the daily sums are written, and all else is made of them."""
+    daily = stored(daily_units(df, key, date, value).withColumnRenamed(date, "date"), "daily")
+    first = daily.agg(F.min("date")).scalar()
+    last = daily.agg(F.max("date")).scalar()
     items = daily.select(key).distinct()
     cal = items.select(key, F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date"))
     return (cal.join(daily, [key, "date"], "left")
