@@ -11,10 +11,13 @@ network are pair counts, not pairs.  There is no limit on items or baskets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dosewise.session import stored
+
 BASKET = 256   # items of one patient in one list, about
+PAIRS = 1 << 17   # pairs that a task joins with their links
 
 
 def patient_items(df: DataFrame, key: str = "patient_id", item: str = "drug_id") -> DataFrame:
@@ -66,22 +69,35 @@ def recommend(pairs: DataFrame, lift: DataFrame, min_lift: float = 1.5, min_shar
     strongest link (highest lift, ties to the lowest source item) from an
     item they hold; kept when lift >= min_lift and share >= min_share.
 
-    Candidates come from joining the patient's items to the lift table on
-    the source item (an equi join), then an anti join drops held items.
-    Items with no link have lift 0 and are never suggested, so this equals
+    An item's links are numbered, strongest first, so that the strongest of a
+    patient's is the least number (``least_link``).  Items with no link have lift 0 and are never suggested, so this equals
     scanning every non-held item.
     """
     # A link under min_lift can never be the chosen (strongest) link of a
     # suggestion, so it is dropped before the join; share is tested only on
     # the chosen link, as in the reference.
     strong = lift.filter((F.col("lift") >= min_lift) & (F.col("lift") > 0)).select("a", "b", "share", "lift")
-    links = pairs.select(key, F.col(item).alias("a")).join(strong, "a")
-    links = links.join(pairs.select(key, F.col(item).alias("b")), [key, "b"], "left_anti")
-    pick = links.groupBy(key, "b").agg(
-        F.min_by(F.struct("a", "share", "lift"), F.struct(-F.col("lift"), F.col("a"))).alias("_x"))
-    return (pick.select(key, F.col("b").alias("suggest"), F.col("_x.a").alias("because_of"),
-                        F.col("_x.share").alias("share"), F.col("_x.lift").alias("lift"))
-            .filter((F.col("lift") >= min_lift) & (F.col("share") >= min_share)))
+    order = Window.partitionBy("b").orderBy(F.desc("lift"), "a")
+    strong = stored(strong.withColumn("_link", F.row_number().over(order)), "links")
+    pick = least_link(pairs, strong.select("a", "b", "_link"), key, item)
+    chosen = strong.filter(F.col("share") >= min_share)
+    return pick.join(chosen, ["b", "_link"]).select(
+        key, F.col("b").alias("suggest"), F.col("a").alias("because_of"), "share", "lift")
+
+
+def least_link(pairs: DataFrame, links: DataFrame, key: str = "patient_id", item: str = "drug_id") -> DataFrame:
+    """(key, b, _link): for every patient and item b not held that a held item
+    links to, the least number ``_link`` (from 1) of those links.
+
+    The pairs are dealt by patient once.  A link 0 of every item to itself stands
+    for "held", so no pair crosses the network again after it met its links (a
+    table of items, broadcast if it is small).  A missing patient holds nothing."""
+    own = pairs.select(F.col(item).alias("a"), F.col(item).alias("b"), F.lit(0).alias("_link")).distinct()
+    links = stored(links.unionByName(own), "links")
+    n = pairs.agg(F.count(F.lit(1))).first()[0]
+    dealt = pairs.select(key, F.col(item).alias("a")).repartition(max(1, -(-n // PAIRS)), key)
+    met = dealt.join(links, "a").filter((F.col("_link") > 0) | F.col(key).isNotNull())
+    return met.groupBy(key, "b").agg(F.min("_link").alias("_link")).filter(F.col("_link") > 0)
 
 
 def care_gap(pairs: DataFrame, has: str, lacks: str, key: str = "patient_id",

@@ -83,12 +83,10 @@ SELECT DISTINCT p.patient_id, l.b AS drug_id FROM pairs p JOIN lift l ON l.a = p
 WHERE NOT EXISTS (SELECT 1 FROM pairs q WHERE q.patient_id = p.patient_id AND q.drug_id = l.b)""")
 def candidate_items(spark, sf):
     """Items a patient does not hold but that co-occur with one they hold
-    (equi join to the pair table, anti join on the held items)."""
+    (equi join to the pair table; held items are told by a link to themselves)."""
     pairs = _pairs(spark, sf)
-    linked = (pairs.select("patient_id", F.col("drug_id").alias("a"))
-              .join(AF.pair_counts(pairs), "a")
-              .select("patient_id", F.col("b").alias("drug_id")).distinct())
-    return linked.join(pairs, ["patient_id", "drug_id"], "left_anti")
+    links = AF.pair_counts(pairs).select("a", "b", F.lit(1).alias("_link"))
+    return AF.least_link(pairs, links).select("patient_id", F.col("b").alias("drug_id"))
 
 
 def _recommend_sql(min_lift):
