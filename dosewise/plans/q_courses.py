@@ -8,6 +8,7 @@ from dosewise.operators import courses as C
 from dosewise.plans.registry import (CENSOR_SQL, DRUGS_SQL, HISTORY_SQL, ORDER_SQL,
                                      PATIENTS_SQL, fills_sql, register)
 from dosewise.plans.training_sql import statement
+from dosewise.session import stored
 from dosewise.sources import adapter as A
 
 R6 = 6  # rounding of means on both sides of the oracle
@@ -111,7 +112,8 @@ def one_course(spark, sf):
     f = _fills(spark, sf)
     top = (f.groupBy(*C.KEYS).agg(F.count(F.lit(1)).alias("n"))
            .orderBy(F.desc("n"), "patient_id", "drug_id").limit(1).first())
-    one = where_all(f, patient_id=top["patient_id"], drug_id=top["drug_id"])
+    # the windows read their input several times: one course, not the facts
+    one = stored(where_all(f, patient_id=top["patient_id"], drug_id=top["drug_id"]), "course")
     return C.with_gaps(one).select("patient_id", "drug_id", "fill_dt", "supply_days", "disp_qty", "gap")
 
 
