@@ -153,3 +153,95 @@ def test_concurrent_promotions_get_different_versions(spark, tmp_path):
     assert sorted(got) == [1, 2, 3, 4]
     assert sorted(r.version for r in spark.read.parquet(reg).collect()) == [1, 2, 3, 4]
     assert [TR.claim_version(spark, reg, "other") for _ in range(2)] == [1, 2]
+
+
+def _walked(m, x, stages):
+    """Margins row by row, node by node."""
+    import numpy as np
+    out = []
+    for stage in stages:
+        margin = np.full(len(x), m.start)
+        for f, cut, value in zip(m.feature[:stage], m.threshold[:stage], m.value[:stage]):
+            for i, row in enumerate(x):
+                node = 0
+                while f[node] >= 0:
+                    v = row[f[node]]
+                    node = 2 * node + 1 + (v == cut[node] if f[node] == len(row) - 1 else v > cut[node])
+                margin[i] += value[node]
+        out.append(margin)
+    return out
+
+
+def _grown(depth, rounds):
+    import numpy as np
+
+    from dosewise.ml import boosting as B
+    r = np.random.default_rng(depth)
+    width = [40, 2, 9, 6]
+    x = np.stack([r.integers(0, w, 600) for w in width], 1).astype(np.int16)
+    y = (r.random(600) < 0.2 + 0.5 * (x[:, 0] > 20) * (x[:, 3] == 2)).astype(float)
+    start, feature, cut, value = B.grow(x, width, y, B.Fit("m", depth, 0.3, (rounds,), 1 << 62))
+    cuts = [np.append(np.sort(r.normal(size=w - 1)), np.inf) for w in width[:3]] + [np.arange(6.0)]
+    real = np.zeros(cut.shape)
+    for j, c in enumerate(cuts):
+        real[feature == j] = c[cut[feature == j]]
+    return B.Trees(["a", "b", "c"], "cat", list("vwxyz"), start, feature, real, value), cuts
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 5, 6])
+def test_leaf_tables_give_the_margins_of_a_walk(depth):
+    import numpy as np
+    m, cuts = _grown(depth, 11)
+    r = np.random.default_rng(9)
+    x = np.concatenate([r.normal(size=(150, 3)), r.integers(-1, 6, (150, 1))], 1)
+    x[::9, 0], x[1::9, 1], x[2::9, 0] = np.inf, cuts[1][0], cuts[0][7]
+    for got, want in zip(m.margins(x, [4, 11, 30]), _walked(m, x, [4, 11, 30])):
+        assert (got == want).all()
+
+
+def test_packed_scores_give_the_exact_auc(spark, monkeypatch):
+    """Many ranges, ties, missing labels, rows outside the blocks, and copies of
+    one row index; scores move packed, not as a row per score and model."""
+    import numpy as np
+
+    from dosewise.ml import boosting as B
+    monkeypatch.setattr(B, "RANGE", 300)
+    models = {"p": _grown(3, 8)[0], "q": _grown(6, 8)[0]}
+    r = np.random.default_rng(2)
+    rows = [(min(i, 2500), float(a), float(b), float(c), "vwxyz?"[k], None if i % 50 == 3 else int(u < 0.4))
+            for i, (a, b, c, k, u) in enumerate(zip(*r.normal(size=(3, 4000)).round(1), r.integers(0, 6, 4000), r.random(4000)))]
+    df = spark.createDataFrame(rows, "row_idx long, a double, b double, c double, cat string, came_back int")
+    blocks, stages = {"p": (500, 2000), "q": (2500, 2501)}, {"p": (3, 8), "q": (8,)}
+    held = df.where("came_back is not null")
+    bounds = B.score_ranges(held, models, blocks, stages, held.count())
+    packed = B.packed_scores(held, models, blocks, stages, bounds, "came_back")
+    assert packed.select("model", "part").distinct().count() > 6 and packed.count() < 1000
+    got = {(x.model, x.rounds): x.auc for x in B.aucs(df, models, blocks, stages, "came_back").collect()}
+    pdf = held.toPandas()
+    for name, (lo, hi) in blocks.items():
+        mine = pdf[(pdf.row_idx >= lo) & (pdf.row_idx < hi)]
+        for stage, margin in zip(stages[name], models[name].margins(models[name].matrix(mine), list(stages[name]))):
+            p, n = (margin[(mine.came_back == v).to_numpy()][None] for v in (1, 0))
+            want = ((p.T > n).sum() + (p.T == n).sum() / 2) / (p.size * n.size)
+            assert got[name, stage] == pytest.approx(want, abs=1e-12)
+
+
+def test_the_sample_is_the_rows_of_least_hash(spark):
+    from pyspark.sql import functions as F
+
+    from dosewise.ml.boosting import first_by_hash
+    df = spark.range(50000).withColumnRenamed("id", "row_idx")
+    want = {x.row_idx for x in df.orderBy(F.xxhash64("row_idx"), "row_idx").limit(200).collect()}
+    assert {x.row_idx for x in first_by_hash(df, 200).collect()} == want
+    # one index on all rows: no hash bounds them, all are sorted
+    assert first_by_hash(df.select(F.lit(7).cast("long").alias("row_idx")), 200).count() == 200
+
+
+def test_the_time_index_is_read_from_files(spark):
+    """Later reads of an indexed table prune columns (before: a checkpoint of all)."""
+    from dosewise.operators.stats import global_index
+    df = spark.range(1000).selectExpr("id % 97 as a", "id as b", "cast(id as string) as c").repartition(5)
+    idx = global_index(df, ["a", "b"])
+    plan = idx.select("row_idx")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "c#" not in plan
+    assert [r.row_idx for r in idx.orderBy("a", "b").collect()] == list(range(1000))
