@@ -7,14 +7,17 @@ model together (S9).
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier)
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -30,7 +33,7 @@ from dosewise.ml.boosting import BoostedTrees, Fit
 from dosewise.ml.boosting import train as boost
 from dosewise.ml.prep import NUMERIC_FEATURES, feature_stages
 from dosewise.operators.relational import sample_n
-from dosewise.session import few_tasks, stored
+from dosewise.session import ensure_checkpoint_dir, few_tasks, ship_package, stored
 
 LABEL = "came_back"
 
@@ -78,7 +81,8 @@ def fit_gbt(train: DataFrame, max_iter: int = 300, max_depth: int = 4, step: flo
 def fit_boosted(train: DataFrame, settings: dict[str, tuple[int, int, float]], label: str = LABEL) -> dict[str, PipelineModel]:
     """Named boosted-tree models (max_iter, max_depth, step) of the learner that
     searches rank (``ml.boosting``), all fitted by one job."""
-    indexed = stored(train.withColumn("row_idx", F.monotonically_increasing_id()), "to-boost")
+    indexed = stored(train.select(*NUMERIC_FEATURES, "drug_name", label).withColumn("row_idx", F.monotonically_increasing_id()),
+                     "to-boost")
     fits = [Fit(name, depth, step, (rounds,), 1 << 62) for name, (rounds, depth, step) in settings.items()]
     found = boost(indexed, fits, NUMERIC_FEATURES, "drug_name", label)
     return {name: served(t) for name, t in found.items()}
@@ -193,26 +197,100 @@ def kmeans_sweep(df: DataFrame, ks=range(2, 8), restarts: int = 10, features: st
                  parallelism: int = 4) -> tuple[list[dict], dict]:
     """For each k the best of ``restarts`` seeded fits (lowest
     cost, then lowest seed), its inertia and silhouette (Spark's
-    squared-Euclidean form, on the whole table).  The fits are independent
-    jobs and run side by side.  Returns (rows, {k: model})."""
+    squared-Euclidean form, on the whole table).  Spark's ``KMeans`` gives every
+    fit its seeded starts, side by side; then all fits move their centres in step
+    (``lloyd``), a job per step over all rows.  Returns (rows, {k: model})."""
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="segment")
     rows, models = [], {}
 
-    def fit(at):
+    def start(at):
         k, s = at
-        return KMeans(k=k, seed=42 + s, maxIter=300, featuresCol=features, predictionCol="segment").fit(df)
+        return KMeans(k=k, seed=42 + s, maxIter=0, featuresCol=features, predictionCol="segment").fit(df)
 
     tries = list(product(ks, range(restarts)))
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        fitted = dict(zip(tries, pool.map(fit, tries)))
+        starts = dict(zip(tries, pool.map(start, tries)))
+    centres, costs = lloyd(df, {t: np.array(m.clusterCenters()) for t, m in starts.items()}, features)
     for k in ks:
-        best = min((fitted[k, s] for s in range(restarts)), key=lambda m: m.summary.trainingCost)
+        s = min(range(restarts), key=lambda s: costs[k, s])
+        best = with_centres(starts[k, s], centres[k, s], df.sparkSession)
         sil = ev.evaluate(best.transform(df))
         rows.append({"k": k, "inertia": inertia(df, best, features), "silhouette": float(sil)})
         models[k] = best
     return rows, models
 
 
+def lloyd(df: DataFrame, starts: dict, features: str = "features", most: int = 300, tol: float = 1e-4) -> tuple[dict, dict]:
+    """k-means steps of several fits over the same rows: (centres, costs) by fit.
+    A fit stops as Spark's does, when no centre moves by more than ``tol`` or after
+    ``most`` steps; its cost is that of the centres before the last move.
+
+    The rows stay in the executors as blocks of numbers; a step is one job whose
+    sums (counts, sums and cost per centre of the fits that still move) do not
+    depend on the rows."""
+    spark = df.sparkSession
+    ship_package(spark)
+    width = len(next(iter(starts.values()))[0])
+
+    def pack(batches):
+        for b in batches:
+            if len(b):
+                x = b.column(0).flatten().to_numpy(zero_copy_only=False)
+                yield pa.record_batch([pa.array([x.tobytes()], pa.binary())], names=["x"])
+
+    blocks = df.select(vector_to_array(features).alias("x")).mapInArrow(pack, "x binary").rdd.map(
+        lambda r: np.frombuffer(r.x).reshape(-1, width)).persist(StorageLevel.MEMORY_AND_DISK)
+    branches = max(2, round(blocks.getNumPartitions() ** (1 / 3)))
+    centres, costs, moving = dict(starts), dict.fromkeys(starts, 0.0), sorted(starts)
+    for _ in range(most):
+        now = [centres[t] for t in moving]
+
+        def sums(part, now=now):
+            out = [[np.zeros(len(c)), np.zeros_like(c), np.zeros(1)] for c in now]
+            for block in part:
+                for at in range(0, len(block), 1 << 11):
+                    _step(block[at:at + (1 << 11)], now, out)
+            return [[a for o in out for a in o]]
+
+        got = gradient.added(blocks.mapPartitions(sums), branches)
+        still = []
+        for i, t in enumerate(moving):
+            n, total, cost = got[3 * i:3 * i + 3]
+            new = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centres[t])
+            if (((new - centres[t]) ** 2).sum(axis=1) > tol * tol).any():
+                still.append(t)
+            centres[t], costs[t] = new, float(cost[0])
+        moving = still
+        if not moving:
+            break
+    blocks.unpersist()
+    return centres, costs
+
+
+def _step(x: np.ndarray, fits: list[np.ndarray], out: list) -> None:
+    """Add the rows' counts, sums and costs at each fit's nearest centres."""
+    whole = np.concatenate(fits)
+    far = (whole ** 2).sum(axis=1)[:, None] - 2 * (whole @ x.T)      # less |x|^2, the same for all centres
+    square, at = (x ** 2).sum(axis=1), 0
+    for c, (n, total, cost) in zip(fits, out):
+        mine = far[at:at + len(c)]
+        near = mine.argmin(axis=0)
+        n += np.bincount(near, minlength=len(c))
+        total += (near == np.arange(len(c))[:, None]).astype(float) @ x
+        cost += np.maximum(mine.min(axis=0) + square, 0).sum()
+        at += len(c)
+
+
+def with_centres(model: KMeansModel, centres: np.ndarray, spark) -> KMeansModel:
+    """``model`` with other centres: its saved form with theirs in their place."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/segments-{uuid.uuid4().hex}"
+    model.write().save(path + "/shape")
+    shape = spark.read.parquet(path + "/shape/data").schema
+    spark.read.text(path + "/shape/metadata").coalesce(1).write.text(path + "/model/metadata")
+    spark.createDataFrame([(j, Vectors.dense(c)) for j, c in enumerate(centres)], shape).coalesce(1).write.parquet(path + "/model/data")
+    return KMeansModel.load(path + "/model")
+
+
 def inertia(df: DataFrame, model, features: str = "features") -> float:
     """Sum of squared distances to the nearest of the final centres (the
     model's own figure is that of the centres before the last move)."""

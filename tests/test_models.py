@@ -245,3 +245,34 @@ def test_the_time_index_is_read_from_files(spark):
     plan = idx.select("row_idx")._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "c#" not in plan
     assert [r.row_idx for r in idx.orderBy("a", "b").collect()] == list(range(1000))
+
+
+def test_sweep_in_step_equals_fits_one_by_one(spark):
+    """Same centres and cost as Spark's own fits, with far fewer jobs."""
+    import numpy as np
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.linalg import Vectors
+
+    from dosewise.ml import models as MD
+    from dosewise.session import stored
+    r = np.random.default_rng(3)
+    rows = [(i, Vectors.dense(r.normal(size=3) + 3 * r.integers(0, 3, 3))) for i in range(3000)]
+    df = stored(spark.createDataFrame(rows, ["id", "features"]).repartition(4), "points")
+    fits = {(k, s): KMeans(k=k, seed=42 + s, maxIter=300, predictionCol="segment").fit(df) for k in (2, 5) for s in range(3)}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sweep-steps", "")
+    starts = {t: np.array(KMeans(k=t[0], seed=42 + t[1], maxIter=0).fit(df).clusterCenters()) for t in fits}
+    spark.sparkContext.setJobGroup("lloyd-steps", "")
+    centres, costs = MD.lloyd(df, starts)
+    steps = len(tracker.getJobIdsForGroup("lloyd-steps"))
+    spark.sparkContext.setJobGroup("", "")
+    assert steps <= 2 + max(m.summary.numIter for m in fits.values()) < sum(m.summary.numIter for m in fits.values())
+    for t, m in fits.items():
+        assert np.array(m.clusterCenters()) == pytest.approx(centres[t], abs=1e-9)
+        assert m.summary.trainingCost == pytest.approx(costs[t], rel=1e-9)
+    rows, models = MD.kmeans_sweep(df, ks=[2, 5], restarts=3)
+    for k in (2, 5):
+        best = min((fits[k, s] for s in range(3)), key=lambda m: m.summary.trainingCost)
+        assert np.array(models[k].clusterCenters()) == pytest.approx(np.array(best.clusterCenters()), abs=1e-9)
+        a = best.transform(df).select("id", "segment")
+        assert a.exceptAll(models[k].transform(df).select("id", "segment")).count() == 0
