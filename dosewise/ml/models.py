@@ -9,56 +9,118 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
+from pyspark.ml.classification import (GBTClassifier, LogisticRegression, LogisticRegressionModel,
                                        MultilayerPerceptronClassifier)
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dosewise.functions.scalars import row_mse
-from dosewise.ml import gradient
+from dosewise.ml import gradient, logistic
 from dosewise.ml.boosting import BoostedTrees, Fit
 from dosewise.ml.boosting import train as boost
-from dosewise.ml.prep import NUMERIC_FEATURES, feature_stages
+from dosewise.ml.prep import NUMERIC_FEATURES, feature_stages, one_hot_stages
 from dosewise.operators.relational import sample_n
 from dosewise.session import ensure_checkpoint_dir, few_tasks, ship_package, stored
 
 LABEL = "came_back"
 
 
-def fit_logistic(train: DataFrame, label: str = LABEL, max_iter: int = 1000) -> PipelineModel:
-    """M1: L2 logistic regression on unscaled features.  regParam = 1/n with
-    standardization off is the same objective as C = 1."""
-    n = train.count()
-    lr = LogisticRegression(labelCol=label, maxIter=max_iter, regParam=1.0 / max(n, 1),
-                            elasticNetParam=0.0, standardization=False)
-    return Pipeline(stages=feature_stages() + [lr]).fit(train)
+@dataclass
+class LogisticRows:
+    """Training rows prepared once for both logistic fits: the fitted one-hot stages
+    and the rows in packed form."""
+    first: list
+    rows: logistic.Packed
 
 
-def fit_scaled_logistic(train: DataFrame, label: str = LABEL, max_iter: int = 1000) -> PipelineModel:
+def logistic_rows(train: DataFrame, label: str = LABEL) -> LogisticRows:
+    first = Pipeline(stages=one_hot_stages()).fit(train).stages
+    code = first[0].getOutputCol()
+    return LogisticRows(first, logistic.packed(first[0].transform(train), NUMERIC_FEATURES, code, label, len(first[0].labels)))
+
+
+def _logistic(n: int, label: str, max_iter: int) -> LogisticRegression:
+    """regParam = 1/n with standardization off is the same objective as C = 1."""
+    return LogisticRegression(labelCol=label, maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False)
+
+
+def fit_logistic(train: DataFrame, label: str = LABEL, max_iter: int = 1000, shared: LogisticRows | None = None) -> PipelineModel:
+    """M1: L2 logistic regression on unscaled features, fitted by ``ml.logistic``.
+    Rows with missing numbers and labels of one kind are left to Spark's fit."""
+    own = shared or logistic_rows(train, label)
+    at = own.rows.at
+    if not at.usable:
+        return Pipeline(stages=feature_stages() + [_logistic(train.count(), label, max_iter)]).fit(train)
+    b, w = logistic.fit(own.rows, np.ones(len(at.mean)), max_iter)
+    if shared is None:
+        own.rows.release()
+    return PipelineModel([*own.first, feature_stages()[-1], _regression(train, _logistic(at.n, label, max_iter), b, w)])
+
+
+def fit_scaled_logistic(train: DataFrame, label: str = LABEL, max_iter: int = 1000,
+                        shared: LogisticRows | None = None) -> PipelineModel:
     """M2: scaler + logistic regression in one pipeline.  Spark's scaler divides
     by the sample deviation; the factor after it makes that the population's."""
-    n = train.count()
-    first = Pipeline(stages=feature_stages(out="raw")).fit(train)
-    width = first.transform(train).select(F.size(vector_to_array("raw"))).first()[0]
-    stages = [first, StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-              ElementwiseProduct(inputCol="scaled", outputCol="features",
-                                 scalingVec=Vectors.dense([(n / max(n - 1, 1)) ** 0.5] * width)),
-              LogisticRegression(labelCol=label, maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
-                                 standardization=False)]
-    return Pipeline(stages=stages).fit(train)
+    own = shared or logistic_rows(train, label)
+    at = own.rows.at
+    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True)
+
+    def factor(n, width):
+        return ElementwiseProduct(inputCol="scaled", outputCol="features", scalingVec=Vectors.dense([(n / max(n - 1, 1)) ** 0.5] * width))
+
+    if not at.usable:
+        n = train.count()
+        first = Pipeline(stages=feature_stages(out="raw")).fit(train)
+        width = first.transform(train).select(F.size(vector_to_array("raw"))).first()[0]
+        return Pipeline(stages=[first, scaler, factor(n, width), _logistic(n, label, max_iter)]).fit(train)
+    # a penalty on the weights of standardised columns is one of sd**2 on those of the columns
+    b, w = logistic.fit(own.rows, at.sd ** 2, max_iter)
+    if shared is None:
+        own.rows.release()
+    two = _two_rows(train, len(w), "raw", label)
+    scaled = _with_data(scaler.fit(two), two.sparkSession, {
+        "std": Vectors.dense(at.sd * (at.n / (at.n - 1)) ** 0.5), "mean": Vectors.dense(at.mean)})
+    return PipelineModel([PipelineModel([*own.first, feature_stages(out="raw")[-1]]), scaled, factor(at.n, len(w)),
+                          _regression(train, _logistic(at.n, label, max_iter), b + w @ at.mean, w * at.sd)])
+
+
+def _two_rows(df: DataFrame, width: int, features: str, label: str) -> DataFrame:
+    """A table of two rows, on which Spark makes a model's saved form."""
+    return df.sparkSession.createDataFrame([(Vectors.sparse(width, [], []), 0.0), (Vectors.sparse(width, [0], [1.0]), 1.0)],
+                                           [features, label]).coalesce(1)
+
+
+def _regression(df: DataFrame, estimator: LogisticRegression, intercept: float, weights: np.ndarray) -> LogisticRegressionModel:
+    """``estimator``'s model with these weights."""
+    shape = estimator.copy({estimator.maxIter: 1}).fit(_two_rows(df, len(weights), estimator.getFeaturesCol(), estimator.getLabelCol()))
+    shape.set(shape.maxIter, estimator.getMaxIter())
+    return _with_data(shape, df.sparkSession, {"interceptVector": Vectors.dense([intercept]),
+                                               "coefficientMatrix": DenseMatrix(1, len(weights), weights, True)})
+
+
+def _with_data(model, spark, values: dict):
+    """``model`` with other numbers: its saved form with ``values`` in their place."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    model.write().save(path + "/shape")
+    data = spark.read.parquet(path + "/shape/data")
+    row = data.first().asDict() | values
+    spark.read.text(path + "/shape/metadata").coalesce(1).write.text(path + "/model/metadata")
+    spark.createDataFrame([tuple(row[c] for c in data.columns)], data.schema).coalesce(1).write.parquet(path + "/model/data")
+    return type(model).load(path + "/model")
 
 
 def gbt_classifier(max_iter: int = 300, max_depth: int = 4, step: float = 0.05, label: str = LABEL,

@@ -119,7 +119,9 @@ def logistic_optimum(spark, sf):
         z = np.array([sums[f"z{j}"] for j in range(len(w))]) / n
         return np.abs(g).max() / np.abs(z).max()
 
-    plain, scaled = MD.fit_logistic(train), MD.fit_scaled_logistic(train)
+    shared = MD.logistic_rows(train)
+    plain, scaled = MD.fit_logistic(train, shared=shared), MD.fit_scaled_logistic(train, shared=shared)
+    shared.rows.release()
     low, high = MD.scores(plain, test).agg(F.min("score"), F.max("score")).first()
     return _facts(spark, unscaled_is_optimal=flat(plain, "features") < 0.02, scaled_is_optimal=flat(scaled, "features") < 0.02,
                   scores_in_range=0 <= low < high <= 1)
