@@ -276,3 +276,39 @@ def test_sweep_in_step_equals_fits_one_by_one(spark):
         assert np.array(models[k].clusterCenters()) == pytest.approx(np.array(best.clusterCenters()), abs=1e-9)
         a = best.transform(df).select("id", "segment")
         assert a.exceptAll(models[k].transform(df).select("id", "segment")).count() == 0
+
+
+def test_every_training_row_counts(spark):
+    """Before, a model was fitted on at most 2**18 rows."""
+    import math
+
+    from dosewise.ml.boosting import Fit, train
+    df = spark.range(280_000).selectExpr("id as row_idx", "cast(id % 5 as double) as a", "if(id % 3 = 0, 'x', 'y') as cat",
+                                         "cast(id % 11 = 0 as int) as came_back")
+    got = train(df, [Fit("all", 1, 0.5, (1,), 1 << 62), Fit("fold", 1, 0.5, (1,), 270_001)], ["a"], "cat", "came_back")
+    for name, n, ones in (("all", 280_000, 25_455), ("fold", 270_001, 24_546)):
+        assert got[name].start == pytest.approx(math.log(ones / (n - ones)), abs=1e-12)
+
+
+def test_models_grown_in_step_equal_models_grown_alone(spark, monkeypatch):
+    """Rows in blocks and one job per level, folds of several lengths, missing
+    numbers, categories and labels, and equal rows."""
+    import numpy as np
+
+    from dosewise.ml import boosting as B
+    r = np.random.default_rng(5)
+    a, b, c = r.normal(size=4000).round(1), r.integers(0, 4, 4000), r.integers(0, 5, 4000)
+    y = r.random(4000) < 0.2 + 0.4 * (a > 0.5) * (c == 2) + 0.2 * (b > 1)
+    rows = [(i, None if i % 90 == 1 else float(a[i]), float(b[i]), None if i % 70 == 2 else "vwxyz"[c[i]], None if i % 50 == 3 else int(y[i]))
+            for i in range(4000)]
+    df = spark.createDataFrame(rows, "row_idx long, a double, b double, cat string, came_back int").repartition(3)
+    fits = [B.Fit("s", 3, 0.1, (4, 9), 700), B.Fit("t", 3, 0.1, (9,), 4000), B.Fit("u", 6, 0.3, (6,), 2500), B.Fit("none", 2, 0.1, (2,), 0)]
+    alone = B.train(df, fits, ["a", "b"], "cat", "came_back")
+    for name, value in (("FEW", 300), ("PART", 100), ("KEEP", 3), ("DIRECT", 2)):
+        monkeypatch.setattr(B, name, value)
+    step = B.train(df, fits, ["a", "b"], "cat", "came_back", held=10)
+    for f in fits:
+        x, z = alone[f.name], step[f.name]
+        assert x.start == z.start and x.feature.shape[0] == max(f.stages)
+        assert (x.feature == z.feature).all() and (x.threshold == z.threshold).all()
+        assert np.abs(x.value - z.value).max() < 1e-5
