@@ -142,7 +142,7 @@ def fit_gbt(train: DataFrame, max_iter: int = 300, max_depth: int = 4, step: flo
 
 def fit_boosted(train: DataFrame, settings: dict[str, tuple[int, int, float]], label: str = LABEL) -> dict[str, PipelineModel]:
     """Named boosted-tree models (max_iter, max_depth, step) of the learner that
-    searches rank (``ml.boosting``), all fitted by one job."""
+    searches rank (``ml.boosting``), fitted together on all rows."""
     indexed = stored(train.select(*NUMERIC_FEATURES, "drug_name", label).withColumn("row_idx", F.monotonically_increasing_id()),
                      "to-boost")
     fits = [Fit(name, depth, step, (rounds,), 1 << 62) for name, (rounds, depth, step) in settings.items()]
