@@ -58,3 +58,20 @@ def test_many_rounds_are_not_sparks_own(spark, monkeypatch):
     model = MD.fit_gbt(df, 6, 3, 0.03)
     assert model.stages[-1].getNumTrees == 6 and rounds == [1]
     assert MD.scores(model, df).count() == 200
+
+
+def test_equal_rows_are_stored_once(spark, monkeypatch):
+    """Every round reads one row per set of bin numbers, with counts; before, every
+    row of the table."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from dosewise.ml import gradient
+    made, fit = [], gradient.distinct_rows
+    monkeypatch.setattr(gradient, "distinct_rows", lambda *a: made.append(fit(*a)) or made[-1])
+    df = spark.range(20_000).select(array_to_vector(F.array((F.col("id") % 7).cast("double"), (F.col("id") % 3).cast("double"))).alias("features"),
+                                    ((F.col("id") % 7 > 3) & (F.col("id") % 5 != 0)).cast("int").alias("came_back"))
+    trees, _, _ = gradient.fit_trees(df, "features", "came_back", 2, 2, 0.1)
+    assert made[0].count() == 21 and made[0].agg(F.sum("n0")).first()[0] == 20_000
+    assert trees[0][0].count == 20_000
+    assert trees[0][0].total == 2 * df.where("came_back = 1").count() - 20_000
