@@ -11,6 +11,7 @@ from dosewise.operators import profiles as PR
 from dosewise.operators import relational as R
 from dosewise.plans.q_courses import CENSOR_SQL, GAP_SQL, IDS, WITH_FILLS, WITH_HIST, _fills, _round
 from dosewise.plans.registry import DRUGS_SQL, PATIENTS_SQL, register
+from dosewise.session import drop_shuffles, stored
 from dosewise.sources import adapter as A
 from dosewise.sources import tables as T
 
@@ -237,7 +238,9 @@ def table_diff(spark, sf):
     both define the same way; rows only on each side (expected 0, 0)."""
     from dosewise.plans.q_courses import training_table, training_table_sql
     cols = ["supply_days", "fill_number", "prev_gap", "was_late", "runout_dt", "came_back"]
-    a = training_table(spark, sf).select(*cols).withColumn("prev_gap", F.col("prev_gap").cast("int"))
+    # written once: compared and counted; its shuffles are gone before those of the other
+    a = stored(training_table(spark, sf).select(*cols).withColumn("prev_gap", F.col("prev_gap").cast("int")), "training")
+    drop_shuffles(spark)
     b = training_table_sql(spark, sf).select(*cols)
     d = R.table_diff(a, b)
     return d.agg(F.sum(F.when(F.col("side") == "left_only", 1).otherwise(0)).cast("long").alias("left_only"),

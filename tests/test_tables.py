@@ -108,3 +108,13 @@ def test_layout_reads_only_the_folders_of_the_months(spark, tmp_path):
     whole = len(list((tmp_path / "t").glob("*/*.parquet")))
     assert read == sum(months.values()) < whole / 2
     assert re.search(r"PushedFilters: \[.*k", got._jdf.queryExecution().executedPlan().toString())
+
+
+def test_equal_tables_are_not_read_again(spark):
+    """Once the digests agree nothing is left to run; before, both tables ran again."""
+    from dosewise.operators import relational as R
+    a = spark.range(500).selectExpr("id", "cast(id % 7 as string) as id")
+    d = R.table_diff(a, a.repartition(7))
+    assert d.columns == ["id", "id", "side"] and d.count() == 0
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Range" not in plan
