@@ -29,7 +29,7 @@ from dosewise.operators.stats import exact_quantiles, roc_auc
 from dosewise.plans.q_courses import (CENSOR_SQL, ORDER_SQL, WITH_FILLS, WITH_HIST, _fills,
                                       _lineitem_last, _round, training_table)
 from dosewise.plans.registry import DRUGS_SQL, register
-from dosewise.session import ensure_checkpoint_dir, stored
+from dosewise.session import drop_shuffles, ensure_checkpoint_dir, stored
 from dosewise.sources import adapter as A
 
 SPLIT = A.SPLIT_DATE
@@ -41,9 +41,14 @@ def _scratch(spark, name):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def _split(spark, sf):
+def _training(spark, sf):
     t = stored(P.numeric_view(training_table(spark, sf)), "training")    # both parts are read many times
-    return R.temporal_split(t, "runout_dt", SPLIT)
+    drop_shuffles(spark)
+    return t
+
+
+def _split(spark, sf):
+    return R.temporal_split(_training(spark, sf), "runout_dt", SPLIT)
 
 
 def _auc_of(scored):

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from dosewise.plans.q_courses import CENSOR_SQL, WITH_FILLS, WITH_HIST, _round
 from dosewise.plans.registry import register
-from dosewise.session import stored
 from dosewise.streaming import jobs as J
 
 
@@ -114,11 +113,9 @@ def _in_day_order(spark, sf, parts=4):
     return path, files
 
 
-def _train_test_files(spark, sf, parts=4):
-    from dosewise.ml.prep import numeric_view
-    from dosewise.plans.q_courses import training_table
+def _train_test_files(spark, t, parts=4):
+    """(training rows, a folder of the test rows of ``t`` in files, their schema)."""
     from dosewise.sources.adapter import SPLIT_DATE
-    t = stored(numeric_view(training_table(spark, sf)), "training")    # both parts are read many times
     train = t.filter(F.col("runout_dt") < F.lit(SPLIT_DATE).cast("date"))
     path = J.scratch(spark, "requests")
     t.filter(F.col("runout_dt") >= F.lit(SPLIT_DATE).cast("date")).repartition(parts).write.parquet(path)
@@ -129,9 +126,15 @@ def _train_test_files(spark, sf, parts=4):
 def stream_score(spark, sf):
     """ST4: arriving refill requests validated and scored per micro-batch by
     the logistic baseline; rejects go to a side table."""
+    from dosewise.plans.q_models import _training
+    return score_stream(spark, _training(spark, sf))
+
+
+def score_stream(spark, t):
+    """ST4 over a written training table."""
     from dosewise.ml.models import fit_logistic
     from dosewise.ml.scoring import refill_rules
-    train, path, schema = _train_test_files(spark, sf)
+    train, path, schema = _train_test_files(spark, t)
     model = fit_logistic(train)
     out = J.scratch(spark, "scored")
     handle = J.stream_score(model, refill_rules(), out + "/ok", out + "/rejected")
@@ -145,7 +148,8 @@ def stream_score(spark, sf):
 def stream_drift(spark, sf):
     """ST6: PSI of every micro-batch of live rows against the training cuts."""
     from dosewise.operators.drift import NUMERIC
-    train, path, schema = _train_test_files(spark, sf)
+    from dosewise.plans.q_models import _training
+    train, path, schema = _train_test_files(spark, _training(spark, sf))
     out = J.scratch(spark, "drift")
     handle = J.stream_drift(train, NUMERIC, out + "/psi")
     J.run_available(J.read_stream(spark, path, schema, max_files=1).writeStream.foreachBatch(handle), out + "/ckpt")

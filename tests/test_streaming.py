@@ -111,3 +111,23 @@ def test_late_history_rows_and_rows_without_a_course(spark):
     sdf = _arrivals(spark, [[(1, 100, 1), (None, 100, 9)], [(1, 90, 2)], [(1, 130, 3)]], "90 days")
     got = {r.l_orderkey: (r.fill_number, r.prev_gap, r.late_arrival) for r in _ran(spark, J.stream_history(sdf)).collect()}
     assert got == {1: (1, 30.0, False), 2: (2, -10.0, True), 3: (3, 30.0, False)}
+
+
+def test_stream_and_batch_scores_share_one_training_table(spark, monkeypatch):
+    """Before, the check made the training table twice."""
+    import datetime as dt
+    import random
+
+    from dosewise.plans import q_checks as QC
+    from dosewise.plans import q_courses, q_models
+    r = random.Random(4)
+    rows = [(r.randint(20, 90), r.choice("abc"), r.random() < 0.5, r.choice([30, 90]), r.randint(1, 9), float(r.randint(20, 120)),
+             r.randint(0, 1), float(r.randint(30, 90)), r.random(), dt.date(2000, 6, 1) + dt.timedelta(r.randint(0, 400)), r.randint(0, 1))
+            for _ in range(300)]
+    table = spark.createDataFrame(rows, "patient_age int, drug_name string, is_branded boolean, supply_days int, fill_number int, "
+                                  "prev_gap double, was_late int, avg_gap double, pct_late double, runout_dt date, came_back int")
+    made = []
+    for module in (q_courses, q_models):
+        monkeypatch.setattr(module, "training_table", lambda spark, sf: made.append(sf) or table)
+    assert tuple(QC.stream_score_check(spark, "nowhere").first()) == (True, True)
+    assert made == ["nowhere"]
