@@ -189,7 +189,7 @@ def stream_score_check(spark, sf):
     train, test = QM.R.temporal_split(t, "runout_dt", QM.SPLIT)
     batch = risk_bands(MD.fit_logistic(train).transform(test).withColumn("probability", vector_to_array("probability")[1]))
     keys = ["drug_name", "fill_number", "risk", "action", "came_back"]
-    a = score_stream(spark, t).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("refill_probability").alias("p"))
+    a = score_stream(spark, sf, t).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("refill_probability").alias("p"))
     b = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"), F.sum("refill_probability").alias("q"))
     off = a.join(b, keys, "full").agg(
         F.max(F.coalesce((F.col("n") != F.col("m")).cast("int"), F.lit(1))).alias("rows"),

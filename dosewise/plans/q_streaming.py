@@ -113,9 +113,12 @@ def _in_day_order(spark, sf, parts=4):
     return path, files
 
 
-def _train_test_files(spark, t, parts=4):
-    """(training rows, a folder of the test rows of ``t`` in files, their schema)."""
+def _train_test_files(spark, sf, parts=4, table=None):
+    """(training rows, a folder of the test rows in files, their schema) of the
+    training table, or of ``table`` where it is written already."""
+    from dosewise.plans.q_models import _training
     from dosewise.sources.adapter import SPLIT_DATE
+    t = _training(spark, sf) if table is None else table
     train = t.filter(F.col("runout_dt") < F.lit(SPLIT_DATE).cast("date"))
     path = J.scratch(spark, "requests")
     t.filter(F.col("runout_dt") >= F.lit(SPLIT_DATE).cast("date")).repartition(parts).write.parquet(path)
@@ -126,15 +129,14 @@ def _train_test_files(spark, t, parts=4):
 def stream_score(spark, sf):
     """ST4: arriving refill requests validated and scored per micro-batch by
     the logistic baseline; rejects go to a side table."""
-    from dosewise.plans.q_models import _training
-    return score_stream(spark, _training(spark, sf))
+    return score_stream(spark, sf)
 
 
-def score_stream(spark, t):
-    """ST4 over a written training table."""
+def score_stream(spark, sf, table=None):
+    """ST4, over a training table that is written already if one is given."""
     from dosewise.ml.models import fit_logistic
     from dosewise.ml.scoring import refill_rules
-    train, path, schema = _train_test_files(spark, t)
+    train, path, schema = _train_test_files(spark, sf, table=table)
     model = fit_logistic(train)
     out = J.scratch(spark, "scored")
     handle = J.stream_score(model, refill_rules(), out + "/ok", out + "/rejected")
@@ -148,8 +150,7 @@ def score_stream(spark, t):
 def stream_drift(spark, sf):
     """ST6: PSI of every micro-batch of live rows against the training cuts."""
     from dosewise.operators.drift import NUMERIC
-    from dosewise.plans.q_models import _training
-    train, path, schema = _train_test_files(spark, _training(spark, sf))
+    train, path, schema = _train_test_files(spark, sf)
     out = J.scratch(spark, "drift")
     handle = J.stream_drift(train, NUMERIC, out + "/psi")
     J.run_available(J.read_stream(spark, path, schema, max_files=1).writeStream.foreachBatch(handle), out + "/ckpt")
